@@ -26,11 +26,17 @@ def bucket_path(ts, width_seconds: int = 300, lag: int = 1) -> Column:
     return F.date_format(bucket_start(ts, width_seconds, lag), BUCKET_FORMAT)
 
 
-def bucket_glob(prefix: str, name: str, run_ts: _dt.datetime, width_seconds: int = 300) -> str:
-    """``<prefix>/<yyyy-MM-dd>/<HH-mm>/<name>.*`` of the previous closed bucket."""
+def bucket_folder(prefix: str, run_ts: _dt.datetime, width_seconds: int = 300) -> str:
+    """``<prefix>/<yyyy-MM-dd>/<HH-mm>`` of the previous closed bucket."""
     epoch = int(run_ts.replace(tzinfo=_dt.timezone.utc).timestamp())
     start = _dt.datetime.fromtimestamp((epoch // width_seconds - 1) * width_seconds, _dt.timezone.utc)
-    return f"{prefix.rstrip('/')}/{start:%Y-%m-%d}/{start:%H-%M}/{name}.*"
+    return f"{prefix.rstrip('/')}/{start:%Y-%m-%d}/{start:%H-%M}"
+
+
+def bucket_glob(prefix: str, name: str, run_ts: _dt.datetime, width_seconds: int = 300,
+                file_pattern: str | None = None) -> str:
+    """``<prefix>/<yyyy-MM-dd>/<HH-mm>/<name>.*`` of the previous closed bucket."""
+    return f"{bucket_folder(prefix, run_ts, width_seconds)}/{file_pattern or name + '.*'}"
 
 
 def run_date(run_ts) -> Column:

@@ -213,3 +213,21 @@ ORACLES: dict[str, str] = {
     "s4_date_scan": """select event_id, user_id as uuid, strftime(ts, '%Y-%m-%d') as l_date, event_type
         from events where strftime(ts, '%Y-%m-%d') >= '2024-01-28'""",
 }
+
+TSV_LINES = """select concat_ws(chr(9), cast(event_id as varchar), cast(user_id as varchar), event_type,
+  printf('%.2f', value), strftime(ts, '%Y-%m-%d'), 'c6', 'c7', 'c8', 'c9', 'c10', 'c11', 'c12',
+  case when event_id % 4 = 0 then '' else props end) as value from events"""
+
+ORACLES.update({
+    "c2_ingest_event_log": EVENT_EXPECTED,
+    "c1_ingest_page_log": PAGE_EXPECTED,
+    "l1_stream_ingest": EVENT_EXPECTED,
+    "k2_replace_table": ORACLES["a6_merge_counts"],
+    "k3_snapshot_table": ORACLES["s4_date_scan"],
+    "k4_csv_export": ORACLES["p14_price_band"],
+    "k6_json_export": ORACLES["p15_fill"],
+    "p13_tsv_profile": f"""select {_jvm_size('value', chr(9))} as n_fields, count(*) as lines
+        from ({TSV_LINES}) group by 1""",
+    "k7_text_export": f"""select concat('(', value, ',13)') as record from ({TSV_LINES})
+        where {_jvm_size('value', chr(9))} = 13""",
+})

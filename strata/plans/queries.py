@@ -232,3 +232,111 @@ def s4_date_scan(spark: SparkSession, sf: str) -> DataFrame:
     f = bindings.user_facts(spark, sf)
     return misc.date_partition_scan(f, "l_date", start="2024-01-28").select(
         "event_id", "uuid", "l_date", "event_type")
+
+
+# --- ingest jobs, sinks and the stream (write, then read back) ------------------
+
+def _write_bucket(spark, sf, lines: DataFrame, name: str, files: int = 16) -> str:
+    """Lay rendered lines out as many small files in the run's 5-minute bucket."""
+    from strata.functions.clock import bucket_folder
+    prefix = scratch_path(spark, "logs")
+    lines.repartition(files).write.mode("errorifexists").text(bucket_folder(prefix, RUN_TS))
+    return prefix
+
+
+def _read_back(spark, path: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
+def c2_ingest_event_log(spark: SparkSession, sf: str) -> DataFrame:
+    """C2 end to end: bucket folder -> small-file scan -> parse -> partitioned append."""
+    from strata.plans.ingest import EVENT_FILE, ingest_event_log
+    prefix = _write_bucket(spark, sf, bindings.event_lines(spark, sf), EVENT_FILE)
+    target = scratch_path(spark, "event_log")
+    parsed = ingest_event_log(spark, prefix, target, RUN_TS, max_partitions=30,
+                              file_pattern="part-*")
+    return _read_back(spark, target, parsed)
+
+
+def c1_ingest_page_log(spark: SparkSession, sf: str) -> DataFrame:
+    from strata.plans.ingest import PAGE_FILE, ingest_page_log
+    prefix = _write_bucket(spark, sf, bindings.page_lines(spark, sf), PAGE_FILE)
+    target = scratch_path(spark, "page_log")
+    parsed = ingest_page_log(spark, prefix, target, RUN_TS, max_partitions=30,
+                             file_pattern="part-*")
+    return _read_back(spark, target, parsed)
+
+
+def l1_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """L1: the event parser on a file stream (availableNow), read back from the sink."""
+    from strata.streaming.ingest import stream_log
+    src = scratch_path(spark, "stream_src")
+    bindings.event_lines(spark, sf).repartition(8).write.text(src)
+    sink, ckpt = scratch_path(spark, "stream_sink"), scratch_path(spark, "stream_ckpt")
+    q = stream_log(spark, src, sink, ckpt, logs.EVENT_SPEC, run_ts=RUN_TS,
+                   trigger={"availableNow": True}, max_files_per_trigger=3)
+    q.awaitTermination()
+    like = logs.parse_event_log(bindings.event_lines(spark, sf).limit(0), RUN_TS)
+    return _read_back(spark, sink, like)
+
+
+def k2_replace_table(spark: SparkSession, sf: str) -> DataFrame:
+    """K2: a counter table replaced by the merged counters (second write wins)."""
+    from strata.sinks.writers import replace_table
+    path = scratch_path(spark, "counts")
+    replace_table(m1_daily_reset(spark, sf), path, files=1)
+    merged = a6_merge_counts(spark, sf)
+    replace_table(merged, path, files=1)
+    return spark.read.parquet(path).select("cid", "count")
+
+
+def k3_snapshot_table(spark: SparkSession, sf: str) -> DataFrame:
+    from strata.sinks.writers import snapshot_table
+    path = scratch_path(spark, "snapshot")
+    df = s4_date_scan(spark, sf)
+    snapshot_table(df, path, files=4)
+    return spark.read.parquet(path)
+
+
+def k4_csv_export(spark: SparkSession, sf: str) -> DataFrame:
+    from strata.sinks.writers import export
+    path = scratch_path(spark, "csv")
+    df = p14_price_band(spark, sf)
+    export(df, path, fmt="csv", mode="errorifexists", files=1)
+    return spark.read.schema(df.schema).csv(path)
+
+
+def k6_json_export(spark: SparkSession, sf: str) -> DataFrame:
+    """K6 + S6: null fill, single-file JSON export, JSON read with a schema."""
+    from strata.sinks.writers import export
+    from strata.sources.logs import read_json
+    path = scratch_path(spark, "json")
+    df = p15_fill(spark, sf)
+    export(df, path, fmt="json", mode="overwrite", files=1)
+    return read_json(spark, path, schema=df.schema).select(*df.columns)
+
+
+def _tsv_lines(spark, sf) -> DataFrame:
+    """``events`` as tab-separated lines; every 4th ends in empty fields."""
+    e = read_table(spark, sf, "events")
+    base = [F.col("event_id").cast("string"), F.col("user_id").cast("string"), F.col("event_type"),
+            F.format_string("%.2f", "value"), F.date_format("ts", "yyyy-MM-dd")]
+    pad = [F.concat(F.lit("c"), F.lit(str(i))) for i in range(6, 13)]
+    last = F.when(F.col("event_id") % 4 == 0, F.lit("")).otherwise(F.col("props"))
+    return e.select(F.concat_ws("\t", *base, *pad, last).alias("value"))
+
+
+def p13_tsv_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Field-count profile of tab-separated lines."""
+    return logs.field_count_profile(_tsv_lines(spark, sf), "\t")
+
+
+def k7_text_export(spark: SparkSession, sf: str) -> DataFrame:
+    """P13 + K7: keep 13-field lines, save ``(line,13)`` tuples as text, read back."""
+    from strata.sinks.writers import export
+    path = scratch_path(spark, "text")
+    kept = logs.lines_with_fields(_tsv_lines(spark, sf), "\t", 13)
+    out = kept.select(F.concat(F.lit("("), "line", F.lit(","), F.col("n_fields").cast("string"),
+                               F.lit(")")).alias("value"))
+    export(out, path, fmt="text", mode="errorifexists", files=1)
+    return spark.read.text(path).select(F.col("value").alias("record"))
