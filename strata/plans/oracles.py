@@ -231,3 +231,5 @@ ORACLES.update({
     "k7_text_export": f"""select concat('(', value, ',13)') as record from ({TSV_LINES})
         where {_jvm_size('value', chr(9))} = 13""",
 })
+
+ORACLES["m2_assign_unbound_cap"] = LATEST

@@ -340,3 +340,41 @@ def k7_text_export(spark: SparkSession, sf: str) -> DataFrame:
                                F.lit(")")).alias("value"))
     export(out, path, fmt="text", mode="errorifexists", files=1)
     return spark.read.text(path).select(F.col("value").alias("record"))
+
+
+# --- capped assignment (rows-only checks; equality with the model is in tests) --
+
+def m2_assign_capped(spark: SparkSession, sf: str) -> DataFrame:
+    """M2 with cap 3 on the matching binding."""
+    from strata.operators.assignment import assign_capped
+    picks, _, _ = assign_capped(_houses(spark, sf), _intents(spark, sf), k=3, cap=3)
+    return picks.select("fh_id", "cid", F.col("latest.rid").alias("rid"), "n_rows")
+
+
+def m2_assign_unbound_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """M2 with a cap no client can reach: must equal the stateless chain."""
+    from strata.operators.assignment import assign_capped
+    picks, _, _ = assign_capped(_houses(spark, sf), _intents(spark, sf), k=3, cap=1 << 40)
+    return picks.select("fh_id", "cid", F.col("latest.rid").alias("rid"),
+                        F.col("latest.see_time").alias("see_time"))
+
+
+def _match_state(spark, sf) -> DataFrame:
+    """Counter state: each client's 1998 orders, stamped for the run day (some over cap)."""
+    o = read_table(spark, sf, "orders")
+    return (o.where(F.year("o_orderdate") == 1998)
+            .select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("cid"))
+            .groupBy("cid").agg((F.count(F.lit(1)) % 5).alias("count"))
+            .withColumn("p_date", F.lit(COUNT_DAY)))
+
+
+def c3_run_match(spark: SparkSession, sf: str) -> DataFrame:
+    """C3 end to end: state load (M1), J4, M2, W2, then both tables replaced (K2)."""
+    from strata.plans.match_job import run_match_job
+    state_path, result_path = scratch_path(spark, "match_state"), scratch_path(spark, "match_result")
+    replace_table_state = _match_state(spark, sf)
+    replace_table_state.write.parquet(state_path)
+    run_match_job(spark, bindings.houses(spark, sf), bindings.intents(spark, sf),
+                  state_path, result_path, COUNT_DAY)
+    return spark.read.parquet(result_path).select("fh_id", "cid", "area_code", "price_start",
+                                                  "price_end", "house_type")
