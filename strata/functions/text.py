@@ -7,6 +7,8 @@ fields are empty therefore have a smaller arity under the JVM rule.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # Java's String.trim removes every char <= U+0020 from both ends.
@@ -38,13 +40,33 @@ def jvm_split_size(col, sep_regex: str) -> Column:
     return F.size(jvm_split(col, sep_regex))
 
 
+def _single_char(sep_regex: str) -> str | None:
+    """The literal character a one-character separator regex stands for."""
+    if len(sep_regex) == 1 and sep_regex not in ".$|()[]{}^?*+\\":
+        return sep_regex
+    if len(sep_regex) == 2 and sep_regex[0] == "\\" and not sep_regex[1].isalnum():
+        return sep_regex[1]
+    return None
+
+
 def has_exact_fields(col, sep_regex: str, n: int) -> Column:
     """True when ``String.split(regex)`` would give exactly ``n`` fields.
 
-    Written without lambdas so it stays inside whole-stage codegen: the n-th
-    field must be non-empty and every field after it empty.
+    Written without lambdas so it stays inside whole-stage codegen. For a
+    one-character separator it is one anchored regex match (fields 1..n-1 any,
+    field n non-empty, then only separators); otherwise the n-th split field
+    must be non-empty and every field after it empty.
     """
     c = _c(col)
+    ch = _single_char(sep_regex)
+    if ch is not None:
+        x = "\\" + ch if ch in "]\\^-" else ch
+        pattern = r"\A(?:[^" + x + r"]*" + re.escape(ch) + "){" + str(n - 1) + r"}[^" + x + r"]+" \
+            + re.escape(ch) + r"*\z"
+        cond = c.rlike(pattern)
+        if n == 1:
+            cond = cond | (c == "")
+        return c.isNotNull() & cond
     parts = F.split(c, sep_regex, -1)
     size = F.size(parts)
     rest = F.slice(parts, n + 1, F.greatest(size - F.lit(n), F.lit(0)))

@@ -50,7 +50,7 @@ def _seq(share_id="share_id", fh_id="fh_id"):
 def candidate_pairs(houses: DataFrame, intents: DataFrame) -> DataFrame:
     """Pair summaries of both tiers: place pairs, and area pairs of clients
     that have no place pair with that listing. Columns: fh_id, cid, seq,
-    tier, ms, n_rows, latest."""
+    tier, ms, n_rows, rid, see_time, update_time (of the pair's latest row)."""
     p1 = matching.summarize_pairs(matching.place_candidates(houses, intents))
     p2 = matching.summarize_pairs(matching.area_candidates(houses, intents)).join(
         p1.select(*PAIR_KEYS), PAIR_KEYS, "left_anti")
@@ -98,8 +98,8 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
 
     ``counts(cid, count)`` are the counters valid today (M1). Returns
     ``(picks, new_counts, rounds)``: ``picks`` has one row per selected
-    (listing, client) pair with ``n_rows`` and the latest intent row
-    (``latest``), ``new_counts`` is ``(cid, count)``.
+    (listing, client) pair with ``n_rows`` and the pair's latest intent row
+    (``rid``, ``see_time``), ``new_counts`` is ``(cid, count)``.
     """
     spark = houses.sparkSession
     out_path = scratch_path(spark, "assign")

@@ -23,6 +23,7 @@ shuffled join with AQE skew splitting for hot locations.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strata.functions.codes import rs_type_of
@@ -160,22 +161,29 @@ def latest_intent_per_pair(rows: DataFrame) -> DataFrame:
 
 # --- fused form used by the jobs -------------------------------------------
 
-_RESULT_FIELDS = ("rid", "see_time", "update_time", "area_code", "price_start", "price_end",
-                  "house_type", "share_id", "city_code", "share_worker_id") + \
+# payload columns fetched for the selected pairs only
+_PAYLOAD_FIELDS = ("area_code", "price_start", "price_end", "house_type") + \
     INTENT_STRING_COLS + INTENT_DOUBLE_COLS + INTENT_INT_COLS
 
 
 def summarize_pairs(cands: DataFrame) -> DataFrame:
-    """One row per (listing, client): latest viewing, row count, and the latest
-    intent row (``update_time`` desc, ``rid`` asc) as a struct."""
-    order = F.struct(F.col("update_time"), (-F.col("rid")).alias("_neg_rid"))
-    row = F.struct(*[F.col(c) for c in _RESULT_FIELDS])
-    return cands.groupBy(*PAIR_KEYS).agg(
+    """One row per (listing, client): latest viewing ``ms``, row count
+    ``n_rows``, and the pair's latest intent row (``update_time`` desc, then
+    ``rid`` asc) as ``rid`` / ``see_time`` / ``update_time``.
+
+    Only narrow columns travel through the shuffle and sort; the intent
+    payload is fetched later for the selected pairs (``match_result``).
+    """
+    latest = F.max(F.struct(F.col("update_time"), (-F.col("rid")).alias("neg_rid"),
+                            F.col("see_time")))
+    agg = cands.groupBy(*PAIR_KEYS).agg(
         F.max("see_time").alias("ms"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.max_by(row, order).alias("latest"),
+        latest.alias("_l"),
         F.min("tier").alias("tier"),
     )
+    return agg.select(*PAIR_KEYS, "ms", "n_rows", "tier", (-F.col("_l.neg_rid")).alias("rid"),
+                      F.col("_l.see_time").alias("see_time"), F.col("_l.update_time").alias("update_time"))
 
 
 def rank_pairs(pairs: DataFrame, k: int) -> DataFrame:
@@ -200,19 +208,36 @@ def match_pairs(houses: DataFrame, intents: DataFrame, k: int = 3,
     return rank_pairs(p1.unionByName(p2), k)
 
 
-def match_result(pairs: DataFrame) -> DataFrame:
-    """Flatten selected pair summaries into match-result rows."""
-    return pairs.select("fh_id", "cid", "tier", "rank", "n_rows", "ms",
-                        *[F.col("latest." + c).alias(c) for c in _RESULT_FIELDS])
+def match_result(pairs: DataFrame, houses: DataFrame, intents: DataFrame) -> DataFrame:
+    """Selected pairs with the listing's and the latest intent row's columns."""
+    h = houses.select("fh_id", "share_id", "city_code", "share_worker_id")
+    i = intents.select("rid", *_PAYLOAD_FIELDS)
+    return pairs.join(i, "rid").join(h, "fh_id")
+
+
+C4_ORDER = ("see_time", "update_time", "rid")
+
+
+def _c4_order():
+    return [F.col("see_time").desc_nulls_last(), F.col("update_time").desc_nulls_last(),
+            F.col("rid")]
 
 
 def best_client_per_house(houses: DataFrame, intents: DataFrame) -> DataFrame:
     """C4 (older rule, J3 + W3 + W2): per listing, the single client row with the
     latest ``see_time`` (ties: latest ``update_time``, then ``rid``) among
-    place-or-area candidates."""
-    c = place_or_area_candidates(houses, intents)
-    return latest_per_key(c, ["fh_id"], [F.col("see_time").desc_nulls_last(),
-                                         F.col("update_time").desc_nulls_last(), F.col("rid")])
+    place-or-area candidates.
+
+    Dominance pruning first: intents that agree on every attribute the rule
+    reads (area, place, price band, house_type) are candidates for exactly the
+    same listings, so only the best of each such group can win. Keeping that
+    one row per group (a top-1 per group, partial before the shuffle) shrinks
+    the band join without changing the result.
+    """
+    best = latest_per_key(intents, ["area", "place", "price_start", "price_end", "house_type"],
+                          _c4_order())
+    c = place_or_area_candidates(houses, best)
+    return latest_per_key(c, ["fh_id"], _c4_order())
 
 
 def place_or_area_candidates(houses: DataFrame, intents: DataFrame) -> DataFrame:

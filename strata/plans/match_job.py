@@ -29,9 +29,8 @@ def run_match(houses: DataFrame, intents: DataFrame, state: DataFrame | None, ru
     i = matching.normalize_intents(intents)
     counts = load_counts(state, run_date) if state is not None else None
     picks, new_counts, rounds = assign_capped(h, i, counts, k=k, cap=cap, min_clients=min_clients)
-    result = picks.select("fh_id", "cid", "n_rows", "rank", "tier",
-                          *[F.col("latest." + c).alias(c) for c in matching._RESULT_FIELDS])
-    result = result.select(*RESULT_COLUMNS, "rid", "see_time", "update_time", "n_rows", "rank", "tier")
+    result = matching.match_result(picks, h, i).select(
+        *RESULT_COLUMNS, "rid", "see_time", "update_time", "n_rows", "rank", "tier")
     return result, new_counts.withColumn("p_date", F.lit(run_date)), rounds
 
 

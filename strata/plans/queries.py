@@ -117,7 +117,7 @@ def w2_latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
 def c3_match_stateless(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: J1+J2+T1+W2 fused (pair summaries, one ranking)."""
     pairs = matching.match_pairs(_houses(spark, sf), _intents(spark, sf))
-    return matching.match_result(pairs).select("fh_id", "cid", "rid", "see_time")
+    return pairs.select("fh_id", "cid", "rid", "see_time")
 
 
 def j3_place_or_area(spark: SparkSession, sf: str) -> DataFrame:
@@ -348,15 +348,14 @@ def m2_assign_capped(spark: SparkSession, sf: str) -> DataFrame:
     """M2 with cap 3 on the matching binding."""
     from strata.operators.assignment import assign_capped
     picks, _, _ = assign_capped(_houses(spark, sf), _intents(spark, sf), k=3, cap=3)
-    return picks.select("fh_id", "cid", F.col("latest.rid").alias("rid"), "n_rows")
+    return picks.select("fh_id", "cid", "rid", "n_rows")
 
 
 def m2_assign_unbound_cap(spark: SparkSession, sf: str) -> DataFrame:
     """M2 with a cap no client can reach: must equal the stateless chain."""
     from strata.operators.assignment import assign_capped
     picks, _, _ = assign_capped(_houses(spark, sf), _intents(spark, sf), k=3, cap=1 << 40)
-    return picks.select("fh_id", "cid", F.col("latest.rid").alias("rid"),
-                        F.col("latest.see_time").alias("see_time"))
+    return picks.select("fh_id", "cid", "rid", "see_time")
 
 
 def _match_state(spark, sf) -> DataFrame:

@@ -78,5 +78,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(table_path(sf_dir, name))
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition when an input has fewer splits than the cluster
+    has cores (e.g. one large file holding a single row group), so the stages
+    that follow are not confined to one task. Filters and column pruning still
+    reach the scan below it; with many input splits this is a no-op."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = True):
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread(df) if spread_out else df

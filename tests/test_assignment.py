@@ -18,7 +18,7 @@ def _run(spark, houses, intents, counts=None, k=3, cap=3):
     i = matching.normalize_intents(spark.createDataFrame(intents, I_SCHEMA))
     c = None if counts is None else spark.createDataFrame(list(counts.items()), "cid string, count long")
     picks, new_counts, _ = assign_capped(h, i, c, k=k, cap=cap)
-    got = sorted((r.fh_id, r.cid, r.latest.rid, r.n_rows) for r in picks.collect())
+    got = sorted((r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
     hs = [r.asDict() for r in h.collect()]
     its = [r.asDict() for r in i.collect()]
     exp, exp_counts = sequential(hs, its, counts, k=k, cap=cap)
@@ -66,7 +66,7 @@ def test_cap_boundary_and_rows_counted_before_dedup(spark):
 def test_binding_sf0001_equals_model(spark):
     h, i = Q._houses(spark, SF_SMALL), Q._intents(spark, SF_SMALL)
     picks, counts, _ = assign_capped(h, i)
-    got = sorted((r.fh_id, r.cid, r.latest.rid, r.n_rows) for r in picks.collect())
+    got = sorted((r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
     exp, ec = sequential([r.asDict() for r in h.collect()], [r.asDict() for r in i.collect()])
     assert got == sorted(exp)
     assert {r.cid: r["count"] for r in counts.collect()} == ec

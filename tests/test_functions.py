@@ -94,3 +94,18 @@ def test_area_code_arity(spark):
     rows = [("01-A",), ("01-A-",), ("01-A-P",), (None,)]
     assert _one(spark, rows, "a string", has_exact_fields("a", "-", 3)) == [False, False, True, False]
     assert F is not None
+
+
+def test_single_char_separator_fast_path(spark):
+    import random
+    rnd = random.Random(11)
+    lines = ["".join(rnd.choice("a-\n") for _ in range(rnd.randint(0, 9))) for _ in range(400)]
+    lines += ["", "-", "a-b-c-\n", "a-b-c\n", "--c", "a--"]
+    df = spark.createDataFrame([(x,) for x in lines], "s string")
+    for n in (1, 2, 3, 4):
+        got = [r[0] for r in df.select(has_exact_fields("s", "-", n)).collect()]
+        assert got == [len(_jvm_split_model(x, "-")) == n for x in lines], n
+    tabs = ["a\tb\t\t", "\t\t", "a\t\tb"]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in tabs], "s string")
+           .select(has_exact_fields("s", "\t", 2)).collect()]
+    assert got == [len(_jvm_split_model(x, "\t")) == 2 for x in tabs]
