@@ -44,3 +44,17 @@ def run_date(run_ts) -> Column:
     if isinstance(run_ts, _dt.datetime):
         return F.lit(run_ts.strftime("%Y-%m-%d"))
     return F.date_format(_c(run_ts), "yyyy-MM-dd")
+
+
+def days_before(day, n: int) -> Column:
+    """``yyyy-MM-dd`` string ``n`` days before ``day`` (a column or a literal string)."""
+    d = F.to_date(F.lit(day) if isinstance(day, str) else _c(day))
+    return F.date_format(F.date_sub(d, n), "yyyy-MM-dd")
+
+
+def window_before(run_date: str, start_back: int, end_back: int) -> tuple[str, str]:
+    """Inclusive ``(start, end)`` day strings ``start_back``..``end_back`` days
+    before ``run_date`` (a run parameter, computed once on the driver)."""
+    d = _dt.date.fromisoformat(run_date)
+    a, b = d - _dt.timedelta(days=start_back), d - _dt.timedelta(days=end_back)
+    return (min(a, b).isoformat(), max(a, b).isoformat())

@@ -233,3 +233,14 @@ ORACLES.update({
 })
 
 ORACLES["m2_assign_unbound_cap"] = LATEST
+
+ORACLES.update({
+    "p6_kv_map": """select cast(user_id as varchar) as uid, event_type as eid, printf('%.2f', value) as obj,
+        case when event_id % 5 = 0 then 'b' end as bd from events where event_id % 7 <> 0""",
+    "t2_day_table_reset": f"""select cid, cast(sum(count) as bigint) as count from ({COUNT_STATE}) group by cid
+        having (select max(p_date) from ({COUNT_STATE})) = '2001-08-01'""",
+    "r3_segment_export": "select cast(id as varchar) as id, cast(group_number as varchar) as group_number, "
+                         "cast(group_active_count as varchar) as group_active_count from ("
+                         + _segments(("group_number", "group_active_count")) + ")",
+    "k5_csv_parallel": ORACLES["s2_bucket_path"],
+})

@@ -377,3 +377,42 @@ def c3_run_match(spark: SparkSession, sf: str) -> DataFrame:
                   state_path, result_path, COUNT_DAY)
     return spark.read.parquet(result_path).select("fh_id", "cid", "area_code", "price_start",
                                                   "price_end", "house_type")
+
+
+# --- remaining small operators ------------------------------------------------
+
+def p6_kv_map(spark: SparkSession, sf: str) -> DataFrame:
+    """P6 as a whole map: event payloads to ``map<string,string>``, then look-ups."""
+    from strata.functions.kv import kv_map
+    from strata.functions.text import has_exact_fields, split_fields
+    lines = bindings.event_lines(spark, sf)
+    m = kv_map(F.get(split_fields("value", logs.SEP), 14))
+    return (lines.where(has_exact_fields("value", logs.SEP, 15)).select(m.alias("m"))
+            .select(*[F.try_element_at("m", F.lit(k)).alias(c)
+                      for c, k in (("uid", "uid"), ("eid", "eId"), ("obj", "obj"), ("bd", "bd"))]))
+
+
+def t2_day_table_reset(spark: SparkSession, sf: str) -> DataFrame:
+    """M1/T2, two-table layout: counters valid only when the stored day is the run day."""
+    totals = _count_state(spark, sf).groupBy("cid").agg(F.sum("count").alias("count"))
+    day = _count_state(spark, sf).select("p_date").distinct()
+    return counters.load_counts_with_day(totals, day, "2001-08-01")
+
+
+def r3_segment_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Segment sizes as strings (id, group_number, group_active_count) to one CSV."""
+    from strata.sinks.writers import export
+    path = scratch_path(spark, "segments_csv")
+    out = r1_segment_counts(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in
+                                                ("id", "group_number", "group_active_count")])
+    export(out, path, fmt="csv", mode="errorifexists", files=1)
+    return spark.read.schema(out.schema).csv(path)
+
+
+def k5_csv_parallel(spark: SparkSession, sf: str) -> DataFrame:
+    """K5: CSV export at natural parallelism (one file per task), read back."""
+    from strata.sinks.writers import export
+    path = scratch_path(spark, "csv_parallel")
+    df = s2_bucket_path(spark, sf)
+    export(df, path, fmt="csv", mode="errorifexists", files=None)
+    return spark.read.schema(df.schema).csv(path)

@@ -109,3 +109,10 @@ def test_single_char_separator_fast_path(spark):
     got = [r[0] for r in spark.createDataFrame([(x,) for x in tabs], "s string")
            .select(has_exact_fields("s", "\t", 2)).collect()]
     assert got == [len(_jvm_split_model(x, "\t")) == 2 for x in tabs]
+
+
+def test_days_before_and_window(spark):
+    from strata.functions import days_before, window_before
+    got = _one(spark, [("2024-03-01",)], "d string", days_before("d", 1))
+    assert got == ["2024-02-29"]
+    assert window_before("2019-07-17", 1, 7) == ("2019-07-10", "2019-07-16")
