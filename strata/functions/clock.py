@@ -47,9 +47,8 @@ def run_date(run_ts) -> Column:
 
 
 def days_before(day, n: int) -> Column:
-    """``yyyy-MM-dd`` string ``n`` days before ``day`` (a column or a literal string)."""
-    d = F.to_date(F.lit(day) if isinstance(day, str) else _c(day))
-    return F.date_format(F.date_sub(d, n), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` string ``n`` days before the ``yyyy-MM-dd`` column ``day``."""
+    return F.date_format(F.date_sub(F.to_date(_c(day)), n), "yyyy-MM-dd")
 
 
 def window_before(run_date: str, start_back: int, end_back: int) -> tuple[str, str]:
