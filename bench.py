@@ -39,6 +39,7 @@ HEADLINE = {
     "c1_page_log_parse": Q.c1_page_log_parse,
     "c3_match_stateless": Q.c3_match_stateless,
     "c4_best_client": Q.c4_best_client,
+    "m2_assign_capped": Q.m2_assign_capped,
     "r1_segment_counts_100": r1_segment_counts_100,
     "a2_collect_ids": Q.a2_collect_ids,
     "p13_field_profile": Q.p13_field_profile,

@@ -27,12 +27,21 @@ so the exact result is built in *prefix-commit rounds*, all DataFrame work:
    picks; counters are updated and the round repeats. The first pending
    listing of a component always commits, so the loop ends.
 
+Components whose pair count is at most ``max_group_pairs`` (the usual
+case) skip the rounds: each is run through the sequential rule in one
+``applyInPandas`` task over its pair summaries, which is exact and parallel
+across components while bounding what one task holds. Only larger
+components go through the rounds, so no unbounded group ever lands in one
+task.
+
 Lineage is cut every round with ``checkpoint()`` (reliable, in
 ``spark.checkpoint.dir``), so a lost executor recomputes one round at most.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.operators import matching
@@ -91,15 +100,54 @@ def _tentative(live: DataFrame, k: int, min_clients: int) -> DataFrame:
     return matching.rank_pairs(avail, k)
 
 
+PICK_SCHEMA = ("fh_id long, cid string, ms string, n_rows long, tier int, rid long, "
+               "see_time string, update_time string, rank int")
+_PICK_COLS = ["fh_id", "cid", "ms", "n_rows", "tier", "rid", "see_time", "update_time", "rank"]
+
+
+def _sequential_component(pdf: pd.DataFrame, k: int, cap: int, min_clients: int) -> pd.DataFrame:
+    """The sequential rule over one component's pair summaries (one task).
+
+    Rows are sorted by listing order, then rank order (latest viewing desc,
+    nulls last, then cid); each listing takes its first ``k`` eligible pairs
+    whose client is still in the pool, then counters are updated.
+    """
+    pdf = pdf.sort_values(["_s", "fh_id", "ms", "cid"], ascending=[True, True, False, True],
+                          na_position="last", kind="mergesort").reset_index(drop=True)
+    counts = dict(zip(pdf["cid"], pdf["count"].fillna(0).astype("int64")))
+    fh = pdf["fh_id"].to_numpy()
+    cid = pdf["cid"].to_numpy()
+    tier = pdf["tier"].to_numpy()
+    n_rows = pdf["n_rows"].to_numpy()
+    starts = np.flatnonzero(np.r_[True, fh[1:] != fh[:-1]])
+    ends = np.r_[starts[1:], len(fh)]
+    keep, ranks = [], []
+    for a, b in zip(starts, ends):
+        live = [x for x in range(a, b) if counts[cid[x]] <= cap]
+        if sum(1 for x in live if tier[x] == 1) >= min_clients:
+            live = [x for x in live if tier[x] == 1]
+        top = live[:k]
+        keep.extend(top)
+        ranks.extend(range(1, len(top) + 1))
+        for x in top:
+            counts[cid[x]] += int(n_rows[x])
+    out = pdf.iloc[keep].copy()
+    out["rank"] = np.asarray(ranks, dtype="int32")
+    return out[_PICK_COLS]
+
+
 def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | None = None,
                   k: int = 3, cap: int = 3, min_clients: int = 3,
+                  max_group_pairs: int = 2_000_000,
                   max_rounds: int = 100000) -> tuple[DataFrame, DataFrame, int]:
     """Run the capped assignment.
 
     ``counts(cid, count)`` are the counters valid today (M1). Returns
     ``(picks, new_counts, rounds)``: ``picks`` has one row per selected
     (listing, client) pair with ``n_rows`` and the pair's latest intent row
-    (``rid``, ``see_time``), ``new_counts`` is ``(cid, count)``.
+    (``rid``, ``see_time``), ``new_counts`` is ``(cid, count)``; ``rounds``
+    counts the prefix-commit rounds used for components above
+    ``max_group_pairs`` pairs.
     """
     spark = houses.sparkSession
     out_path = scratch_path(spark, "assign")
@@ -109,9 +157,23 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
     pool = intents.join(capped_clients(counts, cap), "cid", "left_anti")
     pairs = candidate_pairs(houses, pool).checkpoint()
     comps = label_components(pairs)
-    pairs = pairs.join(comps, "fh_id").checkpoint()
-    pending = pairs.select("fh_id", "seq", "comp").distinct().checkpoint()
+    sizes = (pairs.join(comps, "fh_id").groupBy("comp")
+             .agg((F.count(F.lit(1)) <= max_group_pairs).alias("_small")))
+    pairs = pairs.join(comps, "fh_id").join(sizes, "comp").checkpoint()
+
+    # bounded components: the sequential rule, one task per component
+    small = (pairs.where("_small").join(counts, "cid", "left")
+             .select(*_PICK_COLS[:-1], "comp", F.col("seq.s").alias("_s"), "count"))
+    def fn(pdf):
+        return _sequential_component(pdf, k, cap, min_clients)
 
+    (small.groupBy("comp").applyInPandas(fn, PICK_SCHEMA)
+     .write.mode("errorifexists").parquet(f"{out_path}/round=0"))
+
+    # larger components: prefix-commit rounds
+    pairs = pairs.where(~F.col("_small")).drop("_small")
+    pending = pairs.select("fh_id", "seq", "comp").distinct().checkpoint()
+    round_counts = counts
     rounds = 0
     w_client = Window.partitionBy("cid").orderBy("seq")
     while pending.limit(1).count() > 0:
@@ -119,13 +181,13 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
             raise RuntimeError("capped assignment did not finish")
         rounds += 1
         live = (pairs.join(pending.select("fh_id"), "fh_id", "left_semi")
-                .join(capped_clients(counts, cap), "cid", "left_anti"))
+                .join(capped_clients(round_counts, cap), "cid", "left_anti"))
         picks = _tentative(live, k, min_clients)
         first = (picks.withColumn("_rn", F.row_number().over(w_client))
                  .where(F.col("_rn") <= cap + 1))
         exhausted = (first.withColumn("_cum", F.sum("n_rows").over(
                          w_client.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                     .join(counts, "cid", "left")
+                     .join(round_counts, "cid", "left")
                      .where(F.coalesce("count", F.lit(0)) + F.col("_cum") > cap)
                      .groupBy("cid").agg(F.min("seq").alias("_ex")))
         first_doubt = (live.join(exhausted, "cid").where(F.col("seq") > F.col("_ex"))
@@ -134,11 +196,13 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
                   .where(F.col("_fd").isNull() | (F.col("seq") < F.col("_fd")))
                   .select("fh_id").checkpoint())
         round_path = f"{out_path}/round={rounds}"
-        (picks.join(commit, "fh_id", "left_semi").drop("seq", "comp")
+        (picks.join(commit, "fh_id", "left_semi").select(*_PICK_COLS)
          .write.mode("errorifexists").parquet(round_path))
         done = spark.read.parquet(round_path)
-        counts = merge_counts(counts, done.select("cid", F.col("n_rows").alias("n"))).checkpoint()
+        round_counts = merge_counts(round_counts, done.select("cid", F.col("n_rows").alias("n"))
+                                    ).checkpoint()
         pending = pending.join(commit, "fh_id", "left_anti").checkpoint()
-    if rounds == 0:
-        return pairs.limit(0).drop("seq", "comp"), counts, 0
-    return spark.read.parquet(out_path).drop("round"), counts, rounds
+
+    result = spark.read.schema(PICK_SCHEMA + ", round int").parquet(out_path).drop("round")
+    new_counts = merge_counts(counts, result.select("cid", F.col("n_rows").alias("n"))).checkpoint()
+    return result, new_counts, rounds

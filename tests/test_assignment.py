@@ -13,11 +13,11 @@ I_SCHEMA = ("rid long, cid string, see_time string, update_time string, area_cod
             "price_start double, price_end double, house_type string, require_type int")
 
 
-def _run(spark, houses, intents, counts=None, k=3, cap=3):
+def _run(spark, houses, intents, counts=None, k=3, cap=3, max_group_pairs=2_000_000):
     h = matching.normalize_houses(spark.createDataFrame(houses, H_SCHEMA))
     i = matching.normalize_intents(spark.createDataFrame(intents, I_SCHEMA))
     c = None if counts is None else spark.createDataFrame(list(counts.items()), "cid string, count long")
-    picks, new_counts, _ = assign_capped(h, i, c, k=k, cap=cap)
+    picks, new_counts, _ = assign_capped(h, i, c, k=k, cap=cap, max_group_pairs=max_group_pairs)
     got = sorted((r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
     hs = [r.asDict() for r in h.collect()]
     its = [r.asDict() for r in i.collect()]
@@ -43,10 +43,12 @@ def _random_case(seed, n_houses=8, n_intents=30, n_clients=6):
 
 
 @pytest.mark.parametrize("seed", range(6))
-def test_random_cases_equal_sequential_model(spark, seed):
+@pytest.mark.parametrize("max_group_pairs", [1, 2_000_000])   # rounds path / grouped-map path
+def test_random_cases_equal_sequential_model(spark, seed, max_group_pairs):
     houses, intents = _random_case(seed)
     counts = {"c1": 3, "c2": 4} if seed % 2 else None
-    got, exp, gc, ec = _run(spark, houses, intents, counts, cap=3 if seed < 3 else 1)
+    got, exp, gc, ec = _run(spark, houses, intents, counts, cap=3 if seed < 3 else 1,
+                            max_group_pairs=max_group_pairs)
     assert got == exp
     assert gc == ec
 
@@ -63,9 +65,11 @@ def test_cap_boundary_and_rows_counted_before_dedup(spark):
     assert gc == ec and gc["two"] == 2 and gc["c3"] == 4
 
 
-def test_binding_sf0001_equals_model(spark):
+@pytest.mark.parametrize("max_group_pairs", [1, 2_000_000])
+def test_binding_sf0001_equals_model(spark, max_group_pairs):
     h, i = Q._houses(spark, SF_SMALL), Q._intents(spark, SF_SMALL)
-    picks, counts, _ = assign_capped(h, i)
+    picks, counts, rounds = assign_capped(h, i, max_group_pairs=max_group_pairs)
+    assert (rounds > 0) == (max_group_pairs == 1)
     got = sorted((r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
     exp, ec = sequential([r.asDict() for r in h.collect()], [r.asDict() for r in i.collect()])
     assert got == sorted(exp)
