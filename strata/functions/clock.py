@@ -17,9 +17,13 @@ BUCKET_FORMAT = "yyyy-MM-dd/HH-mm"
 
 
 def bucket_start(ts, width_seconds: int = 300, lag: int = 1) -> Column:
-    """Start of the bucket ``lag`` widths before the one holding ``ts``."""
-    secs = F.floor(F.unix_timestamp(_c(ts)) / width_seconds) * width_seconds
-    return F.timestamp_seconds(secs - lag * width_seconds)
+    """Start of the bucket ``lag`` widths before the one holding ``ts``.
+
+    Tumbling-window arithmetic on the value itself, so a ``timestamp_ntz``
+    column gives the same bucket whatever the session time zone.
+    """
+    start = F.window(_c(ts), f"{width_seconds} seconds")["start"]
+    return start - F.expr(f"INTERVAL {lag * width_seconds} SECONDS")
 
 
 def bucket_path(ts, width_seconds: int = 300, lag: int = 1) -> Column:

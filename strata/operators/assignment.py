@@ -60,11 +60,10 @@ def candidate_pairs(houses: DataFrame, intents: DataFrame) -> DataFrame:
     """Pair summaries of both tiers: place pairs, and area pairs of clients
     that have no place pair with that listing. Columns: fh_id, cid, seq,
     tier, ms, n_rows, rid, see_time, update_time (of the pair's latest row)."""
-    p1 = matching.summarize_pairs(matching.place_candidates(houses, intents))
-    p2 = matching.summarize_pairs(matching.area_candidates(houses, intents)).join(
-        p1.select(*PAIR_KEYS), PAIR_KEYS, "left_anti")
+    rows = matching.place_candidates(houses, intents).unionByName(
+        matching.area_candidates(houses, intents))
     seq = houses.select("fh_id", _seq().alias("seq"))
-    return p1.unionByName(p2).join(seq, "fh_id")
+    return matching.summarize_pairs(rows).join(seq, "fh_id")
 
 
 def label_components(edges: DataFrame, max_iter: int = 200) -> DataFrame:

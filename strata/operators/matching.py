@@ -167,23 +167,38 @@ _PAYLOAD_FIELDS = ("area_code", "price_start", "price_end", "house_type") + \
 
 
 def summarize_pairs(cands: DataFrame) -> DataFrame:
-    """One row per (listing, client): latest viewing ``ms``, row count
-    ``n_rows``, and the pair's latest intent row (``update_time`` desc, then
-    ``rid`` asc) as ``rid`` / ``see_time`` / ``update_time``.
+    """One row per (listing, client) over candidate rows of one or both tiers.
 
-    Only narrow columns travel through the shuffle and sort; the intent
-    payload is fetched later for the selected pairs (``match_result``).
+    A pair with any place-tier row is a tier-1 pair and is summarised over its
+    tier-1 rows only (area rows of a client already matched on place do not
+    count); otherwise over its tier-2 rows. Output: ``ms`` (latest viewing),
+    ``n_rows``, ``tier`` and the pair's latest intent row (``update_time``
+    desc, then ``rid`` asc) as ``rid`` / ``see_time`` / ``update_time``.
+
+    One aggregation with tier-conditional aggregates (partial aggregation
+    map-side). Only narrow columns travel through the shuffle and sort; the
+    intent payload is fetched later for the selected pairs (``match_result``).
     """
-    latest = F.max(F.struct(F.col("update_time"), (-F.col("rid")).alias("neg_rid"),
-                            F.col("see_time")))
+    def latest(t):
+        return F.max(F.when(F.col("tier") == t, F.struct(
+            F.col("update_time"), (-F.col("rid")).alias("neg_rid"), F.col("see_time"))))
     agg = cands.groupBy(*PAIR_KEYS).agg(
-        F.max("see_time").alias("ms"),
-        F.count(F.lit(1)).alias("n_rows"),
-        latest.alias("_l"),
-        F.min("tier").alias("tier"),
+        F.max(F.when(F.col("tier") == 1, F.col("see_time"))).alias("_ms1"),
+        F.max(F.when(F.col("tier") == 2, F.col("see_time"))).alias("_ms2"),
+        F.count_if(F.col("tier") == 1).alias("_n1"),
+        F.count_if(F.col("tier") == 2).alias("_n2"),
+        latest(1).alias("_l1"),
+        latest(2).alias("_l2"),
     )
-    return agg.select(*PAIR_KEYS, "ms", "n_rows", "tier", (-F.col("_l.neg_rid")).alias("rid"),
-                      F.col("_l.see_time").alias("see_time"), F.col("_l.update_time").alias("update_time"))
+    t1 = F.col("_n1") > 0
+    lat = F.when(t1, F.col("_l1")).otherwise(F.col("_l2"))
+    return agg.select(
+        *PAIR_KEYS,
+        F.when(t1, F.col("_ms1")).otherwise(F.col("_ms2")).alias("ms"),
+        F.when(t1, F.col("_n1")).otherwise(F.col("_n2")).alias("n_rows"),
+        F.when(t1, F.lit(1)).otherwise(F.lit(2)).alias("tier"),
+        (-lat["neg_rid"]).alias("rid"), lat["see_time"].alias("see_time"),
+        lat["update_time"].alias("update_time"))
 
 
 def rank_pairs(pairs: DataFrame, k: int) -> DataFrame:
@@ -195,17 +210,14 @@ def match_pairs(houses: DataFrame, intents: DataFrame, k: int = 3,
                 min_clients: int = 3) -> DataFrame:
     """J1+J2+T1+W2 at once, as per-pair summaries of the selected clients.
 
-    Tier-2 joins run only for listings still open after tier 1; tier-1 pairs
-    are removed from tier 2 after aggregation (both sides hash-partitioned on
-    the pair keys, so the anti join adds no shuffle).
+    The place join feeds the gate (listings with ``min_clients`` distinct
+    place clients are full); the area join runs only for the open listings;
+    rows of both tiers are summarised by one aggregation and ranked once.
     """
-    p1 = summarize_pairs(place_candidates(houses, intents))
-    full = (p1.groupBy("fh_id").agg(F.count(F.lit(1)).alias("n1"))
-            .where(F.col("n1") >= min_clients).select("fh_id"))
-    open_houses = houses.join(full, "fh_id", "left_anti")
-    p2 = summarize_pairs(area_candidates(open_houses, intents)).join(
-        p1.select(*PAIR_KEYS), PAIR_KEYS, "left_anti")
-    return rank_pairs(p1.unionByName(p2), k)
+    t1 = place_candidates(houses, intents)
+    open_houses = houses.join(_full_listings(t1, min_clients), "fh_id", "left_anti")
+    t2 = area_candidates(open_houses, intents)
+    return rank_pairs(summarize_pairs(t1.unionByName(t2)), k)
 
 
 def match_result(pairs: DataFrame, houses: DataFrame, intents: DataFrame) -> DataFrame:
