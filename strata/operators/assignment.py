@@ -66,21 +66,25 @@ def candidate_pairs(houses: DataFrame, intents: DataFrame) -> DataFrame:
     return matching.summarize_pairs(rows).join(seq, "fh_id")
 
 
-def label_components(edges: DataFrame, max_iter: int = 200) -> DataFrame:
+def label_components(edges: DataFrame, max_iter: int = 500) -> DataFrame:
     """Connected components of the bipartite (fh_id, cid) graph.
 
     Returns ``(fh_id, comp)``, ``comp`` = smallest ``fh_id`` of the component.
-    Min-label propagation: listing -> client -> listing, one aggregation per
-    half step, until no label changes.
+    Min-label propagation (listing -> client -> listing, one aggregation per
+    half step) with shortcutting: a listing also takes the label of its
+    label, which is itself a listing of the same component, so chains shrink
+    geometrically. Labels only decrease and never leave their component.
     """
     e = edges.select("fh_id", "cid").distinct().checkpoint()
     lab = e.select("fh_id").distinct().withColumn("comp", F.col("fh_id")).checkpoint()
     for _ in range(max_iter):
         by_client = e.join(lab, "fh_id").groupBy("cid").agg(F.min("comp").alias("comp"))
-        nxt = (e.join(by_client, "cid").groupBy("fh_id").agg(F.min("comp").alias("c2"))
-               .join(lab, "fh_id")
-               .select("fh_id", F.least("comp", "c2").alias("comp"),
-                       (F.col("c2") < F.col("comp")).alias("_chg"))
+        step = (e.join(by_client, "cid").groupBy("fh_id").agg(F.min("comp").alias("c2"))
+                .join(lab, "fh_id").select("fh_id", "comp", F.least("comp", "c2").alias("c3")))
+        hop = lab.select(F.col("fh_id").alias("c3"), F.col("comp").alias("c4"))
+        nxt = (step.join(hop, "c3", "left")
+               .select("fh_id", F.least("c3", F.coalesce("c4", "c3")).alias("c5"), "comp")
+               .select("fh_id", F.col("c5").alias("comp"), (F.col("c5") < F.col("comp")).alias("_chg"))
                .checkpoint())
         changed = nxt.where("_chg").limit(1).count()
         lab = nxt.drop("_chg")

@@ -227,9 +227,6 @@ def match_result(pairs: DataFrame, houses: DataFrame, intents: DataFrame) -> Dat
     return pairs.join(i, "rid").join(h, "fh_id")
 
 
-C4_ORDER = ("see_time", "update_time", "rid")
-
-
 def _c4_order():
     return [F.col("see_time").desc_nulls_last(), F.col("update_time").desc_nulls_last(),
             F.col("rid")]

@@ -74,3 +74,13 @@ def test_binding_sf0001_equals_model(spark, max_group_pairs):
     exp, ec = sequential([r.asDict() for r in h.collect()], [r.asDict() for r in i.collect()])
     assert got == sorted(exp)
     assert {r.cid: r["count"] for r in counts.collect()} == ec
+
+
+def test_label_components_long_chain(spark):
+    from strata.operators.assignment import label_components
+    # a chain listing i -- client i -- listing i+1, plus a separate pair
+    n = 40
+    rows = [(i, f"c{i}") for i in range(n)] + [(i + 1, f"c{i}") for i in range(n)] + [(500, "z")]
+    lab = label_components(spark.createDataFrame(rows, "fh_id long, cid string"))
+    got = {r.fh_id: r.comp for r in lab.collect()}
+    assert got == {**{i: 0 for i in range(n + 1)}, 500: 500}
