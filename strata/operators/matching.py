@@ -23,7 +23,6 @@ shuffled join with AQE skew splitting for hot locations.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strata.functions.codes import rs_type_of

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from strata.operators import counters, segments
@@ -68,4 +67,3 @@ def test_active_rules_and_rewrite(spark):
         "id int, group_name string, group_rule_sql string, status int")
     out = segments.normalize_rules(segments.active_rules(rules)).orderBy("id").collect()
     assert [(r.id, r.group_rule_sql) for r in out] == [(1, "dw.t.x = 1"), (6, "lyj_dw_v3.t")]
-    assert F is not None

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from strata.operators import matching
@@ -69,4 +68,3 @@ def test_top_k_plan_uses_group_limit(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
-    assert F is not None
