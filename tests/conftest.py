@@ -13,7 +13,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark():
     from pyspark.sql import SparkSession
     ckpt = tempfile.mkdtemp(prefix="strata-test-ckpt-")
+    warehouse = tempfile.mkdtemp(prefix="strata-test-wh-")
     s = (SparkSession.builder.master("local[4]")
+         .config("spark.sql.warehouse.dir", warehouse)
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
