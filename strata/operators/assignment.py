@@ -14,7 +14,9 @@ so the exact result is built in *prefix-commit rounds*, all DataFrame work:
    (row count, latest viewing, latest intent row) and written to the shared
    checkpoint folder. Listings sharing no client never interact, so
    connected components of the listing-client graph are labelled once
-   (min-label propagation, aggregations only).
+   (min-label propagation, aggregations only). Only clients that could ever
+   pass the cap count as edges: any other client stays in every pool, so it
+   never makes one listing depend on another.
 2. Each round computes tentative top-k picks for every pending listing under
    the current counters. For each client only its first ``cap + 1`` picks in
    listing order can push it over the cap (each pick adds at least one), so
@@ -159,10 +161,17 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
     counts = counts.select("cid", F.col("count").cast("long").alias("count")).checkpoint()
     pool = intents.join(capped_clients(counts, cap), "cid", "left_anti")
     pairs = candidate_pairs(houses, pool).checkpoint()
-    comps = label_components(pairs)
-    sizes = (pairs.join(comps, "fh_id").groupBy("comp")
-             .agg((F.count(F.lit(1)) <= max_group_pairs).alias("_small")))
-    pairs = pairs.join(comps, "fh_id").join(sizes, "comp").checkpoint()
+    # only clients that could ever pass the cap link listings: a client whose
+    # count plus every increment it could receive stays <= cap never leaves
+    # the pool, so it cannot make one listing depend on another
+    at_risk = (pairs.groupBy("cid").agg(F.sum("n_rows").alias("_pot"))
+               .join(counts, "cid", "left")
+               .where(F.coalesce("count", F.lit(0)) + F.col("_pot") > cap).select("cid"))
+    comps = label_components(pairs.join(at_risk, "cid", "left_semi"))
+    pairs = (pairs.join(comps, "fh_id", "left")
+             .withColumn("comp", F.coalesce("comp", "fh_id")))
+    sizes = pairs.groupBy("comp").agg((F.count(F.lit(1)) <= max_group_pairs).alias("_small"))
+    pairs = pairs.join(sizes, "comp").checkpoint()
 
     # bounded components: the sequential rule, one task per component
     small = (pairs.where("_small").join(counts, "cid", "left")
