@@ -15,8 +15,9 @@ from strata.operators.logs import EVENT_SPEC, PAGE_SPEC, LogSpec, parse_log
 from strata.sinks.writers import append_partitioned
 from strata.sources.logs import read_log_lines
 
-PAGE_FILE = "wechat-page"
-EVENT_FILE = "free-wechat-event"
+# default file-name prefixes inside a bucket folder (``<prefix>.*``)
+PAGE_FILE = "page-log"
+EVENT_FILE = "event-log"
 
 
 def ingest_log(spark: SparkSession, prefix: str, name: str, spec: LogSpec, target: str,
