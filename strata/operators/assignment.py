@@ -18,16 +18,21 @@ so the exact result is built in *prefix-commit rounds*, all DataFrame work:
    pass the cap count as edges: any other client stays in every pool, so it
    never makes one listing depend on another.
 2. Each round computes tentative top-k picks for every pending listing under
-   the current counters. For each client only its first ``cap + 1`` picks in
-   listing order can push it over the cap (each pick adds at least one), so
-   a per-client ``row_number <= cap + 1`` (a partial WindowGroupLimit, safe for
-   hot clients) and a running sum give the listing at which it is exhausted.
-3. A pending listing is *doubtful* when one of its candidate clients is
-   exhausted by an earlier listing of the round. Before the first doubtful
-   listing of a component every pool equals the sequential one, so all
-   listings of the component before it are committed with their tentative
-   picks; counters are updated and the round repeats. The first pending
-   listing of a component always commits, so the loop ends.
+   the current counters, with each client also taken out of the pool after
+   the listing at which the previous round predicted it would be exhausted.
+   For each client only its first ``cap + 1`` picks in listing order can push
+   it over the cap (each pick adds at least one), so a per-client
+   ``row_number <= cap + 1`` (a partial WindowGroupLimit, safe for hot
+   clients) and a running sum give the listing at which it is exhausted.
+3. A pending listing is *doubtful* when, for one of its candidate clients,
+   the pool it was given (previous prediction) disagrees with the pool its
+   round's picks imply. By induction on listing order, every listing of a
+   component before its first doubtful one got exactly the sequential pool,
+   so all of them are committed with their picks; counters are updated, the
+   new exhaustion points become the next prediction, and the round repeats.
+   The first pending listing of a component is never doubtful, so the loop
+   ends; carrying the prediction lets independent parts of one component
+   settle in the same round (13 rounds instead of 35 at sf0.01).
 
 Components whose pair count is at most ``max_group_pairs`` (the usual
 case) skip the rounds: each is run through the sequential rule in one
@@ -186,14 +191,19 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
     pairs = pairs.where(~F.col("_small")).drop("_small")
     pending = pairs.select("fh_id", "seq", "comp").distinct().checkpoint()
     round_counts = counts
+    # predicted exhaustion point of each client (from the previous round's
+    # picks): the client is out of the pool for listings after it
+    predicted = spark.createDataFrame([], "cid string, _x struct<s:long,f:long>")
     rounds = 0
     w_client = Window.partitionBy("cid").orderBy("seq")
     while pending.limit(1).count() > 0:
         if rounds >= max_rounds:
             raise RuntimeError("capped assignment did not finish")
         rounds += 1
-        live = (pairs.join(pending.select("fh_id"), "fh_id", "left_semi")
-                .join(capped_clients(round_counts, cap), "cid", "left_anti"))
+        cands = (pairs.join(pending.select("fh_id"), "fh_id", "left_semi")
+                 .join(capped_clients(round_counts, cap), "cid", "left_anti")
+                 .join(predicted, "cid", "left"))
+        live = cands.where(F.col("_x").isNull() | (F.col("seq") <= F.col("_x"))).drop("_x")
         picks = _tentative(live, k, min_clients)
         first = (picks.withColumn("_rn", F.row_number().over(w_client))
                  .where(F.col("_rn") <= cap + 1))
@@ -201,8 +211,12 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
                          w_client.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
                      .join(round_counts, "cid", "left")
                      .where(F.coalesce("count", F.lit(0)) + F.col("_cum") > cap)
-                     .groupBy("cid").agg(F.min("seq").alias("_ex")))
-        first_doubt = (live.join(exhausted, "cid").where(F.col("seq") > F.col("_ex"))
+                     .groupBy("cid").agg(F.min("seq").alias("_ex"))).checkpoint()
+        # a listing is doubtful where the pool it was given disagrees with the
+        # pool the picks imply; before the first such listing all is exact
+        out_given = F.coalesce(F.col("seq") > F.col("_x"), F.lit(False))
+        out_implied = F.coalesce(F.col("seq") > F.col("_ex"), F.lit(False))
+        first_doubt = (cands.join(exhausted, "cid", "left").where(out_given != out_implied)
                        .groupBy("comp").agg(F.min("seq").alias("_fd")))
         commit = (pending.join(first_doubt, "comp", "left")
                   .where(F.col("_fd").isNull() | (F.col("seq") < F.col("_fd")))
@@ -214,6 +228,7 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
         round_counts = merge_counts(round_counts, done.select("cid", F.col("n_rows").alias("n"))
                                     ).checkpoint()
         pending = pending.join(commit, "fh_id", "left_anti").checkpoint()
+        predicted = exhausted.select("cid", F.col("_ex").alias("_x"))
 
     result = spark.read.schema(PICK_SCHEMA + ", round int").parquet(out_path).drop("round")
     new_counts = merge_counts(counts, result.select("cid", F.col("n_rows").alias("n"))).checkpoint()

@@ -84,3 +84,17 @@ def test_label_components_long_chain(spark):
     lab = label_components(spark.createDataFrame(rows, "fh_id long, cid string"))
     got = {r.fh_id: r.comp for r in lab.collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 500: 500}
+
+
+@pytest.mark.parametrize("max_group_pairs", [1, 2_000_000])
+def test_hot_client_joins_everything(spark, max_group_pairs):
+    rnd = random.Random(21)
+    houses, intents = _random_case(99, n_houses=14, n_intents=40, n_clients=8)
+    # one client with many wide intents matching nearly every listing
+    for r in range(40, 52):
+        intents.append((r, "hot", f"2024-01-{rnd.randint(1, 9):02d}", "2024-02-01",
+                        f"01-{rnd.choice(['A', 'B'])}-{rnd.choice(['P1', 'P2', 'P3'])}",
+                        0.0, 20.0, "1,2,3", rnd.choice([1, 2, 3, 4])))
+    got, exp, gc, ec = _run(spark, houses, intents, {"c3": 2}, cap=3, max_group_pairs=max_group_pairs)
+    assert got == exp
+    assert gc == ec
