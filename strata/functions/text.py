@@ -51,33 +51,16 @@ def _single_char(sep_regex: str) -> str | None:
     return None
 
 
-def _double_char(sep_regex: str) -> str | None:
-    """The character of a separator made of one character twice (``\\|\\|``)."""
-    if len(sep_regex) == 4 and sep_regex[0] == sep_regex[2] == "\\" and sep_regex[1] == sep_regex[3] \
-            and not sep_regex[1].isalnum():
-        return sep_regex[1]
-    if len(sep_regex) == 2 and sep_regex[0] == sep_regex[1] and _single_char(sep_regex[0]):
-        return sep_regex[0]
-    return None
-
-
-def _arity_pattern_double(ch: str, n: int) -> str:
-    # Left-to-right split on "cc": a field is a run in which c is never followed
-    # by c; the n-th field is non-empty and only separators may follow it.
-    c = re.escape(ch)
-    x = "\\" + ch if ch in "]\\^-" else ch
-    field = rf"(?:[^{x}]|{c}(?!{c}))"
-    return rf"\A(?:{field}*{c}{c}){{{n - 1}}}{field}+(?:{c}{c})*\z"
-
-
 def has_exact_fields(col, sep_regex: str, n: int) -> Column:
     """True when ``String.split(regex)`` would give exactly ``n`` fields.
 
     Written without lambdas so it stays inside whole-stage codegen. For a
-    one-character separator, or one character twice (``||``), it is one
-    anchored regex match (fields 1..n-1 any, field n non-empty, then only
-    separators); otherwise the n-th split field must be non-empty and every
-    field after it empty.
+    one-character separator it is one anchored regex whose loops are all
+    character classes (iterative in the JVM regex engine, so safe on very
+    long lines): fields 1..n-1 any, field n non-empty, then only separators.
+    Otherwise the n-th split field must be non-empty and every field after it
+    empty (a regex for ``||`` would need a per-character alternation, which
+    the JVM engine evaluates recursively).
     """
     c = _c(col)
     ch = _single_char(sep_regex)
@@ -89,12 +72,6 @@ def has_exact_fields(col, sep_regex: str, n: int) -> Column:
         if n == 1:
             cond = cond | (c == "")
         return c.isNotNull() & cond
-    ch2 = _double_char(sep_regex)
-    if ch2 is not None:
-        cond = c.rlike(_arity_pattern_double(ch2, n))
-        if n == 1:
-            cond = cond | (c == "")
-        return c.isNotNull() & cond
     parts = F.split(c, sep_regex, -1)
     size = F.size(parts)
     rest = F.slice(parts, n + 1, F.greatest(size - F.lit(n), F.lit(0)))

@@ -1,4 +1,5 @@
 import datetime as dt
+from pyspark.sql import functions as F
 
 
 from strata.functions import (bucket_glob, bucket_path, has_exact_fields, jvm_split, jvm_split_size,
@@ -114,3 +115,15 @@ def test_days_before_and_window(spark):
     got = _one(spark, [("2024-03-01",)], "d string", days_before("d", 1))
     assert got == ["2024-02-29"]
     assert window_before("2019-07-17", 1, 7) == ("2019-07-10", "2019-07-16")
+
+
+def test_very_long_lines_do_not_break_regexes(spark):
+    # JVM regex loops over alternations recurse per character; these must not
+    long_lines = ["a" * 100000, "a|" * 40000, "a-" * 40000,
+                  "||".join(["f"] * 14 + ["uid=" + "u" * 50000 + "&" + "k=v&" * 5000])]
+    df = spark.createDataFrame([(x,) for x in long_lines], "value string")
+    r = df.select(has_exact_fields("value", r"\|\|", 15).alias("a"), has_exact_fields("value", "-", 3).alias("b"),
+                  kv_get(F.element_at(F.split("value", r"\|\|"), -1), "uid").alias("u")).collect()
+    assert [x.a for x in r] == [False, False, False, True]
+    assert [x.b for x in r] == [False, False, False, False]
+    assert r[3].u == "u" * 50000
