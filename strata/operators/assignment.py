@@ -148,7 +148,7 @@ def _sequential_component(pdf: pd.DataFrame, k: int, cap: int, min_clients: int)
 
 def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | None = None,
                   k: int = 3, cap: int = 3, min_clients: int = 3,
-                  max_group_pairs: int = 2_000_000,
+                  max_group_pairs: int = 1_000_000,
                   max_rounds: int = 100000) -> tuple[DataFrame, DataFrame, int]:
     """Run the capped assignment.
 

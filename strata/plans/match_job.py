@@ -35,9 +35,11 @@ def run_match(houses: DataFrame, intents: DataFrame, state: DataFrame | None, ru
 
 
 def run_match_job(spark: SparkSession, houses: DataFrame, intents: DataFrame, state_target: str,
-                  result_target: str, run_date: str, **kw) -> int:
+                  result_target: str, run_date: str, files: int | None = None, **kw) -> int:
     """Run C3 and replace both tables. The new counters are checkpointed, so
-    overwriting the state table they were computed from is safe."""
+    overwriting the state table they were computed from is safe. ``files``
+    fixes the output file count (1 = a single file); by default AQE sizes
+    the files."""
     state = None
     try:
         state = (spark.read.parquet(state_target) if "/" in state_target
@@ -45,6 +47,6 @@ def run_match_job(spark: SparkSession, houses: DataFrame, intents: DataFrame, st
     except Exception:  # noqa: BLE001 - first run: no state yet
         state = None
     result, new_state, rounds = run_match(houses, intents, state, run_date, **kw)
-    replace_table(result.select(*RESULT_COLUMNS), result_target, files=1)
-    replace_table(new_state, state_target, files=1)
+    replace_table(result.select(*RESULT_COLUMNS), result_target, files=files)
+    replace_table(new_state, state_target, files=files)
     return rounds
