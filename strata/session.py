@@ -89,6 +89,13 @@ def spread(df, min_partitions: int | None = None):
     return df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = True):
+# fact-like tables whose rows drive per-row work; dimension tables (part,
+# labels, nation, ...) are small and stay as read
+FACT_TABLES = ("orders", "lineitem", "events", "documents", "pages", "conversations")
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool | None = None):
     df = spark.read.parquet(table_path(sf_dir, name))
+    if spread_out is None:
+        spread_out = name in FACT_TABLES
     return spread(df) if spread_out else df
