@@ -50,3 +50,13 @@ def run_match_job(spark: SparkSession, houses: DataFrame, intents: DataFrame, st
     replace_table(result.select(*RESULT_COLUMNS), result_target, files=files)
     replace_table(new_state, state_target, files=files)
     return rounds
+
+
+def run_best_client_job(houses: DataFrame, intents: DataFrame, result_target: str,
+                        files: int | None = None) -> DataFrame:
+    """C4: the older rule's single best client per listing, written as a table."""
+    h = matching.normalize_houses(houses)
+    i = matching.normalize_intents(intents)
+    best = matching.best_client_per_house(h, i)
+    replace_table(best, result_target, files=files)
+    return best

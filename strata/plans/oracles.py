@@ -241,6 +241,8 @@ ORACLES.update({
         having (select max(p_date) from ({COUNT_STATE})) = '2001-08-01'""",
     "r3_segment_export": "select cast(id as varchar) as id, cast(group_number as varchar) as group_number, "
                          "cast(group_active_count as varchar) as group_active_count from ("
-                         + _segments(("group_number", "group_active_count")) + ")",
+                         + STORED_RULE_COUNTS + ")",
     "k5_csv_parallel": ORACLES["s2_bucket_path"],
 })
+
+ORACLES["c4_best_client_job"] = ORACLES["c4_best_client"]

@@ -400,15 +400,24 @@ def t2_day_table_reset(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def r3_segment_export(spark: SparkSession, sf: str) -> DataFrame:
-    """Segment sizes as strings (id, group_number, group_active_count) to one CSV."""
-    from strata.sinks.writers import export
+    """R3 through the segment job: stored rules -> R2 -> P18 -> R1 -> one CSV of strings."""
+    from strata.plans.segment_job import run_segment_job
     path = scratch_path(spark, "segments_csv")
-    out = r1_segment_counts(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in
-                                                ("id", "group_number", "group_active_count")])
-    export(out, path, fmt="csv", mode="errorifexists", files=1)
+    facts = bindings.user_facts(spark, sf)
+    facts.createOrReplaceTempView("dw_facts")
+    out = run_segment_job(facts, stored_rules(spark, sf), ACTIVE_START, ACTIVE_END,
+                          target=path, fmt="csv", files=1)
     return spark.read.schema(out.schema).csv(path)
 
 
+def c4_best_client_job(spark: SparkSession, sf: str) -> DataFrame:
+    """C4 end to end: normalise, best client per listing, table replaced, read back."""
+    from strata.plans.match_job import run_best_client_job
+    path = scratch_path(spark, "best_client")
+    run_best_client_job(bindings.houses(spark, sf), bindings.intents(spark, sf), path)
+    return spark.read.parquet(path).select("fh_id", "cid", "rid", "see_time")
+
+
 def k5_csv_parallel(spark: SparkSession, sf: str) -> DataFrame:
     """K5: CSV export at natural parallelism (one file per task), read back."""
     from strata.sinks.writers import export
