@@ -49,6 +49,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.operators import matching
@@ -200,11 +201,12 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
         if rounds >= max_rounds:
             raise RuntimeError("capped assignment did not finish")
         rounds += 1
+        # the round's candidates and picks are each read twice: keep them for the round
         cands = (pairs.join(pending.select("fh_id"), "fh_id", "left_semi")
                  .join(capped_clients(round_counts, cap), "cid", "left_anti")
-                 .join(predicted, "cid", "left"))
+                 .join(predicted, "cid", "left")).persist(StorageLevel.MEMORY_AND_DISK)
         live = cands.where(F.col("_x").isNull() | (F.col("seq") <= F.col("_x"))).drop("_x")
-        picks = _tentative(live, k, min_clients)
+        picks = _tentative(live, k, min_clients).persist(StorageLevel.MEMORY_AND_DISK)
         first = (picks.withColumn("_rn", F.row_number().over(w_client))
                  .where(F.col("_rn") <= cap + 1))
         exhausted = (first.withColumn("_cum", F.sum("n_rows").over(
@@ -229,6 +231,8 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
                                     ).checkpoint()
         pending = pending.join(commit, "fh_id", "left_anti").checkpoint()
         predicted = exhausted.select("cid", F.col("_ex").alias("_x"))
+        cands.unpersist()
+        picks.unpersist()
 
     result = spark.read.schema(PICK_SCHEMA + ", round int").parquet(out_path).drop("round")
     new_counts = merge_counts(counts, result.select("cid", F.col("n_rows").alias("n"))).checkpoint()
