@@ -236,7 +236,7 @@ def s4_date_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- ingest jobs, sinks and the stream (write, then read back) ------------------
 
-def _write_bucket(spark, sf, lines: DataFrame, name: str, files: int = 16) -> str:
+def _write_bucket(spark, lines: DataFrame, files: int = 16) -> str:
     """Lay rendered lines out as many small files in the run's 5-minute bucket."""
     from strata.functions.clock import bucket_folder
     prefix = scratch_path(spark, "logs")
@@ -250,8 +250,8 @@ def _read_back(spark, path: str, like: DataFrame) -> DataFrame:
 
 def c2_ingest_event_log(spark: SparkSession, sf: str) -> DataFrame:
     """C2 end to end: bucket folder -> small-file scan -> parse -> partitioned append."""
-    from strata.plans.ingest import EVENT_FILE, ingest_event_log
-    prefix = _write_bucket(spark, sf, bindings.event_lines(spark, sf), EVENT_FILE)
+    from strata.plans.ingest import ingest_event_log
+    prefix = _write_bucket(spark, bindings.event_lines(spark, sf))
     target = scratch_path(spark, "event_log")
     parsed = ingest_event_log(spark, prefix, target, RUN_TS, max_partitions=30,
                               file_pattern="part-*")
@@ -259,8 +259,8 @@ def c2_ingest_event_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def c1_ingest_page_log(spark: SparkSession, sf: str) -> DataFrame:
-    from strata.plans.ingest import PAGE_FILE, ingest_page_log
-    prefix = _write_bucket(spark, sf, bindings.page_lines(spark, sf), PAGE_FILE)
+    from strata.plans.ingest import ingest_page_log
+    prefix = _write_bucket(spark, bindings.page_lines(spark, sf))
     target = scratch_path(spark, "page_log")
     parsed = ingest_page_log(spark, prefix, target, RUN_TS, max_partitions=30,
                              file_pattern="part-*")
@@ -276,7 +276,7 @@ def l1_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     q = stream_log(spark, src, sink, ckpt, logs.EVENT_SPEC, run_ts=RUN_TS,
                    trigger={"availableNow": True}, max_files_per_trigger=3)
     q.awaitTermination()
-    like = logs.parse_event_log(bindings.event_lines(spark, sf).limit(0), RUN_TS)
+    like = logs.parse_event_log(bindings.event_lines(spark, sf), RUN_TS)  # schema only, not run
     return _read_back(spark, sink, like)
 
 
