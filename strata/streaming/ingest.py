@@ -17,11 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.operators.logs import LogSpec, parse_log
 
 
-def stream_log(spark: SparkSession, source_dir: str, sink_path: str, checkpoint: str,
+def stream_log(spark: SparkSession, source_dir: str, sink_path: str | None, checkpoint: str,
                spec: LogSpec, run_ts: dt.datetime | None = None,
                trigger: dict | None = None, max_files_per_trigger: int | None = None,
-               file_glob: str | None = None) -> StreamingQuery:
-    """Start the stream; ``run_ts=None`` stamps each micro-batch's processing date."""
+               file_glob: str | None = None, sink_table: str | None = None) -> StreamingQuery:
+    """Start the stream into parquet files at ``sink_path`` or, with
+    ``sink_table``, into a catalog table; ``run_ts=None`` stamps each
+    micro-batch's processing date."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -33,4 +35,5 @@ def stream_log(spark: SparkSession, source_dir: str, sink_path: str, checkpoint:
     w = (parsed.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("l_date"))
     trig = trigger if trigger is not None else {"processingTime": "5 minutes"}
-    return w.trigger(**trig).start(sink_path)
+    w = w.trigger(**trig)
+    return w.toTable(sink_table) if sink_table else w.start(sink_path)

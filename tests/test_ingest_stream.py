@@ -30,3 +30,15 @@ def test_ingest_job_appends_partition(spark):
     df = Q.c2_ingest_event_log(spark, SF_SMALL)
     assert df.select("l_date").distinct().collect()[0].l_date == Q.RUN_DATE
     assert df.count() == Q.c2_event_log_parse(spark, SF_SMALL).count()
+
+
+def test_stream_into_catalog_table(spark):
+    lines = bindings.event_lines(spark, SF_SMALL)
+    src, ck = scratch_path(spark, "t_stream_src2"), scratch_path(spark, "t_ck2")
+    lines.repartition(3).write.text(src)
+    spark.sql("drop table if exists strata_stream_events")
+    q = stream_log(spark, src, None, ck, logs.EVENT_SPEC, run_ts=dt.datetime(2024, 2, 1),
+                   trigger={"availableNow": True}, sink_table="strata_stream_events")
+    q.awaitTermination()
+    assert spark.table("strata_stream_events").count() == logs.parse_event_log(lines, dt.datetime(2024, 2, 1)).count()
+    spark.sql("drop table strata_stream_events")
