@@ -68,8 +68,7 @@ def candidate_pairs(houses: DataFrame, intents: DataFrame) -> DataFrame:
     """Pair summaries of both tiers: place pairs, and area pairs of clients
     that have no place pair with that listing. Columns: fh_id, cid, seq,
     tier, ms, n_rows, rid, see_time, update_time (of the pair's latest row)."""
-    rows = matching.place_candidates(houses, intents).unionByName(
-        matching.area_candidates(houses, intents))
+    rows = matching.tiered_candidates(houses, intents)
     seq = houses.select("fh_id", _seq().alias("seq"))
     return matching.summarize_pairs(rows).join(seq, "fh_id")
 

@@ -120,6 +120,35 @@ def area_candidates(houses: DataFrame, intents: DataFrame) -> DataFrame:
     return _candidates(houses, intents, "area", 2)
 
 
+def tiered_candidates(houses: DataFrame, intents: DataFrame) -> DataFrame:
+    """Tier-1 and tier-2 rows for every listing from one scan of the intents.
+
+    Each listing and each intent carries two location keys, ``(1, place)``
+    and ``(2, area)``; one equi-join on ``(tier, location, room, rs_type)``
+    gives the same rows as the place join plus the area join.
+    """
+    def keys(place, area):
+        return F.explode(F.array(F.struct(F.lit(1).alias("tier"), place.alias("loc")),
+                                 F.struct(F.lit(2).alias("tier"), area.alias("loc"))))
+    h = houses.select(
+        "fh_id", "share_id", "city_code", "share_worker_id", "price", "rs_type",
+        F.col("room").cast("string").alias("_room"),
+        keys(F.col("place"), F.col("area")).alias("_k"))
+    h = h.select("*", F.col("_k.tier").alias("tier"), F.col("_k.loc").alias("_loc")).drop("_k")
+    i = _intent_rooms(intents)
+    i = i.select("*", keys(F.col("place"), F.col("area")).alias("_ik"))
+    i = i.select("*", F.col("_ik.tier").alias("_itier"), F.col("_ik.loc").alias("_iloc")).drop("_ik")
+    cond = [
+        h["tier"] == i["_itier"],
+        h["_loc"] == i["_iloc"],
+        h["_room"] == i["room_s"],
+        h["rs_type"] == i["rs"],
+        h["price"] >= i["price_start"],
+        h["price"] <= i["price_end"],
+    ]
+    return h.join(i, cond, "inner").drop("_loc", "_room", "room_s", "_itier", "_iloc")
+
+
 def _full_listings(tier1: DataFrame, min_clients: int) -> DataFrame:
     """Listings with at least ``min_clients`` distinct tier-1 clients."""
     return (tier1.select(*PAIR_KEYS).distinct()
