@@ -51,6 +51,23 @@ def _rule_list(rules) -> list[tuple[int, str]]:
     return [(int(i), s) for i, s in rules]
 
 
+def validate_rules(facts: DataFrame, rule_list) -> tuple[list, list]:
+    """Split rules into those Spark can analyse against ``facts`` and the rest.
+
+    Analysis only (resolving columns, functions and sub-query views on the
+    driver); no job runs. One bad stored rule must not fail the whole batch.
+    """
+    from pyspark.errors import PySparkException
+    good, bad = [], []
+    for rid, sql in rule_list:
+        try:
+            facts.select(F.expr(f"({sql})").alias("_r")).schema
+            good.append((rid, sql))
+        except (PySparkException, ValueError):
+            bad.append((rid, sql))
+    return good, bad
+
+
 def segment_counts(facts: DataFrame, rules, user_col: str = "uuid", date_col: str = "l_date",
                    start: str | None = None, end: str | None = None,
                    rules_per_pass: int = RULES_PER_PASS) -> DataFrame:
@@ -58,9 +75,11 @@ def segment_counts(facts: DataFrame, rules, user_col: str = "uuid", date_col: st
 
     ``start``/``end`` are inclusive ``yyyy-MM-dd`` bounds of the active
     window. Rules are fused ``rules_per_pass`` at a time to bound plan size.
+    A rule that does not analyse against ``facts`` gets null counts instead
+    of failing the run.
     """
     spark: SparkSession = facts.sparkSession
-    rule_list = _rule_list(rules)
+    rule_list, invalid = validate_rules(facts, _rule_list(rules))
     active = F.lit(True)
     if start is not None:
         active = active & (F.col(date_col) >= F.lit(start))
@@ -86,6 +105,9 @@ def segment_counts(facts: DataFrame, rules, user_col: str = "uuid", date_col: st
             "x.id",
             F.coalesce("x.n", F.lit(0)).cast("long").alias("group_number"),
             F.coalesce("x.a", F.lit(0)).cast("long").alias("group_active_count")))
+    if invalid:
+        outs.append(spark.createDataFrame([(int(rid), None, None) for rid, _ in invalid],
+                                          "id int, group_number bigint, group_active_count bigint"))
     if not outs:
         return spark.createDataFrame([], "id int, group_number bigint, group_active_count bigint")
     out = outs[0]

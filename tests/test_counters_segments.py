@@ -67,3 +67,13 @@ def test_active_rules_and_rewrite(spark):
         "id int, group_name string, group_rule_sql string, status int")
     out = segments.normalize_rules(segments.active_rules(rules)).orderBy("id").collect()
     assert [(r.id, r.group_rule_sql) for r in out] == [(1, "dw.t.x = 1"), (6, "lyj_dw_v3.t")]
+
+
+def test_invalid_rule_reports_null_counts(spark):
+    facts = bindings.user_facts(spark, SF_MID)
+    facts.createOrReplaceTempView("seg_test_facts")
+    rules = RULES[:2] + [(9, "no_such_column > 1"), (10, "value >")]
+    out = {r.id: (r.group_number, r.group_active_count) for r in
+           segments.segment_counts(facts, rules, start="2024-01-28", end="2024-01-28").collect()}
+    assert out[9] == (None, None) and out[10] == (None, None)
+    assert out[1][0] > 0 and out[2][0] > 0
