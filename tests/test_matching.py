@@ -68,3 +68,18 @@ def test_top_k_plan_uses_group_limit(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_zero_codes_option_and_null_listing_fields(spark):
+    intents = [(1, "a", "2024-01-01", "2024-01-01", "01-0-P", 0.0, 9.0, "2", 1),
+               (2, "b", "2024-01-01", "2024-01-01", "01-A-0", 0.0, 9.0, "2", 1),
+               (3, "c", "2024-01-01", "2024-01-01", "01-A-P", 0.0, 9.0, "2", 1)]
+    df = spark.createDataFrame(intents, I_SCHEMA)
+    assert matching.normalize_intents(df).count() == 3            # D4 kept: '0' codes pass
+    kept = [r.cid for r in matching.normalize_intents(df, exclude_zero_codes=True).collect()]
+    assert kept == ["c"]
+    houses = spark.createDataFrame([(None, None, "A", None, None, None, None)], H_SCHEMA)
+    h = matching.normalize_houses(houses).first()
+    assert (h.fh_id, h.share_id, h.room, h.price, h.rs_type) == (0, 0, 0, 0.0, 0)
+    i = matching.normalize_intents(df)
+    assert matching.place_candidates(matching.normalize_houses(houses), i).count() == 0
