@@ -51,6 +51,19 @@ def _single_char(sep_regex: str) -> str | None:
     return None
 
 
+def _doubled_char(sep_regex: str) -> str | None:
+    """The character of a separator written as one escaped character twice (``\\|\\|``)."""
+    if len(sep_regex) == 4 and sep_regex[0] == sep_regex[2] == "\\" and \
+            sep_regex[1] == sep_regex[3] and not sep_regex[1].isalnum():
+        return sep_regex[1]
+    return None
+
+
+def split_bounded(col, sep_regex: str, n: int) -> Column:
+    """The first ``n`` fields (plus the unsplit remainder) with one bounded split."""
+    return F.split(_c(col), sep_regex, n + 1)
+
+
 def has_exact_fields(col, sep_regex: str, n: int) -> Column:
     """True when ``String.split(regex)`` would give exactly ``n`` fields.
 
@@ -58,9 +71,11 @@ def has_exact_fields(col, sep_regex: str, n: int) -> Column:
     one-character separator it is one anchored regex whose loops are all
     character classes (iterative in the JVM regex engine, so safe on very
     long lines): fields 1..n-1 any, field n non-empty, then only separators.
+    For a doubled separator such as ``||`` the line is split at most n times
+    and the remainder must be separators only (an even run of the character):
+    no regex alternation, which the JVM engine would evaluate recursively.
     Otherwise the n-th split field must be non-empty and every field after it
-    empty (a regex for ``||`` would need a per-character alternation, which
-    the JVM engine evaluates recursively).
+    empty.
     """
     c = _c(col)
     ch = _single_char(sep_regex)
@@ -72,6 +87,17 @@ def has_exact_fields(col, sep_regex: str, n: int) -> Column:
         if n == 1:
             cond = cond | (c == "")
         return c.isNotNull() & cond
+    dc = _doubled_char(sep_regex)
+    if dc is not None:
+        # split stops after n separators; the remainder must be separators only
+        parts = F.split(c, sep_regex, n + 1)
+        rem = F.get(parts, n)
+        only_seps = (F.translate(rem, dc, "") == "") & (F.length(rem) % 2 == 0)
+        cond = (F.size(parts) >= n) & (F.get(parts, n - 1) != "") & \
+            ((F.size(parts) == n) | only_seps)
+        if n == 1:
+            cond = cond | (c == "")
+        return c.isNotNull() & F.coalesce(cond, F.lit(False))
     parts = F.split(c, sep_regex, -1)
     size = F.size(parts)
     rest = F.slice(parts, n + 1, F.greatest(size - F.lit(n), F.lit(0)))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.clock import run_date
 from strata.functions.kv import kv_get
-from strata.functions.text import has_exact_fields, jvm_split_size, split_fields, strip_nul_prefix
+from strata.functions.text import has_exact_fields, jvm_split_size, split_bounded, strip_nul_prefix
 
 SEP = r"\|\|"
 
@@ -69,8 +69,8 @@ def valid_lines(lines: DataFrame, spec: LogSpec, col: str = "value") -> Column:
 
 def parse_log(lines: DataFrame, spec: LogSpec, run_ts, col: str = "value") -> DataFrame:
     """Parse the lines of ``col`` that have exactly ``len(spec.raw)`` fields."""
-    parts = split_fields(col, SEP)
     n = len(spec.raw)
+    parts = split_bounded(col, SEP, n)
     raw = {name: F.get(parts, i) for i, name in enumerate(spec.raw)}
     raw[spec.raw[0]] = strip_nul_prefix(raw[spec.raw[0]])
     payload = F.col("_payload")
