@@ -127,3 +127,13 @@ def test_very_long_lines_do_not_break_regexes(spark):
     assert [x.a for x in r] == [False, False, False, True]
     assert [x.b for x in r] == [False, False, False, False]
     assert r[3].u == "u" * 50000
+
+
+def test_jvm_split_size_single_char_fast_path(spark):
+    import random
+    rnd = random.Random(13)
+    for sep, alphabet in (("-", "ab-"), (" ", "ab \t"), ("\t", "a\t ")):
+        lines = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 10))) for _ in range(300)]
+        lines += ["", sep, sep * 3, "a" + sep * 2, sep + "a"]
+        got = _one(spark, [(x,) for x in lines], "s string", jvm_split_size("s", sep))
+        assert got == [len(_jvm_split_model(x, sep)) for x in lines], sep
