@@ -41,17 +41,16 @@ def jvm_split(col, sep_regex: str) -> Column:
 def jvm_split_size(col, sep_regex: str) -> Column:
     """Number of fields under the ``String.split(regex)`` rule.
 
-    For a one-character separator it is counted without building an array:
-    trailing separators are trimmed, the rest counted (linear, no regex).
+    For a one-character separator, trailing separators are trimmed and the
+    rest is split once (no lambda); '' has one field, a line of separators none.
     """
     ch = _single_char(sep_regex)
     if ch is None:
         return F.size(jvm_split(col, sep_regex))
     c = _c(col)
     body = F.rtrim(c, F.lit(ch))
-    seps = F.length(body) - F.length(F.translate(body, ch, ""))
     return (F.when(c == "", F.lit(1)).when(body == "", F.lit(0))
-            .otherwise(seps + 1).cast("int"))
+            .otherwise(F.size(F.split(body, sep_regex, -1))).cast("int"))
 
 
 def _single_char(sep_regex: str) -> str | None:
