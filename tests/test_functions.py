@@ -137,3 +137,33 @@ def test_jvm_split_size_single_char_fast_path(spark):
         lines += ["", sep, sep * 3, "a" + sep * 2, sep + "a"]
         got = _one(spark, [(x,) for x in lines], "s string", jvm_split_size("s", sep))
         assert got == [len(_jvm_split_model(x, sep)) for x in lines], sep
+
+
+_JAVA_WS_CHARS = "".join(chr(i) for i in range(0x21))
+
+
+def _kv_model(payload):
+    """The payload rule as plain Python (last wins, '%' cut after '=', Java trim)."""
+    out = {}
+    for tok in payload.split("&"):
+        if "=" not in tok:
+            continue
+        i = tok.index("=")
+        out[tok[:i].strip(_JAVA_WS_CHARS)] = tok[i + 1:].split("%")[0].strip(_JAVA_WS_CHARS)
+    return out
+
+
+def test_kv_rules_against_python_model(spark):
+    import random
+    rnd = random.Random(17)
+    alphabet = ["a", "b", "=", "&", "%", " ", "\t", "\x01", "ab"]
+    payloads = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(400)]
+    keys = ["a", "b", "ab", "", "ba", "a b"]
+    df = spark.createDataFrame([(p,) for p in payloads], "p string")
+    rows = df.select("p", kv_map("p").alias("m"),
+                     *[kv_get("p", k).alias(f"k{i}") for i, k in enumerate(keys)]).collect()
+    for r in rows:
+        model = _kv_model(r.p)
+        assert r.m == model, r.p
+        for i, k in enumerate(keys):
+            assert r[f"k{i}"] == model.get(k), (r.p, k)
