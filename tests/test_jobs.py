@@ -39,3 +39,20 @@ def test_counters_carry_within_a_day_and_reset_next_day(spark):
 
     got3, counts3, days3 = run("2024-03-02")                     # next day: reset
     assert got3 == exp1 and counts3 == c1 and days3 == {"2024-03-02"}
+
+
+def test_match_job_on_catalog_tables(spark):
+    from conftest import SF_SMALL
+    from strata.sources import bindings
+    spark.sql("create database if not exists strata_db")
+    for t in ("listings", "intents", "counts", "result"):
+        spark.sql(f"drop table if exists strata_db.{t}")
+    bindings.houses(spark, SF_SMALL).write.saveAsTable("strata_db.listings")
+    bindings.intents(spark, SF_SMALL).write.saveAsTable("strata_db.intents")
+    sums = []
+    for _ in range(2):   # the second run reads, then replaces, the counter table
+        run_match_job(spark, spark.table("strata_db.listings"), spark.table("strata_db.intents"),
+                      "strata_db.counts", "strata_db.result", "2024-03-01")
+        sums.append(spark.table("strata_db.counts").agg({"count": "sum"}).first()[0])
+    assert sums[1] > sums[0] > 0
+    assert spark.table("strata_db.result").count() > 0
