@@ -73,6 +73,43 @@ def candidate_pairs(houses: DataFrame, intents: DataFrame) -> DataFrame:
     return matching.summarize_pairs(rows).join(seq, "fh_id")
 
 
+def candidate_pairs_bounded(houses: DataFrame, intents: DataFrame, counts: DataFrame,
+                            cap: int, min_clients: int, max_iter: int = 50) -> DataFrame:
+    """``candidate_pairs`` with area-tier pairs only for listings that can open.
+
+    A listing opens when fewer than ``min_clients`` of its place clients are
+    still in the pool, so it can open only if enough of them can be exhausted;
+    a client can be exhausted only if its count plus every increment it could
+    receive (place pairs, and area pairs of listings that can open) exceeds
+    ``cap``. The two sets are grown together from the listings that open for
+    sure until neither changes (a least fixpoint). Any listing that opens in the
+    sequential run is in it, so the result is unchanged; listings that can
+    never open skip the area join.
+    """
+    seq = houses.select("fh_id", _seq().alias("seq"))
+    p1 = matching.summarize_pairs(matching.place_candidates(houses, intents)).checkpoint()
+    n1 = p1.groupBy("fh_id").agg(F.count(F.lit(1)).alias("_n1"))
+    base = houses.select("fh_id").join(n1, "fh_id", "left")
+    opened = base.where(F.coalesce("_n1", F.lit(0)) < min_clients).select("fh_id").checkpoint()
+    for _ in range(max_iter):
+        p2 = (matching.summarize_pairs(matching.area_candidates(
+                  houses.join(opened, "fh_id", "left_semi"), intents))
+              .join(p1.select(*PAIR_KEYS), PAIR_KEYS, "left_anti")).checkpoint()
+        pot = (p1.select("cid", "n_rows").unionByName(p2.select("cid", "n_rows"))
+               .groupBy("cid").agg(F.sum("n_rows").alias("_pot")))
+        risk = (pot.join(counts, "cid", "left")
+                .where(F.coalesce("count", F.lit(0)) + F.col("_pot") > cap).select("cid"))
+        risky = (p1.join(risk, "cid", "left_semi").groupBy("fh_id")
+                 .agg(F.count(F.lit(1)).alias("_r")))
+        grown = (base.join(risky, "fh_id", "left")
+                 .where(F.coalesce("_n1", F.lit(0)) - F.coalesce("_r", F.lit(0)) < min_clients)
+                 .select("fh_id").unionByName(opened).distinct().checkpoint())
+        if grown.join(opened, "fh_id", "left_anti").limit(1).count() == 0:
+            return p1.unionByName(p2).join(seq, "fh_id")
+        opened = grown
+    raise RuntimeError("area-tier bound did not converge")
+
+
 def label_components(edges: DataFrame, max_iter: int = 500) -> DataFrame:
     """Connected components of the bipartite (fh_id, cid) graph.
 
@@ -148,7 +185,7 @@ def _sequential_component(pdf: pd.DataFrame, k: int, cap: int, min_clients: int)
 
 def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | None = None,
                   k: int = 3, cap: int = 3, min_clients: int = 3,
-                  max_group_pairs: int = 1_000_000,
+                  max_group_pairs: int = 1_000_000, bound_area_tier: bool = False,
                   max_rounds: int = 100000) -> tuple[DataFrame, DataFrame, int]:
     """Run the capped assignment.
 
@@ -157,7 +194,8 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
     (listing, client) pair with ``n_rows`` and the pair's latest intent row
     (``rid``, ``see_time``), ``new_counts`` is ``(cid, count)``; ``rounds``
     counts the prefix-commit rounds used for components above
-    ``max_group_pairs`` pairs.
+    ``max_group_pairs`` pairs. ``bound_area_tier`` skips the area join for
+    listings that can never open (``candidate_pairs_bounded``).
     """
     spark = houses.sparkSession
     out_path = scratch_path(spark, "assign")
@@ -165,7 +203,11 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
         counts = spark.createDataFrame([], "cid string, count long")
     counts = counts.select("cid", F.col("count").cast("long").alias("count")).checkpoint()
     pool = intents.join(capped_clients(counts, cap), "cid", "left_anti")
-    pairs = candidate_pairs(houses, pool).checkpoint()
+    if bound_area_tier:
+        # only worth it when many listings can never open (few clients near the cap)
+        pairs = candidate_pairs_bounded(houses, pool, counts, cap, min_clients).checkpoint()
+    else:
+        pairs = candidate_pairs(houses, pool).checkpoint()
     # only clients that could ever pass the cap link listings: a client whose
     # count plus every increment it could receive stays <= cap never leaves
     # the pool, so it cannot make one listing depend on another

@@ -13,11 +13,13 @@ I_SCHEMA = ("rid long, cid string, see_time string, update_time string, area_cod
             "price_start double, price_end double, house_type string, require_type int")
 
 
-def _run(spark, houses, intents, counts=None, k=3, cap=3, max_group_pairs=2_000_000):
+def _run(spark, houses, intents, counts=None, k=3, cap=3, max_group_pairs=2_000_000,
+         bound_area_tier=False):
     h = matching.normalize_houses(spark.createDataFrame(houses, H_SCHEMA))
     i = matching.normalize_intents(spark.createDataFrame(intents, I_SCHEMA))
     c = None if counts is None else spark.createDataFrame(list(counts.items()), "cid string, count long")
-    picks, new_counts, _ = assign_capped(h, i, c, k=k, cap=cap, max_group_pairs=max_group_pairs)
+    picks, new_counts, _ = assign_capped(h, i, c, k=k, cap=cap, max_group_pairs=max_group_pairs,
+                                         bound_area_tier=bound_area_tier)
     got = sorted((r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
     hs = [r.asDict() for r in h.collect()]
     its = [r.asDict() for r in i.collect()]
@@ -98,3 +100,32 @@ def test_hot_client_joins_everything(spark, max_group_pairs):
     got, exp, gc, ec = _run(spark, houses, intents, {"c3": 2}, cap=3, max_group_pairs=max_group_pairs)
     assert got == exp
     assert gc == ec
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_bounded_area_tier_equals_sequential_model(spark, seed):
+    houses, intents = _random_case(100 + seed, n_houses=10, n_intents=30, n_clients=12)
+    counts = {"c1": 3, "c5": 1} if seed % 2 else None
+    got, exp, gc, ec = _run(spark, houses, intents, counts, cap=2 + seed % 3, bound_area_tier=True)
+    assert got == exp
+    assert gc == ec
+
+
+def test_bound_skips_listings_that_cannot_open(spark):
+    from strata.operators.assignment import candidate_pairs_bounded
+    houses = [(1, 1, "A", "P", 2, 5.0, 1), (2, 2, "A", "Q", 2, 5.0, 1)]
+    intents = [_intent(r, c, "P") for r, c in ((1, "p1"), (2, "p2"), (3, "p3"))] + \
+              [_intent(4, "q1", "Q"), _intent(5, "far", "R", "2024-01-09")]
+    h = matching.normalize_houses(spark.createDataFrame(houses, H_SCHEMA))
+    i = matching.normalize_intents(spark.createDataFrame(intents, I_SCHEMA))
+    counts = spark.createDataFrame([], "cid string, count long")
+    pairs = candidate_pairs_bounded(h, i, counts, cap=3, min_clients=3)
+    tier2 = {(r.fh_id, r.cid) for r in pairs.where("tier = 2").collect()}
+    # listing 1 has 3 place clients that can never pass the cap: no area pairs
+    assert all(f != 1 for f, _ in tier2) and (2, "far") in tier2
+    got, exp, gc, ec = _run(spark, houses, intents, bound_area_tier=True)
+    assert got == exp and gc == ec
+
+
+def _intent(rid, cid, place, see="2024-01-01"):
+    return (rid, cid, see, see, f"01-A-{place}", 0.0, 10.0, "2", 1)
