@@ -56,3 +56,26 @@ def test_match_job_on_catalog_tables(spark):
         sums.append(spark.table("strata_db.counts").agg({"count": "sum"}).first()[0])
     assert sums[1] > sums[0] > 0
     assert spark.table("strata_db.result").count() > 0
+
+
+def test_segment_job_writes_string_counts(spark):
+    from conftest import SF_SMALL
+    from strata.plans.segment_job import run_segment_job
+    from strata.sources import bindings
+    facts = bindings.user_facts(spark, SF_SMALL)
+    rules = spark.createDataFrame([
+        (1, "buyers", "event_type = 'purchase'", 1),
+        (2, "off", "value > 1", 0),
+        (3, "今日访问用户", "value > 1", 1),
+        (4, "broken", "no_such_col = 1", 1),
+        (5, "rewritten", "uuid in (select uuid from LYJ_DW_V3_t_facts)", 1)],
+        "id int, group_name string, group_rule_sql string, status int")
+    facts.createOrReplaceTempView("dw_t_facts")
+    path = scratch_path(spark, "t_segjob")
+    run_segment_job(facts, rules, "2024-01-01", "2024-01-31", target=path)
+    out = {r.id: (r.group_number, r.group_active_count) for r in spark.read.parquet(path).collect()}
+    assert set(out) == {"1", "4", "5"}                       # inactive and excluded rules dropped
+    assert out["4"] == (None, None)                          # broken rule reported, not fatal
+    n_users = facts.select("uuid").distinct().count()
+    assert out["5"] == (str(n_users), str(n_users))          # schema name rewritten, view found
+    assert int(out["1"][0]) > 0
