@@ -69,11 +69,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder, for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return f"{base}/strata-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared checkpoint folder, for written tables.
+
+    The folder's URI is kept whole, so a table lands on the file system that
+    the setting names whatever the cluster's default file system is."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/strata-{name}-{uuid.uuid4().hex[:12]}"
 
 
 def table_path(sf_dir: str, name: str) -> str:
