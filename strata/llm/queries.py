@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from strata.llm.decontaminate import OP7_SQL, op7_decontaminate
+from strata.llm.passages import OP10_SQL, op10_passages
 
-QUERIES = {f.__name__: f for f in (op7_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op7_decontaminate, op10_passages)}
 
 ORACLES = {
     "op7_decontaminate": OP7_SQL,
+    "op10_passages": OP10_SQL,
 }
