@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from strata.llm.decontaminate import OP7_SQL, op7_decontaminate
+from strata.llm.near_duplicates import OP2_SQL, op2_jaccard
 from strata.llm.passages import OP10_SQL, op10_passages
 
-QUERIES = {f.__name__: f for f in (op7_decontaminate, op10_passages)}
+QUERIES = {f.__name__: f for f in (op2_jaccard, op7_decontaminate, op10_passages)}
 
 ORACLES = {
+    "op2_jaccard": OP2_SQL,
     "op7_decontaminate": OP7_SQL,
     "op10_passages": OP10_SQL,
 }
