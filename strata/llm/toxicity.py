@@ -1,7 +1,8 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences; only the bag has a label. A sentence's score
-is a logistic function of its words, and the sentences combine by noisy-or:
+is a logistic function of its words and their beginnings (for languages that
+compound or inflect), and the sentences combine by noisy-or:
 a document is toxic if any sentence is. The weights are fitted to document
 labels through the noisy-or, so they learn which sentences offend, and the
 scores then locate those sentences.
@@ -29,12 +30,21 @@ from strata.llm.labels import held_out, training_labels
 from strata.llm.words import ALNUM_WORDS, WordTable, word_tables
 
 TRAIN_DOCS, WORDS, LEAST_DOCS = 30_000, 1024, 4
-STEPS, RATE, DECAY = 300, 0.15, 2e-4
+#: bytes of a word's beginning that are features beside the word
+BEGINNINGS = (4, 5, 6, 7, 8)
+STEPS, RATE, DECAY = 300, 0.1, 2e-4
 THRESHOLD = 0.3
 _END = np.zeros(256, dtype=bool)
 _END[list(b".!?\n\r")] = True
 
 
+def feature_hashes(table: WordTable) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words and beginnings, and the word that each is of."""
+    begin, longer = table.prefixes(BEGINNINGS)
+    k, word = np.nonzero(longer)
+    return np.concatenate((table.hashes, begin[k, word])), np.concatenate((np.arange(len(table.hashes)), word))
+
+
 def sentences(table: WordTable) -> np.ndarray:
     """Running sentence number of each word; texts never share one."""
     ends = np.cumsum(_END[table.data]) if len(table.data) else np.empty(0, dtype=np.int64)
@@ -50,18 +60,21 @@ class ToxicityModel:
         self.table = np.zeros(1 << 18, dtype=bool)
         self.table[words >> self.shift] = True
 
-    def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of feature words and their feature numbers."""
+    def known(self, table: WordTable) -> tuple[np.ndarray, np.ndarray]:
+        """Words that have features, in order, and the feature numbers."""
+        hashes, word = feature_hashes(table)
         at = np.flatnonzero(self.table[hashes >> self.shift])
         if not len(at) or not len(self.words):
             return at[:0], at[:0]
         f = np.minimum(np.searchsorted(self.words, hashes[at]), len(self.words) - 1)
         same = self.words[f] == hashes[at]
-        return at[same], f[same]
+        at, f = word[at[same]], f[same]
+        order = np.lexsort((f, at))
+        return at[order], f[order]
 
     def sentence_scores(self, table: WordTable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sentences with feature words: text number, sentence number, score."""
-        at, f = self.known(table.hashes)
+        at, f = self.known(table)
         if not len(at):
             return at, at, np.empty(0)
         sent, doc = sentences(table)[at], table.doc()[at]
@@ -82,10 +95,12 @@ def word_counts(sample: DataFrame) -> DataFrame:
     """word, toxic, clean: documents of each kind that have the word."""
 
     def scan(batch: pa.RecordBatch):
-        for a, b, table in word_tables(batch.column(0), ALNUM_WORDS, lower=True, limit=8 << 20):
+        for a, b, table in word_tables(batch.column(0), ALNUM_WORDS, lower=True, limit=4 << 20):
             y = batch.column(1).to_numpy()[a:b]
-            order = np.lexsort((table.hashes, table.doc()))
-            word, doc = table.hashes[order], table.doc()[order]
+            word, of = feature_hashes(table)
+            doc = table.doc()[of]
+            order = np.lexsort((word, doc))
+            word, doc = word[order], doc[order]
             first = np.ones(len(word), dtype=bool)
             first[1:] = (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])
             words, inverse = np.unique(word[first], return_inverse=True)
@@ -116,7 +131,7 @@ def fit(sample: DataFrame, words: int = WORDS) -> ToxicityModel:
     def bags(batch: pa.RecordBatch):
         for a, b, table in word_tables(batch.column(0), ALNUM_WORDS, lower=True):
             y = batch.column(1).to_numpy()[a:b]
-            at, f = sent.value.known(table.hashes)
+            at, f = sent.value.known(table)
             sentence, doc = sentences(table)[at], table.doc()[at]
             cut = np.searchsorted(at, table.bounds)
             yield {"y": y, "sentence": [sentence[s:e].tolist() for s, e in zip(cut[:-1], cut[1:])],

@@ -107,6 +107,26 @@ class WordTable:
             a = b
         return out
 
+    def prefixes(self, lengths: tuple[int, ...], step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of each word's first k bytes, one row for each k, and which
+        words are longer than that."""
+        size = self.stop - self.start
+        out = np.zeros((len(lengths), len(size)), dtype=_U)
+        a = 0
+        while a < len(size):
+            b = max(a + 1, int(np.searchsorted(self.stop, self.start[a] + step)))
+            lo = self.start[a]
+            part = _BYTE_VALUE[self.data[lo:self.stop[b - 1]]]
+            up, down = _power_tables(len(part) + 1)
+            sums = np.zeros(len(part) + 1, dtype=_U)
+            np.cumsum(part * up[: len(part)], dtype=_U, out=sums[1:])
+            first = self.start[a:b] - lo
+            for i, k in enumerate(lengths):
+                last = np.minimum(first + k, len(part))
+                out[i, a:b] = mix(((sums[last] - sums[first]) * down[first]) ^ _U(k << 32))
+            a = b
+        return out, size[None, :] > np.array(lengths)[:, None]
+
     def windows(self, k: int) -> np.ndarray:
         """Hash of the k words from each word on; k - 1 words fewer than words.
         Windows that cross texts are present too: see ``within``."""
