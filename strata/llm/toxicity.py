@@ -119,9 +119,11 @@ def fit(sample: DataFrame, words: int = WORDS) -> ToxicityModel:
         return ToxicityModel(none, np.empty(0), 0.0, toxic / n if n else 0.0)
     odds = F.log((F.col("toxic") + 0.5) / (F.lit(toxic) + 1)) - F.log((F.col("docs") - F.col("toxic") + 0.5) / (F.lit(n - toxic) + 1))
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("docs") - F.col("toxic") + 0.5))
-    picked = (word_counts(sample).where(F.col("toxic") >= LEAST_DOCS).select("word", (odds / spread).alias("z"))
+    picked = (word_counts(sample).where(F.col("toxic") >= LEAST_DOCS).select("word", odds.alias("odds"), (odds / spread).alias("z"))
               .where("z > 2").orderBy(F.desc("z"), "word").limit(words).toArrow())
-    chosen = np.sort(picked.column("word").to_numpy().view(np.uint64)) if picked.num_rows else none
+    chosen = picked.column("word").to_numpy().view(np.uint64) if picked.num_rows else none
+    order = np.argsort(chosen)
+    chosen, start = chosen[order], picked.column("odds").to_numpy()[order]
     model = ToxicityModel(chosen, np.zeros(len(chosen)), 0.0, 1e-3)
     if not len(chosen):
         model.base = toxic / n
@@ -144,13 +146,15 @@ def fit(sample: DataFrame, words: int = WORDS) -> ToxicityModel:
     f = words_of.flatten().to_numpy()
     sentence = got.column("sentence").combine_chunks().flatten().to_numpy()
     doc = np.repeat(np.arange(len(y)), size)
-    trained = _train(y, doc, sentence, f, len(chosen))
+    trained = _train(y, doc, sentence, f, start)
     return ToxicityModel(chosen, *trained)
 
 
-def _train(y, doc, sentence, f, width: int):
+def _train(y, doc, sentence, f, start: np.ndarray):
     """Weights, bias and base rate by gradient steps (Adam) on the mean
-    log-loss of the noisy-or, with a small decay of the weights."""
+    log-loss of the noisy-or, from the words' own log-odds, with a small pull
+    back to them."""
+    width = len(start)
     pairs = np.unique(np.stack((doc, sentence, f)), axis=1)
     doc, f = pairs[0], pairs[2]
     new = np.ones(pairs.shape[1], dtype=bool)
@@ -158,7 +162,7 @@ def _train(y, doc, sentence, f, width: int):
     bag = np.cumsum(new) - 1
     owner = doc[new]
     n = len(y)
-    theta = np.concatenate((np.full(width, 2.0), [-1.0, -5.0]))  # weights, bias, logit of the base rate
+    theta = np.concatenate((start, [-5.0, -5.0]))  # weights, bias, logit of the base rate
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, STEPS + 1):
         score = np.bincount(bag, weights=theta[f], minlength=len(owner)) + theta[-2]
@@ -170,7 +174,7 @@ def _train(y, doc, sentence, f, width: int):
         slope = 1 - y / q
         back = slope[owner] * p
         g = np.empty_like(theta)
-        g[:width] = np.bincount(f, weights=back[bag], minlength=width) / n + DECAY * theta[:width]
+        g[:width] = np.bincount(f, weights=back[bag], minlength=width) / n + DECAY * (theta[:width] - start)
         g[-2] = back.sum() / n
         g[-1] = (slope * base).sum() / n
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
