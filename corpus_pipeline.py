@@ -1,13 +1,76 @@
 """Corpus pipeline: toxic documents go, near duplicates go, repeated passages
-go, benchmark passages go, and what is left is packed into length buckets."""
+go, benchmark passages go, and what is left is packed into length buckets.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
+written as Parquet and read again as the next one's docs. All but the last
+return the columns of ``documents``; ``n_chars`` is counted anew where a text
+changes. The last returns each kept document's place in a batch.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from strata.llm.common import read, saved
+from strata.llm.decontaminate import decontaminate
+from strata.llm.near_duplicates import near_duplicates
+from strata.llm.packing import pack, word_lengths
+from strata.llm.passages import without_repeats
+from strata.llm.toxicity import THRESHOLD, toxicity_scores
+
+
+def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, from doc_id, text and the struct rest."""
+    own = {c: F.col(c) if c in ("doc_id", "text") else F.col("rest").getField(c) for c in docs.columns}
+    return df.select(*[v.alias(c) for c, v in own.items()])
+
+
+def _recounted(df: DataFrame, changed) -> DataFrame:
+    return df.withColumn("n_chars", F.when(changed, F.char_length("text").cast(df.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic."""
+    scored = toxicity_scores(docs, read(spark, sf_dir, "labels"), with_rest=True)
+    return _columns(scored.where(F.col("score") < THRESHOLD).withColumnRenamed("id", "doc_id"), docs)
+
+
+def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group; rows
+    without an id are in no group. Of equal rows one stays."""
+    groups, _ = near_duplicates(docs)
+    kept = groups.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
+    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+            .unionByName(docs.where(F.col("doc_id").isNull())))
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of passages that repeat."""
+    out = without_repeats(docs)
+    return _recounted(out, F.col("text").isNotNull() & (F.char_length("text") < F.col("n_chars")))
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the spans that the benchmark also has."""
+    out = decontaminate(docs, read(spark, sf_dir, "benchmark"), "remove_spans", with_rest=True)
+    return _recounted(_columns(out, docs), F.char_length("text") < F.col("n_chars"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's bucket, batch and slot by its number of words."""
+    return pack(word_lengths(docs), F.col("n_words"))
+
+
+STAGES = [("toxicity", toxicity), ("jaccard", jaccard), ("passages", passages), ("benchmark", benchmark), ("packing", packing)]
 
-STAGES = []
+#: the classifier of the first stage is beyond SQL
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``, each one's rows written to the shared
+    folder in between."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

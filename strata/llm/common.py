@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.session import scratch_path
 
@@ -23,6 +23,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def others(docs: DataFrame, *taken: str):
+    """A struct of all further columns, to pass through unread; None if there
+    are none."""
+    rest = [c for c in docs.columns if c not in taken]
+    return F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest") if rest else None
+
+
+def field(df: DataFrame, name: str, alias: str | None = None) -> str:
+    """A column as text for a schema."""
+    return f"`{alias or name}` {df.schema[name].dataType.simpleString()}"
+
+
 def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], Iterator[dict | pa.RecordBatch]]) -> DataFrame:
     """``fn`` over Arrow batches. It yields dicts of column values or Arrow
     arrays in the order of ``schema``."""
@@ -35,7 +47,7 @@ def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], Iterato
         for batch in batches:
             for out in fn(batch):
                 if isinstance(out, dict):
-                    arrays = [v.cast(f.type) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, type=f.type)
+                    arrays = [(v if v.type == f.type else v.cast(f.type)) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, type=f.type)
                               for f, v in ((f, out[f.name]) for f in target)]
                     arrays = [a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays]
                     out = pa.RecordBatch.from_arrays(arrays, schema=target)

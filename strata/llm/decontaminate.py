@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import map_arrow, read
+from strata.llm.common import field, map_arrow, others, read
 from strata.llm.words import ALNUM_WORDS, WordTable, covered, runs, word_tables
 
 WINDOW = 10
@@ -100,13 +100,17 @@ def find_hits(table: WordTable, lookups: dict[int, _Lookup]) -> tuple[np.ndarray
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                    item_id: str = "item_id", item_text: str = "text", n: int = WINDOW,
-                   block_windows: int = BLOCK_WINDOWS, with_text: bool = True) -> DataFrame:
+                   block_windows: int = BLOCK_WINDOWS, with_text: bool = True, with_rest: bool = False) -> DataFrame:
     """One row per row of ``docs``: its id, text (if asked), word count,
-    covered word ranges ``first``/``end`` and the ids of the items found."""
+    covered word ranges ``first``/``end``, the ids of the items found, and if
+    asked its other columns as the struct ``rest``."""
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"id {kind}, text string, n_words bigint, first array<int>, `end` array<int>, items array<string>"
-    out = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rest = others(docs, doc_id, text) if with_rest else None
+    out = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), *([rest] if rest is not None else []))
+    if rest is not None:
+        schema += f", {field(out, 'rest')}"
     blocks = window_blocks(benchmark, item_id, item_text, n, block_windows)
     sent = [spark.sparkContext.broadcast(b) for b in blocks] or [spark.sparkContext.broadcast({})]
     for i, block in enumerate(sent):
@@ -143,24 +147,29 @@ def _scan(block, keep: bool):
                 found.append(sorted(named))
             body = part.column(names.index("text"))
             yield {"id": part.column(names.index("id")), "text": body if keep else pa.nulls(b - a, pa.string()),
-                   "n_words": np.diff(table.bounds), "first": first, "end": end, "items": found}
+                   "n_words": np.diff(table.bounds), "first": first, "end": end, "items": found,
+                   **({"rest": part.column(names.index("rest"))} if "rest" in names else {})}
 
     return scan
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "remove_spans", *, doc_id: str = "doc_id",
                   text: str = "text", **options) -> DataFrame:
-    """``docs`` (id and text) after the hits are dealt with: ``remove_spans``
+    """``docs`` (id, text, n_hit and, if asked, rest) after the hits are dealt with: ``remove_spans``
     cuts each covered run of words out of the text, from its first word's
     first to its last word's last character; ``drop_documents`` drops a
     document with any hit. Texts without a hit stay as they are."""
     hits = benchmark_hits(docs, benchmark, doc_id=doc_id, text=text, **options)
     if action == "drop_documents":
-        return hits.where(F.size("first") == 0).select(F.col("id").alias(doc_id), F.col("text").alias(text))
+        return hits.where(F.size("first") == 0).select(F.col("id").alias(doc_id), F.col("text").alias(text),
+                                                       F.lit(0).cast("long").alias("n_hit"), *[c for c in hits.columns if c == "rest"])
     if action != "remove_spans":
         raise ValueError(f"unknown action: {action}")
     kind = docs.schema[doc_id].dataType.simpleString()
-    return map_arrow(hits, f"`{doc_id}` {kind}, `{text}` string, n_hit bigint", _cut(doc_id, text))
+    schema = f"`{doc_id}` {kind}, `{text}` string, n_hit bigint"
+    if "rest" in hits.columns:
+        schema += f", {field(hits, 'rest')}"
+    return map_arrow(hits, schema, _cut(doc_id, text))
 
 
 def _cut(doc_id: str, text: str):
@@ -177,7 +186,8 @@ def _cut(doc_id: str, text: str):
                 table = WordTable(np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)]), ALNUM_WORDS, lower=True)
                 edges = [0, *(x for s, t in zip(f, e) for x in (int(table.start[s]), int(table.stop[t - 1]))), len(data)]
                 texts[i] = b"".join(data[x:y] for x, y in zip(edges[::2], edges[1::2])).decode()
-        yield {doc_id: batch.column(names.index("id")), text: texts, "n_hit": hit}
+        yield {doc_id: batch.column(names.index("id")), text: texts, "n_hit": hit,
+               **({"rest": batch.column(names.index("rest"))} if "rest" in names else {})}
 
     return cut
 

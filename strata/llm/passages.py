@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm import bloom
-from strata.llm.common import map_arrow, read, saved
+from strata.llm.common import field, map_arrow, others, read, saved
 from strata.llm.words import SPACE_WORDS, WordTable, covered, text_runs
 
 WINDOW = 50
@@ -312,6 +312,27 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     ).withColumn("kept_sha", F.when(F.col("kept").isNull(), F.lower(F.hex("sha"))).otherwise(F.sha2(F.col("kept").cast("binary"), 256)))
 
 
+def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with repeated words removed from its texts: a text that loses
+    words becomes its kept words joined by one space, others stay as they are.
+    All columns are returned."""
+    out = remove_repeats(docs, doc_id=doc_id, text=text, **options)
+    changed = (out.where("n_removed > 0").select(F.col("id").alias("rid"), first_eight("sha").alias("rsha"), F.col("kept").alias("rkept"))
+               .dropDuplicates(["rid", "rsha"]))
+    rest = others(docs, doc_id, text)
+    own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), *([rest] if rest is not None else []))
+    schema = f"{', '.join(field(own, c) for c in own.columns)}, word_sha bigint"
+
+    def digest(batch: pa.RecordBatch):
+        for a, b, table in spaced_tables(batch.column(1)):
+            yield {**{c: batch.column(i).slice(a, b - a) for i, c in enumerate(batch.schema.names)}, "word_sha": short(doc_digests(table))}
+
+    both = map_arrow(own, schema, digest).join(changed, (F.col("id") == F.col("rid")) & (F.col("word_sha") == F.col("rsha")), "left")
+    body = F.when(F.col("rid").isNotNull(), F.col("rkept")).otherwise(F.col("text"))
+    values = {doc_id: F.col("id"), text: body, **{c: F.col("rest").getField(c) for c in docs.columns if c not in (doc_id, text)}}
+    return both.select(*[values[c].alias(c) for c in docs.columns])
+
+
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's digest of ``remove_repeats`` over whole ``documents``."""
     out = remove_repeats(read(spark, sf_dir, "documents"))

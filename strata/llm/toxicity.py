@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import map_arrow, read, saved
+from strata.llm.common import field, map_arrow, others, read, saved
 from strata.llm.labels import held_out, training_labels
 from strata.llm.words import ALNUM_WORDS, WordTable, word_tables
 
@@ -183,20 +183,26 @@ def _train(y, doc, sentence, f, start: np.ndarray):
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", target: str = "toxic",
-                    train_docs: int = TRAIN_DOCS, sentence_score: float = THRESHOLD) -> DataFrame:
+                    train_docs: int = TRAIN_DOCS, sentence_score: float = THRESHOLD, with_rest: bool = False) -> DataFrame:
     """id, score, offending (start, end, score of the sentences that score
-    ``sentence_score`` or more, in characters) of each row of ``docs``."""
+    ``sentence_score`` or more, in characters) of each row of ``docs``, and if
+    asked its text and its other columns as the struct ``rest``."""
     kind = docs.schema[doc_id].dataType.simpleString()
     chosen = saved(training_labels(labels, target).orderBy(F.xxhash64("lid"), "lid").limit(train_docs), "labels")
     own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     sample = own.join(F.broadcast(chosen), F.col("id") == F.col("lid")).select("text", "y")  # at most train_docs small rows
     model = docs.sparkSession.sparkContext.broadcast(fit(saved(sample, "sample")))
+    schema = f"id {kind}, score double, offending array<struct<start:int,`end`:int,score:double>>"
+    if with_rest:
+        rest = others(docs, doc_id, text)
+        own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), *([rest] if rest is not None else []))
+        schema += "".join(f", {field(own, c)}" for c in own.columns[1:])
 
     def score(batch: pa.RecordBatch):
-        own = model.value
+        fitted = model.value
         for a, b, table in word_tables(batch.column(1), ALNUM_WORDS, lower=True):
-            doc, sentence, p = own.sentence_scores(table)
-            total = noisy_or(doc, p, b - a, own.base)
+            doc, sentence, p = fitted.sentence_scores(table)
+            total = noisy_or(doc, p, b - a, fitted.base)
             offending = [[] for _ in range(b - a)]
             hit = np.flatnonzero(p >= sentence_score)
             if len(hit):
@@ -207,9 +213,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id
                     lo = int(table.offsets[doc[i]])
                     start = len(table.data[lo:s].tobytes().decode())
                     offending[doc[i]].append({"start": start, "end": start + len(table.data[s:e].tobytes().decode()), "score": float(p[i])})
-            yield {"id": batch.column(0).slice(a, b - a), "score": total, "offending": offending}
+            yield {"id": batch.column(0).slice(a, b - a), "score": total, "offending": offending,
+                   **({c: batch.column(i).slice(a, b - a) for i, c in enumerate(batch.schema.names) if i} if with_rest else {})}
 
-    return map_arrow(own, f"id {kind}, score double, offending array<struct<start:int,`end`:int,score:double>>", score)
+    return map_arrow(own, schema, score)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
