@@ -19,11 +19,13 @@ BUCKET_FORMAT = "yyyy-MM-dd/HH-mm"
 def bucket_start(ts, width_seconds: int = 300, lag: int = 1) -> Column:
     """Start of the bucket ``lag`` widths before the one holding ``ts``.
 
-    Tumbling-window arithmetic on the value itself, so a ``timestamp_ntz``
-    column gives the same bucket whatever the session time zone.
+    Arithmetic on the wall-clock value, so a ``timestamp_ntz`` column gives
+    the same bucket whatever the session time zone. A null time has no bucket.
     """
-    start = F.window(_c(ts), f"{width_seconds} seconds")["start"]
-    return start - F.expr(f"INTERVAL {lag * width_seconds} SECONDS")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, _c(ts).cast("timestamp_ntz"))
+    seconds = micros - F.pmod(micros, F.lit(width_seconds * 1_000_000))
+    return F.timestamp_add("SECOND", (seconds / 1_000_000).cast("long") - lag * width_seconds, epoch)
 
 
 def bucket_path(ts, width_seconds: int = 300, lag: int = 1) -> Column:

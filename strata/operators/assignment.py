@@ -8,48 +8,32 @@ leaves the pool for all later listings.
 
 "Top-k everywhere, then cut at the cap" is wrong (a capped client must be
 replaced by the next one, and losing place clients can open the area tier),
-so the exact result is built in *prefix-commit rounds*, all DataFrame work:
+so listings are committed in *prefix blocks*, by one algorithm at every size:
 
 1. Candidate pairs ``(listing, client)`` of both tiers are summarised once
    (row count, latest viewing, latest intent row) and written to the shared
-   checkpoint folder. Listings sharing no client never interact, so
+   checkpoint folder. Listings that share no client never interact, so
    connected components of the listing-client graph are labelled once
    (min-label propagation, aggregations only). Only clients that could ever
    pass the cap count as edges: any other client stays in every pool, so it
    never makes one listing depend on another.
-2. Each round computes tentative top-k picks for every pending listing under
-   the current counters, with each client also taken out of the pool after
-   the listing at which the previous round predicted it would be exhausted.
-   For each client only its first ``cap + 1`` picks in listing order can push
-   it over the cap (each pick adds at least one), so a per-client
-   ``row_number <= cap + 1`` (a partial WindowGroupLimit, safe for hot
-   clients) and a running sum give the listing at which it is exhausted.
-3. A pending listing is *doubtful* when, for one of its candidate clients,
-   the pool it was given (previous prediction) disagrees with the pool its
-   round's picks imply. By induction on listing order, every listing of a
-   component before its first doubtful one got exactly the sequential pool,
-   so all of them are committed with their picks; counters are updated, the
-   new exhaustion points become the next prediction, and the round repeats.
-   The first pending listing of a component is never doubtful, so the loop
-   ends; carrying the prediction lets independent parts of one component
-   settle in the same round (13 rounds instead of 35 at sf0.01).
-
-Components whose pair count is at most ``max_group_pairs`` (the usual
-case) skip the rounds: each is run through the sequential rule in one
-``applyInPandas`` task over its pair summaries, which is exact and parallel
-across components while bounding what one task holds. Only larger
-components go through the rounds, so no unbounded group ever lands in one
-task.
-
-Lineage is cut every round with ``checkpoint()`` (reliable, in
-``spark.checkpoint.dir``), so a lost executor recomputes one round at most.
+2. In each turn every component runs its next listings, as many as have
+   ``block_pairs`` pairs in all, through the sequential rule in one task. No
+   task ever holds more, however large the component.
+3. The picks are written, the counters merged, the pairs of exhausted clients
+   dropped, and the next turn continues with what is pending. A component of
+   at most ``block_pairs`` pairs ends in the first turn.
+
+Every listing is handled after all earlier ones of its component, with their
+counters, so the result is the sequential one by construction. Lineage is cut
+every turn with ``checkpoint()`` (reliable, in ``spark.checkpoint.dir``), so a
+lost executor recomputes one turn at most.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.operators import matching
@@ -57,24 +41,19 @@ from strata.operators.counters import capped_clients, merge_counts
 from strata.session import scratch_path
 
 PAIR_KEYS = matching.PAIR_KEYS
-
-
-def _seq(share_id="share_id", fh_id="fh_id"):
-    # listing order as a comparable struct: no global sort is ever needed
-    return F.struct(F.col(share_id).alias("s"), F.col(fh_id).alias("f"))
+LISTING = matching.LISTING
+BLOCK_PAIRS = 1_000_000
 
 
 def candidate_pairs(houses: DataFrame, intents: DataFrame) -> DataFrame:
     """Pair summaries of both tiers: place pairs, and area pairs of clients
-    that have no place pair with that listing. Columns: fh_id, cid, seq,
+    that have no place pair with that listing. Columns: share_id, fh_id, cid,
     tier, ms, n_rows, rid, see_time, update_time (of the pair's latest row)."""
-    rows = matching.tiered_candidates(houses, intents)
-    seq = houses.select("fh_id", _seq().alias("seq"))
-    return matching.summarize_pairs(rows).join(seq, "fh_id")
+    return matching.summarize_pairs(matching.tiered_candidates(houses, intents))
 
 
 def candidate_pairs_bounded(houses: DataFrame, intents: DataFrame, counts: DataFrame,
-                            cap: int, min_clients: int, max_iter: int = 50) -> DataFrame:
+                            cap: int, min_clients: int) -> DataFrame:
     """``candidate_pairs`` with area-tier pairs only for listings that can open.
 
     A listing opens when fewer than ``min_clients`` of its place clients are
@@ -82,102 +61,88 @@ def candidate_pairs_bounded(houses: DataFrame, intents: DataFrame, counts: DataF
     a client can be exhausted only if its count plus every increment it could
     receive (place pairs, and area pairs of listings that can open) exceeds
     ``cap``. The two sets are grown together from the listings that open for
-    sure until neither changes (a least fixpoint). Any listing that opens in the
-    sequential run is in it, so the result is unchanged; listings that can
-    never open skip the area join.
+    sure until neither changes (a least fixpoint, reached as both only grow).
+    Any listing that opens in the sequential run is in it, so the result is
+    unchanged; listings that can never open skip the area join.
     """
-    seq = houses.select("fh_id", _seq().alias("seq"))
     p1 = matching.summarize_pairs(matching.place_candidates(houses, intents)).checkpoint()
-    n1 = p1.groupBy("fh_id").agg(F.count(F.lit(1)).alias("_n1"))
-    base = houses.select("fh_id").join(n1, "fh_id", "left")
-    opened = base.where(F.coalesce("_n1", F.lit(0)) < min_clients).select("fh_id").checkpoint()
-    for _ in range(max_iter):
+    n1 = p1.groupBy(*LISTING).agg(F.count(F.lit(1)).alias("_n1"))
+    base = houses.select(*LISTING).join(n1, LISTING, "left")
+    opened = base.where(F.coalesce("_n1", F.lit(0)) < min_clients).select(*LISTING).checkpoint()
+    while True:
         p2 = (matching.summarize_pairs(matching.area_candidates(
-                  houses.join(opened, "fh_id", "left_semi"), intents))
+                  houses.join(opened, LISTING, "left_semi"), intents))
               .join(p1.select(*PAIR_KEYS), PAIR_KEYS, "left_anti")).checkpoint()
         pot = (p1.select("cid", "n_rows").unionByName(p2.select("cid", "n_rows"))
                .groupBy("cid").agg(F.sum("n_rows").alias("_pot")))
         risk = (pot.join(counts, "cid", "left")
                 .where(F.coalesce("count", F.lit(0)) + F.col("_pot") > cap).select("cid"))
-        risky = (p1.join(risk, "cid", "left_semi").groupBy("fh_id")
+        risky = (p1.join(risk, "cid", "left_semi").groupBy(*LISTING)
                  .agg(F.count(F.lit(1)).alias("_r")))
-        grown = (base.join(risky, "fh_id", "left")
+        grown = (base.join(risky, LISTING, "left")
                  .where(F.coalesce("_n1", F.lit(0)) - F.coalesce("_r", F.lit(0)) < min_clients)
-                 .select("fh_id").unionByName(opened).distinct().checkpoint())
-        if grown.join(opened, "fh_id", "left_anti").limit(1).count() == 0:
-            return p1.unionByName(p2).join(seq, "fh_id")
+                 .select(*LISTING).unionByName(opened).distinct().checkpoint())
+        if grown.join(opened, LISTING, "left_anti").isEmpty():
+            return p1.unionByName(p2)
         opened = grown
-    raise RuntimeError("area-tier bound did not converge")
 
 
-def label_components(edges: DataFrame, max_iter: int = 500) -> DataFrame:
-    """Connected components of the bipartite (fh_id, cid) graph.
+def label_components(edges: DataFrame) -> DataFrame:
+    """Connected components of the bipartite graph of ``node`` and ``cid``.
 
-    Returns ``(fh_id, comp)``, ``comp`` = smallest ``fh_id`` of the component.
-    Min-label propagation (listing -> client -> listing, one aggregation per
-    half step) with shortcutting: a listing also takes the label of its
-    label, which is itself a listing of the same component, so chains shrink
-    geometrically. Labels only decrease and never leave their component.
+    Returns ``(node, comp)``, ``comp`` = the smallest node of the component.
+    Min-label propagation (node -> client -> node, one aggregation per half
+    step) with shortcutting: a node also takes the label of its label, which is
+    itself a node of the same component, so chains shrink geometrically.
+    Labels only decrease and never leave their component.
     """
-    e = edges.select("fh_id", "cid").distinct().checkpoint()
-    lab = e.select("fh_id").distinct().withColumn("comp", F.col("fh_id")).checkpoint()
-    for _ in range(max_iter):
-        by_client = e.join(lab, "fh_id").groupBy("cid").agg(F.min("comp").alias("comp"))
-        step = (e.join(by_client, "cid").groupBy("fh_id").agg(F.min("comp").alias("c2"))
-                .join(lab, "fh_id").select("fh_id", "comp", F.least("comp", "c2").alias("c3")))
-        hop = lab.select(F.col("fh_id").alias("c3"), F.col("comp").alias("c4"))
+    e = edges.select("node", "cid").distinct().checkpoint()
+    lab = e.select("node").distinct().withColumn("comp", F.col("node")).checkpoint()
+    while True:
+        by_client = e.join(lab, "node").groupBy("cid").agg(F.min("comp").alias("comp"))
+        step = (e.join(by_client, "cid").groupBy("node").agg(F.min("comp").alias("c2"))
+                .join(lab, "node").select("node", "comp", F.least("comp", "c2").alias("c3")))
+        hop = lab.select(F.col("node").alias("c3"), F.col("comp").alias("c4"))
         nxt = (step.join(hop, "c3", "left")
-               .select("fh_id", F.least("c3", F.coalesce("c4", "c3")).alias("c5"), "comp")
-               .select("fh_id", F.col("c5").alias("comp"), (F.col("c5") < F.col("comp")).alias("_chg"))
+               .select("node", F.least("c3", F.coalesce("c4", "c3")).alias("c5"), "comp")
+               .select("node", F.col("c5").alias("comp"), (F.col("c5") < F.col("comp")).alias("_chg"))
                .checkpoint())
-        changed = nxt.where("_chg").limit(1).count()
+        changed = not nxt.where("_chg").isEmpty()
         lab = nxt.drop("_chg")
-        if changed == 0:
+        if not changed:
             return lab
-    raise RuntimeError("component labelling did not converge")
-
 
-def _tentative(live: DataFrame, k: int, min_clients: int) -> DataFrame:
-    """Top-k picks of every pending listing under the current pool."""
-    n1 = (live.where(F.col("tier") == 1).groupBy("fh_id")
-          .agg(F.count(F.lit(1)).alias("n1")))
-    full = n1.where(F.col("n1") >= min_clients).select("fh_id", F.lit(True).alias("_full"))
-    avail = (live.join(full, "fh_id", "left")
-             .where((F.col("tier") == 1) | F.col("_full").isNull()).drop("_full"))
-    return matching.rank_pairs(avail, k)
 
-
-PICK_SCHEMA = ("fh_id long, cid string, ms string, n_rows long, tier int, rid long, "
+_PICK_COLS = ["share_id", "fh_id", "cid", "ms", "n_rows", "tier", "rid", "see_time", "update_time", "rank"]
+PICK_SCHEMA = ("share_id long, fh_id long, cid string, ms string, n_rows long, tier int, rid long, "
                "see_time string, update_time string, rank int")
-_PICK_COLS = ["fh_id", "cid", "ms", "n_rows", "tier", "rid", "see_time", "update_time", "rank"]
 
 
-def _sequential_component(pdf: pd.DataFrame, k: int, cap: int, min_clients: int) -> pd.DataFrame:
-    """The sequential rule over one component's pair summaries (one task).
+def _sequential_block(pdf: pd.DataFrame, k: int, cap: int, min_clients: int) -> pd.DataFrame:
+    """The sequential rule over the pair summaries of one block of listings.
 
     Rows are sorted by listing order, then rank order (latest viewing desc,
     nulls last, then cid); each listing takes its first ``k`` eligible pairs
     whose client is still in the pool, then counters are updated.
     """
-    pdf = pdf.sort_values(["_s", "fh_id", "ms", "cid"], ascending=[True, True, False, True],
+    pdf = pdf.sort_values(["share_id", "fh_id", "ms", "cid"], ascending=[True, True, False, True],
                           na_position="last", kind="mergesort").reset_index(drop=True)
-    counts = dict(zip(pdf["cid"], pdf["count"].fillna(0).astype("int64")))
-    fh = pdf["fh_id"].to_numpy()
-    cid = pdf["cid"].to_numpy()
-    tier = pdf["tier"].to_numpy()
-    n_rows = pdf["n_rows"].to_numpy()
-    starts = np.flatnonzero(np.r_[True, fh[1:] != fh[:-1]])
-    ends = np.r_[starts[1:], len(fh)]
+    client, names = pd.factorize(pdf["cid"])
+    counts = np.zeros(len(names), dtype="int64")
+    counts[client] = pdf["count"].fillna(0).astype("int64").to_numpy()
+    counts, client = counts.tolist(), client.tolist()
+    tier, n_rows = pdf["tier"].tolist(), pdf["n_rows"].tolist()
+    share, fh = pdf["share_id"].to_numpy(), pdf["fh_id"].to_numpy()
+    starts = np.flatnonzero(np.r_[True, (fh[1:] != fh[:-1]) | (share[1:] != share[:-1])]).tolist()
     keep, ranks = [], []
-    for a, b in zip(starts, ends):
-        live = [x for x in range(a, b) if counts[cid[x]] <= cap]
-        if sum(1 for x in live if tier[x] == 1) >= min_clients:
-            live = [x for x in live if tier[x] == 1]
-        top = live[:k]
-        keep.extend(top)
-        ranks.extend(range(1, len(top) + 1))
+    for a, b in zip(starts, [*starts[1:], len(fh)]):
+        live = [x for x in range(a, b) if counts[client[x]] <= cap]
+        place = [x for x in live if tier[x] == 1]
+        top = (place if len(place) >= min_clients else live)[:k]
+        keep += top
+        ranks += range(1, len(top) + 1)
         for x in top:
-            counts[cid[x]] += int(n_rows[x])
+            counts[client[x]] += n_rows[x]
     out = pdf.iloc[keep].copy()
     out["rank"] = np.asarray(ranks, dtype="int32")
     return out[_PICK_COLS]
@@ -185,17 +150,16 @@ def _sequential_component(pdf: pd.DataFrame, k: int, cap: int, min_clients: int)
 
 def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | None = None,
                   k: int = 3, cap: int = 3, min_clients: int = 3,
-                  max_group_pairs: int = 1_000_000, bound_area_tier: bool = False,
-                  max_rounds: int = 100000) -> tuple[DataFrame, DataFrame, int]:
+                  block_pairs: int = BLOCK_PAIRS, bound_area_tier: bool = False) -> tuple[DataFrame, DataFrame, int]:
     """Run the capped assignment.
 
     ``counts(cid, count)`` are the counters valid today (M1). Returns
-    ``(picks, new_counts, rounds)``: ``picks`` has one row per selected
+    ``(picks, new_counts, turns)``: ``picks`` has one row per selected
     (listing, client) pair with ``n_rows`` and the pair's latest intent row
-    (``rid``, ``see_time``), ``new_counts`` is ``(cid, count)``; ``rounds``
-    counts the prefix-commit rounds used for components above
-    ``max_group_pairs`` pairs. ``bound_area_tier`` skips the area join for
-    listings that can never open (``candidate_pairs_bounded``).
+    (``rid``, ``see_time``), ``new_counts`` is ``(cid, count)``; ``turns``
+    counts the prefix blocks of the longest component. ``bound_area_tier``
+    skips the area join for listings that can never open
+    (``candidate_pairs_bounded``).
     """
     spark = houses.sparkSession
     out_path = scratch_path(spark, "assign")
@@ -208,73 +172,35 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
         pairs = candidate_pairs_bounded(houses, pool, counts, cap, min_clients).checkpoint()
     else:
         pairs = candidate_pairs(houses, pool).checkpoint()
+    node = F.struct(*LISTING).alias("node")
     # only clients that could ever pass the cap link listings: a client whose
     # count plus every increment it could receive stays <= cap never leaves
     # the pool, so it cannot make one listing depend on another
     at_risk = (pairs.groupBy("cid").agg(F.sum("n_rows").alias("_pot"))
                .join(counts, "cid", "left")
                .where(F.coalesce("count", F.lit(0)) + F.col("_pot") > cap).select("cid"))
-    comps = label_components(pairs.join(at_risk, "cid", "left_semi"))
-    pairs = (pairs.join(comps, "fh_id", "left")
-             .withColumn("comp", F.coalesce("comp", "fh_id")))
-    sizes = pairs.groupBy("comp").agg((F.count(F.lit(1)) <= max_group_pairs).alias("_small"))
-    pairs = pairs.join(sizes, "comp").checkpoint()
-
-    # bounded components: the sequential rule, one task per component
-    small = (pairs.where("_small").join(counts, "cid", "left")
-             .select(*_PICK_COLS[:-1], "comp", F.col("seq.s").alias("_s"), "count"))
-    def fn(pdf):
-        return _sequential_component(pdf, k, cap, min_clients)
-
-    (small.groupBy("comp").applyInPandas(fn, PICK_SCHEMA)
-     .write.mode("errorifexists").parquet(f"{out_path}/round=0"))
-
-    # larger components: prefix-commit rounds
-    pairs = pairs.where(~F.col("_small")).drop("_small")
-    pending = pairs.select("fh_id", "seq", "comp").distinct().checkpoint()
-    round_counts = counts
-    # predicted exhaustion point of each client (from the previous round's
-    # picks): the client is out of the pool for listings after it
-    predicted = spark.createDataFrame([], "cid string, _x struct<s:long,f:long>")
-    rounds = 0
-    w_client = Window.partitionBy("cid").orderBy("seq")
-    while pending.limit(1).count() > 0:
-        if rounds >= max_rounds:
-            raise RuntimeError("capped assignment did not finish")
-        rounds += 1
-        # the round's candidates and picks are each read twice: keep them for the round
-        cands = (pairs.join(pending.select("fh_id"), "fh_id", "left_semi")
-                 .join(capped_clients(round_counts, cap), "cid", "left_anti")
-                 .join(predicted, "cid", "left")).persist(StorageLevel.MEMORY_AND_DISK)
-        live = cands.where(F.col("_x").isNull() | (F.col("seq") <= F.col("_x"))).drop("_x")
-        picks = _tentative(live, k, min_clients).persist(StorageLevel.MEMORY_AND_DISK)
-        first = (picks.withColumn("_rn", F.row_number().over(w_client))
-                 .where(F.col("_rn") <= cap + 1))
-        exhausted = (first.withColumn("_cum", F.sum("n_rows").over(
-                         w_client.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                     .join(round_counts, "cid", "left")
-                     .where(F.coalesce("count", F.lit(0)) + F.col("_cum") > cap)
-                     .groupBy("cid").agg(F.min("seq").alias("_ex"))).checkpoint()
-        # a listing is doubtful where the pool it was given disagrees with the
-        # pool the picks imply; before the first such listing all is exact
-        out_given = F.coalesce(F.col("seq") > F.col("_x"), F.lit(False))
-        out_implied = F.coalesce(F.col("seq") > F.col("_ex"), F.lit(False))
-        first_doubt = (cands.join(exhausted, "cid", "left").where(out_given != out_implied)
-                       .groupBy("comp").agg(F.min("seq").alias("_fd")))
-        commit = (pending.join(first_doubt, "comp", "left")
-                  .where(F.col("_fd").isNull() | (F.col("seq") < F.col("_fd")))
-                  .select("fh_id").checkpoint())
-        round_path = f"{out_path}/round={rounds}"
-        (picks.join(commit, "fh_id", "left_semi").select(*_PICK_COLS)
-         .write.mode("errorifexists").parquet(round_path))
-        done = spark.read.parquet(round_path)
-        round_counts = merge_counts(round_counts, done.select("cid", F.col("n_rows").alias("n"))
-                                    ).checkpoint()
-        pending = pending.join(commit, "fh_id", "left_anti").checkpoint()
-        predicted = exhausted.select("cid", F.col("_ex").alias("_x"))
-        cands.unpersist()
-        picks.unpersist()
-
-    result = spark.read.schema(PICK_SCHEMA + ", round int").parquet(out_path).drop("round")
-    new_counts = merge_counts(counts, result.select("cid", F.col("n_rows").alias("n"))).checkpoint()
-    return result, new_counts, rounds
+    comps = label_components(pairs.join(at_risk, "cid", "left_semi").select(node, "cid"))
+    sizes = (pairs.groupBy(*LISTING).agg(F.count(F.lit(1)).alias("n")).withColumn("node", node)
+             .join(comps, "node", "left").select(*LISTING, "n", F.coalesce("comp", "node").alias("comp")))
+    before = Window.partitionBy("comp").orderBy(*LISTING).rowsBetween(Window.unboundedPreceding, -1)
+
+    def run_block(pdf):
+        return _sequential_block(pdf, k, cap, min_clients)
+
+    pending = sizes.checkpoint()
+    now, turns = counts, 0
+    while not pending.isEmpty():
+        placed = pending.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        placed = placed.select(*LISTING, "n", "comp", (F.col("_before") + F.col("n") <= block_pairs)
+                               | (F.col("_before") == 0)).toDF(*LISTING, "n", "comp", "_now").checkpoint()
+        block = (pairs.join(placed.where("_now").select(*LISTING, "comp"), LISTING)
+                 .join(now, "cid", "left").where(F.coalesce("count", F.lit(0)) <= cap))
+        (block.select(*_PICK_COLS[:-1], "comp", "count").groupBy("comp").applyInPandas(run_block, PICK_SCHEMA)
+         .write.parquet(f"{out_path}/turn={turns}"))
+        done = spark.read.schema(PICK_SCHEMA).parquet(f"{out_path}/turn={turns}")
+        now = merge_counts(now, done.select("cid", F.col("n_rows").alias("n"))).checkpoint()
+        pending = placed.where(~F.col("_now")).drop("_now")
+        turns += 1
+    if not turns:
+        return spark.createDataFrame([], PICK_SCHEMA), counts, 0
+    return spark.read.schema(PICK_SCHEMA + ", turn int").parquet(out_path).drop("turn"), now, turns

@@ -25,11 +25,11 @@ def load_counts_with_day(counts: DataFrame, day: DataFrame, run_date: str) -> Da
 
 
 def merge_counts(state: DataFrame, delta: DataFrame, run_date: str | None = None) -> DataFrame:
-    """Add ``delta(cid, n)`` to ``state(cid, count)`` (full outer merge)."""
-    s = state.select("cid", F.col("count").cast("long").alias("_c"))
-    d = delta.groupBy("cid").agg(F.sum("n").cast("long").alias("_n"))
-    out = s.join(d, "cid", "full_outer").select(
-        "cid", (F.coalesce("_c", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("count"))
+    """Add ``delta(cid, n)`` to ``state(cid, count)``. One aggregation of
+    both, so a null client is a client like any other."""
+    both = (state.select("cid", F.col("count").cast("long").alias("n"))
+            .unionByName(delta.select("cid", F.col("n").cast("long").alias("n"))))
+    out = both.groupBy("cid").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("count"))
     if run_date is not None:
         out = out.withColumn("p_date", F.lit(run_date))
     return out
@@ -41,5 +41,6 @@ def capped_clients(counts: DataFrame, cap: int = 3) -> DataFrame:
 
 
 def exclude_capped(intents: DataFrame, counts: DataFrame, cap: int = 3) -> DataFrame:
-    """Drop intents of capped clients (left anti join on ``cid``)."""
-    return intents.join(capped_clients(counts, cap), "cid", "left_anti")
+    """Drop intents of capped clients (null-safe left anti join on ``cid``)."""
+    capped = capped_clients(counts, cap).select(F.col("cid").alias("_capped"))
+    return intents.join(capped, F.col("cid").eqNullSafe(F.col("_capped")), "left_anti")

@@ -34,7 +34,9 @@ INTENT_STRING_COLS = ("objective", "area_name", "purpose_school_id", "purpose_sc
 INTENT_DOUBLE_COLS = ("house_area_start", "house_area_end")
 INTENT_INT_COLS = ("purpose_school",)
 
-PAIR_KEYS = ["fh_id", "cid"]
+#: a listing is one share of a house: the same house shared twice is two listings
+LISTING = ["share_id", "fh_id"]
+PAIR_KEYS = [*LISTING, "cid"]
 
 
 def _opt(df: DataFrame, name: str, dtype: str) -> Column:
@@ -45,16 +47,16 @@ def normalize_intents(df: DataFrame, exclude_zero_codes: bool = False) -> DataFr
     """Typed, filtered client intents with parsed location codes.
 
     Keeps rows whose ``area_code`` splits into exactly 3 parts (JVM rule) and
-    whose ``house_type`` is present. Null prices read as 0.0 and a null
-    ``require_type`` as 0, as a primitive read would. ``rid`` must identify
-    an intent row; it breaks ties.
+    whose ``house_type`` and client are present (``rejected_intents`` has the
+    others). Null prices read as 0.0 and a null ``require_type`` as 0, as a
+    primitive read would. ``rid`` identifies an intent row and breaks ties; a
+    table without it gets a hash of the whole row, so that only equal rows,
+    which cannot be told apart, share one.
     """
     parts = split_fields("area_code", "-")
-    keep = has_exact_fields("area_code", "-", 3) & F.col("house_type").isNotNull()
-    if exclude_zero_codes:
-        keep = keep & (F.get(parts, 1) != "0") & (F.get(parts, 2) != "0")
-    return df.where(keep).select(
-        F.col("rid"),
+    rid = F.col("rid") if "rid" in df.columns else F.xxhash64(*[F.col(c) for c in df.columns]).alias("rid")
+    return df.where(_usable(exclude_zero_codes)).select(
+        rid,
         F.col("cid").cast("string").alias("cid"),
         F.col("see_time").cast("string").alias("see_time"),
         F.col("update_time").cast("string").alias("update_time"),
@@ -72,6 +74,19 @@ def normalize_intents(df: DataFrame, exclude_zero_codes: bool = False) -> DataFr
     )
 
 
+def _usable(exclude_zero_codes: bool) -> Column:
+    parts = split_fields("area_code", "-")
+    keep = (has_exact_fields("area_code", "-", 3) & F.col("house_type").isNotNull() & F.col("cid").isNotNull())
+    if exclude_zero_codes:
+        keep = keep & (F.get(parts, 1) != "0") & (F.get(parts, 2) != "0")
+    return keep
+
+
+def rejected_intents(df: DataFrame, exclude_zero_codes: bool = False) -> DataFrame:
+    """The rows that ``normalize_intents`` leaves out."""
+    return df.where(~F.coalesce(_usable(exclude_zero_codes), F.lit(False)))
+
+
 def normalize_houses(df: DataFrame) -> DataFrame:
     """Typed listings; null numerics read as 0 (primitive read)."""
     return df.select(
@@ -152,14 +167,14 @@ def tiered_candidates(houses: DataFrame, intents: DataFrame) -> DataFrame:
 def _full_listings(tier1: DataFrame, min_clients: int) -> DataFrame:
     """Listings with at least ``min_clients`` distinct tier-1 clients."""
     return (tier1.select(*PAIR_KEYS).distinct()
-            .groupBy("fh_id").agg(F.count(F.lit(1)).alias("n1"))
-            .where(F.col("n1") >= min_clients).select("fh_id"))
+            .groupBy(*LISTING).agg(F.count(F.lit(1)).alias("n1"))
+            .where(F.col("n1") >= min_clients).select(*LISTING))
 
 
 def match_candidates(houses: DataFrame, intents: DataFrame, min_clients: int = 3) -> DataFrame:
     """J1 + J2: tier-1 rows, plus tier-2 rows for listings that need them."""
     t1 = place_candidates(houses, intents)
-    open_houses = houses.join(_full_listings(t1, min_clients), "fh_id", "left_anti")
+    open_houses = houses.join(_full_listings(t1, min_clients), LISTING, "left_anti")
     t2 = (area_candidates(open_houses, intents)
           .join(t1.select(*PAIR_KEYS).distinct(), PAIR_KEYS, "left_anti"))
     return t1.unionByName(t2)
@@ -171,7 +186,7 @@ def top_clients_per_house(cands: DataFrame, k: int = 3) -> DataFrame:
     Ranking: ``max(see_time)`` per (listing, client) descending, ties by ``cid``.
     """
     ms = cands.groupBy(*PAIR_KEYS).agg(F.max("see_time").alias("_ms"))
-    w = Window.partitionBy("fh_id").orderBy(F.col("_ms").desc_nulls_last(), F.col("cid"))
+    w = Window.partitionBy(*LISTING).orderBy(F.col("_ms").desc_nulls_last(), F.col("cid"))
     top = ms.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).select(*PAIR_KEYS)
     return cands.join(top, PAIR_KEYS, "left_semi")
 
@@ -209,7 +224,7 @@ def summarize_pairs(cands: DataFrame) -> DataFrame:
     """
     def latest(t):
         return F.max(F.when(F.col("tier") == t, F.struct(
-            F.col("update_time"), (-F.col("rid")).alias("neg_rid"), F.col("see_time"))))
+            F.col("update_time"), F.bitwise_not("rid").alias("not_rid"), F.col("see_time"))))
     agg = cands.groupBy(*PAIR_KEYS).agg(
         F.max(F.when(F.col("tier") == 1, F.col("see_time"))).alias("_ms1"),
         F.max(F.when(F.col("tier") == 2, F.col("see_time"))).alias("_ms2"),
@@ -225,12 +240,12 @@ def summarize_pairs(cands: DataFrame) -> DataFrame:
         F.when(t1, F.col("_ms1")).otherwise(F.col("_ms2")).alias("ms"),
         F.when(t1, F.col("_n1")).otherwise(F.col("_n2")).alias("n_rows"),
         F.when(t1, F.lit(1)).otherwise(F.lit(2)).alias("tier"),
-        (-lat["neg_rid"]).alias("rid"), lat["see_time"].alias("see_time"),
+        F.bitwise_not(lat["not_rid"]).alias("rid"), lat["see_time"].alias("see_time"),
         lat["update_time"].alias("update_time"))
 
 
 def rank_pairs(pairs: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("fh_id").orderBy(F.col("ms").desc_nulls_last(), F.col("cid"))
+    w = Window.partitionBy(*LISTING).orderBy(F.col("ms").desc_nulls_last(), F.col("cid"))
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -243,16 +258,34 @@ def match_pairs(houses: DataFrame, intents: DataFrame, k: int = 3,
     rows of both tiers are summarised by one aggregation and ranked once.
     """
     t1 = place_candidates(houses, intents)
-    open_houses = houses.join(_full_listings(t1, min_clients), "fh_id", "left_anti")
+    open_houses = houses.join(_full_listings(t1, min_clients), LISTING, "left_anti")
     t2 = area_candidates(open_houses, intents)
     return rank_pairs(summarize_pairs(t1.unionByName(t2)), k)
 
 
-def match_result(pairs: DataFrame, houses: DataFrame, intents: DataFrame) -> DataFrame:
-    """Selected pairs with the listing's and the latest intent row's columns."""
-    h = houses.select("fh_id", "share_id", "city_code", "share_worker_id")
+def pair_rows(pairs: DataFrame, houses: DataFrame, intents: DataFrame) -> DataFrame:
+    """T1 from selected pairs: every intent row of a pair that matches its
+    listing on the pair's tier. Joined by client, so only rows of selected
+    clients are ever paired with a listing."""
+    h = houses.select(*LISTING, "price", "rs_type", F.col("room").cast("string").alias("_room"),
+                      F.col("place").alias("_place"), F.col("area").alias("_area"))
+    p = pairs.select(*PAIR_KEYS, "tier").join(h, LISTING)
+    i = _intent_rooms(intents.select("rid", F.col("cid").alias("_cid"), "see_time", "update_time", "place", "area",
+                                     "price_start", "price_end", "house_type", "rs"))
+    at = ((p["tier"] == 1) & (p["_place"] == i["place"])) | ((p["tier"] == 2) & (p["_area"] == i["area"]))
+    return (p.join(i, (p["cid"] == i["_cid"]) & (p["rs_type"] == i["rs"]) & (p["_room"] == i["room_s"]) & at
+                   & p["price"].between(i["price_start"], i["price_end"]))
+            .select(*PAIR_KEYS, "tier", "rid", "see_time", "update_time"))
+
+
+def match_result(pairs: DataFrame, houses: DataFrame, intents: DataFrame, unique_rid: bool = True) -> DataFrame:
+    """Selected pairs with the listing's and the latest intent row's columns.
+    ``unique_rid=False`` if equal intent rows may share a ``rid``."""
+    h = houses.select(*LISTING, "city_code", "share_worker_id")
     i = intents.select("rid", *_PAYLOAD_FIELDS)
-    return pairs.join(i, "rid").join(h, "fh_id")
+    if not unique_rid:
+        i = i.dropDuplicates(["rid"])
+    return pairs.join(i, "rid").join(h, LISTING)
 
 
 def _c4_order():

@@ -13,17 +13,14 @@ The per-rule reference forms are kept as ``rule_users`` / ``rule_active_users``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from contextlib import contextmanager
 
-# Schema-name rewrite applied to stored rule text, and the group
-# that is never counted ("visited today").
-SCHEMA_REWRITES = {"LYJ_DW_V3": "dw"}
-EXCLUDED_GROUP_NAMES = ("今日访问用户",)
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 RULES_PER_PASS = 100
 
 
-def active_rules(rules: DataFrame, exclude_names=EXCLUDED_GROUP_NAMES) -> DataFrame:
+def active_rules(rules: DataFrame, exclude_names) -> DataFrame:
     """R2: ``status = 1``, name not excluded, rule text present and non-empty."""
     return rules.where(
         (F.col("status") == 1)
@@ -33,9 +30,8 @@ def active_rules(rules: DataFrame, exclude_names=EXCLUDED_GROUP_NAMES) -> DataFr
     ).select("id", "group_name", "group_rule_sql")
 
 
-def normalize_rules(rules: DataFrame, mapping: dict | None = None) -> DataFrame:
+def normalize_rules(rules: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Regex rewrite of schema names inside the rule text (case-sensitive)."""
-    mapping = SCHEMA_REWRITES if mapping is None else mapping
     c = F.col("group_rule_sql")
     for pat, rep in mapping.items():
         c = F.regexp_replace(c, pat, rep)
@@ -51,35 +47,64 @@ def _rule_list(rules) -> list[tuple[int, str]]:
     return [(int(i), s) for i, s in rules]
 
 
-def validate_rules(facts: DataFrame, rule_list) -> tuple[list, list]:
-    """Split rules into those Spark can analyse against ``facts`` and the rest.
+@contextmanager
+def _lenient(spark: SparkSession):
+    """Stored rules are read with lenient casts: a value that does not convert
+    is null instead of an error. The mode is kept in the analysed expressions."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def _flag(sql: str):
+    return F.max(F.coalesce(F.expr(f"({sql})"), F.lit(False)).cast("int"))
+
 
-    Analysis only (resolving columns, functions and sub-query views on the
-    driver); no job runs. One bad stored rule must not fail the whole batch.
+def validate_rules(facts: DataFrame, rule_list) -> list[tuple[int, str, str]]:
+    """(id, rule, status) of each rule; the status is ``ok`` or says why the
+    rule cannot be counted.
+
+    Analysis only (columns, functions and sub-query views are resolved on the
+    driver); no job runs. A rule must be a boolean expression of a row that can
+    stand inside an aggregate: ``count(*) > 1`` and ``value`` are no rules. One
+    bad stored rule must not fail the whole batch.
     """
     from pyspark.errors import PySparkException
-    good, bad = [], []
-    for rid, sql in rule_list:
-        try:
-            facts.select(F.expr(f"({sql})").alias("_r")).schema
-            good.append((rid, sql))
-        except (PySparkException, ValueError):
-            bad.append((rid, sql))
-    return good, bad
+    out = []
+    with _lenient(facts.sparkSession):
+        for rid, sql in rule_list:
+            try:
+                kind = facts.select(F.expr(f"({sql})").alias("_r")).schema["_r"].dataType.simpleString()
+                if kind != "boolean":
+                    out.append((rid, sql, f"not a condition: {kind}"))
+                    continue
+                facts.agg(_flag(sql).alias("_r")).schema
+                out.append((rid, sql, "ok"))
+            except (PySparkException, ValueError) as e:
+                reason = e.getCondition() if isinstance(e, PySparkException) else None
+                out.append((rid, sql, f"invalid: {reason or type(e).__name__}"))
+    return out
+
+
+COUNT_SCHEMA = "id int, group_number bigint, group_active_count bigint, status string"
 
 
 def segment_counts(facts: DataFrame, rules, user_col: str = "uuid", date_col: str = "l_date",
                    start: str | None = None, end: str | None = None,
                    rules_per_pass: int = RULES_PER_PASS) -> DataFrame:
-    """``(id, group_number, group_active_count)`` for every rule.
+    """``(id, group_number, group_active_count, status)`` for every rule.
 
     ``start``/``end`` are inclusive ``yyyy-MM-dd`` bounds of the active
     window. Rules are fused ``rules_per_pass`` at a time to bound plan size.
-    A rule that does not analyse against ``facts`` gets null counts instead
-    of failing the run.
+    A rule that cannot be counted gets null counts and a ``status`` that says
+    why, instead of failing the run.
     """
     spark: SparkSession = facts.sparkSession
-    rule_list, invalid = validate_rules(facts, _rule_list(rules))
+    checked = validate_rules(facts, _rule_list(rules))
+    rule_list = [(rid, sql) for rid, sql, status in checked if status == "ok"]
     active = F.lit(True)
     if start is not None:
         active = active & (F.col(date_col) >= F.lit(start))
@@ -88,28 +113,27 @@ def segment_counts(facts: DataFrame, rules, user_col: str = "uuid", date_col: st
     outs = []
     for b in range(0, len(rule_list), rules_per_pass):
         batch = rule_list[b:b + rules_per_pass]
-        flags = [F.max(F.coalesce(F.expr(f"({sql})"), F.lit(False)).cast("int")).alias(f"r{i}")
-                 for i, (_, sql) in enumerate(batch)]
-        per_user = (facts.where(F.col(user_col).isNotNull())
-                    .groupBy(user_col)
-                    .agg(*flags, F.max(F.coalesce(active, F.lit(False)).cast("int")).alias("_act")))
+        with _lenient(spark):
+            per_user = (facts.where(F.col(user_col).isNotNull())
+                        .groupBy(user_col)
+                        .agg(*[_flag(sql).alias(f"r{i}") for i, (_, sql) in enumerate(batch)],
+                             F.max(F.coalesce(active, F.lit(False)).cast("int")).alias("_act")))
         sums = per_user.agg(*[
             F.struct(F.sum(F.col(f"r{i}")).alias("n"),
                      F.sum(F.col(f"r{i}") * F.col("_act")).alias("a")).alias(f"s{i}")
             for i in range(len(batch))])
         # one row per rule: unpivot the single summary row
         stack = F.explode(F.array(*[
-            F.struct(F.lit(rid).alias("id"), F.col(f"s{i}.n").alias("n"), F.col(f"s{i}.a").alias("a"))
+            F.struct(F.lit(rid).cast("int").alias("id"), F.col(f"s{i}.n").alias("n"), F.col(f"s{i}.a").alias("a"))
             for i, (rid, _) in enumerate(batch)]))
         outs.append(sums.select(stack.alias("x")).select(
             "x.id",
             F.coalesce("x.n", F.lit(0)).cast("long").alias("group_number"),
-            F.coalesce("x.a", F.lit(0)).cast("long").alias("group_active_count")))
-    if invalid:
-        outs.append(spark.createDataFrame([(int(rid), None, None) for rid, _ in invalid],
-                                          "id int, group_number bigint, group_active_count bigint"))
-    if not outs:
-        return spark.createDataFrame([], "id int, group_number bigint, group_active_count bigint")
+            F.coalesce("x.a", F.lit(0)).cast("long").alias("group_active_count"),
+            F.lit("ok").alias("status")))
+    bad = [(int(rid), None, None, status) for rid, _, status in checked if status != "ok"]
+    if bad or not outs:
+        outs.append(spark.createDataFrame(bad, COUNT_SCHEMA))
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)

@@ -21,25 +21,24 @@ EVENT_FILE = "event-log"
 
 
 def ingest_log(spark: SparkSession, prefix: str, name: str, spec: LogSpec, target: str,
-               run_ts: dt.datetime, max_partitions: int | None = None,
-               file_pattern: str | None = None) -> DataFrame:
+               run_ts: dt.datetime, file_pattern: str | None = None) -> DataFrame:
     """Parse the previous closed 5-minute bucket under ``prefix`` and append it.
 
     Files are ``<name>.*`` unless ``file_pattern`` says otherwise. Returns the
     parsed DataFrame (already written).
     """
     glob = bucket_glob(prefix, name, run_ts, file_pattern=file_pattern)
-    lines = read_log_lines(spark, glob, max_partitions)
+    lines = read_log_lines(spark, glob)
     parsed = parse_log(lines, spec, run_ts)
     append_partitioned(parsed, target, "l_date")
     return parsed
 
 
 def ingest_page_log(spark: SparkSession, prefix: str, target: str, run_ts: dt.datetime,
-                    max_partitions: int | None = None, file_pattern: str | None = None) -> DataFrame:
-    return ingest_log(spark, prefix, PAGE_FILE, PAGE_SPEC, target, run_ts, max_partitions, file_pattern)
+                    file_pattern: str | None = None) -> DataFrame:
+    return ingest_log(spark, prefix, PAGE_FILE, PAGE_SPEC, target, run_ts, file_pattern)
 
 
 def ingest_event_log(spark: SparkSession, prefix: str, target: str, run_ts: dt.datetime,
-                    max_partitions: int | None = None, file_pattern: str | None = None) -> DataFrame:
-    return ingest_log(spark, prefix, EVENT_FILE, EVENT_SPEC, target, run_ts, max_partitions, file_pattern)
+                     file_pattern: str | None = None) -> DataFrame:
+    return ingest_log(spark, prefix, EVENT_FILE, EVENT_SPEC, target, run_ts, file_pattern)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from strata.operators import matching
 from strata.operators.assignment import assign_capped
 from strata.operators.counters import load_counts
+from strata.session import target_exists
 from strata.sinks.writers import replace_table
 
 # Result layout of the match table.
@@ -24,14 +25,14 @@ RESULT_COLUMNS = ("city_code", "share_id", "fh_id", "share_worker_id", "insert_w
 
 def run_match(houses: DataFrame, intents: DataFrame, state: DataFrame | None, run_date: str,
               k: int = 3, cap: int = 3, min_clients: int = 3) -> tuple[DataFrame, DataFrame, int]:
-    """Return ``(result, new_state, rounds)``; ``state`` is ``(cid, count, p_date)``."""
+    """Return ``(result, new_state, turns)``; ``state`` is ``(cid, count, p_date)``."""
     h = matching.normalize_houses(houses)
     i = matching.normalize_intents(intents)
     counts = load_counts(state, run_date) if state is not None else None
-    picks, new_counts, rounds = assign_capped(h, i, counts, k=k, cap=cap, min_clients=min_clients)
-    result = matching.match_result(picks, h, i).select(
+    picks, new_counts, turns = assign_capped(h, i, counts, k=k, cap=cap, min_clients=min_clients)
+    result = matching.match_result(picks, h, i, unique_rid="rid" in intents.columns).select(
         *RESULT_COLUMNS, "rid", "see_time", "update_time", "n_rows", "rank", "tier")
-    return result, new_counts.withColumn("p_date", F.lit(run_date)), rounds
+    return result, new_counts.withColumn("p_date", F.lit(run_date)), turns
 
 
 def run_match_job(spark: SparkSession, houses: DataFrame, intents: DataFrame, state_target: str,
@@ -41,15 +42,12 @@ def run_match_job(spark: SparkSession, houses: DataFrame, intents: DataFrame, st
     fixes the output file count (1 = a single file); by default AQE sizes
     the files."""
     state = None
-    try:
-        state = (spark.read.parquet(state_target) if "/" in state_target
-                 else spark.table(state_target))
-    except Exception:  # noqa: BLE001 - first run: no state yet
-        state = None
-    result, new_state, rounds = run_match(houses, intents, state, run_date, **kw)
+    if target_exists(spark, state_target):  # else it is the first run; an unreadable state raises
+        state = spark.read.parquet(state_target) if "/" in state_target else spark.table(state_target)
+    result, new_state, turns = run_match(houses, intents, state, run_date, **kw)
     replace_table(result.select(*RESULT_COLUMNS), result_target, files=files)
     replace_table(new_state, state_target, files=files)
-    return rounds
+    return turns
 
 
 def run_best_client_job(houses: DataFrame, intents: DataFrame, result_target: str,

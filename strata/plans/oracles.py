@@ -9,7 +9,8 @@ from __future__ import annotations
 
 # --- bindings (same derivations as strata.sources.bindings) ------------------
 
-HOUSES = """select p_partkey as fh_id, p_partkey as share_id, p_retailprice as price,
+HOUSES = """select p_partkey as fh_id, unnest(case when p_partkey % 10 = 0
+    then [p_partkey, p_partkey + 10000000] else [p_partkey] end) as share_id, p_retailprice as price,
   p_size % 5 + 1 as room, p_brand as area, concat(p_brand, '/', p_type) as place,
   cast(p_partkey % 3 + 1 as int) as rs_type from part"""
 
@@ -33,24 +34,25 @@ NORM_INTENTS = f"""select rid, cid, see_time, update_time, area_code,
 from ({INTENTS}) where len(string_split(area_code, '-')) = 3 and house_type is not null"""
 
 # every (listing, intent row) that matches on place or area; t1 = place match
-PAIRS = f"""select h.fh_id, i.cid, i.rid, i.see_time, i.update_time, h.place = i.place as t1
+PAIRS = f"""select h.share_id, h.fh_id, i.cid, i.rid, i.see_time, i.update_time, h.place = i.place as t1
 from ({HOUSES}) h join ({NORM_INTENTS}) i
   on (h.place = i.place or h.area = i.area) and h.rs_type = i.rs
  and list_contains(string_split(i.house_type, ','), cast(h.room as varchar))
  and h.price between i.price_start and i.price_end"""
 
 GATED = f"""with p as ({PAIRS}),
-g as (select fh_id, count(distinct cid) filter (where t1) as n1 from p group by 1)
-select p.* from p join g using (fh_id)
-where t1 or (n1 < 3 and not exists (select 1 from p q where q.fh_id = p.fh_id and q.cid = p.cid and q.t1))"""
+g as (select share_id, fh_id, count(distinct cid) filter (where t1) as n1 from p group by 1, 2)
+select p.* from p join g using (share_id, fh_id)
+where t1 or (n1 < 3 and not exists (select 1 from p q where q.share_id = p.share_id and q.fh_id = p.fh_id
+                                                        and q.cid = p.cid and q.t1))"""
 
 TOP3 = f"""with c as ({GATED}),
-k as (select fh_id, cid, row_number() over (partition by fh_id order by max(see_time) desc, cid) as r
-      from c group by fh_id, cid)
-select c.* from c join k using (fh_id, cid) where k.r <= 3"""
+k as (select share_id, fh_id, cid, row_number() over (partition by share_id, fh_id order by max(see_time) desc, cid) as r
+      from c group by share_id, fh_id, cid)
+select c.* from c join k using (share_id, fh_id, cid) where k.r <= 3"""
 
-LATEST = f"""select fh_id, cid, rid, see_time from (
-  select *, row_number() over (partition by fh_id, cid order by update_time desc, rid) as rn
+LATEST = f"""select share_id, fh_id, cid, rid, see_time from (
+  select *, row_number() over (partition by share_id, fh_id, cid order by update_time desc, rid) as rn
   from ({TOP3})) where rn = 1"""
 
 JTRIM = r"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
@@ -140,14 +142,14 @@ def _segments(cols) -> str:
 
 
 STORED_RULES = """select cast(ascii(event_type) * 100 + length(event_type) as int) as id,
-  case when event_type = 'view' then '今日访问用户' else event_type end as group_name,
+  case when event_type = 'view' then 'daily visitors' else event_type end as group_name,
   case when event_type = 'error' then '' else concat('event_type = ''', event_type,
-    ''' and uuid in (select uuid from LYJ_DW_V3_facts where value > 100)') end as group_rule_sql,
+    ''' and uuid in (select uuid from OLD_DW_facts where value > 100)') end as group_rule_sql,
   case when event_type = 'signup' then 0 else 1 end as status
 from (select distinct event_type from events)"""
 
-ACTIVE_RULES = f"""select id, group_name, regexp_replace(group_rule_sql, 'LYJ_DW_V3', 'dw', 'g') as group_rule_sql
-from ({STORED_RULES}) where status = 1 and group_name <> '今日访问用户'
+ACTIVE_RULES = f"""select id, group_name, regexp_replace(group_rule_sql, 'OLD_DW', 'dw', 'g') as group_rule_sql
+from ({STORED_RULES}) where status = 1 and group_name <> 'daily visitors'
   and group_rule_sql is not null and group_rule_sql <> ''"""
 
 # the two stored rules that stay active, spelled out per rule
@@ -184,10 +186,10 @@ ORACLES: dict[str, str] = {
     "p9_normalize_intents": f"""select rid, cid, city, area, place, rs, price_start, price_end, house_type
         from ({NORM_INTENTS})""",
     "p14_price_band": "select p_partkey, p_retailprice from part where p_retailprice between 950.0 and 960.0",
-    "j1_place_candidates": f"select fh_id, cid, rid, see_time from ({PAIRS}) where t1",
-    "j2_match_candidates": f"""select fh_id, cid, rid, cast(case when t1 then 1 else 2 end as int) as tier
+    "j1_place_candidates": f"select share_id, fh_id, cid, rid, see_time from ({PAIRS}) where t1",
+    "j2_match_candidates": f"""select share_id, fh_id, cid, rid, cast(case when t1 then 1 else 2 end as int) as tier
         from ({GATED})""",
-    "t1_top_clients_per_house": f"select fh_id, cid, rid from ({TOP3})",
+    "t1_top_clients_per_house": f"select share_id, fh_id, cid, rid from ({TOP3})",
     "w2_latest_per_key": LATEST,
     "c3_match_stateless": LATEST,
     "j3_place_or_area": f"select fh_id, cid, rid, tier from ({J3})",
@@ -195,16 +197,27 @@ ORACLES: dict[str, str] = {
         select *, row_number() over (partition by fh_id order by see_time desc, update_time desc, rid) as rn
         from ({J3})) where rn = 1""",
     "m1_daily_reset": f"select cid, count from ({COUNT_STATE}) where p_date = '1998-08-02'",
-    "a6_merge_counts": f"""select coalesce(a.cid, b.cid) as cid, coalesce(a.count, 0) + coalesce(b.count, 0) as count
-        from (select cid, count from ({COUNT_STATE}) where p_date = '1998-08-02') a
-        full outer join (select cid, count from ({COUNT_STATE}) where p_date = '1998-08-03') b on a.cid = b.cid""",
+    "a6_merge_counts": """select concat('C', cast(o_custkey as varchar)) as cid, count(*) as count
+        from orders group by 1""",
     "j4_exclude_capped": f"""select rid, cid from ({NORM_INTENTS})
         where cid not in (select cid from ({COUNT_STATE}) group by cid having sum(count) > 3)""",
-    "r1_segment_counts": _segments(("group_number", "group_active_count")),
+    "r1_segment_counts": "select *, 'ok' as status from (" + _segments(("group_number", "group_active_count")) + ")",
+    "r1_bad_rules": "select *, true as counted from (" + _segments(("group_number", "group_active_count")) + """) where id <= 2
+        union all select 13, 0, 0, true
+        union all select unnest([11, 12, 14, 15]), null, null, false""",
+    "a2_collect_all_ids": """select user_id, coalesce(string_agg(cast(event_id as varchar), ',' order by event_id)
+        filter (where event_type = 'view'), '') as ids from events group by user_id""",
+    "a10_first_row": "select event_id, user_id, event_type from events order by value desc, event_id limit 1",
+    "k8_preview": f"select rid, cid, area, place from ({NORM_INTENTS}) order by rid limit 20",
+    "j6_intents_of_counted": f"""select rid, cid, cast(c.n as bigint) as count from ({NORM_INTENTS})
+        join (select cid, sum(count) as n from ({COUNT_STATE}) group by cid having sum(count) > 3) c using (cid)""",
+    "f11_days_before": "select event_id, strftime(ts - interval 7 days, '%Y-%m-%d') as day from events",
+    "s3_k1_catalog_roundtrip": f"""select l_date, event_type, count(*) as n, count(distinct uuid) as users
+        from ({FACTS}) where l_date >= '2024-01-10' group by 1, 2""",
     "a3_rule_users": _segments(("group_number",)),
     "a4_rule_active": _segments(("group_active_count",)),
     "r2_active_rules": ACTIVE_RULES,
-    "r1_stored_rule_counts": STORED_RULE_COUNTS,
+    "r1_stored_rule_counts": "select *, 'ok' as status from (" + STORED_RULE_COUNTS + ")",
     "a2_collect_ids": """select user_id, string_agg(cast(event_id as varchar), ',' order by event_id) as ids
         from events where event_id is not null group by user_id""",
     "p15_fill": """select d.doc_id, coalesce(l.quality, 0) as quality, coalesce(l.toxic, 0) as toxic,
@@ -222,9 +235,10 @@ ORACLES.update({
     "c2_ingest_event_log": EVENT_EXPECTED,
     "c1_ingest_page_log": PAGE_EXPECTED,
     "l1_stream_ingest": EVENT_EXPECTED,
+    "l1_stream_buckets": EVENT_EXPECTED,
     "k2_replace_table": ORACLES["a6_merge_counts"],
     "k3_snapshot_table": ORACLES["s4_date_scan"],
-    "k4_csv_export": ORACLES["p14_price_band"],
+    "k4_csv_export": "select p_partkey, p_name, p_retailprice from part",
     "k6_json_export": ORACLES["p15_fill"],
     "p13_tsv_profile": f"""select {_jvm_size('value', chr(9))} as n_fields, count(*) as lines
         from ({TSV_LINES}) group by 1""",
@@ -234,6 +248,39 @@ ORACLES.update({
 
 ORACLES["m2_assign_unbound_cap"] = LATEST
 
+
+def _assigned(state: str, columns: str) -> str:
+    """The sequential rule itself: a recursion over the listings in (share_id,
+    fh_id) order that carries every client's counter."""
+    return f"""with recursive p as ({PAIRS}),
+s as (
+  select share_id, fh_id, cid, bool_or(t1) as place,
+    case when bool_or(t1) then max(see_time) filter (where t1) else max(see_time) end as ms,
+    case when bool_or(t1) then count(*) filter (where t1) else count(*) end as n,
+    case when bool_or(t1) then arg_max(rid, (update_time, -rid)) filter (where t1) else arg_max(rid, (update_time, -rid)) end as rid
+  from p group by share_id, fh_id, cid),
+l as (
+  select row_number() over (order by share_id, fh_id) as i, share_id, fh_id,
+    list(struct_pack(cid := cid, place := place, n := n, rid := rid) order by ms desc nulls last, cid) as c
+  from s group by share_id, fh_id),
+r(i, counts, top) as (
+  select cast(0 as bigint), (select coalesce(map_from_entries(list((cid, cast(n as bigint)))), map([]::varchar[], []::bigint[])) from ({state})),
+    cast([] as struct(cid varchar, place boolean, n bigint, rid bigint)[])
+  union all
+  select i + 1, map_concat(counts, map_from_entries(list_transform(top, lambda x: (x.cid, coalesce(counts[x.cid], 0) + x.n)))), top
+  from (
+    select i, counts, (case when len(list_filter(live, lambda x: x.place)) >= 3 then list_filter(live, lambda x: x.place) else live end)[1:3] as top
+    from (select r.i, r.counts, list_filter(l.c, lambda x: coalesce(r.counts[x.cid], 0) <= 3) as live
+          from r join l on l.i = r.i + 1)))
+select {columns} from (select l.share_id, l.fh_id, unnest(r.top) as x from r join l on l.i = r.i) t"""
+
+
+ORACLES["m2_assign_capped"] = _assigned("select '' as cid, 0 as n where false", "share_id, fh_id, x.cid as cid, x.rid as rid, x.n as n_rows")
+MATCH_STATE = "select concat('C', cast(o_custkey as varchar)) as cid, count(*) // 4 as n from orders group by 1"
+ORACLES["c3_run_match"] = f"""select a.share_id, a.fh_id, a.cid, i.area_code, i.price_start, i.price_end, i.house_type
+    from ({_assigned(MATCH_STATE, "share_id, fh_id, x.cid as cid, x.rid as rid")}) a join ({NORM_INTENTS}) i using (rid)"""
+ORACLES["c3_run_match_catalog"] = _assigned(MATCH_STATE, "share_id, fh_id, x.cid as cid")
+
 ORACLES.update({
     "p6_kv_map": """select cast(user_id as varchar) as uid, event_type as eid, printf('%.2f', value) as obj,
         case when event_id % 5 = 0 then 'b' end as bd from events where event_id % 7 <> 0""",

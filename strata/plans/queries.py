@@ -33,9 +33,13 @@ SEGMENT_RULES = [
     (5, "1=0"),
 ]
 
+# Invented names of the stored rules' binding.
+SCHEMA_REWRITES = {"OLD_DW": "dw"}
+EXCLUDED_GROUPS = ("daily visitors",)
+
 # Counter binding: a client's stored counts are its orders per day.
 COUNT_DAY = "1998-08-02"
-NEXT_DAY = "1998-08-03"
+MERGE_DAY = "1996-06-30"
 
 
 def _houses(spark, sf):
@@ -95,29 +99,31 @@ def p14_price_band(spark: SparkSession, sf: str) -> DataFrame:
 
 def j1_place_candidates(spark: SparkSession, sf: str) -> DataFrame:
     c = matching.place_candidates(_houses(spark, sf), _intents(spark, sf))
-    return c.select("fh_id", "cid", "rid", "see_time")
+    return c.select("share_id", "fh_id", "cid", "rid", "see_time")
 
 
 def j2_match_candidates(spark: SparkSession, sf: str) -> DataFrame:
     c = matching.match_candidates(_houses(spark, sf), _intents(spark, sf))
-    return c.select("fh_id", "cid", "rid", "tier")
+    return c.select("share_id", "fh_id", "cid", "rid", "tier")
 
 
 def t1_top_clients_per_house(spark: SparkSession, sf: str) -> DataFrame:
-    c = matching.match_candidates(_houses(spark, sf), _intents(spark, sf))
-    return matching.top_clients_per_house(c).select("fh_id", "cid", "rid")
+    """The top clients come from the pair summaries; only their rows are fetched."""
+    h, i = _houses(spark, sf), _intents(spark, sf)
+    return matching.pair_rows(matching.match_pairs(h, i), h, i).select("share_id", "fh_id", "cid", "rid")
 
 
 def w2_latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
-    c = matching.match_candidates(_houses(spark, sf), _intents(spark, sf))
-    top = matching.top_clients_per_house(c)
-    return matching.latest_intent_per_pair(top).select("fh_id", "cid", "rid", "see_time")
+    """The latest row of each pair, over the rows of its top clients."""
+    h, i = _houses(spark, sf), _intents(spark, sf)
+    rows = matching.pair_rows(matching.match_pairs(h, i), h, i)
+    return matching.latest_intent_per_pair(rows).select("share_id", "fh_id", "cid", "rid", "see_time")
 
 
 def c3_match_stateless(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: J1+J2+T1+W2 fused (pair summaries, one ranking)."""
     pairs = matching.match_pairs(_houses(spark, sf), _intents(spark, sf))
-    return pairs.select("fh_id", "cid", "rid", "see_time")
+    return pairs.select("share_id", "fh_id", "cid", "rid", "see_time")
 
 
 def j3_place_or_area(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,9 +150,11 @@ def m1_daily_reset(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def a6_merge_counts(spark: SparkSession, sf: str) -> DataFrame:
-    state = _count_state(spark, sf)
-    delta = state.where(F.col("p_date") == NEXT_DAY).select("cid", F.col("count").alias("n"))
-    return counters.merge_counts(counters.load_counts(state, COUNT_DAY), delta)
+    """The counters of all days up to a cut, merged with those after it."""
+    per_day = _count_state(spark, sf)
+    early = F.col("p_date") <= MERGE_DAY
+    state = per_day.where(early).groupBy("cid").agg(F.sum("count").alias("count"))
+    return counters.merge_counts(state, per_day.where(~early).select("cid", F.col("count").alias("n")))
 
 
 def j4_exclude_capped(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,23 +176,13 @@ def r1_segment_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def a3_rule_users(spark: SparkSession, sf: str) -> DataFrame:
-    f = _facts(spark, sf)
-    parts = [segments.rule_users(f, sql).select(F.lit(i).alias("id"), "group_number")
-             for i, sql in SEGMENT_RULES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """A3 for all rules in one scan (the per-rule form is ``segments.rule_users``)."""
+    return r1_segment_counts(spark, sf).select("id", "group_number")
 
 
 def a4_rule_active(spark: SparkSession, sf: str) -> DataFrame:
-    f = _facts(spark, sf)
-    parts = [segments.rule_active_users(f, sql, ACTIVE_START, ACTIVE_END)
-             .select(F.lit(i).alias("id"), "group_active_count") for i, sql in SEGMENT_RULES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """A4 for all rules in one scan (the per-rule form is ``segments.rule_active_users``)."""
+    return r1_segment_counts(spark, sf).select("id", "group_active_count")
 
 
 def stored_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -193,24 +191,30 @@ def stored_rules(spark: SparkSession, sf: str) -> DataFrame:
     et = F.col("event_type")
     return t.select(
         (F.ascii(et) * 100 + F.length(et)).cast("int").alias("id"),
-        F.when(et == "view", F.lit(segments.EXCLUDED_GROUP_NAMES[0])).otherwise(et).alias("group_name"),
+        F.when(et == "view", F.lit(EXCLUDED_GROUPS[0])).otherwise(et).alias("group_name"),
         F.when(et == "error", F.lit("")).otherwise(F.concat(
             F.lit("event_type = '"), et,
-            F.lit("' and uuid in (select uuid from LYJ_DW_V3_facts where value > 100)"))
+            F.lit("' and uuid in (select uuid from OLD_DW_facts where value > 100)"))
         ).alias("group_rule_sql"),
         F.when(et == "signup", F.lit(0)).otherwise(F.lit(1)).alias("status"),
     )
 
 
 def r2_active_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return segments.normalize_rules(segments.active_rules(stored_rules(spark, sf)))
+    return segments.normalize_rules(segments.active_rules(stored_rules(spark, sf), EXCLUDED_GROUPS), SCHEMA_REWRITES)
 
 
 def r1_stored_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
     f = bindings.user_facts(spark, sf)
     f.createOrReplaceTempView("dw_facts")
-    rules = segments.normalize_rules(segments.active_rules(stored_rules(spark, sf)))
-    return segments.segment_counts(f, rules, start=ACTIVE_START, end=ACTIVE_END)
+    return segments.segment_counts(f, r2_active_rules(spark, sf), start=ACTIVE_START, end=ACTIVE_END)
+
+
+def r1_bad_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 beside rules that are no conditions, do not resolve, or do not convert."""
+    rules = SEGMENT_RULES[:2] + [(11, "value"), (12, "count(*) > 1"), (13, "event_type > 5"), (14, "no_such_column = 1"), (15, "value >")]
+    counts = segments.segment_counts(_facts(spark, sf), rules, start=ACTIVE_START, end=ACTIVE_END)
+    return counts.select("id", "group_number", "group_active_count", (F.col("status") == "ok").alias("counted"))
 
 
 # --- small operators -----------------------------------------------------------
@@ -228,19 +232,85 @@ def p15_fill(spark: SparkSession, sf: str) -> DataFrame:
     return misc.fill_defaults(d.join(lab, "doc_id", "left"))
 
 
-def s4_date_scan(spark: SparkSession, sf: str) -> DataFrame:
+def a2_collect_all_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 without the null filter: a key with only nulls gives an empty list."""
+    e = read_table(spark, sf, "events")
+    value = F.when(F.col("event_type") == "view", F.col("event_id"))
+    ids = misc.collect_ids(e.select("user_id", value.alias("view_id")), "user_id", "view_id", drop_null=False)
+    return ids.select("user_id", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+
+
+def a10_first_row(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: the first row, by an order that makes it stable."""
+    e = read_table(spark, sf, "events")
+    return e.orderBy(F.col("value").desc(), "event_id").limit(1).select("event_id", "user_id", "event_type")
+
+
+def k8_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """K8: the first rows as ``show`` would print them, by a stable order."""
+    return _intents(spark, sf).orderBy("rid").limit(20).select("rid", "cid", "area", "place")
+
+
+def j6_intents_of_counted(spark: SparkSession, sf: str) -> DataFrame:
+    """Intents restricted to counted clients by an inner join on ``cid``."""
+    counted = _count_state(spark, sf).groupBy("cid").agg(F.sum("count").alias("count")).where(F.col("count") > 3)
+    return _intents(spark, sf).join(counted, "cid").select("rid", "cid", "count")
+
+
+def f11_days_before(spark: SparkSession, sf: str) -> DataFrame:
+    """the day 7 days before each event's."""
+    from strata.functions.clock import days_before
     f = bindings.user_facts(spark, sf)
-    return misc.date_partition_scan(f, "l_date", start="2024-01-28").select(
+    return f.select("event_id", days_before("l_date", 7).alias("day"))
+
+
+def _facts_by_date(spark, sf) -> DataFrame:
+    """The user facts as a table partitioned by ``l_date`` (K1)."""
+    from strata.sinks.writers import append_partitioned
+    path = scratch_path(spark, "facts_by_date")
+    f = bindings.user_facts(spark, sf)
+    append_partitioned(f, path, "l_date")
+    return spark.read.schema(f.schema).parquet(path)
+
+
+def s4_date_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return misc.date_partition_scan(_facts_by_date(spark, sf), "l_date", start="2024-01-28").select(
         "event_id", "uuid", "l_date", "event_type")
 
 
+def _database(spark) -> str:
+    """A fresh database in the shared folder."""
+    path = scratch_path(spark, "db")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"create database {name} location '{path}'")
+    return name
+
+
+def s3_k1_catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """S3 + K1 + K2 + K3 on catalog tables: two appends into a partitioned table
+    by position (``insertInto``), a pruned scan, a snapshot, then a replacement."""
+    from strata.sinks.writers import append_partitioned, replace_table, snapshot_table
+    db = _database(spark)
+    f = bindings.user_facts(spark, sf).select("event_type", "event_id", "uuid", "value", "l_date")
+    spark.sql(f"create table {db}.facts (event_id bigint, uuid bigint, event_type string, value double, l_date string) "
+              "using parquet partitioned by (l_date)")
+    append_partitioned(f.where("event_id % 2 = 0"), f"{db}.facts")
+    append_partitioned(f.where("event_id % 2 = 1"), f"{db}.facts")
+    recent = misc.date_partition_scan(spark.table(f"{db}.facts"), "l_date", start="2024-01-10")
+    snapshot_table(recent, f"{db}.recent")
+    totals = spark.table(f"{db}.recent").groupBy("l_date", "event_type").agg(F.count("*").alias("n"), F.count_distinct("uuid").alias("users"))
+    replace_table(totals.limit(0), f"{db}.totals")
+    replace_table(totals, f"{db}.totals")
+    return spark.table(f"{db}.totals")
+
+
 # --- ingest jobs, sinks and the stream (write, then read back) ------------------
 
-def _write_bucket(spark, lines: DataFrame, files: int = 16) -> str:
-    """Lay rendered lines out as many small files in the run's 5-minute bucket."""
+def _write_bucket(spark, lines: DataFrame) -> str:
+    """Lay rendered lines out as files in the run's 5-minute bucket."""
     from strata.functions.clock import bucket_folder
     prefix = scratch_path(spark, "logs")
-    lines.repartition(files).write.mode("errorifexists").text(bucket_folder(prefix, RUN_TS))
+    lines.write.mode("errorifexists").text(bucket_folder(prefix, RUN_TS))
     return prefix
 
 
@@ -253,8 +323,7 @@ def c2_ingest_event_log(spark: SparkSession, sf: str) -> DataFrame:
     from strata.plans.ingest import ingest_event_log
     prefix = _write_bucket(spark, bindings.event_lines(spark, sf))
     target = scratch_path(spark, "event_log")
-    parsed = ingest_event_log(spark, prefix, target, RUN_TS, max_partitions=30,
-                              file_pattern="part-*")
+    parsed = ingest_event_log(spark, prefix, target, RUN_TS, file_pattern="part-*")
     return _read_back(spark, target, parsed)
 
 
@@ -262,8 +331,7 @@ def c1_ingest_page_log(spark: SparkSession, sf: str) -> DataFrame:
     from strata.plans.ingest import ingest_page_log
     prefix = _write_bucket(spark, bindings.page_lines(spark, sf))
     target = scratch_path(spark, "page_log")
-    parsed = ingest_page_log(spark, prefix, target, RUN_TS, max_partitions=30,
-                             file_pattern="part-*")
+    parsed = ingest_page_log(spark, prefix, target, RUN_TS, file_pattern="part-*")
     return _read_back(spark, target, parsed)
 
 
@@ -271,7 +339,17 @@ def l1_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """L1: the event parser on a file stream (availableNow), read back from the sink."""
     from strata.streaming.ingest import stream_log
     src = scratch_path(spark, "stream_src")
-    bindings.event_lines(spark, sf).repartition(8).write.text(src)
+    bindings.event_lines(spark, sf).write.text(src)
+    return _streamed(spark, sf, src, stream_log)
+
+
+def l1_stream_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """L1 on the batch layout: files in date and time folders below the source."""
+    from strata.streaming.ingest import stream_log
+    return _streamed(spark, sf, _write_bucket(spark, bindings.event_lines(spark, sf)), stream_log)
+
+
+def _streamed(spark, sf, src, stream_log) -> DataFrame:
     sink, ckpt = scratch_path(spark, "stream_sink"), scratch_path(spark, "stream_ckpt")
     q = stream_log(spark, src, sink, ckpt, logs.EVENT_SPEC, run_ts=RUN_TS,
                    trigger={"availableNow": True}, max_files_per_trigger=3)
@@ -284,9 +362,9 @@ def k2_replace_table(spark: SparkSession, sf: str) -> DataFrame:
     """K2: a counter table replaced by the merged counters (second write wins)."""
     from strata.sinks.writers import replace_table
     path = scratch_path(spark, "counts")
-    replace_table(m1_daily_reset(spark, sf), path, files=1)
+    replace_table(m1_daily_reset(spark, sf), path)
     merged = a6_merge_counts(spark, sf)
-    replace_table(merged, path, files=1)
+    replace_table(merged, path)
     return spark.read.parquet(path).select("cid", "count")
 
 
@@ -294,25 +372,25 @@ def k3_snapshot_table(spark: SparkSession, sf: str) -> DataFrame:
     from strata.sinks.writers import snapshot_table
     path = scratch_path(spark, "snapshot")
     df = s4_date_scan(spark, sf)
-    snapshot_table(df, path, files=4)
+    snapshot_table(df, path)
     return spark.read.parquet(path)
 
 
 def k4_csv_export(spark: SparkSession, sf: str) -> DataFrame:
     from strata.sinks.writers import export
     path = scratch_path(spark, "csv")
-    df = p14_price_band(spark, sf)
-    export(df, path, fmt="csv", mode="errorifexists", files=1)
+    df = read_table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
+    export(df, path, fmt="csv", mode="errorifexists")
     return spark.read.schema(df.schema).csv(path)
 
 
 def k6_json_export(spark: SparkSession, sf: str) -> DataFrame:
-    """K6 + S6: null fill, single-file JSON export, JSON read with a schema."""
+    """K6 + S6: null fill, JSON export, JSON read with a schema."""
     from strata.sinks.writers import export
     from strata.sources.logs import read_json
     path = scratch_path(spark, "json")
     df = p15_fill(spark, sf)
-    export(df, path, fmt="json", mode="overwrite", files=1)
+    export(df, path, fmt="json", mode="overwrite")
     return read_json(spark, path, schema=df.schema).select(*df.columns)
 
 
@@ -338,32 +416,31 @@ def k7_text_export(spark: SparkSession, sf: str) -> DataFrame:
     kept = logs.lines_with_fields(_tsv_lines(spark, sf), "\t", 13)
     out = kept.select(F.concat(F.lit("("), "line", F.lit(","), F.col("n_fields").cast("string"),
                                F.lit(")")).alias("value"))
-    export(out, path, fmt="text", mode="errorifexists", files=1)
+    export(out, path, fmt="text", mode="errorifexists")
     return spark.read.text(path).select(F.col("value").alias("record"))
 
 
-# --- capped assignment (rows-only checks; equality with the model is in tests) --
+# --- capped assignment -------------------------------------------------------------
 
 def m2_assign_capped(spark: SparkSession, sf: str) -> DataFrame:
     """M2 with cap 3 on the matching binding."""
     from strata.operators.assignment import assign_capped
     picks, _, _ = assign_capped(_houses(spark, sf), _intents(spark, sf), k=3, cap=3)
-    return picks.select("fh_id", "cid", "rid", "n_rows")
+    return picks.select("share_id", "fh_id", "cid", "rid", "n_rows")
 
 
 def m2_assign_unbound_cap(spark: SparkSession, sf: str) -> DataFrame:
     """M2 with a cap no client can reach: must equal the stateless chain."""
     from strata.operators.assignment import assign_capped
     picks, _, _ = assign_capped(_houses(spark, sf), _intents(spark, sf), k=3, cap=1 << 40)
-    return picks.select("fh_id", "cid", "rid", "see_time")
+    return picks.select("share_id", "fh_id", "cid", "rid", "see_time")
 
 
 def _match_state(spark, sf) -> DataFrame:
-    """Counter state: each client's 1998 orders, stamped for the run day (some over cap)."""
+    """Counter state: a quarter of each client's orders, stamped for the run day (some over cap)."""
     o = read_table(spark, sf, "orders")
-    return (o.where(F.year("o_orderdate") == 1998)
-            .select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("cid"))
-            .groupBy("cid").agg((F.count(F.lit(1)) % 5).alias("count"))
+    return (o.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("cid"))
+            .groupBy("cid").agg(F.expr("count(*) div 4").alias("count"))
             .withColumn("p_date", F.lit(COUNT_DAY)))
 
 
@@ -375,10 +452,21 @@ def c3_run_match(spark: SparkSession, sf: str) -> DataFrame:
     replace_table_state.write.parquet(state_path)
     run_match_job(spark, bindings.houses(spark, sf), bindings.intents(spark, sf),
                   state_path, result_path, COUNT_DAY)
-    return spark.read.parquet(result_path).select("fh_id", "cid", "area_code", "price_start",
+    return spark.read.parquet(result_path).select("share_id", "fh_id", "cid", "area_code", "price_start",
                                                   "price_end", "house_type")
 
 
+def c3_run_match_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """C3 on catalog tables, with intents that have no row id (S3, K2)."""
+    from strata.plans.match_job import run_match_job
+    db = _database(spark)
+    bindings.houses(spark, sf).write.saveAsTable(f"{db}.listings")
+    bindings.intents(spark, sf).drop("rid").write.saveAsTable(f"{db}.intents")
+    _match_state(spark, sf).write.saveAsTable(f"{db}.counts")
+    run_match_job(spark, spark.table(f"{db}.listings"), spark.table(f"{db}.intents"), f"{db}.counts", f"{db}.result", COUNT_DAY)
+    return spark.table(f"{db}.result").select("share_id", "fh_id", "cid")
+
+
 # --- remaining small operators ------------------------------------------------
 
 def p6_kv_map(spark: SparkSession, sf: str) -> DataFrame:
@@ -400,13 +488,13 @@ def t2_day_table_reset(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def r3_segment_export(spark: SparkSession, sf: str) -> DataFrame:
-    """R3 through the segment job: stored rules -> R2 -> P18 -> R1 -> one CSV of strings."""
+    """R3 through the segment job: stored rules -> R2 -> P18 -> R1 -> a CSV of strings."""
     from strata.plans.segment_job import run_segment_job
     path = scratch_path(spark, "segments_csv")
     facts = bindings.user_facts(spark, sf)
     facts.createOrReplaceTempView("dw_facts")
     out = run_segment_job(facts, stored_rules(spark, sf), ACTIVE_START, ACTIVE_END,
-                          target=path, fmt="csv", files=1)
+                          SCHEMA_REWRITES, EXCLUDED_GROUPS, target=path, fmt="csv")
     return spark.read.schema(out.schema).csv(path)
 
 
@@ -423,5 +511,5 @@ def k5_csv_parallel(spark: SparkSession, sf: str) -> DataFrame:
     from strata.sinks.writers import export
     path = scratch_path(spark, "csv_parallel")
     df = s2_bucket_path(spark, sf)
-    export(df, path, fmt="csv", mode="errorifexists", files=None)
+    export(df, path, fmt="csv", mode="errorifexists")
     return spark.read.schema(df.schema).csv(path)

@@ -72,32 +72,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder, for written tables.
 
     The folder's URI is kept whole, so a table lands on the file system that
-    the setting names whatever the cluster's default file system is."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/strata-{name}-{uuid.uuid4().hex[:12]}"
+    the setting names whatever the cluster's default file system is. The path
+    is deleted when the driver ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/strata-{name}-{uuid.uuid4().hex[:12]}"
+    hadoop_path(spark, path)[0].deleteOnExit(hadoop_path(spark, path)[1])
+    return path
 
 
-def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a path, by Spark's Hadoop configuration."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin repartition when an input has fewer splits than the cluster
-    has cores (e.g. one large file holding a single row group), so the stages
-    that follow are not confined to one task. Filters and column pruning still
-    reach the scan below it; with many input splits this is a no-op."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+def target_exists(spark: SparkSession, target: str) -> bool:
+    """Whether a catalog table, or a path (it contains ``/``), is there."""
+    if "/" not in target:
+        return spark.catalog.tableExists(target)
+    fs, p = hadoop_path(spark, target)
+    return fs.exists(p)
 
 
-# fact-like tables whose rows drive per-row work; dimension tables (part,
-# labels, nation, ...) are small and stay as read
-FACT_TABLES = ("orders", "lineitem", "events", "documents", "pages", "conversations")
+def table_path(sf_dir: str, name: str) -> str:
+    return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool | None = None):
-    df = spark.read.parquet(table_path(sf_dir, name))
-    if spread_out is None:
-        spread_out = name in FACT_TABLES
-    return spread(df) if spread_out else df
+def read_table(spark: SparkSession, sf_dir: str, name: str):
+    return spark.read.parquet(table_path(sf_dir, name))

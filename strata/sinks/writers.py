@@ -49,8 +49,9 @@ def snapshot_table(df: DataFrame, target: str, files: int | None = None) -> None
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists",
-           files: int | None = 1, header: bool = False) -> None:
-    """CSV / JSON / text export. ``files=1`` gives one file, ``None`` natural."""
+           files: int | None = None, header: bool = False) -> None:
+    """CSV / JSON / text export, one file per task. ``files`` asks for a number
+    of files, for small results only: 1 sends all rows through one task."""
     out = df.repartition(files) if files else df
     w = out.write.mode(mode)
     if fmt == "csv":

@@ -21,10 +21,13 @@ _TYPES = ["MEDIUM", "PROMO", "SMALL", "STANDARD", "ECONOMY", "LARGE"]
 
 
 def houses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 10th part is shared twice, so it is two listings."""
     p = read_table(spark, sf_dir, "part")
+    shares = F.when(F.col("p_partkey") % 10 == 0, F.array(F.col("p_partkey"), F.col("p_partkey") + 10_000_000)).otherwise(
+        F.array("p_partkey"))
     return p.select(
         F.col("p_partkey").alias("fh_id"),
-        F.col("p_partkey").alias("share_id"),
+        F.explode(shares).alias("share_id"),
         F.col("p_retailprice").alias("price"),
         (F.col("p_size") % 5 + 1).alias("room"),
         F.col("p_brand").alias("area"),

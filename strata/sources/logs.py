@@ -10,17 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_log_lines(spark: SparkSession, path: str | list[str],
-                   max_partitions: int | None = None) -> DataFrame:
-    """Lines of one or many text files as DataFrame(``value string``).
-
-    ``max_partitions`` caps the number of read tasks (a narrow coalesce, no
-    shuffle); by default the file source's own packing decides.
-    """
-    df = spark.read.text(path)
-    if max_partitions is not None:
-        df = df.coalesce(max_partitions)
-    return df
+def read_log_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines of one or many text files as DataFrame(``value string``); the
+    file source's own packing decides the number of tasks."""
+    return spark.read.text(path)
 
 
 def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:

@@ -24,7 +24,8 @@ def stream_log(spark: SparkSession, source_dir: str, sink_path: str | None, chec
     """Start the stream into parquet files at ``sink_path`` or, with
     ``sink_table``, into a catalog table; ``run_ts=None`` stamps each
     micro-batch's processing date."""
-    reader = spark.readStream.format("text")
+    # the batch layout puts files in date and time folders below the source
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if file_glob:

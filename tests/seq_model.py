@@ -37,6 +37,6 @@ def sequential(houses, intents, counts=None, k=3, cap=3, min_clients=3):
             rows = [i for i in cand if i["cid"] == c]
             counts[c] = counts.get(c, 0) + len(rows)
             best = sorted(rows, key=lambda i: (_desc_key(i["update_time"]), i["rid"]))[0]
-            out.append((h["fh_id"], c, best["rid"], len(rows)))
+            out.append((h["share_id"], h["fh_id"], c, best["rid"], len(rows)))
         pool = [i for i in pool if counts.get(i["cid"], 0) <= cap]
     return out, counts

@@ -13,14 +13,14 @@ I_SCHEMA = ("rid long, cid string, see_time string, update_time string, area_cod
             "price_start double, price_end double, house_type string, require_type int")
 
 
-def _run(spark, houses, intents, counts=None, k=3, cap=3, max_group_pairs=2_000_000,
+def _run(spark, houses, intents, counts=None, k=3, cap=3, block_pairs=2_000_000,
          bound_area_tier=False):
     h = matching.normalize_houses(spark.createDataFrame(houses, H_SCHEMA))
     i = matching.normalize_intents(spark.createDataFrame(intents, I_SCHEMA))
     c = None if counts is None else spark.createDataFrame(list(counts.items()), "cid string, count long")
-    picks, new_counts, _ = assign_capped(h, i, c, k=k, cap=cap, max_group_pairs=max_group_pairs,
+    picks, new_counts, _ = assign_capped(h, i, c, k=k, cap=cap, block_pairs=block_pairs,
                                          bound_area_tier=bound_area_tier)
-    got = sorted((r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
+    got = sorted((r.share_id, r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
     hs = [r.asDict() for r in h.collect()]
     its = [r.asDict() for r in i.collect()]
     exp, exp_counts = sequential(hs, its, counts, k=k, cap=cap)
@@ -45,12 +45,12 @@ def _random_case(seed, n_houses=8, n_intents=30, n_clients=6):
 
 
 @pytest.mark.parametrize("seed", range(6))
-@pytest.mark.parametrize("max_group_pairs", [1, 2_000_000])   # rounds path / grouped-map path
-def test_random_cases_equal_sequential_model(spark, seed, max_group_pairs):
+@pytest.mark.parametrize("block_pairs", [1, 7, 2_000_000])   # many blocks / one
+def test_random_cases_equal_sequential_model(spark, seed, block_pairs):
     houses, intents = _random_case(seed)
     counts = {"c1": 3, "c2": 4} if seed % 2 else None
     got, exp, gc, ec = _run(spark, houses, intents, counts, cap=3 if seed < 3 else 1,
-                            max_group_pairs=max_group_pairs)
+                            block_pairs=block_pairs)
     assert got == exp
     assert gc == ec
 
@@ -63,16 +63,16 @@ def test_cap_boundary_and_rows_counted_before_dedup(spark):
                (4, "two", "2024-01-02", "2024-01-03", "01-A-P", 0.0, 9.0, "2", 1)]
     got, exp, gc, ec = _run(spark, houses, intents, {"c3": 3, "c4": 4})
     assert got == exp
-    assert [(c, n) for _, c, _, n in got] == [("c3", 1), ("two", 2)]  # c4 (count 4) is out
+    assert [(c, n) for _, _, c, _, n in got] == [("c3", 1), ("two", 2)]  # c4 (count 4) is out
     assert gc == ec and gc["two"] == 2 and gc["c3"] == 4
 
 
-@pytest.mark.parametrize("max_group_pairs", [1, 2_000_000])
-def test_binding_sf0001_equals_model(spark, max_group_pairs):
+@pytest.mark.parametrize("block_pairs", [3, 2_000_000])
+def test_binding_sf0001_equals_model(spark, block_pairs):
     h, i = Q._houses(spark, SF_SMALL), Q._intents(spark, SF_SMALL)
-    picks, counts, rounds = assign_capped(h, i, max_group_pairs=max_group_pairs)
-    assert (rounds > 0) == (max_group_pairs == 1)
-    got = sorted((r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
+    picks, counts, rounds = assign_capped(h, i, block_pairs=block_pairs)
+    assert (rounds > 1) == (block_pairs == 3)
+    got = sorted((r.share_id, r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
     exp, ec = sequential([r.asDict() for r in h.collect()], [r.asDict() for r in i.collect()])
     assert got == sorted(exp)
     assert {r.cid: r["count"] for r in counts.collect()} == ec
@@ -83,13 +83,13 @@ def test_label_components_long_chain(spark):
     # a chain listing i -- client i -- listing i+1, plus a separate pair
     n = 40
     rows = [(i, f"c{i}") for i in range(n)] + [(i + 1, f"c{i}") for i in range(n)] + [(500, "z")]
-    lab = label_components(spark.createDataFrame(rows, "fh_id long, cid string"))
-    got = {r.fh_id: r.comp for r in lab.collect()}
+    lab = label_components(spark.createDataFrame(rows, "node long, cid string"))
+    got = {r.node: r.comp for r in lab.collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 500: 500}
 
 
-@pytest.mark.parametrize("max_group_pairs", [1, 2_000_000])
-def test_hot_client_joins_everything(spark, max_group_pairs):
+@pytest.mark.parametrize("block_pairs", [50, 2_000_000])
+def test_hot_client_joins_everything(spark, block_pairs):
     rnd = random.Random(21)
     houses, intents = _random_case(99, n_houses=14, n_intents=40, n_clients=8)
     # one client with many wide intents matching nearly every listing
@@ -97,7 +97,7 @@ def test_hot_client_joins_everything(spark, max_group_pairs):
         intents.append((r, "hot", f"2024-01-{rnd.randint(1, 9):02d}", "2024-02-01",
                         f"01-{rnd.choice(['A', 'B'])}-{rnd.choice(['P1', 'P2', 'P3'])}",
                         0.0, 20.0, "1,2,3", rnd.choice([1, 2, 3, 4])))
-    got, exp, gc, ec = _run(spark, houses, intents, {"c3": 2}, cap=3, max_group_pairs=max_group_pairs)
+    got, exp, gc, ec = _run(spark, houses, intents, {"c3": 2}, cap=3, block_pairs=block_pairs)
     assert got == exp
     assert gc == ec
 
@@ -129,3 +129,25 @@ def test_bound_skips_listings_that_cannot_open(spark):
 
 def _intent(rid, cid, place, see="2024-01-01"):
     return (rid, cid, see, see, f"01-A-{place}", 0.0, 10.0, "2", 1)
+
+
+@pytest.mark.parametrize("block_pairs", [1, 2_000_000])
+def test_a_house_shared_twice_is_two_listings(spark, block_pairs):
+    houses = [(1, 10, "A", "P", 2, 5.0, 1), (1, 11, "A", "P", 2, 5.0, 1)]
+    got, exp, gc, ec = _run(spark, houses, [_intent(7, "c", "P")], block_pairs=block_pairs)
+    assert got == exp == [(10, 1, "c", 7, 1), (11, 1, "c", 7, 1)] and gc == ec == {"c": 2}
+
+
+@pytest.mark.parametrize("block_pairs", [1, 2_000_000])
+def test_intents_without_a_client_are_rejected(spark, block_pairs):
+    houses = [(f, f, "A", "P", 2, 5.0, 1) for f in range(8)]
+    raw = [_intent(1, None, "P"), _intent(2, "y", "P")]
+    df = spark.createDataFrame(raw, I_SCHEMA)
+    assert [r.rid for r in matching.rejected_intents(df).collect()] == [1]
+    got, exp, gc, ec = _run(spark, houses, raw, block_pairs=block_pairs)
+    assert got == exp and gc == ec == {"y": 4}
+
+
+def test_no_listing_or_intent(spark):
+    got, exp, gc, _ = _run(spark, [], [_intent(1, "a", "P")])
+    assert got == exp == [] and gc == {}

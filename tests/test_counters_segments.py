@@ -62,11 +62,11 @@ def test_rules_in_batches(spark):
 
 def test_active_rules_and_rewrite(spark):
     rules = spark.createDataFrame([
-        (1, "g", "LYJ_DW_V3.t.x = 1", 1), (2, "今日访问用户", "x=1", 1), (3, "g", "", 1),
-        (4, "g", None, 1), (5, "g", "y=2", 0), (6, "g", "lyj_dw_v3.t", 1)],
+        (1, "g", "OLD_DW.t.x = 1", 1), (2, "daily visitors", "x=1", 1), (3, "g", "", 1),
+        (4, "g", None, 1), (5, "g", "y=2", 0), (6, "g", "old_dw.t", 1)],
         "id int, group_name string, group_rule_sql string, status int")
-    out = segments.normalize_rules(segments.active_rules(rules)).orderBy("id").collect()
-    assert [(r.id, r.group_rule_sql) for r in out] == [(1, "dw.t.x = 1"), (6, "lyj_dw_v3.t")]
+    out = segments.normalize_rules(segments.active_rules(rules, ("daily visitors",)), {"OLD_DW": "dw"}).orderBy("id").collect()
+    assert [(r.id, r.group_rule_sql) for r in out] == [(1, "dw.t.x = 1"), (6, "old_dw.t")]
 
 
 def test_invalid_rule_reports_null_counts(spark):
@@ -77,3 +77,26 @@ def test_invalid_rule_reports_null_counts(spark):
            segments.segment_counts(facts, rules, start="2024-01-28", end="2024-01-28").collect()}
     assert out[9] == (None, None) and out[10] == (None, None)
     assert out[1][0] > 0 and out[2][0] > 0
+
+
+def test_bad_rules_do_not_touch_good_ones(spark):
+    facts = bindings.user_facts(spark, SF_MID)
+    facts.createOrReplaceTempView("seg_test_facts")
+    good = {r.id: tuple(r) for r in segments.segment_counts(facts, RULES[:2]).collect()}
+    rules = RULES[:2] + [(20, "value"), (21, "count(*) > 1"), (22, "event_type > 5"), (23, "1/0 > 1"), (24, "cast(event_type as int) = 1")]
+    out = {r.id: tuple(r) for r in segments.segment_counts(facts, rules).collect()}
+    assert {i: out[i] for i in good} == good
+    assert out[20][1] is None and "not a condition" in out[20][3]
+    assert out[21][1] is None and out[21][3].startswith("invalid")
+    assert [out[i][1:] for i in (22, 23, 24)] == [(0, 0, "ok")] * 3  # values that do not convert are null
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_merge_counts_adds_null_clients(spark):
+    state = spark.createDataFrame([(None, 2), ("a", 1)], "cid string, count long")
+    delta = spark.createDataFrame([(None, 1), ("b", 5)], "cid string, n long")
+    from strata.operators import counters
+    assert {tuple(r) for r in counters.merge_counts(state, delta).collect()} == {(None, 3), ("a", 1), ("b", 5)}
+    capped = spark.createDataFrame([(None, 9)], "cid string, count long")
+    rows = spark.createDataFrame([(None,), ("a",)], "cid string")
+    assert [r.cid for r in counters.exclude_capped(rows, capped).collect()] == ["a"]

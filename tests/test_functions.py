@@ -167,3 +167,11 @@ def test_kv_rules_against_python_model(spark):
         assert r.m == model, r.p
         for i, k in enumerate(keys):
             assert r[f"k{i}"] == model.get(k), (r.p, k)
+
+
+def test_bucket_path_keeps_null_times_and_combines(spark):
+    from strata.functions.clock import bucket_path
+    rows = [("2024-02-01 00:02:10",), (None,), ("1969-12-31 23:58:01",)]
+    df = spark.createDataFrame(rows, "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    out = df.select(bucket_path("t").alias("a"), bucket_path("t", lag=0).alias("b")).collect()
+    assert [tuple(r) for r in out] == [("2024-01-31/23-55", "2024-02-01/00-00"), (None, None), ("1969-12-31/23-50", "1969-12-31/23-55")]

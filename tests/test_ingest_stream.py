@@ -42,3 +42,17 @@ def test_stream_into_catalog_table(spark):
     q.awaitTermination()
     assert spark.table("strata_stream_events").count() == logs.parse_event_log(lines, dt.datetime(2024, 2, 1)).count()
     spark.sql("drop table strata_stream_events")
+
+
+def test_stream_reads_bucket_folders(spark):
+    from strata.operators.logs import EVENT_SPEC
+    from strata.session import scratch_path
+    from strata.sources import bindings
+    from strata.streaming.ingest import stream_log
+    from strata.plans import queries as Q
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("t_src", "t_sink", "t_ckpt"))
+    lines = bindings.event_lines(spark, "/root/testdata/sf0.001")
+    lines.write.text(f"{src}/2024-02-01/00-00")
+    q = stream_log(spark, src, sink, ckpt, EVENT_SPEC, run_ts=Q.RUN_TS, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert spark.read.parquet(sink).count() > 0

@@ -12,7 +12,7 @@ def _model_rows(spark, houses, intents, counts):
     i = matching.normalize_intents(spark.createDataFrame(intents, I_SCHEMA))
     picks, new_counts = sequential([r.asDict() for r in h.collect()], [r.asDict() for r in i.collect()],
                                    counts)
-    return sorted((f, c) for f, c, _, _ in picks), new_counts
+    return sorted((f, c) for _, f, c, _, _ in picks), new_counts
 
 
 def test_counters_carry_within_a_day_and_reset_next_day(spark):
@@ -66,16 +66,40 @@ def test_segment_job_writes_string_counts(spark):
     rules = spark.createDataFrame([
         (1, "buyers", "event_type = 'purchase'", 1),
         (2, "off", "value > 1", 0),
-        (3, "今日访问用户", "value > 1", 1),
+        (3, "daily visitors", "value > 1", 1),
         (4, "broken", "no_such_col = 1", 1),
-        (5, "rewritten", "uuid in (select uuid from LYJ_DW_V3_t_facts)", 1)],
+        (5, "rewritten", "uuid in (select uuid from OLD_DW_t_facts)", 1)],
         "id int, group_name string, group_rule_sql string, status int")
     facts.createOrReplaceTempView("dw_t_facts")
     path = scratch_path(spark, "t_segjob")
-    run_segment_job(facts, rules, "2024-01-01", "2024-01-31", target=path)
+    run_segment_job(facts, rules, "2024-01-01", "2024-01-31", {"OLD_DW": "dw"}, ("daily visitors",), target=path)
     out = {r.id: (r.group_number, r.group_active_count) for r in spark.read.parquet(path).collect()}
     assert set(out) == {"1", "4", "5"}                       # inactive and excluded rules dropped
     assert out["4"] == (None, None)                          # broken rule reported, not fatal
     n_users = facts.select("uuid").distinct().count()
     assert out["5"] == (str(n_users), str(n_users))          # schema name rewritten, view found
     assert int(out["1"][0]) > 0
+
+
+def test_unreadable_state_raises_and_is_not_replaced(spark):
+    import pytest
+    houses, intents = _random_case(5)
+    h_df, i_df = spark.createDataFrame(houses, H_SCHEMA), spark.createDataFrame(intents, I_SCHEMA)
+    state, result = scratch_path(spark, "t_bad_state"), scratch_path(spark, "t_bad_result")
+    spark.createDataFrame([("not a parquet table",)], "value string").write.text(state)
+    before = spark.read.text(state).collect()
+    with pytest.raises(Exception):
+        run_match_job(spark, h_df, i_df, state, result, "2024-03-01")
+    assert spark.read.text(state).collect() == before
+
+
+def test_match_without_row_ids(spark):
+    houses, intents = _random_case(3, n_houses=10, n_intents=40)
+    i_df = spark.createDataFrame(intents, I_SCHEMA).drop("rid")
+    i_df = i_df.unionByName(i_df.limit(5))  # equal rows
+    numbered = i_df.collect()
+    exp, counts = _model_rows(spark, houses, [(n, *r) for n, r in enumerate(numbered)], None)
+    state, result = scratch_path(spark, "t_state"), scratch_path(spark, "t_result")
+    run_match_job(spark, spark.createDataFrame(houses, H_SCHEMA), spark.createDataFrame(numbered, i_df.schema), state, result, "2024-03-01")
+    assert sorted((r.fh_id, r.cid) for r in spark.read.parquet(result).collect()) == exp
+    assert {r.cid: r["count"] for r in spark.read.parquet(state).collect()} == counts

@@ -8,10 +8,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from strata.plans import queries as Q
 
-WRITES = {"c2_ingest_event_log", "c1_ingest_page_log", "l1_stream_ingest", "k2_replace_table",
-          "k3_snapshot_table", "k4_csv_export", "k6_json_export", "k7_text_export",
-          "r3_segment_export", "k5_csv_parallel", "c3_run_match", "m2_assign_capped",
-          "m2_assign_unbound_cap"}
+OTHERS = set(E.LLM_QUERIES)  # they have tests of their own
 
 
 def _final_plan(df):
@@ -19,7 +16,7 @@ def _final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - OTHERS))
 def test_no_cartesian_or_nested_loop_join(spark, name):
     plan = _final_plan(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
@@ -47,3 +44,13 @@ def test_matching_scans_are_pruned(spark):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert schemas and all(len(s.split(",")) <= 5 for s in schemas)
     assert "o_totalprice" not in plan and "p_name" not in plan
+
+
+def test_date_scan_prunes_partitions(spark):
+    plan = _final_plan(Q.s4_date_scan(spark, SF_SMALL))
+    assert re.search(r"PartitionFilters: \[[^]]*l_date", plan)
+
+
+def test_top_clients_need_few_joins(spark):
+    plan = _final_plan(Q.t1_top_clients_per_house(spark, SF_SMALL)).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)\b", plan)) <= 7
