@@ -10,14 +10,17 @@ the same for all. The order here is by hash, tokens of many classes last (a
 Bloom filter of them is one fixed set, whatever its false positives). Nodes
 that share such a token form a cell. Cells of the same nodes count once.
 
-Stars. In each cell every node is paired with the cell's smallest set; pairs
-that bitmaps allow are verified on the texts, and links give components.
+Stars. In each cell every node is paired with the node that is in most cells,
+as the origin of a group of near copies is; pairs that bitmaps allow are
+verified on the texts, and links give components.
 
 Trees. Only cells with nodes of two or more components are left. There the
 nodes outside the cell's largest component meet all its nodes in a dual
 traversal of signature trees (``signature_tree``), which prunes node pairs by
-size, by possible overlap and by component. What survives is verified and
-joins the components. A pair within one component is never compared.
+size, by possible overlap and by component. Each node's most promising
+survivors are verified first (``ROUNDS``), and join the components, before the
+cells that had more survivors are traversed again; the last round verifies all
+that are left. A pair within one component is never compared.
 
 So each pair that could change a component is either pruned by a bound or
 verified exactly, while a group of thousands of near copies costs a star.
@@ -45,7 +48,9 @@ from strata.llm.words import SPACE_WORDS, word_tables
 SHINGLE = 5
 PERCENT = 80
 #: classes that share a token before it is put last; members of a chunk
-MANY, CHUNK = 64, 512
+MANY, CHUNK = 64, 2048
+#: survivors of a node and chunk that are verified in each round; the last takes all
+ROUNDS = (4, 32, 256, None)
 #: text rows dealt to one verification group
 GROUP_ROWS = 256
 
@@ -214,11 +219,11 @@ def _allowed(percent: int):
     return check
 
 
-def _traverse(kind: str, percent: int):
+def _traverse(kind: str, percent: int, most: int | None):
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    target = to_arrow_schema(StructType.fromDDL(f"a {kind}, b {kind}"), prefers_large_types=False)
+    target = to_arrow_schema(StructType.fromDDL(f"a {kind}, b {kind}, cell bigint, more boolean"), prefers_large_types=False)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("cell", "ascending"), ("i", "ascending"), ("j", "ascending")])
@@ -226,47 +231,53 @@ def _traverse(kind: str, percent: int):
         edge = np.flatnonzero(np.concatenate(([True], np.any(key[:, 1:] != key[:, :-1], axis=0), [True])))
         nodes, sizes, labels = (table.column(c).to_numpy() for c in ("node", "n", "label"))
         bits, lefts = table.column("bitmap").to_pylist(), table.column("minor").to_numpy(zero_copy_only=False)
-        found = set()
+        parts = [(np.empty(0, dtype=np.int64),) * 3 + (np.empty(0, dtype=bool),)]
         for lo, hi in zip(edge[:-1], edge[1:]):
             at = np.arange(lo, hi)
-            sides = []
-            for rows in (at[lefts[lo:hi]], at[~lefts[lo:hi]]):
-                sides.append((rows, ([bits[r] for r in rows], sizes[rows], labels[rows])))
-            if all(len(rows) for rows, _ in sides):
-                for i, j in st.candidates(sides[0][1], sides[1][1], percent):
-                    x, y = nodes[sides[0][0][i]], nodes[sides[1][0][j]]
-                    if x != y:
-                        found.add((min(x, y), max(x, y)))
-        a, b = zip(*found) if found else ((), ())
-        return pa.Table.from_arrays([pa.array(a, target.field(0).type), pa.array(b, target.field(1).type)], schema=target)
+            one, two = at[lefts[lo:hi]], at[~lefts[lo:hi]]
+            if not len(one) or not len(two):
+                continue
+            x, y, bound = st.candidates(*(([bits[r] for r in rows], sizes[rows], labels[rows]) for rows in (one, two)), percent)
+            order = np.lexsort((nodes[two[y]], -bound, x))  # of each node the likeliest first
+            x, y = x[order], y[order]
+            start = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else x
+            count = np.diff(np.append(start, len(x)))
+            more = np.repeat(count > most, count) if most else np.zeros(len(x), dtype=bool)
+            keep = np.arange(len(x)) - np.repeat(start, count) < (most or len(x))
+            u, v = nodes[one[x[keep]]], nodes[two[y[keep]]]
+            parts.append((np.minimum(u, v), np.maximum(u, v), np.full(len(u), key[0][lo]), more[keep]))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(map(np.concatenate, zip(*parts)), target)], schema=target)
 
     return run
 
 
-def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind: str, percent: int) -> DataFrame:
-    """Candidate pairs of different components, by dual traversal in cells.
+def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind: str, percent: int, most: int | None) -> DataFrame:
+    """Candidate pairs a, b of different components, by dual traversal in
+    cells; cell, and more: whether a node had more than ``most`` of them.
 
     ``cells``: cell, node; ``labels``: node, component; ``nodes``: node, n,
     bitmap."""
     member = cells.join(labels, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("label"))
     by_label = member.groupBy("cell", "label").agg(F.count("*").alias("m"))
-    mixed = (by_label.groupBy("cell").agg(F.max_by("label", F.struct("m", "label")).alias("major"), F.sum("m").alias("m"),
-                                          F.max("m").alias("most"), F.count("*").alias("labels"))
-             .where("labels > 1")
-             .select("cell", "major", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"),
-                     F.ceil((F.col("m") - F.col("most")) / CHUNK).cast("int").alias("minors")))
+    mixed = saved(by_label.groupBy("cell")
+                  .agg(F.max_by("label", F.struct("m", "label")).alias("major"), F.sum("m").alias("m"),
+                       F.max("m").alias("most"), F.count("*").alias("labels"))
+                  .where("labels > 1")
+                  .select("cell", "major", "m", (F.col("m") - F.col("most")).alias("few"), F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"),
+                          F.ceil((F.col("m") - F.col("most")) / CHUNK).cast("int").alias("minors")), "mixed")
+    total, = mixed.agg(F.coalesce(F.sum(F.expr("m * minors + few * chunks")), F.lit(0))).first()
     member = member.join(mixed, "cell").join(nodes, "node")
     part = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("minors")).cast("int")
+    to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    # a node goes to the chunks of all nodes as one of the few, and to the chunks of the few as one of all
     column = ["cell", "node", "n", "bitmap", "label"]
-    minor = (member.where(F.col("label") != F.col("major")).withColumn("i", own)
-             .select(*column, "i", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), F.lit(True).alias("minor")))
-    every = (member.withColumn("j", part)
-             .select(*column, F.explode(F.sequence(F.lit(0), F.col("minors") - 1)).alias("i"), "j", F.lit(False).alias("minor")))
-    rows = saved(minor.unionByName(every), "members")
-    groups = max(1, rows.count() // (4 * CHUNK))
-    g = F.pmod(F.xxhash64("cell", "i", "j"), F.lit(groups)).alias("g")
-    return rows.withColumn("g", g).groupBy("g").applyInArrow(_traverse(kind, percent), f"a {kind}, b {kind}").distinct()
+    few = F.when(F.col("label") != F.col("major"), F.transform(to("chunks"), lambda j: F.struct(own.alias("i"), j.alias("j"), F.lit(True).alias("minor"))))
+    every = F.transform(to("minors"), lambda i: F.struct(i.alias("i"), part.alias("j"), F.lit(False).alias("minor")))
+    places = F.concat(F.coalesce(few, F.array().cast("array<struct<i:int,j:int,minor:boolean>>")), every)
+    rows = member.select(*column, F.explode(places).alias("p")).select(*column, "p.i", "p.j", "p.minor")
+    g = F.pmod(F.xxhash64("cell", "i", "j"), F.lit(max(1, total // 2048))).alias("g")
+    return rows.withColumn("g", g).groupBy("g").applyInArrow(_traverse(kind, percent, most), f"a {kind}, b {kind}, cell bigint, more boolean")
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -292,29 +303,34 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     prefixes = nodes.select("node", "n", "prefix")
     shape = f"token bigint, node {kind}, n bigint"
-    shared = saved(map_arrow(prefixes, shape, _exploded(None)).groupBy("token")
-                   .agg(F.count("*").alias("m"), F.min(F.struct("n", "node")).alias("pivot")).where("m > 1"), "shared")
+    shared = saved(map_arrow(prefixes, shape, _exploded(None)).groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "shared")
     known = spark.sparkContext.broadcast(bloom.build(shared, "token", bloom.bits_for(shared.count(), 16)))
-    member = (map_arrow(prefixes, shape, _exploded(known)).join(shared, "token")
-              .select("token", "m", F.col("pivot.node").alias("pivot"), "node"))
-    member = saved(member, "cells")
-    small = (member.where(F.col("m") <= MANY).groupBy("token")
-             .agg(F.min("pivot").alias("pivot"), F.sort_array(F.collect_list("node")).alias("nodes"))
-             .groupBy("nodes").agg(F.min("token").alias("cell"), F.min("pivot").alias("pivot")))
-    cells = saved(small.select("cell", "pivot", F.explode("nodes").alias("node"))
-                  .unionByName(member.where(F.col("m") > MANY).select(F.col("token").alias("cell"), "pivot", "node")), "cell")
+    member = saved(map_arrow(prefixes, shape, _exploded(known)).join(shared, "token").select("token", "m", "node"), "members")
+    small = (member.where(F.col("m") <= MANY).groupBy("token").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+             .groupBy("nodes").agg(F.min("token").alias("cell")))
+    cells = saved(small.select("cell", F.explode("nodes").alias("node"))
+                  .unionByName(member.where(F.col("m") > MANY).select(F.col("token").alias("cell"), "node")), "cell")
+    in_cells = cells.groupBy("node").agg(F.count("*").alias("degree"))
+    pivots = cells.join(in_cells, "node").groupBy("cell").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("pivot"))
 
     bits = nodes.select("node", "n", "bitmap")
     a, b = (bits.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bitmap").alias(f"b{x}")) for x in "ab")
-    stars = (cells.where(F.col("pivot") != F.col("node")).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    stars = (cells.join(pivots, "cell").where(F.col("pivot") != F.col("node"))
+             .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
              .join(a, "a").join(b, "b").select("a", "na", "ba", "b", "nb", "bb"))
-    pairs = saved(map_arrow(stars, f"a {kind}, b {kind}", _allowed(percent)), "star_pairs")
-    links = saved(verified(pairs, involved_texts(own, pairs, kind), kind, shingle, percent), "star_links")
-    labels = components(links)
-    rest = saved(residual_pairs(cells.select("cell", "node"), labels, bits, kind, percent).join(pairs, ["a", "b"], "left_anti")
-                 .join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "rest_pairs")
-    more = saved(verified(rest, involved_texts(own, rest, kind), kind, shingle, percent), "rest_links")
-    links = links.unionByName(more)
+    pairs = saved(map_arrow(stars, f"a {kind}, b {kind}", _allowed(percent)), "pairs")
+    links = saved(verified(pairs, involved_texts(own, pairs, kind), kind, shingle, percent), "links")
+    tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    active = cells.select("cell", "node")
+    for most in ROUNDS:
+        found = saved(residual_pairs(active, components(links), bits, kind, percent, most), "found")
+        pairs = saved(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        links = links.unionByName(saved(verified(pairs, involved_texts(own, pairs, kind), kind, shingle, percent), "links"))
+        tested = tested.unionByName(pairs)
+        more = found.where("more").select("cell").distinct()
+        if more.isEmpty():
+            break
+        active = active.join(more, "cell", "left_semi")
     reach = saved(components(links), "components")
     out = (sizes.join(classes, "sha", "left").withColumn("class_id", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("class_id")))
            .join(reach, F.col("class_id") == F.col("node"), "left")

@@ -1,6 +1,6 @@
 """Signature trees: token bitmaps and sizes, joined by dual traversal.
 
-A set of n tokens has a bitmap of 2n bits or more (a power of two); bit
+A set of n tokens has a bitmap of 4n bits or more (a power of two); bit
 ``token mod width`` is set for each token. A wide bitmap folds onto a narrower
 one by OR of its parts. For sets x and y on one width
 
@@ -22,7 +22,7 @@ LEAF = 16
 
 def bitmap(tokens: np.ndarray) -> bytes:
     """Bitmap of distinct 64-bit tokens."""
-    width = max(64, 1 << (2 * max(1, len(tokens)) - 1).bit_length())
+    width = max(64, 1 << (4 * max(1, len(tokens)) - 1).bit_length())
     bits = np.zeros(width, dtype=bool)
     bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -78,9 +78,10 @@ class Tree:
         return out
 
 
-def dual(x: Tree, y: Tree, percent: int) -> list[tuple[int, int]]:
-    """Pairs (member of x, member of y), as given to the trees, whose labels
-    differ and whose sizes and bitmaps allow the similarity."""
+def dual(x: Tree, y: Tree, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Members of x, members of y (as given to the trees) and the bound of
+    their intersection, for pairs whose labels differ and whose sizes and
+    bitmaps allow the similarity."""
     width = min(x.width, y.width)
     up, vp = x.levels(width), y.levels(width)
     out = []
@@ -100,7 +101,7 @@ def dual(x: Tree, y: Tree, percent: int) -> list[tuple[int, int]]:
             a, b, na, nb = up[0][0][p], vp[0][0][q], x.sizes[p], y.sizes[q]
             most = np.minimum(na - popcount(a & ~b), nb - popcount(b & ~a))
             fit = most >= needed(na, nb, percent)
-            out += zip(x.order[p[fit]].tolist(), y.order[q[fit]].tolist())
+            out.append((x.order[p[fit]], y.order[q[fit]], most[fit]))
             continue
         taller = up[i - 1][1] if i >= j else vp[j - 1][1]
         for s in range(0, len(p), 256):  # open the taller side's nodes
@@ -113,10 +114,10 @@ def dual(x: Tree, y: Tree, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def candidates(left, right, percent: int):
-    """Dual traversal of two member lists (bitmaps, sizes, labels). Members are
-    put into one tree for each bitmap width; sets of the similarity asked for
-    (over a half) have widths that differ by one step at most."""
+def candidates(left, right, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Dual traversal of two member lists (bitmaps, sizes, labels): as
+    ``dual``. Members are put into one tree for each bitmap width; sets of the
+    similarity asked for (over a half) have widths one step apart at most."""
     trees = []
     for bitmaps, sizes, labels in (left, right):
         width = np.array([len(b) for b in bitmaps])
@@ -125,9 +126,10 @@ def candidates(left, right, percent: int):
             at = np.flatnonzero(width == w)
             own[w] = at, Tree([bitmaps[i] for i in at], sizes[at], labels[at])
         trees.append(own)
+    parts = [(np.empty(0, dtype=np.int64),) * 3]
     for w, (at, x) in trees[0].items():
         for v in (w // 2, w, 2 * w):
             if v in trees[1]:
                 bt, y = trees[1][v]
-                for i, j in dual(x, y, percent):
-                    yield int(at[i]), int(bt[j])
+                parts += [(at[i], bt[j], bound) for i, j, bound in dual(x, y, percent)]
+    return tuple(np.concatenate(c) for c in zip(*parts))

@@ -45,6 +45,7 @@ def test_many_near_copies_and_chunks(spark, monkeypatch):
     sets overlap without linking."""
     monkeypatch.setattr(nd, "MANY", 6)
     monkeypatch.setattr(nd, "CHUNK", 8)
+    monkeypatch.setattr(nd, "ROUNDS", (1, 2, None))
     r = random.Random(3)
     base = [r.choice(VOCABULARY) for _ in range(120)]
     other = base[:95] + [r.choice(VOCABULARY) for _ in range(25)]
@@ -83,7 +84,8 @@ def test_dual_traversal_prunes_no_possible_pair(seed):
         sets.append(np.unique(np.append(keep, r.choice(pool, 1))))
     labels = r.integers(0, 4, len(sets))
     side = ([st.bitmap(s) for s in sets], np.array([len(s) for s in sets]), labels)
-    found = set(st.candidates(side, side, 80))
+    left, right, _ = st.candidates(side, side, 80)
+    found = set(zip(left.tolist(), right.tolist()))
     for i, x in enumerate(sets):
         for j, y in enumerate(sets):
             both = len(np.intersect1d(x, y))
