@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm import bloom, signature_tree as st
-from strata.llm.common import map_arrow, read, saved
+from strata.llm.common import field, map_arrow, read, saved
 from strata.llm.graph import components
 from strata.llm.words import SPACE_WORDS, word_tables
 
@@ -51,6 +51,8 @@ PERCENT = 80
 MANY, CHUNK = 64, 2048
 #: survivors of a node and chunk that are verified in each round; the last takes all
 ROUNDS = (4, 32, 256, None)
+#: members of the cells that are traversed in one group
+GROUP_MEMBERS = 20_000
 #: text rows dealt to one verification group
 GROUP_ROWS = 256
 
@@ -223,7 +225,7 @@ def _traverse(kind: str, percent: int, most: int | None):
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    target = to_arrow_schema(StructType.fromDDL(f"a {kind}, b {kind}, cell bigint, more boolean"), prefers_large_types=False)
+    target = to_arrow_schema(StructType.fromDDL(f"a {kind}, b {kind}, cell bigint"), prefers_large_types=False)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("cell", "ascending"), ("i", "ascending"), ("j", "ascending")])
@@ -231,29 +233,37 @@ def _traverse(kind: str, percent: int, most: int | None):
         edge = np.flatnonzero(np.concatenate(([True], np.any(key[:, 1:] != key[:, :-1], axis=0), [True])))
         nodes, sizes, labels = (table.column(c).to_numpy() for c in ("node", "n", "label"))
         bits, lefts = table.column("bitmap").to_pylist(), table.column("minor").to_numpy(zero_copy_only=False)
-        parts = [(np.empty(0, dtype=np.int64),) * 3 + (np.empty(0, dtype=bool),)]
+        parts = [(np.empty(0, dtype=np.int64),) * 4]
         for lo, hi in zip(edge[:-1], edge[1:]):
             at = np.arange(lo, hi)
             one, two = at[lefts[lo:hi]], at[~lefts[lo:hi]]
-            if not len(one) or not len(two):
-                continue
-            x, y, bound = st.candidates(*(([bits[r] for r in rows], sizes[rows], labels[rows]) for rows in (one, two)), percent)
-            order = np.lexsort((nodes[two[y]], -bound, x))  # of each node the likeliest first
-            x, y = x[order], y[order]
-            start = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else x
-            count = np.diff(np.append(start, len(x)))
-            more = np.repeat(count > most, count) if most else np.zeros(len(x), dtype=bool)
-            keep = np.arange(len(x)) - np.repeat(start, count) < (most or len(x))
-            u, v = nodes[one[x[keep]]], nodes[two[y[keep]]]
-            parts.append((np.minimum(u, v), np.maximum(u, v), np.full(len(u), key[0][lo]), more[keep]))
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(map(np.concatenate, zip(*parts)), target)], schema=target)
+            if len(one) and len(two):
+                x, y, bound = st.candidates(*(([bits[r] for r in rows], sizes[rows], labels[rows]) for rows in (one, two)), percent)
+                parts.append((nodes[one[x]], nodes[two[y]], bound, np.full(len(x), key[0][lo])))
+        x, y, bound, cell = map(np.concatenate, zip(*parts))
+        _, once = np.unique(np.stack((x, y)), axis=1, return_index=True)  # cells share pairs
+        once = once[np.lexsort((y[once], -bound[once], x[once]))]  # of each node the likeliest first
+        start = np.flatnonzero(np.concatenate(([True], x[once][1:] != x[once][:-1]))) if len(once) else once
+        count = np.diff(np.append(start, len(once)))
+        place = np.arange(len(once)) - np.repeat(start, count)
+        pair, rest = once[place < (most or len(x))], once[place >= (most or len(x))]
+        left = np.unique(cell[np.isin(x, x[rest])])  # cells to traverse again
+        none = pa.nulls(len(left), target.field(0).type)
+        return pa.concat_tables([
+            pa.Table.from_arrays([pa.array(np.minimum(x[pair], y[pair]), target.field(0).type),
+                                  pa.array(np.maximum(x[pair], y[pair]), target.field(1).type), pa.nulls(len(pair), pa.int64())], schema=target),
+            pa.Table.from_arrays([none, none, pa.array(left, pa.int64())], schema=target)])
 
     return run
 
 
 def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind: str, percent: int, most: int | None) -> DataFrame:
     """Candidate pairs a, b of different components, by dual traversal in
-    cells; cell, and more: whether a node had more than ``most`` of them.
+    cells, the ``most`` likeliest of each node; and, with null a and b, the cells
+    that may have more.
+
+    Cells of one component are traversed in one group, as they share pairs, up
+    to ``GROUP_MEMBERS`` members.
 
     ``cells``: cell, node; ``labels``: node, component; ``nodes``: node, n,
     bitmap."""
@@ -265,19 +275,24 @@ def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind:
                   .where("labels > 1")
                   .select("cell", "major", "m", (F.col("m") - F.col("most")).alias("few"), F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"),
                           F.ceil((F.col("m") - F.col("most")) / CHUNK).cast("int").alias("minors")), "mixed")
-    total, = mixed.agg(F.coalesce(F.sum(F.expr("m * minors + few * chunks")), F.lit(0))).first()
-    member = member.join(mixed, "cell").join(nodes, "node")
+    weight = F.expr("m * minors + few * chunks")
+    total, = mixed.agg(F.coalesce(F.sum(weight), F.lit(0))).first()
+    parts = mixed.groupBy("major").agg(F.ceil(F.sum(weight) / GROUP_MEMBERS).cast("int").alias("salts"))
+    member = saved(member.join(mixed.join(parts, "major"), "cell"), "mixed_members")
+    member = member.join(among(nodes, "node", member.select("node").distinct()), "node")
     part = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("minors")).cast("int")
     to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     # a node goes to the chunks of all nodes as one of the few, and to the chunks of the few as one of all
-    column = ["cell", "node", "n", "bitmap", "label"]
+    column = ["cell", "node", "n", "bitmap", "label", "major", "salts"]
     few = F.when(F.col("label") != F.col("major"), F.transform(to("chunks"), lambda j: F.struct(own.alias("i"), j.alias("j"), F.lit(True).alias("minor"))))
     every = F.transform(to("minors"), lambda i: F.struct(i.alias("i"), part.alias("j"), F.lit(False).alias("minor")))
     places = F.concat(F.coalesce(few, F.array().cast("array<struct<i:int,j:int,minor:boolean>>")), every)
     rows = member.select(*column, F.explode(places).alias("p")).select(*column, "p.i", "p.j", "p.minor")
-    g = F.pmod(F.xxhash64("cell", "i", "j"), F.lit(max(1, total // 2048))).alias("g")
-    return rows.withColumn("g", g).groupBy("g").applyInArrow(_traverse(kind, percent, most), f"a {kind}, b {kind}, cell bigint, more boolean")
+    salt = F.pmod(F.xxhash64("cell"), F.col("salts"))
+    g = F.pmod(F.xxhash64("major", "i", "j", salt), F.lit(max(1, total // 2048))).alias("g")
+    rows = rows.select("cell", "node", "n", "bitmap", "label", "i", "j", "minor", g)
+    return rows.groupBy("g").applyInArrow(_traverse(kind, percent, most), f"a {kind}, b {kind}, cell bigint")
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -315,23 +330,26 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     bits = nodes.select("node", "n", "bitmap")
     a, b = (bits.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bitmap").alias(f"b{x}")) for x in "ab")
-    stars = (cells.join(pivots, "cell").where(F.col("pivot") != F.col("node"))
-             .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-             .join(a, "a").join(b, "b").select("a", "na", "ba", "b", "nb", "bb"))
+    stars = saved(cells.join(pivots, "cell").where(F.col("pivot") != F.col("node"))
+                  .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    stars = (stars.join(among(a, "a", stars.select("a")), "a").join(among(b, "b", stars.select("b")), "b")
+             .select("a", "na", "ba", "b", "nb", "bb"))
     pairs = saved(map_arrow(stars, f"a {kind}, b {kind}", _allowed(percent)), "pairs")
-    links = saved(verified(pairs, involved_texts(own, pairs, kind), kind, shingle, percent), "links")
+    links = saved(verified(pairs, involved_texts(own, pairs), kind, shingle, percent), "links")
     tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    active = cells.select("cell", "node")
+    active, reach = cells.select("cell", "node"), saved(components(links), "components")
     for most in ROUNDS:
-        found = saved(residual_pairs(active, components(links), bits, kind, percent, most), "found")
-        pairs = saved(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(saved(verified(pairs, involved_texts(own, pairs, kind), kind, shingle, percent), "links"))
-        tested = tested.unionByName(pairs)
-        more = found.where("more").select("cell").distinct()
+        found = saved(residual_pairs(active, reach, bits, kind, percent, most), "found")
+        pairs = saved(found.where("cell IS NULL").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            new = saved(verified(pairs, involved_texts(own, pairs), kind, shingle, percent), "links")
+            tested, links = tested.unionByName(pairs), links.unionByName(new)
+            if not new.isEmpty():
+                reach = saved(components(links), "components")
+        more = found.where("cell IS NOT NULL").select("cell").distinct()
         if more.isEmpty():
             break
         active = active.join(more, "cell", "left_semi")
-    reach = saved(components(links), "components")
     out = (sizes.join(classes, "sha", "left").withColumn("class_id", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("class_id")))
            .join(reach, F.col("class_id") == F.col("node"), "left")
            .select("id", "n", F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
@@ -339,20 +357,27 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     return out, links
 
 
-def involved_texts(docs: DataFrame, pairs: DataFrame, kind: str) -> DataFrame:
-    """id, text of the nodes in ``pairs``; a Bloom filter keeps most other
-    texts out of the shuffle."""
-    ids = saved(pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct(), "ids")
-    keys = ids.select(F.xxhash64("rid").alias("k"))
-    sent = docs.sparkSession.sparkContext.broadcast(bloom.build(keys, "k", bloom.bits_for(ids.count(), 16)))
+def among(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is in ``ids`` (one column, saved), and few
+    others: a Bloom filter in front of a join, which keeps most rows that the
+    join would drop out of its shuffle."""
+    keys = ids.select(F.xxhash64(ids.columns[0]).alias("k"))
+    sent = df.sparkSession.sparkContext.broadcast(bloom.build(keys, "k", bloom.bits_for(ids.count(), 16)))
+    names = df.columns
 
     def pick(batch: pa.RecordBatch):
-        at = np.flatnonzero(sent.value.has(batch.column(2).to_numpy()))
+        at = np.flatnonzero(sent.value.has(batch.column(batch.num_columns - 1).to_numpy()))
         for s in range(0, len(at), 512):
             part = batch.take(pa.array(at[s:s + 512]))
-            yield {"id": part.column(0), "text": part.column(1)}
+            yield {c: part.column(i) for i, c in enumerate(names)}
+
+    return map_arrow(df.select("*", F.xxhash64(column)), ", ".join(field(df, c) for c in names), pick)
 
-    texts = map_arrow(docs.where(F.col("id").isNotNull()).select("id", "text", F.xxhash64("id")), f"id {kind}, text string", pick)
+
+def involved_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """id, text of the nodes in ``pairs``."""
+    ids = saved(pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct(), "ids")
+    texts = among(docs.where(F.col("id").isNotNull()).select("id", "text"), "id", ids)
     return texts.join(ids, F.col("id") == F.col("rid"), "left_semi")
 
 
