@@ -23,26 +23,26 @@ def bits_for(keys: int, per_key: int = 10, most: int = MAX_BITS) -> int:
     return min(most, max(1 << 10, 1 << (max(1, keys * per_key) - 1).bit_length()))
 
 
-def positions(keys: np.ndarray, bits: int, k: int, seed: int) -> np.ndarray:
-    """k bit positions for each key, by double hashing; shape (k, keys)."""
+def places(keys: np.ndarray, bits: int, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each key its word and the mask of its k bits, all in that word."""
     keys = keys.view(np.uint64) if keys.dtype == np.int64 else keys.astype(np.uint64)
     a = mix(keys ^ np.uint64(0xA5A5A5A5 + 2 * seed))
-    b = mix(a + np.uint64(0x51ED270B)) | np.uint64(1)
-    steps = np.arange(k, dtype=np.uint64)[:, None]
-    return (a[None, :] + steps * b[None, :]) & np.uint64(bits - 1)
+    b = mix(a + np.uint64(0x51ED270B))
+    mask = np.zeros(len(keys), dtype=np.uint64)
+    for j in range(k):
+        mask |= np.uint64(1) << ((b >> np.uint64(6 * j)) & np.uint64(63))
+    return (a & np.uint64(bits // 64 - 1)).astype(np.int64), mask
 
 
 class Bloom:
-    """``bits`` (a power of two) bits, ``k`` positions for each key."""
+    """``bits`` (a power of two) bits, ``k`` (at most 10) of them for each key."""
 
     def __init__(self, words: np.ndarray, bits: int, k: int, seed: int):
         self.words, self.bits, self.k, self.seed = words, bits, k, seed
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), dtype=bool)
-        for row in positions(keys, self.bits, self.k, self.seed):
-            out &= (self.words[row >> np.uint64(6)] >> (row & np.uint64(63))) & np.uint64(1) > 0
-        return out
+        word, mask = places(keys, self.bits, self.k, self.seed)
+        return (self.words[word] & mask) == mask
 
 
 def build(keys: DataFrame, column: str, bits: int, k: int = 5, seed: int = 0) -> Bloom:
@@ -50,11 +50,12 @@ def build(keys: DataFrame, column: str, bits: int, k: int = 5, seed: int = 0) ->
 
     def words_of(batch: pa.RecordBatch):
         own = batch.column(0).drop_null().to_numpy(zero_copy_only=False)
-        at = positions(own, bits, k, seed).ravel()
-        word, inverse = np.unique(at >> np.uint64(6), return_inverse=True)
-        value = np.zeros(len(word), dtype=np.uint64)
-        np.bitwise_or.at(value, inverse, np.uint64(1) << (at & np.uint64(63)))
-        yield {"word": word.astype(np.int64), "value": value.view(np.int64)}
+        word, mask = places(own, bits, k, seed)
+        order = np.argsort(word, kind="stable")
+        word, mask = word[order], mask[order]
+        first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))) if len(word) else word
+        value = np.bitwise_or.reduceat(mask, first) if len(word) else mask
+        yield {"word": word[first], "value": value.view(np.int64)}
 
     rows = (map_arrow(keys.select(F.col(column).cast("long")), "word bigint, value bigint", words_of)
             .groupBy("word").agg(F.bit_or("value").alias("value")).toArrow())

@@ -279,7 +279,7 @@ def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind:
     total, = mixed.agg(F.coalesce(F.sum(weight), F.lit(0))).first()
     parts = mixed.groupBy("major").agg(F.ceil(F.sum(weight) / GROUP_MEMBERS).cast("int").alias("salts"))
     member = saved(member.join(mixed.join(parts, "major"), "cell"), "mixed_members")
-    member = member.join(among(nodes, "node", member.select("node").distinct()), "node")
+    member = member.join(among(nodes, "node", saved(member.select("node").distinct(), "mixed_nodes")), "node")
     part = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("minors")).cast("int")
     to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -349,7 +349,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         more = found.where("cell IS NOT NULL").select("cell").distinct()
         if more.isEmpty():
             break
-        active = active.join(more, "cell", "left_semi")
+        active = saved(active.join(more, "cell", "left_semi"), "active")
     out = (sizes.join(classes, "sha", "left").withColumn("class_id", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("class_id")))
            .join(reach, F.col("class_id") == F.col("node"), "left")
            .select("id", "n", F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
