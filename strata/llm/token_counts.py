@@ -23,6 +23,7 @@ truncation, padding or prefix space, are taken; others raise ``ValueError``.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections import Counter
 
@@ -62,6 +63,7 @@ class Splitter:
     """Splits texts into pre-tokens and special strings."""
 
     def __init__(self, body: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(body)
@@ -87,7 +89,7 @@ class Splitter:
         return [len(e.ids) for e in self.tokenizer.encode_batch(pretokens, add_special_tokens=False)]
 
 
-def _texts(batch: pa.RecordBatch, at: int, step: int = 512):
+def _texts(batch: pa.RecordBatch, at: int, step: int = 128):
     col = batch.column(at)
     for a in range(0, len(col), step):
         yield a, [t or "" for t in col.slice(a, step).to_pylist()]
@@ -102,15 +104,15 @@ def vocabulary(docs: DataFrame, text: str, body) -> DataFrame:
         for _, texts in _texts(batch, 0):
             for t in texts:
                 total.update(own.counts(t)[0])
-            if len(total) > 300_000:
+            if len(total) > 100_000:
                 yield {"token": list(total), "freq": list(total.values())}
                 total = Counter()
         yield {"token": list(total), "freq": list(total.values())}
 
     def count(batch: pa.RecordBatch):
         own = Splitter(body.value)
-        for a in range(0, batch.num_rows, 10_000):
-            part = batch.slice(a, 10_000)
+        for a in range(0, batch.num_rows, 2_000):
+            part = batch.slice(a, 2_000)
             yield {"token": part.column(0), "freq": part.column(1), "pieces": own.pieces(part.column(0).to_pylist())}
 
     distinct = map_arrow(docs.select(text), "token string, freq bigint", scan).groupBy("token").agg(F.sum("freq").alias("freq"))
