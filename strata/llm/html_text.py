@@ -3,20 +3,25 @@
 1. Every page is parsed into elements. An element's path is the chain of its
    ancestors' tags, classes and ids (numbers dropped).
 2. The DOMs of one host are merged by path: a node of the site's tree counts
-   how its occurrences are presented (the sequence of their child elements)
-   and what they contain (their text). Both are distributions, and a node's
-   importance is the mean of their entropies, each over the log of the number
-   of occurrences: 0 where all pages look and read alike, 1 where all differ.
-   A node that occurs once has importance 1.
+   how it is presented (the sequence of its child elements) and what it
+   contains (its text). Pages of one text count once, and so does a value that
+   a page repeats: c is the number of distinct pages with a value, n that of
+   distinct pages with the path. A value's importance is 1 - log c / log n: 0
+   where all pages have it, 1 where one page has it. A path's importance is the
+   mean over its presentations and contents, which is the mean of the two
+   entropies. A path on a single page has importance 1.
 3. Elements whose markup states their purpose (menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles, comments) are branches
    of importance 0, and the article or main element one of importance 1, in
    which nothing but the former is removed. On pages without such an element
-   branches below ``LEAST`` are removed.
+   paths below ``LEAST`` on ``LEAST_PAGES`` distinct pages or more are searched:
+   an element there goes if the mean of its path's presentation and of its own
+   content is below ``LEAST`` too, so what only one page has always stays.
+   html and body never go, and a page that would lose all its text keeps it.
 4. What is left is read block by block.
 
 The merged tree is counted by aggregation, so a host that owns a third of all
-pages is spread by (path, presentation, text) like any other. The nodes to
+pages is spread by (path, page, value) like any other. The elements to
 remove are broadcast if they are at most ``MOST_NODES``; more of them are
 joined to the pages by host.
 
@@ -65,10 +70,10 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "main", "children", "texts")
+    __slots__ = ("tag", "path", "noise", "main", "parent", "cut", "children", "texts")
 
-    def __init__(self, tag: str, path: int, noise: bool, main: bool):
-        self.tag, self.path, self.noise, self.main = tag, path, noise, main
+    def __init__(self, tag: str, path: int, noise: bool, main: bool, parent: Element | None = None):
+        self.tag, self.path, self.noise, self.main, self.parent, self.cut = tag, path, noise, main, parent, False
         self.children: list[str] = []
         self.texts: list[str] = []
 
@@ -84,7 +89,7 @@ def _element(tag: str, attrs: str, parent: Element | None) -> Element:
     if tag in ("html", "body"):  # such words on the page itself say nothing about a branch
         noise = False
     main = not noise and (tag in MAIN or not MAIN_ROLES.isdisjoint(roles))
-    return Element(tag, path, noise or bool(parent and parent.noise), main or bool(parent and parent.main))
+    return Element(tag, path, noise or bool(parent and parent.noise), main or bool(parent and parent.main), parent)
 
 
 def parse(page: str) -> Iterator[tuple[str, object]]:
@@ -136,68 +141,111 @@ def parse(page: str) -> Iterator[tuple[str, object]]:
         yield "close", stack.pop()
 
 
-def site_nodes(page: str) -> Iterator[tuple[int, int, int]]:
-    """(path, presentation, content) of each element that holds text and is
-    not noise by its markup."""
-    open_: list[Element] = []
+def branches(page: str) -> tuple[list[tuple[Element | None, str]], list[Element]]:
+    """The texts that are not noise by markup, each with its element (None at
+    block edges), and the elements that hold them."""
+    texts, held = [], []
     for kind, x in parse(page):
-        if kind == "open":
-            open_.append(x)
+        if kind == "break":
+            texts.append((None, ""))
         elif kind == "text":
             stack, text = x
-            if not stack[-1].noise and not text.isspace():
-                for e in stack[1:]:
-                    e.texts.append(text)
+            if not stack[-1].noise:
+                texts.append((stack[-1], text))
+                if not text.isspace():
+                    for e in stack[1:]:
+                        e.texts.append(text)
         elif kind == "close" and x.texts and not x.noise:
-            yield x.path, xxhash.xxh64_intdigest(" ".join(x.children)) >> 1, xxhash.xxh64_intdigest(" ".join("".join(x.texts).split())) >> 1
+            held.append(x)
+    return texts, held
+
+
+def _content(e: Element) -> int:
+    """An element's path and text."""
+    return xxhash.xxh64_intdigest(" ".join("".join(e.texts).split()), seed=e.path & 0xFFFFFFFF) >> 1
+
+
+def _blocks(texts, main: bool, whole: bool) -> str:
+    """Blocks in or outside the article or main element; without those in
+    elements that are cut, if not ``whole``."""
+    parts: list[list[str]] = [[]]
+    for e, text in texts:
+        if e is None:
+            parts.append([])
+        elif e.main == main and (whole or not _cut(e)):
+            parts[-1].append(text)
+    blocks = (" ".join(htmllib.unescape("".join(p)).split()) for p in parts if p)
+    return " ".join(b for b in blocks if b)
+
+
+def _cut(e: Element | None) -> bool:
+    while e is not None and not e.cut:
+        e = e.parent
+    return e is not None
+
+
+LOOK, CONTENT, PAGE = range(3)
+
+
+def site_nodes(page: str) -> tuple[int, set[tuple[int, int, int]]]:
+    """The page's text as a hash, and (path, kind, value) of its elements that
+    hold text and are not noise by their markup."""
+    texts, held = branches(page)
+    out = set()
+    for e in held:
+        out |= {(e.path, LOOK, xxhash.xxh64_intdigest(" ".join(e.children)) >> 1), (e.path, CONTENT, _content(e)), (e.path, PAGE, 0)}
+    return xxhash.xxh64_intdigest(_blocks(texts, True, True) or _blocks(texts, False, True)) >> 1, out
 
 
 def main_text(page: str, removed=frozenset()) -> str:
     """Blocks of the article or main element; without one, blocks in no
-    branch that is in ``removed`` (paths)."""
-    main, other = [[]], [[]]
-    for kind, x in parse(page):
-        if kind == "break":
-            main.append([])
-            other.append([])
-        elif kind == "text":
-            stack, text = x
-            if not stack[-1].noise:
-                if stack[-1].main:
-                    main[-1].append(text)
-                elif not any(e.path in removed for e in stack):
-                    other[-1].append(text)
-    for parts in (main, other):
-        blocks = (" ".join(htmllib.unescape("".join(p)).split()) for p in parts if p)
-        text = " ".join(b for b in blocks if b)
-        if text:
-            return text
-    return ""
+    element that is in ``removed`` (paths with texts), or all if none is left."""
+    texts, held = branches(page)
+    for e in held if removed else ():
+        e.cut = e.tag not in ("html", "body") and _content(e) in removed
+    return _blocks(texts, True, True) or _blocks(texts, False, False) or _blocks(texts, False, True)
 
 
-def site_tree(pages: DataFrame) -> DataFrame:
-    """host, path, n, importance of the merged trees; ``pages``: host, html."""
+def site_values(pages: DataFrame) -> DataFrame:
+    """host, path, kind, value, c: distinct pages with each value of the merged
+    trees; ``pages``: host, html."""
 
     def scan(batch: pa.RecordBatch):
         for a in range(0, batch.num_rows, 256):
-            host, path, look, text = [], [], [], []
+            out = {c: [] for c in ("host", "page", "path", "kind", "value")}
             hosts, pages_ = (batch.column(i).slice(a, 256).to_pylist() for i in (0, 1))
             for h, page in zip(hosts, pages_):
-                for node in site_nodes(page or ""):
-                    host.append(h)
-                    path.append(node[0])
-                    look.append(node[1])
-                    text.append(node[2])
-            yield {"host": host, "path": path, "look": look, "text": text}
-
-    nodes = map_arrow(pages.select("host", "html"), "host string, path bigint, look bigint, text bigint", scan)
-    seen = (nodes.select("host", "path", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("look").alias("value")),
-                                                           F.struct(F.lit(1).alias("kind"), F.col("text").alias("value")))).alias("x"))
-            .groupBy("host", "path", "x.kind", "x.value").agg(F.count("*").alias("c")))
-    entropy = (seen.groupBy("host", "path", "kind")
-               .agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
-               .withColumn("h", F.when(F.col("n") > 1, 1 - F.col("clogc") / (F.col("n") * F.log("n"))).otherwise(F.lit(1.0))))
-    return entropy.groupBy("host", "path").agg(F.max("n").alias("n"), F.avg("h").alias("importance"))
+                key, nodes = site_nodes(page or "")
+                for path, kind, value in nodes:
+                    out["path"].append(path)
+                    out["kind"].append(kind)
+                    out["value"].append(value)
+                out["host"] += [h] * len(nodes)
+                out["page"] += [key] * len(nodes)
+            yield out
+
+    nodes = map_arrow(pages.select("host", "html"), "host string, page bigint, path bigint, kind int, value bigint", scan)
+    return nodes.distinct().groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c"))
+
+
+def site_tree(values: DataFrame) -> DataFrame:
+    """host, path, n (distinct pages), look (importance of the presentation),
+    importance of the merged trees; ``values``: as ``site_values``."""
+    of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x))
+    mean = lambda kind: F.when(F.col("n") > 1, 1 - F.col(f"clogc{kind}") / (F.col(f"c{kind}") * F.log("n"))).otherwise(F.lit(1.0))
+    sums = [of(kind, x).alias(f"{name}{kind}") for kind in (LOOK, CONTENT) for name, x in (("c", F.col("c")), ("clogc", F.col("c") * F.log("c")))]
+    paths = values.groupBy("host", "path").agg(of(PAGE, F.col("c")).alias("n"), *sums)
+    return paths.select("host", "path", "n", mean(LOOK).alias("look"), ((mean(LOOK) + mean(CONTENT)) / 2).alias("importance"))
+
+
+def low_elements(values: DataFrame, least: float) -> DataFrame:
+    """host, node: the paths with texts to remove."""
+    low = (site_tree(values).where((F.col("importance") < least) & (F.col("n") >= LEAST_PAGES))
+           .select(F.col("host").alias("site"), F.col("path").alias("branch"), "n", "look"))
+    own = (F.col("look") + 1 - F.log("c") / F.log("n")) / 2
+    return (values.where((F.col("kind") == CONTENT) & (F.col("c") > 1))
+            .join(low, F.col("host").eqNullSafe(F.col("site")) & (F.col("path") == F.col("branch")))
+            .where(own < least).select("host", F.col("value").alias("node")))
 
 
 def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", least: float = LEAST,
@@ -206,7 +254,7 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     host, _ = split_url(F.col(url))
     kind = pages.schema[page_id].dataType.simpleString()
     own = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), host.alias("host"))
-    low = saved(site_tree(own).where((F.col("importance") < least) & (F.col("n") >= LEAST_PAGES)).select("host", "path"), "site_nodes")
+    low = saved(low_elements(saved(site_values(own), "site_values"), least), "site_nodes")
     schema = f"page_id {kind}, url string, text string"
     if low.count() <= most_nodes:
         removed: dict[str, set[int]] = {}
@@ -214,8 +262,8 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
             removed.setdefault(h, set()).add(p)
         sent = pages.sparkSession.sparkContext.broadcast(removed)
         return map_arrow(own, schema, _texts(lambda batch: [sent.value.get(h, frozenset()) for h in batch.column(3).to_pylist()]))
-    by_host = low.groupBy(F.col("host").alias("site")).agg(F.collect_set("path").alias("paths"))
-    return map_arrow(own.join(by_host, F.col("host") == F.col("site"), "left").select("page_id", "url", "html", "paths"),
+    by_host = low.groupBy(F.col("host").alias("site")).agg(F.collect_set("node").alias("nodes"))
+    return map_arrow(own.join(by_host, F.col("host").eqNullSafe(F.col("site")), "left").select("page_id", "url", "html", "nodes"),
                      schema, _texts(lambda batch: [frozenset(p or ()) for p in batch.column(3).to_pylist()]))
 
 

@@ -46,3 +46,26 @@ def test_articles_of_the_test_pages(spark):
         body = re.sub(r"</?(?:p|br|h1)>", "\n", re.sub(r"</?b>", "", body))
         assert got[r["page_id"]]["text"] == " ".join(html.unescape(body).split())
         assert got[r["page_id"]]["n_chars"] == len(got[r["page_id"]]["text"])
+
+
+def texts(spark, rows, **options):
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    return [r["text"] for r in sorted(H.extract(pages, **options).collect(), key=lambda r: r["page_id"])]
+
+
+def test_hosts_of_copies_keep_their_text(spark):
+    page = lambda words: f"<body><div><p>Always the same line.</p></div><section><p>{words}</p></section></body>"
+    rows = [("http://copies.net/", page("One text."))] * 20  # a host of copies only
+    rows += [("http://half.net/", page("One text."))] * 20 + [("http://half.net/", page(f"Words of page {i}.")) for i in range(20)]
+    # contents of one path, of which some repeat and some are unique
+    rows += [("http://mixed.net/", page("Closed today." if i % 10 else f"Words of page {i}.") + f"<h2>{i}</h2>") for i in range(60)]
+    want = ["Always the same line. One text."] * 20 + ["One text."] * 20 + [f"Words of page {i}." for i in range(20)]
+    want += [f"{i}" if i % 10 else f"Words of page {i}. {i}" for i in range(60)]
+    for limit in (H.MOST_NODES, 0):
+        assert texts(spark, rows, most_nodes=limit) == want
+
+
+def test_cells_of_a_single_page_stay(spark):
+    cells = ["a"] * 50 + ["b"] * 30 + ["c"] * 20
+    page = "<table><tr>" + "".join(f"<td>{c}" for c in cells) + "</table>"
+    assert texts(spark, [("http://s.net/", page)]) == [" ".join(cells)]
