@@ -12,9 +12,13 @@
    entropies. A path on a single page has importance 1.
 3. Elements whose markup states their purpose (menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles, comments) are branches
-   of importance 0, and the article or main element one of importance 1, in
-   which nothing but the former is removed. On pages without such an element
-   paths below ``LEAST`` on ``LEAST_PAGES`` distinct pages or more are searched:
+   of importance 0. A class or id states one if all of its words are of that
+   kind or say where the branch stands ("site-header", "cookie-banner"); one
+   that merely holds such a word ("has-sidebar", "share-price") states nothing.
+   An article or main element that is not inside another one ends what class
+   and id of its ancestors state. It is a branch of importance 1, in which
+   nothing but the former is removed. On pages without such an element paths
+   below ``LEAST`` on ``LEAST_PAGES`` distinct pages or more are searched:
    an element there goes if the mean of its path's presentation and of its own
    content is below ``LEAST`` too, so what only one page has always stays.
    html and body never go, and a page that would lose all its text keeps it.
@@ -27,7 +31,7 @@ joined to the pages by host.
 
 Defined cases: null and empty html gives an empty string; null urls share one
 host; text outside any element counts as the body's; broken markup is read as
-far as it goes; repeated rows give repeated rows and count each; an empty table
+far as it goes; repeated rows give repeated rows and count once; an empty table
 gives an empty table; other columns are not read.
 """
 
@@ -58,6 +62,9 @@ NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertisements spon
                         "navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget cookie cookies consent "
                         "notice notices alert popup modal overlay newsletter subscribe signup login search share sharing social "
                         "related recommended comment comments reply replies disqus pagination pager toolbar".split())
+#: words beside those that only place a branch or say what kind of box it is
+PLACE_WORDS = frozenset("site page main global top bottom left right primary secondary box block bar list item items container wrapper wrap "
+                        "section area inner outer link links button buttons icon icons".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MAIN_ROLES = frozenset("main article".split())
 #: opening one of these closes an open one of those
@@ -65,37 +72,45 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
           "option": ("option",)}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "main", "parent", "cut", "children", "texts")
+    __slots__ = ("tag", "path", "stated", "named", "noise", "main", "parent", "cut", "children", "texts")
 
-    def __init__(self, tag: str, path: int, noise: bool, main: bool, parent: Element | None = None):
-        self.tag, self.path, self.noise, self.main, self.parent, self.cut = tag, path, noise, main, parent, False
+    def __init__(self, tag: str, path: int, stated: bool, named: bool, main: bool, parent: Element | None = None):
+        self.tag, self.path, self.main, self.parent, self.cut = tag, path, main, parent, False
+        self.stated, self.named, self.noise = stated, named, stated or named  # by tag and role, by class and id
         self.children: list[str] = []
         self.texts: list[str] = []
 
 
-def _element(tag: str, attrs: str, parent: Element | None) -> Element:
-    words, roles = [], []
-    for name, *values in _ATTR.findall(attrs):
-        value = next((v for v in values if v), "").lower()
-        (roles if name.lower() == "role" else words).extend(_WORD.findall(value) if name.lower() != "role" else value.split())
-    own = f"{tag}.{'.'.join(words)}"
-    path = xxhash.xxh64_intdigest(own, seed=(parent.path if parent else 0) & 0xFFFFFFFF) >> 1
-    noise = tag in NOISE or not NOISE_WORDS.isdisjoint(words) or not NOISE_ROLES.isdisjoint(roles)
+def _named(names: list[str]) -> bool:
+    """Whether one of the names is a whole role of noise."""
+    return any(not NOISE_WORDS.isdisjoint(w) and all(x in NOISE_WORDS or x in PLACE_WORDS for x in w) for w in map(_WORD.findall, names))
+
+
+def _element(tag: str, attrs: str, parent: Element) -> Element:
+    own = {}
+    for name, *values in _ATTR.findall(attrs):  # the first of a name holds
+        own.setdefault(name.lower(), next((v for v in values if v), "").lower())
+    names, roles = own.get("class", "").split() + own.get("id", "").split(), own.get("role", "").split()
+    words = [w for name in names for w in _WORD.findall(name)]
+    path = xxhash.xxh64_intdigest(f"{tag}.{'.'.join(words)}", seed=parent.path & 0xFFFFFFFF) >> 1
+    main = tag in MAIN or not MAIN_ROLES.isdisjoint(roles)
+    stated = tag in NOISE or not NOISE_ROLES.isdisjoint(roles)
+    named = tag != "main" and _named(names)
     if tag in ("html", "body"):  # such words on the page itself say nothing about a branch
-        noise = False
-    main = not noise and (tag in MAIN or not MAIN_ROLES.isdisjoint(roles))
-    return Element(tag, path, noise or bool(parent and parent.noise), main or bool(parent and parent.main), parent)
+        stated = named = False
+    stated, named = stated or parent.stated, named or (parent.named and not (main and not parent.main))
+    return Element(tag, path, stated, named, parent.main or (main and not stated and not named), parent)
 
 
 def parse(page: str) -> Iterator[tuple[str, object]]:
     """Events in page order: ("open", element), ("text", (stack, text)),
     ("break", None) at block edges, ("close", element)."""
-    root = Element("", 0, False, False)
+    root = Element("", 0, False, False, False)
     stack = [root]
     at, n = 0, len(page)
     while at < n:

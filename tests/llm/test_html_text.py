@@ -69,3 +69,18 @@ def test_cells_of_a_single_page_stay(spark):
     cells = ["a"] * 50 + ["b"] * 30 + ["c"] * 20
     page = "<table><tr>" + "".join(f"<td>{c}" for c in cells) + "</table>"
     assert texts(spark, [("http://s.net/", page)]) == [" ".join(cells)]
+
+
+def test_names_that_only_hint_at_noise():
+    article = "<article><p>text</p></article>"
+    for wrapper in ("div class='page has-sidebar'", "div class='layout nav-open'", "div id='search-results'", "div id=search", "div class='site-header'",
+                    "div data-id=share", "a href='/x?id=share'", "div title='class=ad'", "div data-class='ad'"):
+        assert H.main_text(f"<body><{wrapper}>{article}</body>") == "text", wrapper
+        assert H.main_text(f"<article><div><{wrapper}>in</article>") == ("" if "search" in wrapper.split("=") or "site" in wrapper else "in"), wrapper
+    for inside in ("div class='share-price'", "section id='related-work'", "div class=unrelated", "p class='x' data-id='ad'"):
+        assert H.main_text(f"<article><{inside}>in</article>") == "in", inside
+    for noise in ("div class='site-header'", "div id=cookie-banner", "ul class='x social_share'", "section CLASS = 'Comments'", "div class='ad1'"):
+        assert H.main_text(f"<article>k<{noise}>n") == "k", noise
+    # an article inside named noise of an article is part of it, as is one whose own name says so
+    assert H.main_text("<main><p>k</p><div id=comments><article>c</article></div></main>") == "k"
+    assert H.main_text("<article>k</article><article class=comment>c</article><aside><article>n</article></aside>") == "k"
