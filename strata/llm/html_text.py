@@ -16,13 +16,14 @@
    kind or say where the branch stands ("site-header", "cookie-banner"); one
    that merely holds such a word ("has-sidebar", "share-price") states nothing.
    An article or main element that is not inside another one ends what class
-   and id of its ancestors state. It is a branch of importance 1, in which
-   nothing but the former is removed. On pages without such an element paths
-   below ``LEAST`` on ``LEAST_PAGES`` distinct pages or more are searched:
+   and id of its ancestors state, and its text is preferred to all other.
+4. Paths below ``LEAST`` on ``LEAST_PAGES`` distinct pages or more are searched:
    an element there goes if the mean of its path's presentation and of its own
-   content is below ``LEAST`` too, so what only one page has always stays.
-   html and body never go, and a page that would lose all its text keeps it.
-4. What is left is read block by block.
+   content is below ``LEAST`` too, so what only one page has always stays. In
+   an article or main element the bound is ``LEAST_MAIN``, unless a name hints
+   at noise: there a text has to be on nearly all pages. html and body never
+   go, and an article or page that would lose all its text keeps it.
+5. What is left is read block by block.
 
 The merged tree is counted by aggregation, so a host that owns a third of all
 pages is spread by (path, page, value) like any other. The elements to
@@ -48,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from strata.llm.common import map_arrow, read, saved
 from strata.llm.url_filter import split_url
 
-LEAST, LEAST_PAGES, MOST_NODES = 0.3, 3, 200_000
+LEAST, LEAST_MAIN, LEAST_PAGES, MOST_NODES = 0.3, 0.05, 3, 200_000
 
 # Markup names: fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -77,10 +78,10 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "stated", "named", "noise", "main", "parent", "cut", "children", "texts")
+    __slots__ = ("tag", "path", "stated", "named", "noise", "main", "kept", "parent", "cut", "children", "texts")
 
-    def __init__(self, tag: str, path: int, stated: bool, named: bool, main: bool, parent: Element | None = None):
-        self.tag, self.path, self.main, self.parent, self.cut = tag, path, main, parent, False
+    def __init__(self, tag: str, path: int, stated: bool, named: bool, main: bool, kept: bool, parent: Element | None = None):
+        self.tag, self.path, self.main, self.kept, self.parent, self.cut = tag, path, main, kept, parent, False
         self.stated, self.named, self.noise = stated, named, stated or named  # by tag and role, by class and id
         self.children: list[str] = []
         self.texts: list[str] = []
@@ -97,20 +98,22 @@ def _element(tag: str, attrs: str, parent: Element) -> Element:
         own.setdefault(name.lower(), next((v for v in values if v), "").lower())
     names, roles = own.get("class", "").split() + own.get("id", "").split(), own.get("role", "").split()
     words = [w for name in names for w in _WORD.findall(name)]
-    path = xxhash.xxh64_intdigest(f"{tag}.{'.'.join(words)}", seed=parent.path & 0xFFFFFFFF) >> 1
     main = tag in MAIN or not MAIN_ROLES.isdisjoint(roles)
     stated = tag in NOISE or not NOISE_ROLES.isdisjoint(roles)
     named = tag != "main" and _named(names)
     if tag in ("html", "body"):  # such words on the page itself say nothing about a branch
         stated = named = False
     stated, named = stated or parent.stated, named or (parent.named and not (main and not parent.main))
-    return Element(tag, path, stated, named, parent.main or (main and not stated and not named), parent)
+    main = parent.main or (main and not stated and not named)
+    kept = main and (parent.kept or not parent.main) and NOISE_WORDS.isdisjoint(words)  # in an article, and no name hints at noise
+    path = xxhash.xxh64_intdigest(f"{tag}.{'.'.join(words)}{'!' if kept else ''}", seed=parent.path & 0xFFFFFFFF) >> 1
+    return Element(tag, path, stated, named, main, kept, parent)
 
 
 def parse(page: str) -> Iterator[tuple[str, object]]:
     """Events in page order: ("open", element), ("text", (stack, text)),
     ("break", None) at block edges, ("close", element)."""
-    root = Element("", 0, False, False, False)
+    root = Element("", 0, False, False, False, False)
     stack = [root]
     at, n = 0, len(page)
     while at < n:
@@ -208,17 +211,17 @@ def site_nodes(page: str) -> tuple[int, set[tuple[int, int, int]]]:
     texts, held = branches(page)
     out = set()
     for e in held:
-        out |= {(e.path, LOOK, xxhash.xxh64_intdigest(" ".join(e.children)) >> 1), (e.path, CONTENT, _content(e)), (e.path, PAGE, 0)}
+        out |= {(e.path, LOOK, xxhash.xxh64_intdigest(" ".join(e.children)) >> 1), (e.path, CONTENT, _content(e)), (e.path, PAGE, int(e.kept))}
     return xxhash.xxh64_intdigest(_blocks(texts, True, True) or _blocks(texts, False, True)) >> 1, out
 
 
 def main_text(page: str, removed=frozenset()) -> str:
-    """Blocks of the article or main element; without one, blocks in no
-    element that is in ``removed`` (paths with texts), or all if none is left."""
+    """Blocks of the article or main element, or without one of the page, in no
+    element that is in ``removed`` (paths with texts); all if none is left."""
     texts, held = branches(page)
     for e in held if removed else ():
         e.cut = e.tag not in ("html", "body") and _content(e) in removed
-    return _blocks(texts, True, True) or _blocks(texts, False, False) or _blocks(texts, False, True)
+    return next(filter(None, (_blocks(texts, main, whole) for main in (True, False) for whole in (False, True))), "")
 
 
 def site_values(pages: DataFrame) -> DataFrame:
@@ -244,23 +247,25 @@ def site_values(pages: DataFrame) -> DataFrame:
 
 
 def site_tree(values: DataFrame) -> DataFrame:
-    """host, path, n (distinct pages), look (importance of the presentation),
-    importance of the merged trees; ``values``: as ``site_values``."""
+    """host, path, kept (in an article), n (distinct pages), look (importance of
+    the presentation), importance of the merged trees; ``values``: as
+    ``site_values``."""
     of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x))
     mean = lambda kind: F.when(F.col("n") > 1, 1 - F.col(f"clogc{kind}") / (F.col(f"c{kind}") * F.log("n"))).otherwise(F.lit(1.0))
     sums = [of(kind, x).alias(f"{name}{kind}") for kind in (LOOK, CONTENT) for name, x in (("c", F.col("c")), ("clogc", F.col("c") * F.log("c")))]
-    paths = values.groupBy("host", "path").agg(of(PAGE, F.col("c")).alias("n"), *sums)
-    return paths.select("host", "path", "n", mean(LOOK).alias("look"), ((mean(LOOK) + mean(CONTENT)) / 2).alias("importance"))
+    paths = values.groupBy("host", "path").agg(of(PAGE, F.col("c")).alias("n"), of(PAGE, F.col("value")).alias("kept"), *sums)
+    return paths.select("host", "path", (F.col("kept") > 0).alias("kept"), "n", mean(LOOK).alias("look"), ((mean(LOOK) + mean(CONTENT)) / 2).alias("importance"))
 
 
 def low_elements(values: DataFrame, least: float) -> DataFrame:
     """host, node: the paths with texts to remove."""
-    low = (site_tree(values).where((F.col("importance") < least) & (F.col("n") >= LEAST_PAGES))
-           .select(F.col("host").alias("site"), F.col("path").alias("branch"), "n", "look"))
+    bound = F.when(F.col("kept"), F.lit(min(least, LEAST_MAIN))).otherwise(F.lit(least))
+    low = (site_tree(values).where((F.col("importance") < bound) & (F.col("n") >= LEAST_PAGES))
+           .select(F.col("host").alias("site"), F.col("path").alias("branch"), "n", "look", bound.alias("bound")))
     own = (F.col("look") + 1 - F.log("c") / F.log("n")) / 2
     return (values.where((F.col("kind") == CONTENT) & (F.col("c") > 1))
             .join(low, F.col("host").eqNullSafe(F.col("site")) & (F.col("path") == F.col("branch")))
-            .where(own < least).select("host", F.col("value").alias("node")))
+            .where(own < F.col("bound")).select("host", F.col("value").alias("node")))
 
 
 def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", least: float = LEAST,

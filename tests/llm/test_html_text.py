@@ -84,3 +84,16 @@ def test_names_that_only_hint_at_noise():
     # an article inside named noise of an article is part of it, as is one whose own name says so
     assert H.main_text("<main><p>k</p><div id=comments><article>c</article></div></main>") == "k"
     assert H.main_text("<article>k</article><article class=comment>c</article><aside><article>n</article></aside>") == "k"
+
+
+def test_the_tree_is_applied_inside_articles(spark):
+    page = lambda words, more="": f"<article><p>{words}</p><div class=x><b>Always</b> here.</div>{more}</article>"
+    rows = [("http://a.net/", page(f"Words of page {i}.")) for i in range(20)]
+    rows += [("http://copies.net/", page("One text."))] * 20  # one distinct page
+    # near copies on half of the pages keep what they share, hinted names go sooner
+    hint = "<div class='share-row'>Tell a friend.</div>"
+    rows += [("http://near.net/", page("One text." if i % 2 else f"Words of page {i}.", f"<h2>{i}</h2>" + hint * (i % 3 > 0))) for i in range(20)]
+    rows += [("http://same.net/", f"<main>Same.</main><p>{i}</p>") for i in range(20)]  # nothing else in main
+    want = [f"Words of page {i}." for i in range(20)] + ["One text. Always here."] * 20
+    want += [f"{'One text.' if i % 2 else f'Words of page {i}.'} {i}" for i in range(20)] + ["Same."] * 20
+    assert texts(spark, rows) == want
