@@ -57,7 +57,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's bucket, batch and slot by its number of words."""
+    """Each document's bucket, batch and slot by its number of words, which
+    ``n_tokens`` and the budget count here."""
     return pack(word_lengths(docs), F.col("n_words"))
 
 

@@ -10,6 +10,9 @@ of its own. So the histogram has at most ``budget`` + 1 bins, whatever the
 number of documents. Places inside a bucket are counted in two steps, by
 salted groups of bounded size and their offsets, so no task has a whole bucket.
 
+The lengths are the caller's: ``token_lengths`` counts a tokenizer's tokens,
+``word_lengths`` white-space words, of which a budget holds as many words.
+
 Defined cases: null and empty texts have length 0 and are packed like others;
 null lengths count as 0; repeated rows and null ids are packed one by one;
 ties are broken by a hash of the id; an empty table gives an empty table.
@@ -22,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from strata.llm.common import map_arrow, read, saved
+from strata.llm.token_counts import HEAD, HEAD_CHARS, Splitter, checked
 from strata.llm.words import SPACE_WORDS, word_tables
 
 BUCKETS, BUDGET, GROUP = 16, 32_768, 10_000
@@ -116,6 +120,38 @@ def word_lengths(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     return map_arrow(docs.select(doc_id, text), f"doc_id {kind}, n_words bigint", scan)
 
 
+def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", most: int = HEAD) -> DataFrame:
+    """doc_id, n_tokens of each row of ``docs`` by the tokenizer's file, as
+    ``token_counts`` has them but in one pass without a shuffle: a task encodes
+    a pre-token once, as long as it knows at most ``most`` of them."""
+    body = docs.sparkSession.sparkContext.broadcast(checked(tokenizer))
+    kind = docs.schema[doc_id].dataType.simpleString()
+    own: list[Splitter] = []
+    known: dict[str, int] = {}
+
+    def scan(batch: pa.RecordBatch):
+        if not own:
+            own.append(Splitter(body.value))
+        for a in range(0, batch.num_rows, 128):
+            part = batch.slice(a, 128)
+            sums = []
+            for t in part.column(1).to_pylist():
+                freq, n = own[0].counts(t or "")
+                new = [x for x in freq if x not in known]
+                once = {}  # long ones are not kept
+                for b in range(0, len(new), 2_000):
+                    for x, pieces in zip(new[b:b + 2_000], own[0].pieces(new[b:b + 2_000])):
+                        (known if len(x) <= HEAD_CHARS else once)[x] = pieces
+                sums.append(n + sum(c * (known[x] if x in known else once[x]) for x, c in freq.items()))
+                if len(known) > most:
+                    known.clear()
+            yield {"doc_id": part.column(0), "n_tokens": sums}
+
+    return map_arrow(docs.select(doc_id, text), f"doc_id {kind}, n_tokens bigint", scan)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches of whole ``documents``, by their number of words."""
-    return pack(word_lengths(read(spark, sf_dir, "documents")), F.col("n_words"))
+    """Batches of whole ``documents``, by their number of tokens."""
+    import public_tokenizers
+
+    return pack(token_lengths(read(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json"))), F.col("n_tokens"))

@@ -1,8 +1,11 @@
 import random
 from itertools import combinations
 
+import public_tokenizers
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+from conftest import SF_SMALL
 from strata.llm import packing as P
 
 
@@ -44,3 +47,27 @@ def test_batches(spark):
         assert len(set(sizes[1:])) <= 1
     assert len({x["bucket"] for x in out}) <= 6
     assert P.pack(docs.limit(0), F.col("n")).count() == 0
+
+
+TOKENIZER = str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_token_lengths_equal_the_library(spark):
+    texts = ["", None, "two words", "日本語のテキストは空白がない" * 9, "x" * 500, "QmFzZTY0" * 400, "a  b\n\n c's <|endoftext|> ü é", "two words"] * 2
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
+    library = Tokenizer.from_file(TOKENIZER)
+    want = [len(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    for most in (P.HEAD, 1):
+        assert [r["n_tokens"] for r in sorted(P.token_lengths(docs, TOKENIZER, most=most).collect())] == want
+
+
+def test_batches_hold_the_budget_in_tokens(spark):
+    library = Tokenizer.from_file(TOKENIZER)
+    docs = {r["doc_id"]: len(library.encode(r["text"] or "", add_special_tokens=False).ids)
+            for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    batches = {}
+    for x in P.op8_packing(spark, SF_SMALL).collect():
+        assert x["n_tokens"] == docs[x["doc_id"]] <= x["bucket_len"]
+        batches.setdefault((x["bucket"], x["batch"]), []).append(x["bucket_len"])
+    assert all(sum(b) <= P.BUDGET or len(b) == 1 for b in batches.values())
+    assert sum(map(len, batches.values())) == len(docs)
