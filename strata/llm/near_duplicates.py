@@ -26,6 +26,12 @@ So each pair that could change a component is either pruned by a bound or
 verified exactly, while a group of thousands of near copies costs a star.
 Cells are dealt out in chunks of bounded size.
 
+All links. ``near_duplicates`` takes that shortcut, and its links are those
+that join components. ``class_links`` is the full join: all nodes of each cell
+meet in the traversal, each as a component of its own, and every pair that
+sizes and bitmaps allow is verified. Its work and its rows grow with the
+square of a group of near copies; copies of one set stay one class.
+
 Defined cases: a null or empty text, and one of separators only, has an empty
 set and links with nothing; repeated rows of one id are one node or several,
 as their sets say; a null id takes no part and has a null component; an empty
@@ -53,6 +59,8 @@ MANY, CHUNK = 64, 2048
 ROUNDS = (4, 32, 256, None)
 #: members of the cells that are traversed in one group
 GROUP_MEMBERS = 20_000
+#: the last two where all pairs may survive
+LINK_CHUNK, LINK_MEMBERS = 512, 2048
 #: text rows dealt to one verification group
 GROUP_ROWS = 256
 
@@ -257,7 +265,8 @@ def _traverse(kind: str, percent: int, most: int | None):
     return run
 
 
-def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind: str, percent: int, most: int | None) -> DataFrame:
+def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind: str, percent: int, most: int | None,
+                   chunk: int | None = None, group_members: int | None = None) -> DataFrame:
     """Candidate pairs a, b of different components, by dual traversal in
     cells, the ``most`` likeliest of each node; and, with null a and b, the cells
     that may have more.
@@ -267,17 +276,18 @@ def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind:
 
     ``cells``: cell, node; ``labels``: node, component; ``nodes``: node, n,
     bitmap."""
+    chunk, group_members = chunk or CHUNK, group_members or GROUP_MEMBERS
     member = cells.join(labels, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("label"))
     by_label = member.groupBy("cell", "label").agg(F.count("*").alias("m"))
     mixed = saved(by_label.groupBy("cell")
                   .agg(F.max_by("label", F.struct("m", "label")).alias("major"), F.sum("m").alias("m"),
                        F.max("m").alias("most"), F.count("*").alias("labels"))
                   .where("labels > 1")
-                  .select("cell", "major", "m", (F.col("m") - F.col("most")).alias("few"), F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"),
-                          F.ceil((F.col("m") - F.col("most")) / CHUNK).cast("int").alias("minors")), "mixed")
+                  .select("cell", "major", "m", (F.col("m") - F.col("most")).alias("few"), F.ceil(F.col("m") / chunk).cast("int").alias("chunks"),
+                          F.ceil((F.col("m") - F.col("most")) / chunk).cast("int").alias("minors")), "mixed")
     weight = F.expr("m * minors + few * chunks")
     total, = mixed.agg(F.coalesce(F.sum(weight), F.lit(0))).first()
-    parts = mixed.groupBy("major").agg(F.ceil(F.sum(weight) / GROUP_MEMBERS).cast("int").alias("salts"))
+    parts = mixed.groupBy("major").agg(F.ceil(F.sum(weight) / group_members).cast("int").alias("salts"))
     member = saved(member.join(mixed.join(parts, "major"), "cell"), "mixed_members")
     member = member.join(among(nodes, "node", saved(member.select("node").distinct(), "mixed_nodes")), "node")
     part = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
@@ -295,18 +305,10 @@ def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind:
     return rows.groupBy("g").applyInArrow(_traverse(kind, percent, most), f"a {kind}, b {kind}, cell bigint")
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Two tables. ``documents``: id, n (set size), class_id (smallest id of an
-    equal set), component_id, one row per row of ``docs``. ``links``: a, b,
-    shared, either (intersection and union) of the verified links between
-    classes that join the components. Ids are integers."""
-    spark = docs.sparkSession
-    kind = docs.schema[doc_id].dataType.simpleString()
-    own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    sizes = saved(map_arrow(own, f"id {kind}, n bigint, sha binary", _scan(shingle)), "sizes")
-    classes = sizes.where("n > 0 AND id IS NOT NULL").groupBy("sha").agg(F.min("id").alias("class_id"))
-
+def node_cells(own: DataFrame, kind: str, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``nodes``: node, n, prefix, bitmap of each class; ``cells``: cell, node.
+    Each pair of the similarity has a cell in common."""
+    spark = own.sparkSession
     tokens = map_arrow(own.select("text"), "token bigint", _tokens_of(shingle, percent))
     many = saved(tokens.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > MANY).select("token"), "many")
     last = spark.sparkContext.broadcast(bloom.build(many, "token", bloom.bits_for(many.count(), 16)))
@@ -325,6 +327,22 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
              .groupBy("nodes").agg(F.min("token").alias("cell")))
     cells = saved(small.select("cell", F.explode("nodes").alias("node"))
                   .unionByName(member.where(F.col("m") > MANY).select(F.col("token").alias("cell"), "node")), "cell")
+    return nodes, cells
+
+
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                    percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Two tables. ``documents``: id, n (set size), class_id (smallest id of an
+    equal set), component_id, one row per row of ``docs``. ``links``: a, b,
+    shared, either (intersection and union) of the verified links between
+    classes that join the components, not of all (``class_links`` has those).
+    Ids are integers."""
+    kind = docs.schema[doc_id].dataType.simpleString()
+    own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    sizes = saved(map_arrow(own, f"id {kind}, n bigint, sha binary", _scan(shingle)), "sizes")
+    classes = sizes.where("n > 0 AND id IS NOT NULL").groupBy("sha").agg(F.min("id").alias("class_id"))
+
+    nodes, cells = node_cells(own, kind, shingle, percent)
     in_cells = cells.groupBy("node").agg(F.count("*").alias("degree"))
     pivots = cells.join(in_cells, "node").groupBy("cell").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("pivot"))
 
@@ -357,6 +375,19 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     return out, links
 
 
+def class_links(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """a, b, shared, either (intersection and union) of all links between
+    classes, a < b, each once: the full join. Copies are not expanded; classes
+    and members are in ``documents`` of ``near_duplicates``."""
+    kind = docs.schema[doc_id].dataType.simpleString()
+    own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    nodes, cells = node_cells(own, kind, shingle, percent)
+    alone = nodes.select("node", F.col("node").alias("component"))
+    pairs = saved(residual_pairs(cells, alone, nodes.select("node", "n", "bitmap"), kind, percent, None, LINK_CHUNK, LINK_MEMBERS)
+                  .where("cell IS NULL").select("a", "b").distinct(), "pairs")
+    return saved(verified(pairs, involved_texts(own, pairs), kind, shingle, percent), "links")
+
+
 def among(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``column`` is in ``ids`` (one column, saved), and few
     others: a Bloom filter in front of a join, which keeps most rows that the

@@ -103,3 +103,37 @@ def test_prefix_is_long_enough():
         if y and 100 * len(x & y) >= 80 * len(x | y):
             px, py = (set(sorted(s)[:nd.prefix_length(len(s), 80)]) for s in (x, y))
             assert px & py
+
+
+def all_links(rows, percent=80):
+    """Links between classes by brute force: (smaller id, larger id): (shared, either)."""
+    sets = {}
+    for i, t in rows:
+        if i is not None and brute.shingles(t):
+            key = frozenset(brute.shingles(t))
+            sets[key] = min(i, sets.get(key, i))
+    nodes = sorted((i, x) for x, i in sets.items())
+    return {(i, j): (len(x & y), len(x | y)) for a, (i, x) in enumerate(nodes) for j, y in nodes[a + 1:] if 100 * len(x & y) >= percent * len(x | y)}
+
+
+def class_links(spark, rows, **options):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, token string")
+    got = nd.class_links(docs, **options).collect()
+    out = {(r["a"], r["b"]): (r["shared"], r["either"]) for r in got}
+    assert len(out) == len(got)
+    return out
+
+
+def test_class_links_are_all_links(spark, monkeypatch):
+    """A group of near copies with different texts, in one chunk and in many."""
+    r = random.Random(5)
+    base = [r.choice(VOCABULARY) for _ in range(150)]
+    rows = [(i, " ".join([*base, f"end{i}"])) for i in range(30)] + [(100 + i, t) for i, t in corpus() if i is not None]
+    want = all_links(rows)
+    assert len(want) > 30 * 29 // 2
+    assert class_links(spark, rows) == want
+    monkeypatch.setattr(nd, "MANY", 6)
+    monkeypatch.setattr(nd, "LINK_CHUNK", 8)
+    monkeypatch.setattr(nd, "LINK_MEMBERS", 16)
+    assert class_links(spark, rows) == want
+    assert class_links(spark, [(1, None), (2, "")]) == {}
