@@ -116,8 +116,9 @@ def dual(x: Tree, y: Tree, percent: int) -> list[tuple[np.ndarray, np.ndarray, n
 
 def candidates(left, right, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Dual traversal of two member lists (bitmaps, sizes, labels): as
-    ``dual``. Members are put into one tree for each bitmap width; sets of the
-    similarity asked for (over a half) have widths one step apart at most."""
+    ``dual``. Members are put into one tree for each bitmap width; sizes of the
+    similarity differ by a factor of 100 / percent at most, so widths, rounded
+    up to powers of two, by less than twice that."""
     trees = []
     for bitmaps, sizes, labels in (left, right):
         width = np.array([len(b) for b in bitmaps])
@@ -128,8 +129,7 @@ def candidates(left, right, percent: int) -> tuple[np.ndarray, np.ndarray, np.nd
         trees.append(own)
     parts = [(np.empty(0, dtype=np.int64),) * 3]
     for w, (at, x) in trees[0].items():
-        for v in (w // 2, w, 2 * w):
-            if v in trees[1]:
-                bt, y = trees[1][v]
+        for v, (bt, y) in trees[1].items():
+            if percent * max(v, w) < 200 * min(v, w):
                 parts += [(at[i], bt[j], bound) for i, j, bound in dual(x, y, percent)]
     return tuple(np.concatenate(c) for c in zip(*parts))

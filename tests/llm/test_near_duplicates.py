@@ -137,3 +137,17 @@ def test_class_links_are_all_links(spark, monkeypatch):
     monkeypatch.setattr(nd, "LINK_MEMBERS", 16)
     assert class_links(spark, rows) == want
     assert class_links(spark, [(1, None), (2, "")]) == {}
+
+
+@pytest.mark.parametrize("percent", (20, 40, 50, 80))
+def test_no_width_is_too_far(percent):
+    """Subsets as small as the similarity allows, at all places of the widths."""
+    r = np.random.default_rng(percent)
+    sets = []
+    for n in (33, 64, 65, 100, 128, 129, 257):
+        whole = np.unique(r.integers(0, 1 << 62, n).astype(np.uint64))
+        sets += [whole, np.sort(r.choice(whole, -(-n * percent // 100), replace=False))]
+    side = ([st.bitmap(s) for s in sets], np.array([len(s) for s in sets]), np.arange(len(sets)))
+    left, right, _ = st.candidates(side, side, percent)
+    found = set(zip(left.tolist(), right.tolist()))
+    assert {(i, i + 1) for i in range(0, len(sets), 2)} <= found
