@@ -2,7 +2,9 @@
 
 Vectors belong to the list of their nearest centroid (by direction). A query
 looks into the ``PROBE`` share of lists whose centroids have the largest inner
-product with it. All vectors are rotated by one random orthogonal matrix, so
+product with it, and into further ones until its lists hold as many candidates
+as are asked for. Centroids without a vector of the sample, as equal ones have
+all but the first, make no list. All vectors are rotated by one random orthogonal matrix, so
 any block of columns is a random projection of a vector. Within each probed
 list the inner product is summed block of columns by block of columns; after
 each, the missing part is taken to be normal with deviation
@@ -57,22 +59,31 @@ class Index:
             np.add.at(total, near, unit)
             size = np.linalg.norm(total, axis=1, keepdims=True)
             self.centroids = np.where(size > 0, total / np.where(size > 0, size, 1), self.centroids)
+        self.centroids = self.centroids[np.unique(self.assign(unit))]
 
     def assign(self, vectors: np.ndarray) -> np.ndarray:
         return np.concatenate([np.argmax(vectors[a:a + 4096] @ self.centroids.T, axis=1) for a in range(0, len(vectors), 4096)]
                               or [np.empty(0, dtype=np.int64)])
 
-    def probed(self, queries: np.ndarray, share: float) -> np.ndarray:
-        """Which lists each query looks into; shape (queries, lists)."""
+    def probed(self, queries: np.ndarray, share: float, sizes: np.ndarray | None = None, least: int = 0) -> np.ndarray:
+        """Which lists each query looks into; shape (queries, lists). With the
+        ``sizes`` of all lists as many as hold ``least`` vectors."""
         k = max(1, int(np.ceil(share * len(self.centroids))))
         near = queries @ self.centroids.T
         out = np.zeros(near.shape, dtype=bool)
         np.put_along_axis(out, np.argpartition(-near, k - 1, axis=1)[:, :k], True, axis=1)
+        if sizes is not None:
+            few = np.flatnonzero(out @ sizes < least)
+            order = np.argsort(-near[few], axis=1, kind="stable")
+            before = np.cumsum(sizes[order], axis=1) - sizes[order]
+            more = np.zeros((len(few), out.shape[1]), dtype=bool)
+            np.put_along_axis(more, order, before < least, axis=1)
+            out[few] |= more
         return out
 
 
 def search(index: Index, ids: np.ndarray, vectors: np.ndarray, lists: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
-           k: int, share: float = PROBE, sigmas: float = SIGMAS, columns: int = COLUMNS):
+           k: int, share: float = PROBE, sigmas: float = SIGMAS, columns: int = COLUMNS, sizes: np.ndarray | None = None, least: int = 0):
     """(query id, id, score) of the k nearest that each query finds."""
     d = vectors.shape[1]
     rx, rq = vectors @ index.rotation, queries @ index.rotation
@@ -80,7 +91,7 @@ def search(index: Index, ids: np.ndarray, vectors: np.ndarray, lists: np.ndarray
     # squared norm of what is left after each block of columns
     left = lambda r: (r * r).sum(1)[:, None] - np.cumsum(r * r, axis=1)[:, [c - 1 for c in cuts]]
     lx, lq = np.sqrt(np.maximum(left(rx), 0)), np.sqrt(np.maximum(left(rq), 0))
-    probes = index.probed(queries, share)
+    probes = index.probed(queries, share, sizes, least)
     best = np.full((len(queries), k), -np.inf)
     owner = np.full((len(queries), k), np.iinfo(np.int64).max)
     order = np.lexsort((ids, lists))
@@ -166,6 +177,11 @@ def nearest(table: DataFrame, is_query: Column, *, vec_id: str = "vec_id", embed
         yield {"id": batch.column(0), "vector": batch.column(1), "list": index.value.assign(_vectors(batch.column(1)))}
 
     indexed = saved(map_arrow(vectors, "id bigint, vector binary, list int", listed), "index")
+    sizes = np.zeros(len(index.value.centroids), dtype=np.int64)
+    for x, c in indexed.groupBy("list").count().toLocalIterator():
+        sizes[x] = c
+    # a query's own rows are no candidates
+    least = k + (indexed.where(is_query).groupBy("id").count().agg(F.max("count")).first()[0] or 0)
     asked = indexed.where(is_query).dropDuplicates(["id"])
     blocks = -(-n // VECTOR_BLOCK)
     askers = max(1, -(-asked.count() // QUERY_BLOCK))
@@ -177,7 +193,7 @@ def nearest(table: DataFrame, is_query: Column, *, vec_id: str = "vec_id", embed
     def cell(one: pa.Table, many: pa.Table) -> pa.Table:
         if one.num_rows and many.num_rows:
             found = search(index.value, one.column("id").to_numpy(), _vectors(one.column("vector")), one.column("list").to_numpy(),
-                           many.column("query_id").to_numpy(), _vectors(many.column("query")), k, share)
+                           many.column("query_id").to_numpy(), _vectors(many.column("query")), k, share, sizes=sizes, least=least)
         else:
             found = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         return pa.table(dict(zip(("query_id", "vec_id", "score"), found)))

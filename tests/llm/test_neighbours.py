@@ -58,3 +58,25 @@ def test_few_and_no_candidates(spark):
     assert [tuple(r) for r in N.nearest(few, F.col("id") == 0).collect()] == [(0, 1, 1, 0.5)]
     assert N.nearest(spark.createDataFrame([], schema), F.col("id") == 0).count() == 0
     assert N.nearest(few, F.col("id") == 9).count() == 0
+
+
+def test_as_many_as_there_are_and_copies_cost_no_lists(spark):
+    r = np.random.default_rng(4)
+    schema = "vec_id long, embedding array<double>"
+    for n in (16, 20, 30):
+        rows = [(i, r.normal(size=4).tolist()) for i in range(n)] + [(0, [1.0, 0.0, 0.0, 0.0])]
+        got = N.nearest(spark.createDataFrame(rows, schema), F.col("id") < 5).groupBy("query_id").count().collect()
+        assert {x["query_id"]: x["count"] for x in got} == {i: min(20, n - (i == 0)) for i in range(5)}, n
+    x = r.normal(size=(300, 8))
+    x[::3] = x[0]
+    index = N.Index(x, 17)
+    assert len(np.unique(index.assign(x / np.linalg.norm(x, axis=1, keepdims=True)))) == len(index.centroids)
+    ids = np.arange(300)
+    lists = index.assign(x)
+    q, found, _ = N.search(index, ids, x, lists, ids, x, 20)
+    hit = 0
+    for i in ids:
+        score = (x * x[i]).sum(1)
+        score[i] = -np.inf
+        hit += (score[found[q == i]] >= np.sort(score)[-20] - 1e-12).sum()
+    assert hit / (300 * 20) >= 0.9
