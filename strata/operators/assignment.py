@@ -7,200 +7,180 @@ adds one to its client's counter, and a client whose counter exceeds ``cap``
 leaves the pool for all later listings.
 
 "Top-k everywhere, then cut at the cap" is wrong (a capped client must be
-replaced by the next one, and losing place clients can open the area tier),
-so listings are committed in *prefix blocks*, by one algorithm at every size:
-
-1. Candidate pairs ``(listing, client)`` of both tiers are summarised once
-   (row count, latest viewing, latest intent row) and written to the shared
-   checkpoint folder. Listings that share no client never interact, so
-   connected components of the listing-client graph are labelled once
-   (min-label propagation, aggregations only). Only clients that could ever
-   pass the cap count as edges: any other client stays in every pool, so it
-   never makes one listing depend on another.
-2. In each turn every component runs its next listings, as many as have
-   ``block_pairs`` pairs in all, through the sequential rule in one task. No
-   task ever holds more, however large the component.
-3. The picks are written, the counters merged, the pairs of exhausted clients
-   dropped, and the next turn continues with what is pending. A component of
-   at most ``block_pairs`` pairs ends in the first turn.
-
-Every listing is handled after all earlier ones of its component, with their
-counters, so the result is the sequential one by construction. Lineage is cut
-every turn with ``checkpoint()`` (reliable, in ``spark.checkpoint.dir``), so a
-lost executor recomputes one turn at most.
+replaced by the next one, and losing place clients can open the area tier).
+The exact result is the fixpoint of one set-based step over all listings:
+
+* A client's **cut** is the listing with which it leaves the pool. Given all
+  cuts, a listing knows which of its clients are still there, and *wants* the
+  clients that it would take were they in the pool: those with fewer than
+  ``k`` present clients ahead of them.
+* Given all wants, a client's cut is the first listing at which the running
+  sum of its wanted rows, in listing order, exceeds the cap: a minimum per
+  client, for which its first ``cap + 1`` wants are enough.
+
+What a listing wants depends on earlier listings only, so each step makes at
+least one more listing final, the only fixpoint is the sequential result, and
+it is reached. In practice all listings settle in some tens of steps: as many
+as the longest chain of listings that push clients on to each other, not as
+many as there are listings. One giant component is handled like many.
+
+No pair table is built. Each listing has a ranked **frontier**: its clients
+from the dyadic price index (``matching.pair_index``), loaded in chunks of
+growing size per node. The best client that is not loaded yet bounds what is
+known; a listing whose frontier holds too few present clients before that
+bound loads the next chunk of its nodes.
+
+Every step's rows are written to the shared folder, so a lost executor
+repeats one step at most.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.operators import matching
 from strata.operators.counters import capped_clients, merge_counts
+from strata.operators.matching import INDEX_KEY
+from strata.operators.running import numbered, running_totals, written
 from strata.session import scratch_path
 
-PAIR_KEYS = matching.PAIR_KEYS
-LISTING = matching.LISTING
-BLOCK_PAIRS = 1_000_000
-
-
-def candidate_pairs(houses: DataFrame, intents: DataFrame) -> DataFrame:
-    """Pair summaries of both tiers: place pairs, and area pairs of clients
-    that have no place pair with that listing. Columns: share_id, fh_id, cid,
-    tier, ms, n_rows, rid, see_time, update_time (of the pair's latest row)."""
-    return matching.summarize_pairs(matching.tiered_candidates(houses, intents))
-
-
-def candidate_pairs_bounded(houses: DataFrame, intents: DataFrame, counts: DataFrame,
-                            cap: int, min_clients: int) -> DataFrame:
-    """``candidate_pairs`` with area-tier pairs only for listings that can open.
-
-    A listing opens when fewer than ``min_clients`` of its place clients are
-    still in the pool, so it can open only if enough of them can be exhausted;
-    a client can be exhausted only if its count plus every increment it could
-    receive (place pairs, and area pairs of listings that can open) exceeds
-    ``cap``. The two sets are grown together from the listings that open for
-    sure until neither changes (a least fixpoint, reached as both only grow).
-    Any listing that opens in the sequential run is in it, so the result is
-    unchanged; listings that can never open skip the area join.
-    """
-    p1 = matching.summarize_pairs(matching.place_candidates(houses, intents)).checkpoint()
-    n1 = p1.groupBy(*LISTING).agg(F.count(F.lit(1)).alias("_n1"))
-    base = houses.select(*LISTING).join(n1, LISTING, "left")
-    opened = base.where(F.coalesce("_n1", F.lit(0)) < min_clients).select(*LISTING).checkpoint()
-    while True:
-        p2 = (matching.summarize_pairs(matching.area_candidates(
-                  houses.join(opened, LISTING, "left_semi"), intents))
-              .join(p1.select(*PAIR_KEYS), PAIR_KEYS, "left_anti")).checkpoint()
-        pot = (p1.select("cid", "n_rows").unionByName(p2.select("cid", "n_rows"))
-               .groupBy("cid").agg(F.sum("n_rows").alias("_pot")))
-        risk = (pot.join(counts, "cid", "left")
-                .where(F.coalesce("count", F.lit(0)) + F.col("_pot") > cap).select("cid"))
-        risky = (p1.join(risk, "cid", "left_semi").groupBy(*LISTING)
-                 .agg(F.count(F.lit(1)).alias("_r")))
-        grown = (base.join(risky, LISTING, "left")
-                 .where(F.coalesce("_n1", F.lit(0)) - F.coalesce("_r", F.lit(0)) < min_clients)
-                 .select(*LISTING).unionByName(opened).distinct().checkpoint())
-        if grown.join(opened, LISTING, "left_anti").isEmpty():
-            return p1.unionByName(p2)
-        opened = grown
-
-
-def label_components(edges: DataFrame) -> DataFrame:
-    """Connected components of the bipartite graph of ``node`` and ``cid``.
-
-    Returns ``(node, comp)``, ``comp`` = the smallest node of the component.
-    Min-label propagation (node -> client -> node, one aggregation per half
-    step) with shortcutting: a node also takes the label of its label, which is
-    itself a node of the same component, so chains shrink geometrically.
-    Labels only decrease and never leave their component.
-    """
-    e = edges.select("node", "cid").distinct().checkpoint()
-    lab = e.select("node").distinct().withColumn("comp", F.col("node")).checkpoint()
-    while True:
-        by_client = e.join(lab, "node").groupBy("cid").agg(F.min("comp").alias("comp"))
-        step = (e.join(by_client, "cid").groupBy("node").agg(F.min("comp").alias("c2"))
-                .join(lab, "node").select("node", "comp", F.least("comp", "c2").alias("c3")))
-        hop = lab.select(F.col("node").alias("c3"), F.col("comp").alias("c4"))
-        nxt = (step.join(hop, "c3", "left")
-               .select("node", F.least("c3", F.coalesce("c4", "c3")).alias("c5"), "comp")
-               .select("node", F.col("c5").alias("comp"), (F.col("c5") < F.col("comp")).alias("_chg"))
-               .checkpoint())
-        changed = not nxt.where("_chg").isEmpty()
-        lab = nxt.drop("_chg")
-        if not changed:
-            return lab
-
-
-_PICK_COLS = ["share_id", "fh_id", "cid", "ms", "n_rows", "tier", "rid", "see_time", "update_time", "rank"]
-PICK_SCHEMA = ("share_id long, fh_id long, cid string, ms string, n_rows long, tier int, rid long, "
-               "see_time string, update_time string, rank int")
-
-
-def _sequential_block(pdf: pd.DataFrame, k: int, cap: int, min_clients: int) -> pd.DataFrame:
-    """The sequential rule over the pair summaries of one block of listings.
-
-    Rows are sorted by listing order, then rank order (latest viewing desc,
-    nulls last, then cid); each listing takes its first ``k`` eligible pairs
-    whose client is still in the pool, then counters are updated.
-    """
-    pdf = pdf.sort_values(["share_id", "fh_id", "ms", "cid"], ascending=[True, True, False, True],
-                          na_position="last", kind="mergesort").reset_index(drop=True)
-    client, names = pd.factorize(pdf["cid"])
-    counts = np.zeros(len(names), dtype="int64")
-    counts[client] = pdf["count"].fillna(0).astype("int64").to_numpy()
-    counts, client = counts.tolist(), client.tolist()
-    tier, n_rows = pdf["tier"].tolist(), pdf["n_rows"].tolist()
-    share, fh = pdf["share_id"].to_numpy(), pdf["fh_id"].to_numpy()
-    starts = np.flatnonzero(np.r_[True, (fh[1:] != fh[:-1]) | (share[1:] != share[:-1])]).tolist()
-    keep, ranks = [], []
-    for a, b in zip(starts, [*starts[1:], len(fh)]):
-        live = [x for x in range(a, b) if counts[client[x]] <= cap]
-        place = [x for x in live if tier[x] == 1]
-        top = (place if len(place) >= min_clients else live)[:k]
-        keep += top
-        ranks += range(1, len(top) + 1)
-        for x in top:
-            counts[client[x]] += n_rows[x]
-    out = pdf.iloc[keep].copy()
-    out["rank"] = np.asarray(ranks, dtype="int32")
-    return out[_PICK_COLS]
+#: clients of a node in the first chunk; chunk j > 0 has 3 * 4^(j-1) times as many
+FIRST_CHUNK = 8
+#: caps from which on clients that cannot reach theirs are set aside first
+_LARGE_CAP = 1000
+
+_NODE = [*INDEX_KEY, "node"]
+_FRONT = "listing long, c long, tier int, ms string, n long, allowed long, chunk int"
+
+class _Frontiers:
+    """The loaded part of each listing's ranked clients."""
+
+    def __init__(self, cells: DataFrame, summaries: DataFrame, clients: DataFrame, first_chunk: int):
+        self.cells, self.spark = cells, cells.sparkSession
+        known = summaries.join(clients.select("cid", "c", "allowed"), "cid").select(*_NODE, "c", "allowed", "ms", "n_rows")
+        at = F.expr(f"(rank - 1) div {first_chunk}")
+        chunk = F.when(at == 0, F.lit(0)).otherwise(F.expr(f"(length(bin((rank - 1) div {first_chunk})) + 1) div 2")).cast("int")
+        self.nodes = written(running_totals(known, _NODE, [F.col("ms").desc_nulls_last(), F.col("c")], F.lit(1), "node-ranks", "rank")
+                             .withColumn("chunk", chunk), "node-lists")
+        self.heads = written(self.nodes.groupBy(*_NODE, "chunk").agg(F.min_by(F.struct("ms", (-F.col("c")).alias("back")), "rank").alias("head")), "node-heads")
+        self.path = scratch_path(self.spark, "frontiers")
+        self.loads = 0
+
+    def load(self, wanted: DataFrame) -> None:
+        """Loads one chunk for each ``(listing, tier, chunk)``: rows of clients
+        that the listing does not have yet, and a row without client for the
+        best one that is still not loaded (``chunk`` is then the next one)."""
+        at = wanted.join(self.cells, ["listing", "tier"])
+        found = at.join(self.nodes.select(*_NODE, "chunk", "c"), [*_NODE, "chunk"]).select("listing", "c").distinct()
+        if self.loads:
+            found = found.join(self.rows().where("c is not null").select("listing", "c"), ["listing", "c"], "left_anti")
+        # a pair's summary over all nodes that it shares; place rows only, if there are any
+        both = found.join(self.cells, "listing").join(self.nodes.drop("rank", "chunk"), [*_NODE, "c"])
+        pairs = both.groupBy("listing", "c", "tier").agg(F.max("ms").alias("ms"), F.sum("n_rows").alias("n"), F.first("allowed").alias("allowed"))
+        best = pairs.groupBy("listing", "c").agg(F.min(F.struct("tier", "ms", "n", "allowed")).alias("p")).select(
+            "listing", "c", "p.*", F.lit(None).cast("int").alias("chunk"))
+        beyond = (at.withColumn("chunk", F.col("chunk") + 1).join(self.heads, [*_NODE, "chunk"])
+                  .groupBy("listing", "tier", "chunk").agg(F.max("head").alias("head")))
+        bounds = beyond.select("listing", F.lit(None).cast("long").alias("c"), "tier", F.col("head.ms").alias("ms"),
+                               F.col("head.back").alias("n"), F.lit(None).cast("long").alias("allowed"), "chunk")
+        ended = (wanted.join(beyond.select("listing", "tier"), ["listing", "tier"], "left_anti")
+                 .select("listing", F.lit(None).cast("long").alias("c"), "tier", F.lit(None).cast("string").alias("ms"),
+                         F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("allowed"), (F.col("chunk") + 1).alias("chunk")))
+        best.unionByName(bounds).unionByName(ended).selectExpr(*[f"cast({c.split()[0]} as {c.split()[1]}) as {c.split()[0]}" for c in _FRONT.split(", ")]) \
+            .write.parquet(f"{self.path}/load={self.loads}")
+        self.loads += 1
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(_FRONT + ", load int").parquet(self.path).drop("load")
+
+
+def _wants(front: DataFrame, cuts: DataFrame, k: int, min_clients: int) -> DataFrame:
+    """One step: ``listing, c, tier, ms, n, allowed, present`` of all wanted
+    clients, and rows without client, with ``tier`` and ``chunk``, of listings
+    whose frontier ends too early."""
+    rows = front.join(cuts, "c", "left")
+    bound = F.col("c").isNull()
+    of = Window.partitionBy("listing")
+    # of each tier the last bound counts; one without head says that all is loaded
+    last = F.when(F.col("tier") == 1, F.max(F.when(F.col("tier") == 1, F.col("chunk"))).over(of)).otherwise(
+        F.max(F.when(F.col("tier") == 2, F.col("chunk"))).over(of))
+    rows = rows.withColumn("last", last).where(~bound | ((F.col("chunk") == F.col("last")) & F.col("n").isNotNull()))
+    rows = rows.withColumn("present", ~bound & (F.col("cut").isNull() | (F.col("listing") <= F.col("cut"))))
+    place, present = ~bound & (F.col("tier") == 1), F.col("present")
+    order = of.orderBy(F.col("ms").desc_nulls_last(), F.coalesce("c", -F.col("n")), bound)
+    upto, before = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
+
+    def count(what, window):
+        return F.coalesce(F.sum(what.cast("int")).over(window), F.lit(0))
+
+    rows = (rows.withColumn("open1", count(bound & (F.col("tier") == 1), upto)).withColumn("open2", count(bound & (F.col("tier") == 2), upto))
+            .withColumn("ahead1", count(place & present, before)).withColumn("ahead", count(present, before)))
+    known1 = F.col("open1") == 0
+    known = known1 & (F.col("open2") == 0)
+    rows = (rows.withColumn("present1", count(place & present & known1, of)).withColumn("known", count(present & known, of))
+            .withColumn("more1", count(bound & (F.col("tier") == 1), of) > 0))
+    # with the client itself in the pool
+    full = F.col("present1") + (place & ~present).cast("int") >= min_clients
+    wanted = F.when(full | F.col("more1"), place & known1 & (F.col("ahead1") < k)).otherwise(known & (F.col("ahead") < k))
+    short = F.when(F.col("present1") >= min_clients, F.lit(False)).when(F.col("more1"), F.col("tier") == 1).otherwise(F.col("known") < k)
+    # a full listing takes k place clients, which may be more than make it full
+    short = short | ((F.col("present1") >= min_clients) & (F.col("present1") < k) & F.col("more1") & (F.col("tier") == 1))
+    return rows.where((~bound & wanted) | (bound & short)).select("listing", "c", "tier", "ms", "n", "allowed", "present", "chunk")
+
+
+def _cuts(wants: DataFrame, cap: int) -> DataFrame:
+    """``(c, cut)`` of the clients that leave the pool. Each want has a row at
+    least, so the first ``cap + 1`` of a client decide."""
+    w = Window.partitionBy("c").orderBy("listing")
+    rows = wants.where("c is not null").select("c", "listing", "n", "allowed")
+    if cap >= _LARGE_CAP:
+        able = rows.groupBy("c").agg(F.sum("n").alias("_sum"), F.first("allowed").alias("_allowed")).where("_sum > _allowed").select("c")
+        rows = rows.join(able, "c", "left_semi")
+    else:
+        rows = rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap + 1)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.withColumn("_sum", F.sum("n").over(upto)).where("_sum > allowed").groupBy("c").agg(F.min("listing").alias("cut")))
 
 
 def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | None = None,
                   k: int = 3, cap: int = 3, min_clients: int = 3,
-                  block_pairs: int = BLOCK_PAIRS, bound_area_tier: bool = False) -> tuple[DataFrame, DataFrame, int]:
+                  first_chunk: int = FIRST_CHUNK) -> tuple[DataFrame, DataFrame, int]:
     """Run the capped assignment.
 
     ``counts(cid, count)`` are the counters valid today (M1). Returns
-    ``(picks, new_counts, turns)``: ``picks`` has one row per selected
+    ``(picks, new_counts, steps)``: ``picks`` has one row per selected
     (listing, client) pair with ``n_rows`` and the pair's latest intent row
-    (``rid``, ``see_time``), ``new_counts`` is ``(cid, count)``; ``turns``
-    counts the prefix blocks of the longest component. ``bound_area_tier``
-    skips the area join for listings that can never open
-    (``candidate_pairs_bounded``).
+    (``rid``, ``see_time``), ``new_counts`` is ``(cid, count)``; ``steps``
+    counts the steps to the fixpoint. ``first_chunk`` sets how many clients of
+    a node are loaded at first; the result does not depend on it.
     """
     spark = houses.sparkSession
-    out_path = scratch_path(spark, "assign")
     if counts is None:
         counts = spark.createDataFrame([], "cid string, count long")
-    counts = counts.select("cid", F.col("count").cast("long").alias("count")).checkpoint()
+    counts = written(counts.select("cid", F.col("count").cast("long").alias("count")), "counts")
+    houses = matching.identified(houses)
     pool = intents.join(capped_clients(counts, cap), "cid", "left_anti")
-    if bound_area_tier:
-        # only worth it when many listings can never open (few clients near the cap)
-        pairs = candidate_pairs_bounded(houses, pool, counts, cap, min_clients).checkpoint()
-    else:
-        pairs = candidate_pairs(houses, pool).checkpoint()
-    node = F.struct(*LISTING).alias("node")
-    # only clients that could ever pass the cap link listings: a client whose
-    # count plus every increment it could receive stays <= cap never leaves
-    # the pool, so it cannot make one listing depend on another
-    at_risk = (pairs.groupBy("cid").agg(F.sum("n_rows").alias("_pot"))
-               .join(counts, "cid", "left")
-               .where(F.coalesce("count", F.lit(0)) + F.col("_pot") > cap).select("cid"))
-    comps = label_components(pairs.join(at_risk, "cid", "left_semi").select(node, "cid"))
-    sizes = (pairs.groupBy(*LISTING).agg(F.count(F.lit(1)).alias("n")).withColumn("node", node)
-             .join(comps, "node", "left").select(*LISTING, "n", F.coalesce("comp", "node").alias("comp")))
-    before = Window.partitionBy("comp").orderBy(*LISTING).rowsBetween(Window.unboundedPreceding, -1)
-
-    def run_block(pdf):
-        return _sequential_block(pdf, k, cap, min_clients)
-
-    pending = sizes.checkpoint()
-    now, turns = counts, 0
-    while not pending.isEmpty():
-        placed = pending.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        placed = placed.select(*LISTING, "n", "comp", (F.col("_before") + F.col("n") <= block_pairs)
-                               | (F.col("_before") == 0)).toDF(*LISTING, "n", "comp", "_now").checkpoint()
-        block = (pairs.join(placed.where("_now").select(*LISTING, "comp"), LISTING)
-                 .join(now, "cid", "left").where(F.coalesce("count", F.lit(0)) <= cap))
-        (block.select(*_PICK_COLS[:-1], "comp", "count").groupBy("comp").applyInPandas(run_block, PICK_SCHEMA)
-         .write.parquet(f"{out_path}/turn={turns}"))
-        done = spark.read.schema(PICK_SCHEMA).parquet(f"{out_path}/turn={turns}")
-        now = merge_counts(now, done.select("cid", F.col("n_rows").alias("n"))).checkpoint()
-        pending = placed.where(~F.col("_now")).drop("_now")
-        turns += 1
-    if not turns:
-        return spark.createDataFrame([], PICK_SCHEMA), counts, 0
-    return spark.read.schema(PICK_SCHEMA + ", turn int").parquet(out_path).drop("turn"), now, turns
+    cells, summaries = matching.pair_index(houses, pool)
+    clients = numbered(summaries.select("cid").distinct(), [F.col("cid")], "clients", "c").join(counts, "cid", "left")
+    clients = written(clients.select("cid", "c", (F.lit(cap) - F.coalesce("count", F.lit(0))).alias("allowed")), "clients")
+    frontiers = _Frontiers(cells, summaries, clients, first_chunk)
+    frontiers.load(cells.select("listing", "tier").distinct().withColumn("chunk", F.lit(0)))
+    cuts, steps = spark.createDataFrame([], "c long, cut long"), 0
+    while True:
+        steps += 1
+        wants = written(_wants(frontiers.rows(), cuts, k, min_clients), "wants")
+        now = written(_cuts(wants, cap), "cuts")
+        short = wants.where("c is null").select("listing", "tier", "chunk")
+        changed = not (now.join(cuts.withColumnRenamed("cut", "_old"), "c", "full").where(~F.col("cut").eqNullSafe(F.col("_old"))).isEmpty())
+        starved = not short.isEmpty()
+        if starved:
+            frontiers.load(short)
+        if not changed and not starved:
+            break
+        cuts = now
+    picked = wants.where("present").join(clients.select("c", "cid"), "c").select("listing", "cid", "tier")
+    pairs = matching.merged(picked, cells, summaries)
+    w = Window.partitionBy("listing").orderBy(F.col("ms").desc_nulls_last(), F.col("cid"))
+    picks = written(matching.with_listing(pairs.withColumn("rank", F.row_number().over(w)), houses), "picks")
+    new_counts = written(merge_counts(counts, picks.select("cid", F.col("n_rows").alias("n"))), "new-counts")
+    return picks, new_counts, steps

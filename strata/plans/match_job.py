@@ -26,11 +26,11 @@ RESULT_COLUMNS = ("city_code", "share_id", "fh_id", "share_worker_id", "insert_w
 def run_match(houses: DataFrame, intents: DataFrame, state: DataFrame | None, run_date: str,
               k: int = 3, cap: int = 3, min_clients: int = 3) -> tuple[DataFrame, DataFrame, int]:
     """Return ``(result, new_state, turns)``; ``state`` is ``(cid, count, p_date)``."""
-    h = matching.normalize_houses(houses)
+    h = matching.identified(matching.normalize_houses(houses))
     i = matching.normalize_intents(intents)
     counts = load_counts(state, run_date) if state is not None else None
     picks, new_counts, turns = assign_capped(h, i, counts, k=k, cap=cap, min_clients=min_clients)
-    result = matching.match_result(picks, h, i, unique_rid="rid" in intents.columns).select(
+    result = matching.match_result(picks, h, i).select(
         *RESULT_COLUMNS, "rid", "see_time", "update_time", "n_rows", "rank", "tier")
     return result, new_counts.withColumn("p_date", F.lit(run_date)), turns
 

@@ -13,17 +13,15 @@ I_SCHEMA = ("rid long, cid string, see_time string, update_time string, area_cod
             "price_start double, price_end double, house_type string, require_type int")
 
 
-def _run(spark, houses, intents, counts=None, k=3, cap=3, block_pairs=2_000_000,
-         bound_area_tier=False):
+def _run(spark, houses, intents, counts=None, k=3, cap=3, first_chunk=8, min_clients=3):
     h = matching.normalize_houses(spark.createDataFrame(houses, H_SCHEMA))
     i = matching.normalize_intents(spark.createDataFrame(intents, I_SCHEMA))
     c = None if counts is None else spark.createDataFrame(list(counts.items()), "cid string, count long")
-    picks, new_counts, _ = assign_capped(h, i, c, k=k, cap=cap, block_pairs=block_pairs,
-                                         bound_area_tier=bound_area_tier)
+    picks, new_counts, _ = assign_capped(h, i, c, k=k, cap=cap, min_clients=min_clients, first_chunk=first_chunk)
     got = sorted((r.share_id, r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
     hs = [r.asDict() for r in h.collect()]
     its = [r.asDict() for r in i.collect()]
-    exp, exp_counts = sequential(hs, its, counts, k=k, cap=cap)
+    exp, exp_counts = sequential(hs, its, counts, k=k, cap=cap, min_clients=min_clients)
     return got, sorted(exp), {r.cid: r["count"] for r in new_counts.collect()}, exp_counts
 
 
@@ -44,13 +42,13 @@ def _random_case(seed, n_houses=8, n_intents=30, n_clients=6):
     return houses, intents
 
 
-@pytest.mark.parametrize("seed", range(6))
-@pytest.mark.parametrize("block_pairs", [1, 7, 2_000_000])   # many blocks / one
-def test_random_cases_equal_sequential_model(spark, seed, block_pairs):
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("first_chunk", [1, 8])   # frontiers refilled / loaded at once
+def test_random_cases_equal_sequential_model(spark, seed, first_chunk):
     houses, intents = _random_case(seed)
     counts = {"c1": 3, "c2": 4} if seed % 2 else None
-    got, exp, gc, ec = _run(spark, houses, intents, counts, cap=3 if seed < 3 else 1,
-                            block_pairs=block_pairs)
+    got, exp, gc, ec = _run(spark, houses, intents, counts, cap=3 if seed < 2 else 1,
+                            first_chunk=first_chunk)
     assert got == exp
     assert gc == ec
 
@@ -67,29 +65,47 @@ def test_cap_boundary_and_rows_counted_before_dedup(spark):
     assert gc == ec and gc["two"] == 2 and gc["c3"] == 4
 
 
-@pytest.mark.parametrize("block_pairs", [3, 2_000_000])
-def test_binding_sf0001_equals_model(spark, block_pairs):
+@pytest.mark.parametrize("first_chunk", [2, 8])
+def test_binding_sf0001_equals_model(spark, first_chunk):
     h, i = Q._houses(spark, SF_SMALL), Q._intents(spark, SF_SMALL)
-    picks, counts, rounds = assign_capped(h, i, block_pairs=block_pairs)
-    assert (rounds > 1) == (block_pairs == 3)
+    picks, counts, _ = assign_capped(h, i, first_chunk=first_chunk)
     got = sorted((r.share_id, r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
     exp, ec = sequential([r.asDict() for r in h.collect()], [r.asDict() for r in i.collect()])
     assert got == sorted(exp)
     assert {r.cid: r["count"] for r in counts.collect()} == ec
 
 
-def test_label_components_long_chain(spark):
-    from strata.operators.assignment import label_components
-    # a chain listing i -- client i -- listing i+1, plus a separate pair
-    n = 40
-    rows = [(i, f"c{i}") for i in range(n)] + [(i + 1, f"c{i}") for i in range(n)] + [(500, "z")]
-    lab = label_components(spark.createDataFrame(rows, "node long, cid string"))
-    got = {r.node: r.comp for r in lab.collect()}
-    assert got == {**{i: 0 for i in range(n + 1)}, 500: 500}
+def test_one_giant_component_and_deep_frontiers(spark):
+    """Every listing wants the same clients: each is pushed on to later ones."""
+    houses = [(f, f, "A", "P" if f % 3 else "Q", 2, 5.0, 1) for f in range(40)]
+    intents = [(r, f"c{r:03d}", f"2024-01-{r % 28 + 1:02d}", "2024-02-01", f"01-A-{'P' if r % 4 == 0 else 'R'}", 0.0, 9.0, "2", 1)
+               for r in range(90)]
+    got, exp, gc, ec = _run(spark, houses, intents, cap=1, first_chunk=1)
+    assert got == exp and gc == ec and len(got) > 100
 
 
-@pytest.mark.parametrize("block_pairs", [50, 2_000_000])
-def test_hot_client_joins_everything(spark, block_pairs):
+@pytest.mark.parametrize("k, min_clients", [(2, 4), (4, 2), (1, 1)])
+def test_other_numbers_of_clients(spark, k, min_clients):
+    houses, intents = _random_case(31, n_houses=10, n_intents=50, n_clients=9)
+    got, exp, gc, ec = _run(spark, houses, intents, k=k, min_clients=min_clients, cap=2, first_chunk=1)
+    assert got == exp and gc == ec
+
+
+def test_large_cap_sets_clients_aside(spark):
+    houses, intents = _random_case(77, n_houses=9, n_intents=40, n_clients=5)
+    got, exp, gc, ec = _run(spark, houses, intents, {"c1": 1998, "c2": 2001}, cap=2000)
+    assert got == exp and gc == ec
+
+
+def test_equal_listings_are_listings_of_their_own(spark):
+    houses = [(1, 1, "A", "P", 2, 5.0, 1)] * 2
+    intents = [(r, "c", "2024-01-01", "2024-01-01", "01-A-P", 0.0, 9.0, "2", 1) for r in range(4)]
+    got, exp, gc, ec = _run(spark, houses, intents)
+    assert got == exp == [(1, 1, "c", 0, 4)] and gc == ec == {"c": 4}
+
+
+@pytest.mark.parametrize("first_chunk", [1, 8])
+def test_hot_client_joins_everything(spark, first_chunk):
     rnd = random.Random(21)
     houses, intents = _random_case(99, n_houses=14, n_intents=40, n_clients=8)
     # one client with many wide intents matching nearly every listing
@@ -97,54 +113,27 @@ def test_hot_client_joins_everything(spark, block_pairs):
         intents.append((r, "hot", f"2024-01-{rnd.randint(1, 9):02d}", "2024-02-01",
                         f"01-{rnd.choice(['A', 'B'])}-{rnd.choice(['P1', 'P2', 'P3'])}",
                         0.0, 20.0, "1,2,3", rnd.choice([1, 2, 3, 4])))
-    got, exp, gc, ec = _run(spark, houses, intents, {"c3": 2}, cap=3, block_pairs=block_pairs)
+    got, exp, gc, ec = _run(spark, houses, intents, {"c3": 2}, cap=3, first_chunk=first_chunk)
     assert got == exp
     assert gc == ec
 
 
-@pytest.mark.parametrize("seed", range(8))
-def test_bounded_area_tier_equals_sequential_model(spark, seed):
-    houses, intents = _random_case(100 + seed, n_houses=10, n_intents=30, n_clients=12)
-    counts = {"c1": 3, "c5": 1} if seed % 2 else None
-    got, exp, gc, ec = _run(spark, houses, intents, counts, cap=2 + seed % 3, bound_area_tier=True)
-    assert got == exp
-    assert gc == ec
-
-
-def test_bound_skips_listings_that_cannot_open(spark):
-    from strata.operators.assignment import candidate_pairs_bounded
-    houses = [(1, 1, "A", "P", 2, 5.0, 1), (2, 2, "A", "Q", 2, 5.0, 1)]
-    intents = [_intent(r, c, "P") for r, c in ((1, "p1"), (2, "p2"), (3, "p3"))] + \
-              [_intent(4, "q1", "Q"), _intent(5, "far", "R", "2024-01-09")]
-    h = matching.normalize_houses(spark.createDataFrame(houses, H_SCHEMA))
-    i = matching.normalize_intents(spark.createDataFrame(intents, I_SCHEMA))
-    counts = spark.createDataFrame([], "cid string, count long")
-    pairs = candidate_pairs_bounded(h, i, counts, cap=3, min_clients=3)
-    tier2 = {(r.fh_id, r.cid) for r in pairs.where("tier = 2").collect()}
-    # listing 1 has 3 place clients that can never pass the cap: no area pairs
-    assert all(f != 1 for f, _ in tier2) and (2, "far") in tier2
-    got, exp, gc, ec = _run(spark, houses, intents, bound_area_tier=True)
-    assert got == exp and gc == ec
-
-
 def _intent(rid, cid, place, see="2024-01-01"):
     return (rid, cid, see, see, f"01-A-{place}", 0.0, 10.0, "2", 1)
 
 
-@pytest.mark.parametrize("block_pairs", [1, 2_000_000])
-def test_a_house_shared_twice_is_two_listings(spark, block_pairs):
+def test_a_house_shared_twice_is_two_listings(spark):
     houses = [(1, 10, "A", "P", 2, 5.0, 1), (1, 11, "A", "P", 2, 5.0, 1)]
-    got, exp, gc, ec = _run(spark, houses, [_intent(7, "c", "P")], block_pairs=block_pairs)
+    got, exp, gc, ec = _run(spark, houses, [_intent(7, "c", "P")])
     assert got == exp == [(10, 1, "c", 7, 1), (11, 1, "c", 7, 1)] and gc == ec == {"c": 2}
 
 
-@pytest.mark.parametrize("block_pairs", [1, 2_000_000])
-def test_intents_without_a_client_are_rejected(spark, block_pairs):
+def test_intents_without_a_client_are_rejected(spark):
     houses = [(f, f, "A", "P", 2, 5.0, 1) for f in range(8)]
     raw = [_intent(1, None, "P"), _intent(2, "y", "P")]
     df = spark.createDataFrame(raw, I_SCHEMA)
     assert [r.rid for r in matching.rejected_intents(df).collect()] == [1]
-    got, exp, gc, ec = _run(spark, houses, raw, block_pairs=block_pairs)
+    got, exp, gc, ec = _run(spark, houses, raw)
     assert got == exp and gc == ec == {"y": 4}
 
 

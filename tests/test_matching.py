@@ -63,11 +63,55 @@ def test_fused_chain_equals_stepwise_chain(spark):
     assert stepwise == fused and len(fused) == 291
 
 
-def test_top_k_plan_uses_group_limit(spark):
-    df = Q.c3_match_stateless(spark, SF_SMALL)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+def test_node_tops_are_limited_before_the_shuffle(spark):
+    h, i = Q._houses(spark, SF_SMALL), Q._intents(spark, SF_SMALL)
+    _, summaries = matching.pair_index(h, i)
+    plan = matching.node_tops(summaries, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_nodes_join_exactly_the_bands_that_hold_a_price(spark):
+    import random
+    from strata.operators.price_index import price_nodes
+    rnd = random.Random(9)
+    prices = [(rnd.choice("ab"), rnd.choice([0.0, -0.0, 1.5, 2.25, 7.0, 1e300, -3.0, float("inf")] + [rnd.random() * 9]), n) for n in range(120)]
+    bands = []
+    for n in range(150):
+        lo, hi = rnd.choice([p[1] for p in prices] + [rnd.random() * 9]), rnd.choice([p[1] for p in prices] + [rnd.random() * 9])
+        bands.append((rnd.choice(["a", "b", "c"]), lo, hi, n))
+    p = spark.createDataFrame(prices + [(None, 1.0, 999)], "key string, price double, p int")
+    b = spark.createDataFrame(bands + [(None, 0.0, 2.0, 999)], "key string, price_start double, price_end double, b int")
+    own, covered = price_nodes(p, b, ["key"])
+    got = sorted(tuple(r) for r in own.join(covered, ["key", "node"]).select("p", "b").collect())
+    want = sorted((n, m) for k, price, n in prices for k2, lo, hi, m in bands if k == k2 and lo <= price <= hi)
+    assert got == want  # each pair once
+
+
+def test_best_client_equals_the_candidate_join(spark):
+    from test_assignment import _random_case
+    for seed in range(3):
+        houses, intents = _random_case(50 + seed, n_houses=20, n_intents=60, n_clients=9)
+        h, i = _frames(spark, houses, intents)
+        slow = matching.latest_per_key(matching.place_or_area_candidates(h, i), ["fh_id"], matching._c4_order())
+        cols = ["fh_id", "cid", "rid", "see_time", "tier"]
+        assert sorted(map(tuple, matching.best_client_per_house(h, i).select(*cols).collect())) == sorted(map(tuple, slow.select(*cols).collect()))
+
+
+def test_rows_that_differ_in_which_column_is_null_keep_their_ids(spark):
+    """Without row ids: intents that differ only in which column is null."""
+    schema = I_SCHEMA.replace("rid long, ", "") + ", area_name string, purpose_school_name string"
+    base = ("c", "2024-01-01", "2024-01-01", "01-A-P", 0.0, 9.0, "2", 1)
+    rows = [(*base, "S", None), (*base, None, "S"), (*base, "S", None)]
+    i = matching.normalize_intents(spark.createDataFrame(rows, schema))
+    got = [(r.rid, r.area_name, r.purpose_school_name) for r in i.collect()]
+    assert len({r[0] for r in got}) == 3
+    h = matching.normalize_houses(spark.createDataFrame([(1, 1, "A", "P", 2, 5.0, 1)] * 2, H_SCHEMA))
+    h = matching.identified(h)
+    pairs = matching.match_pairs(h, i)
+    out = matching.match_result(pairs, h, i).collect()
+    assert [r.n_rows for r in out] == [3, 3] and len({r.listing for r in out}) == 2
+    payload = {rid: (a, b) for rid, a, b in got}
+    assert all((r.area_name, r.purpose_school_name) == payload[r.rid] for r in out)
 
 
 def test_zero_codes_option_and_null_listing_fields(spark):
