@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.session import scratch_path
+from strata.session import hadoop_path, scratch_path
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +21,20 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     lineage that outlives executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``saved`` whose last reader has been written, and lets
+    the driver forget the shuffles and broadcasts behind them, so that their
+    files go too."""
+    for t in tables:
+        fs, path = hadoop_path(t.sparkSession, t.scratch)
+        fs.delete(path, True)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
 
 
 def others(docs: DataFrame, *taken: str):

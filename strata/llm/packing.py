@@ -24,11 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from strata.llm.common import map_arrow, read, saved
+from strata.llm.common import discard, map_arrow, read, saved
 from strata.llm.token_counts import HEAD, HEAD_CHARS, Splitter, checked
 from strata.llm.words import SPACE_WORDS, word_tables
 
 BUCKETS, BUDGET, GROUP = 16, 32_768, 10_000
+#: texts whose pre-tokens are broadcast; texts whose new pre-tokens are encoded in one call
+SAMPLE, RUN = 2_000, 256
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -120,11 +122,26 @@ def word_lengths(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     return map_arrow(docs.select(doc_id, text), f"doc_id {kind}, n_words bigint", scan)
 
 
+def _common(docs: DataFrame, text: str, body) -> dict[str, int]:
+    """Pre-tokens of ``SAMPLE`` texts with their numbers of pieces, at most
+    ``HEAD`` of them. Only a start for the tasks' own tables: the counts are
+    the same whatever it holds."""
+    from strata.llm.token_counts import vocabulary
+
+    words = vocabulary(docs.select(text).limit(SAMPLE), text, body)
+    rows = words.where(F.length("token") <= HEAD_CHARS).orderBy(F.col("freq").desc(), "token").limit(HEAD).select("token", "pieces").toArrow()
+    discard(words)
+    return dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
+
+
 def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", most: int = HEAD) -> DataFrame:
     """doc_id, n_tokens of each row of ``docs`` by the tokenizer's file, as
     ``token_counts`` has them but in one pass without a shuffle: a task encodes
-    a pre-token once, as long as it knows at most ``most`` of them."""
-    body = docs.sparkSession.sparkContext.broadcast(checked(tokenizer))
+    a pre-token once, as long as it knows at most ``most`` of its own, and the
+    new ones of many texts in one call. Common ones are broadcast."""
+    sc = docs.sparkSession.sparkContext
+    body = sc.broadcast(checked(tokenizer))
+    common = sc.broadcast(_common(docs, text, body))
     kind = docs.schema[doc_id].dataType.simpleString()
     own: list[Splitter] = []
     known: dict[str, int] = {}
@@ -132,20 +149,25 @@ def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", te
     def scan(batch: pa.RecordBatch):
         if not own:
             own.append(Splitter(body.value))
-        for a in range(0, batch.num_rows, 128):
-            part = batch.slice(a, 128)
-            sums = []
-            for t in part.column(1).to_pylist():
-                freq, n = own[0].counts(t or "")
-                new = [x for x in freq if x not in known]
-                once = {}  # long ones are not kept
-                for b in range(0, len(new), 2_000):
-                    for x, pieces in zip(new[b:b + 2_000], own[0].pieces(new[b:b + 2_000])):
-                        (known if len(x) <= HEAD_CHARS else once)[x] = pieces
-                sums.append(n + sum(c * (known[x] if x in known else once[x]) for x, c in freq.items()))
-                if len(known) > most:
-                    known.clear()
-            yield {"doc_id": part.column(0), "n_tokens": sums}
+        head = common.value
+        for a in range(0, batch.num_rows, RUN):
+            part = batch.slice(a, RUN)
+            counts = [own[0].counts(t or "") for t in part.column(1).to_pylist()]
+            new = list({x for freq, _ in counts for x in freq if x not in head and x not in known})
+            once = {}  # long ones are not kept
+            for b in range(0, len(new), 10_000):
+                for x, pieces in zip(new[b:b + 10_000], own[0].pieces(new[b:b + 10_000])):
+                    (known if len(x) <= HEAD_CHARS else once)[x] = pieces
+
+            def pieces_of(x):
+                n = head.get(x)
+                if n is None:
+                    n = known.get(x)
+                return once[x] if n is None else n
+
+            yield {"doc_id": part.column(0), "n_tokens": [n + sum(c * pieces_of(x) for x, c in freq.items()) for freq, n in counts]}
+            if len(known) > most:
+                known.clear()
 
     return map_arrow(docs.select(doc_id, text), f"doc_id {kind}, n_tokens bigint", scan)
 

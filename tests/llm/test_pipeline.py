@@ -2,10 +2,12 @@
 
 import brute
 import corpus_pipeline as C
+import public_tokenizers
 from conftest import SF_SMALL
 from strata.llm.common import read, saved
 from strata.llm.packing import BUDGET
 from strata.llm.toxicity import THRESHOLD, toxicity_scores
+from tokenizers import Tokenizer
 
 
 def test_stages(spark):
@@ -47,7 +49,9 @@ def test_stages(spark):
             assert "".join(left) == "".join(w for p, w in enumerate(words) if p not in hit)
 
     before, after = kept["packing"]
-    assert sorted((r["doc_id"], r["n_tokens"]) for r in after) == sorted((r["doc_id"], len(brute.SPACE.findall(r["text"] or ""))) for r in before)
+    library = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    tokens = [(r["doc_id"], len(library.encode(r["text"] or "", add_special_tokens=False).ids)) for r in before]
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in after) == sorted(tokens)
     full = {}
     for r in after:
         full.setdefault((r["bucket"], r["batch"]), []).append(r["bucket_len"])
