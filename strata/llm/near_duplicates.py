@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm import bloom, signature_tree as st
-from strata.llm.common import field, map_arrow, read, saved
+from strata.llm.common import discard, field, map_arrow, read, saved
 from strata.llm.graph import components
 from strata.llm.words import SPACE_WORDS, word_tables
 
@@ -288,8 +288,9 @@ def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind:
     weight = F.expr("m * minors + few * chunks")
     total, = mixed.agg(F.coalesce(F.sum(weight), F.lit(0))).first()
     parts = mixed.groupBy("major").agg(F.ceil(F.sum(weight) / group_members).cast("int").alias("salts"))
-    member = saved(member.join(mixed.join(parts, "major"), "cell"), "mixed_members")
-    member = member.join(among(nodes, "node", saved(member.select("node").distinct(), "mixed_nodes")), "node")
+    members = saved(member.join(mixed.join(parts, "major"), "cell"), "mixed_members")
+    inside = saved(members.select("node").distinct(), "mixed_nodes")
+    member = members.join(among(nodes, "node", inside), "node")
     part = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("minors")).cast("int")
     to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -302,7 +303,9 @@ def residual_pairs(cells: DataFrame, labels: DataFrame, nodes: DataFrame, kind:
     salt = F.pmod(F.xxhash64("cell"), F.col("salts"))
     g = F.pmod(F.xxhash64("major", "i", "j", salt), F.lit(max(1, total // 2048))).alias("g")
     rows = rows.select("cell", "node", "n", "bitmap", "label", "i", "j", "minor", g)
-    return rows.groupBy("g").applyInArrow(_traverse(kind, percent, most), f"a {kind}, b {kind}, cell bigint")
+    found = saved(rows.groupBy("g").applyInArrow(_traverse(kind, percent, most), f"a {kind}, b {kind}, cell bigint"), "found")
+    discard(mixed, members, inside)
+    return found
 
 
 def node_cells(own: DataFrame, kind: str, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -317,16 +320,19 @@ def node_cells(own: DataFrame, kind: str, shingle: int, percent: int) -> tuple[D
     nodes = (rows.groupBy("sha").agg(F.min(F.struct("id", "n", "prefix", "bitmap")).alias("r"))
              .select(F.col("r.id").alias("node"), "r.n", "r.prefix", "r.bitmap"))
     nodes = saved(nodes, "nodes")
+    discard(many)
 
     prefixes = nodes.select("node", "n", "prefix")
     shape = f"token bigint, node {kind}, n bigint"
     shared = saved(map_arrow(prefixes, shape, _exploded(None)).groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "shared")
     known = spark.sparkContext.broadcast(bloom.build(shared, "token", bloom.bits_for(shared.count(), 16)))
     member = saved(map_arrow(prefixes, shape, _exploded(known)).join(shared, "token").select("token", "m", "node"), "members")
+    discard(shared)
     small = (member.where(F.col("m") <= MANY).groupBy("token").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
              .groupBy("nodes").agg(F.min("token").alias("cell")))
     cells = saved(small.select("cell", F.explode("nodes").alias("node"))
                   .unionByName(member.where(F.col("m") > MANY).select(F.col("token").alias("cell"), "node")), "cell")
+    discard(member)
     return nodes, cells
 
 
@@ -348,19 +354,20 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     bits = nodes.select("node", "n", "bitmap")
     a, b = (bits.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bitmap").alias(f"b{x}")) for x in "ab")
-    stars = saved(cells.join(pivots, "cell").where(F.col("pivot") != F.col("node"))
+    spokes = saved(cells.join(pivots, "cell").where(F.col("pivot") != F.col("node"))
                   .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    stars = (stars.join(among(a, "a", stars.select("a")), "a").join(among(b, "b", stars.select("b")), "b")
+    stars = (spokes.join(among(a, "a", spokes.select("a")), "a").join(among(b, "b", spokes.select("b")), "b")
              .select("a", "na", "ba", "b", "nb", "bb"))
     pairs = saved(map_arrow(stars, f"a {kind}, b {kind}", _allowed(percent)), "pairs")
-    links = saved(verified(pairs, involved_texts(own, pairs), kind, shingle, percent), "links")
+    discard(spokes)
+    links = checked_pairs(pairs, own, kind, shingle, percent)
     tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     active, reach = cells.select("cell", "node"), saved(components(links), "components")
     for most in ROUNDS:
-        found = saved(residual_pairs(active, reach, bits, kind, percent, most), "found")
+        found = residual_pairs(active, reach, bits, kind, percent, most)
         pairs = saved(found.where("cell IS NULL").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
-            new = saved(verified(pairs, involved_texts(own, pairs), kind, shingle, percent), "links")
+            new = checked_pairs(pairs, own, kind, shingle, percent)
             tested, links = tested.unionByName(pairs), links.unionByName(new)
             if not new.isEmpty():
                 reach = saved(components(links), "components")
@@ -368,6 +375,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         if more.isEmpty():
             break
         active = saved(active.join(more, "cell", "left_semi"), "active")
+    discard(nodes, cells)
     out = (sizes.join(classes, "sha", "left").withColumn("class_id", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("class_id")))
            .join(reach, F.col("class_id") == F.col("node"), "left")
            .select("id", "n", F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
@@ -383,9 +391,10 @@ def class_links(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     nodes, cells = node_cells(own, kind, shingle, percent)
     alone = nodes.select("node", F.col("node").alias("component"))
-    pairs = saved(residual_pairs(cells, alone, nodes.select("node", "n", "bitmap"), kind, percent, None, LINK_CHUNK, LINK_MEMBERS)
-                  .where("cell IS NULL").select("a", "b").distinct(), "pairs")
-    return saved(verified(pairs, involved_texts(own, pairs), kind, shingle, percent), "links")
+    found = residual_pairs(cells, alone, nodes.select("node", "n", "bitmap"), kind, percent, None, LINK_CHUNK, LINK_MEMBERS)
+    pairs = saved(found.where("cell IS NULL").select("a", "b").distinct(), "pairs")
+    discard(nodes, cells, found)
+    return checked_pairs(pairs, own, kind, shingle, percent)
 
 
 def among(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
@@ -405,11 +414,14 @@ def among(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return map_arrow(df.select("*", F.xxhash64(column)), ", ".join(field(df, c) for c in names), pick)
 
 
-def involved_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """id, text of the nodes in ``pairs``."""
+def checked_pairs(pairs: DataFrame, docs: DataFrame, kind: str, shingle: int, percent: int) -> DataFrame:
+    """Links among ``pairs``, by the texts of their nodes."""
     ids = saved(pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct(), "ids")
     texts = among(docs.where(F.col("id").isNotNull()).select("id", "text"), "id", ids)
-    return texts.join(ids, F.col("id") == F.col("rid"), "left_semi")
+    texts = texts.join(ids, F.col("id") == F.col("rid"), "left_semi")
+    links = saved(verified(pairs, texts, kind, shingle, percent), "links")
+    discard(ids)
+    return links
 
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

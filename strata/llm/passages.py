@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm import bloom
-from strata.llm.common import field, map_arrow, others, read, saved
+from strata.llm.common import discard, field, map_arrow, others, read, saved
 from strata.llm.words import SPACE_WORDS, WordTable, covered, text_runs
 
 WINDOW = 50
@@ -228,8 +228,10 @@ def repeated_words(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     total, = digests.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
     blocks = max(1, -(-total // block_bytes))
     owners = digests.groupBy("sha").agg(F.min("id").alias("owner"))
-    digests = saved(digests.join(owners, "sha").withColumn("copy", F.coalesce(F.col("id") > F.col("owner"), F.lit(False))),
+    classes = saved(digests.join(owners, "sha").withColumn("copy", F.coalesce(F.col("id") > F.col("owner"), F.lit(False))),
                     "classes")
+    discard(digests)
+    digests = classes
     phrases = saved(recurring_phrases(docs, doc_id, text, window, phrase, blocks), "phrases")
     n_phrases = phrases.count()
     known = docs.sparkSession.sparkContext.broadcast(bloom.build(phrases, "hash", bloom.bits_for(n_phrases)))
@@ -250,10 +252,12 @@ def repeated_words(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                        F.col("id").eqNullSafe(F.col("rid")) & (F.col("sha") == F.col("rsha")), "left_semi")
     shards = phrases.select(F.explode("blocks").alias("block"), "phrase")
     rows = saved(window_rows(texts, shards, kind, window, phrase), "windows")
+    discard(phrases)
     owner = (rows.groupBy("hash").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
              .where(F.col("owner") < F.col("last")).select("hash", "owner"))
-    places = (rows.join(owner, "hash").where(F.col("id") > F.col("owner"))
-              .groupBy("id", "sha").agg(F.collect_set("place").alias("places")))
+    places = saved(rows.join(owner, "hash").where(F.col("id") > F.col("owner"))
+                   .groupBy("id", "sha").agg(F.collect_set("place").alias("places")), "places")
+    discard(rows)
     return digests, places
 
 
@@ -270,7 +274,6 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     row of ``docs``."""
     kind = docs.schema[doc_id].dataType.simpleString()
     digests, places = repeated_words(docs, doc_id=doc_id, text=text, window=window, phrase=phrase, block_bytes=block_bytes)
-    places = saved(places, "places")
     n = places.count()
     keys = bloom.build(places.select(F.xxhash64("id").alias("k")), "k", bloom.bits_for(n))
     sent = docs.sparkSession.sparkContext.broadcast(keys)
