@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from strata.llm.common import read, saved
 from strata.llm.decontaminate import decontaminate
 from strata.llm.near_duplicates import near_duplicates
-from strata.llm.packing import pack, word_lengths
+from strata.llm.packing import pack, token_lengths
 from strata.llm.passages import without_repeats
 from strata.llm.toxicity import THRESHOLD, toxicity_scores
 
@@ -57,9 +57,10 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's bucket, batch and slot by its number of words, which
-    ``n_tokens`` and the budget count here."""
-    return pack(word_lengths(docs), F.col("n_words"))
+    """Each document's bucket, batch and slot by its number of tokens."""
+    import public_tokenizers
+
+    return pack(token_lengths(docs, str(public_tokenizers.path("byte_bpe_50k.json"))), F.col("n_tokens"))
 
 
 STAGES = [("toxicity", toxicity), ("jaccard", jaccard), ("passages", passages), ("benchmark", benchmark), ("packing", packing)]
