@@ -2,7 +2,8 @@
 
 A document's set holds its distinct word shingles (64-bit hashes); documents
 link when 100 * intersection >= percent * union. Sets that are equal form one
-class, whose node is its smallest id; only nodes are joined.
+class, which is named by its smallest id; classes are the nodes, known by a
+key of one row's id and text, and only nodes are joined.
 
 Cells. Two sets of the similarity share a token among the first
 n - ceil(n * percent / 100) + 1 tokens of each in any order of tokens that is
@@ -33,8 +34,8 @@ sizes and bitmaps allow is verified. Its work and its rows grow with the
 square of a group of near copies; copies of one set stay one class.
 
 Defined cases: a null or empty text, and one of separators only, has an empty
-set and links with nothing; repeated rows of one id are one node or several,
-as their sets say; a null id takes no part and has a null component; an empty
+set and links with nothing; rows of one id with different texts are nodes of
+their own, so the id may be in several classes and components; a null id takes no part and has a null component; an empty
 table gives an empty table; other columns are not read.
 """
 
@@ -104,7 +105,7 @@ def _scan(k: int):
         for _, tokens in shingle_sets(batch.column(1), k):
             n.append(len(tokens))
             sha.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
-        yield {"id": batch.column(0), "n": n, "sha": sha}
+        yield {"id": batch.column(0), "n": n, "sha": sha, "doc": batch.column(2)}
 
     return scan
 
@@ -339,15 +340,17 @@ def node_cells(own: DataFrame, kind: str, shingle: int, percent: int) -> tuple[D
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Two tables. ``documents``: id, n (set size), class_id (smallest id of an
-    equal set), component_id, one row per row of ``docs``. ``links``: a, b,
+    equal set), component_id (smallest id of the component), component and key
+    (the component's and the row's own key: an id with several texts may be in
+    several components), one row per row of ``docs``. ``links``: a, b,
     shared, either (intersection and union) of the verified links between
     classes that join the components, not of all (``class_links`` has those).
     Ids are integers."""
-    kind = docs.schema[doc_id].dataType.simpleString()
-    own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    sizes = saved(map_arrow(own, f"id {kind}, n bigint, sha binary", _scan(shingle)), "sizes")
-    classes = sizes.where("n > 0 AND id IS NOT NULL").groupBy("sha").agg(F.min("id").alias("class_id"))
+    kind = "bigint"
+    own = keyed(docs, doc_id, text)
+    sizes = saved(map_arrow(own, f"id bigint, n bigint, sha binary, {field(own, 'doc')}", _scan(shingle)), "sizes")
 
+    own = own.select("id", "text")
     nodes, cells = node_cells(own, kind, shingle, percent)
     in_cells = cells.groupBy("node").agg(F.count("*").alias("degree"))
     pivots = cells.join(in_cells, "node").groupBy("cell").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("pivot"))
@@ -376,25 +379,53 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             break
         active = saved(active.join(more, "cell", "left_semi"), "active")
     discard(nodes, cells)
-    out = (sizes.join(classes, "sha", "left").withColumn("class_id", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("class_id")))
-           .join(reach, F.col("class_id") == F.col("node"), "left")
-           .select("id", "n", F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
-                   F.when(F.col("id").isNotNull(), F.coalesce("component", "class_id")).alias("component_id")))
-    return out, links
+    classes = class_names(sizes)
+    # a component is named by its smallest id
+    smallest = reach.join(classes, "node").groupBy("component").agg(F.min("class_id").alias("component_id"))
+    classes = classes.join(reach.join(smallest, "component"), "node", "left").select(
+        "sha", "class_id", F.coalesce("component_id", "class_id").alias("component_id"), F.coalesce("component", "node").alias("component"))
+    out = sizes.join(classes, "sha", "left").select(
+        F.col("doc").alias("id"), "n", F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id")).alias("component_id"), F.col("id").alias("key"),
+        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"))
+    named = [F.when(F.col("key").isNotNull(), F.col(c)).alias(c) for c in ("class_id", "component_id", "component")]
+    return out.select("id", "n", *named, "key"), named_links(links, class_names(sizes))
+
+
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows by a key of id and text: ``id`` (the key; null for a null id),
+    ``text``, ``doc`` (the id). Rows of one id with different texts are
+    different nodes."""
+    key = F.when(F.col(doc_id).isNotNull(), F.xxhash64(doc_id, text))
+    return docs.select(key.alias("id"), F.col(text).alias("text"), F.col(doc_id).alias("doc"))
+
+
+def class_names(sizes: DataFrame) -> DataFrame:
+    """sha, node, class_id (smallest id) of each class of equal sets."""
+    return sizes.where("n > 0 AND id IS NOT NULL").groupBy("sha").agg(F.min("id").alias("node"), F.min("doc").alias("class_id"))
+
+
+def named_links(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between nodes as links between class ids, the smaller one first."""
+    ends = [classes.select(F.col("node").alias(x), F.col("class_id").alias(f"id_{x}")) for x in "ab"]
+    return links.join(ends[0], "a").join(ends[1], "b").select(
+        F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), "shared", "either")
 
 
 def class_links(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """a, b, shared, either (intersection and union) of all links between
     classes, a < b, each once: the full join. Copies are not expanded; classes
     and members are in ``documents`` of ``near_duplicates``."""
-    kind = docs.schema[doc_id].dataType.simpleString()
-    own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    kind = "bigint"
+    own = keyed(docs, doc_id, text)
+    sizes = saved(map_arrow(own, f"id bigint, n bigint, sha binary, {field(own, 'doc')}", _scan(shingle)), "sizes")
+    own = own.select("id", "text")
     nodes, cells = node_cells(own, kind, shingle, percent)
     alone = nodes.select("node", F.col("node").alias("component"))
     found = residual_pairs(cells, alone, nodes.select("node", "n", "bitmap"), kind, percent, None, LINK_CHUNK, LINK_MEMBERS)
     pairs = saved(found.where("cell IS NULL").select("a", "b").distinct(), "pairs")
     discard(nodes, cells, found)
-    return checked_pairs(pairs, own, kind, shingle, percent)
+    return named_links(checked_pairs(pairs, own, kind, shingle, percent), class_names(sizes))
 
 
 def among(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:

@@ -139,6 +139,24 @@ def test_class_links_are_all_links(spark, monkeypatch):
     assert class_links(spark, [(1, None), (2, "")]) == {}
 
 
+def test_ids_with_two_texts_lose_no_link(spark):
+    """40 ids with two texts each, and a near copy of each text."""
+    r = random.Random(12)
+    rows = []
+    for i in range(40):
+        for j in (0, 1):
+            base = [r.choice(VOCABULARY) + str(r.randrange(99)) for _ in range(80)]
+            rows += [(i, " ".join(base)), (1000 + 2 * i + j, " ".join([*base, "more"]))]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, token string")
+    want = sorted((i, 1000 + 2 * i + j) for i in range(40) for j in (0, 1))
+    groups, links = nd.near_duplicates(docs)
+    assert sorted((x["a"], x["b"]) for x in links.collect()) == want
+    assert sorted((x["a"], x["b"]) for x in nd.class_links(docs).collect()) == want
+    got = groups.collect()
+    assert len(got) == 160 and len({x["component"] for x in got}) == 80
+    assert all(x["component_id"] == (x["id"] if x["id"] < 1000 else (x["id"] - 1000) // 2) for x in got)
+
+
 @pytest.mark.parametrize("percent", (20, 40, 50, 80))
 def test_no_width_is_too_far(percent):
     """Subsets as small as the similarity allows, at all places of the widths."""

@@ -60,3 +60,14 @@ def test_stages(spark):
 
 def test_run_returns_the_last_stage(spark):
     assert C.run(spark, SF_SMALL).columns == ["doc_id", "n_tokens", "bucket", "bucket_len", "batch", "slot"]
+
+
+def test_no_text_is_lost_with_a_repeated_id(spark):
+    base = {x: " ".join(f"{x}{n}" for n in range(60)) for x in "ab"}
+    rows = [(1, base["a"]), (2, base["a"] + " more"), (2, base["b"]), (3, base["b"]), (3, base["b"]), (None, base["a"]), (4, ""), (5, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "k") for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, key string")
+    got = C.jaccard(spark, docs, SF_SMALL)
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in got.collect()), key=str)
+    assert kept == sorted([(False, 1, base["a"]), (False, 2, base["b"]), (True, 0, base["a"]), (False, 4, ""), (False, 5, None)], key=str)
