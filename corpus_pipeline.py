@@ -39,8 +39,10 @@ def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group; rows
     without an id are in no group. Of equal rows one stays."""
     groups, _ = near_duplicates(docs)
-    kept = groups.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
-    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = groups.where(F.col("component").isNotNull()).groupBy("component").agg(F.min(F.struct("id", "key")).alias("first"))
+    kept = kept.select("first.*").distinct()
+    same = (F.col("d.doc_id") == F.col("kept.id")) & (F.xxhash64("d.doc_id", "d.text") == F.col("kept.key"))
+    return (docs.alias("d").join(kept.alias("kept"), same, "left_semi").dropDuplicates(["doc_id", "text"])
             .unionByName(docs.where(F.col("doc_id").isNull())))
 
 
