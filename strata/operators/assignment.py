@@ -40,16 +40,17 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.operators import matching
 from strata.operators.counters import capped_clients, merge_counts
-from strata.operators.matching import INDEX_KEY
+from strata.operators.matching import NODE
 from strata.operators.running import numbered, running_totals, written
 from strata.session import scratch_path
 
 #: clients of a node in the first chunk; chunk j > 0 has 3 * 4^(j-1) times as many
-FIRST_CHUNK = 8
+FIRST_CHUNK = 16
+#: a cut after every listing
+_NEVER = 1 << 62
 #: caps from which on clients that cannot reach theirs are set aside first
 _LARGE_CAP = 1000
 
-_NODE = [*INDEX_KEY, "node"]
 _FRONT = "listing long, c long, tier int, ms string, n long, allowed long, chunk int"
 
 class _Frontiers:
@@ -57,37 +58,33 @@ class _Frontiers:
 
     def __init__(self, cells: DataFrame, summaries: DataFrame, clients: DataFrame, first_chunk: int):
         self.cells, self.spark = cells, cells.sparkSession
-        known = summaries.join(clients.select("cid", "c", "allowed"), "cid").select(*_NODE, "c", "allowed", "ms", "n_rows")
+        known = summaries.join(clients.select("cid", "c", "allowed"), "cid").select(*NODE, "tier", "c", "allowed", "ms", "n_rows")
         at = F.expr(f"(rank - 1) div {first_chunk}")
         chunk = F.when(at == 0, F.lit(0)).otherwise(F.expr(f"(length(bin((rank - 1) div {first_chunk})) + 1) div 2")).cast("int")
-        self.nodes = written(running_totals(known, _NODE, [F.col("ms").desc_nulls_last(), F.col("c")], F.lit(1), "node-ranks", "rank")
+        self.nodes = written(running_totals(known, NODE, [F.col("ms").desc_nulls_last(), F.col("c")], F.lit(1), "node-ranks", "rank")
                              .withColumn("chunk", chunk), "node-lists")
-        self.heads = written(self.nodes.groupBy(*_NODE, "chunk").agg(F.min_by(F.struct("ms", (-F.col("c")).alias("back")), "rank").alias("head")), "node-heads")
+        self.heads = written(self.nodes.groupBy(*NODE, "chunk").agg(F.min_by(F.struct("ms", (-F.col("c")).alias("back")), "rank").alias("head")), "node-heads")
         self.path = scratch_path(self.spark, "frontiers")
         self.loads = 0
 
     def load(self, wanted: DataFrame) -> None:
         """Loads one chunk for each ``(listing, tier, chunk)``: rows of clients
-        that the listing does not have yet, and a row without client for the
-        best one that is still not loaded (``chunk`` is then the next one)."""
-        at = wanted.join(self.cells, ["listing", "tier"])
-        found = at.join(self.nodes.select(*_NODE, "chunk", "c"), [*_NODE, "chunk"]).select("listing", "c").distinct()
+        that the listing does not have yet on this tier, and a row without
+        client for the best one that is still not loaded (``chunk`` is then
+        the next one; without ``n`` if there is none)."""
+        pair, nothing = ["listing", "tier", "c"], F.lit(None).cast("long")
+        at = written(wanted.join(self.cells, ["listing", "tier"]), "loads")
+        found = at.join(self.nodes.select(*NODE, "chunk", "c"), [*NODE, "chunk"]).select(*pair).distinct()
         if self.loads:
-            found = found.join(self.rows().where("c is not null").select("listing", "c"), ["listing", "c"], "left_anti")
-        # a pair's summary over all nodes that it shares; place rows only, if there are any
-        both = found.join(self.cells, "listing").join(self.nodes.drop("rank", "chunk"), [*_NODE, "c"])
-        pairs = both.groupBy("listing", "c", "tier").agg(F.max("ms").alias("ms"), F.sum("n_rows").alias("n"), F.first("allowed").alias("allowed"))
-        best = pairs.groupBy("listing", "c").agg(F.min(F.struct("tier", "ms", "n", "allowed")).alias("p")).select(
-            "listing", "c", "p.*", F.lit(None).cast("int").alias("chunk"))
-        beyond = (at.withColumn("chunk", F.col("chunk") + 1).join(self.heads, [*_NODE, "chunk"])
-                  .groupBy("listing", "tier", "chunk").agg(F.max("head").alias("head")))
-        bounds = beyond.select("listing", F.lit(None).cast("long").alias("c"), "tier", F.col("head.ms").alias("ms"),
-                               F.col("head.back").alias("n"), F.lit(None).cast("long").alias("allowed"), "chunk")
-        ended = (wanted.join(beyond.select("listing", "tier"), ["listing", "tier"], "left_anti")
-                 .select("listing", F.lit(None).cast("long").alias("c"), "tier", F.lit(None).cast("string").alias("ms"),
-                         F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("allowed"), (F.col("chunk") + 1).alias("chunk")))
-        best.unionByName(bounds).unionByName(ended).selectExpr(*[f"cast({c.split()[0]} as {c.split()[1]}) as {c.split()[0]}" for c in _FRONT.split(", ")]) \
-            .write.parquet(f"{self.path}/load={self.loads}")
+            found = found.join(self.rows().where("c is not null").select(*pair), pair, "left_anti")
+        # a pair's summary over all nodes that it shares
+        pairs = (found.join(at.drop("chunk"), ["listing", "tier"]).join(self.nodes.drop("rank", "chunk", "tier"), [*NODE, "c"])
+                 .groupBy(*pair).agg(F.max("ms").alias("ms"), F.sum("n_rows").alias("n"), F.first("allowed").alias("allowed"))
+                 .select("listing", "c", "tier", "ms", "n", "allowed", F.lit(None).cast("int").alias("chunk")))
+        beyond = at.withColumn("chunk", F.col("chunk") + 1).join(self.heads, [*NODE, "chunk"], "left")
+        bounds = beyond.groupBy("listing", "tier", "chunk").agg(F.max("head").alias("head")).select(
+            "listing", nothing.alias("c"), "tier", "head.ms", F.col("head.back").alias("n"), nothing.alias("allowed"), "chunk")
+        pairs.unionByName(bounds).write.parquet(f"{self.path}/load={self.loads}")
         self.loads += 1
 
     def rows(self) -> DataFrame:
@@ -98,7 +95,10 @@ def _wants(front: DataFrame, cuts: DataFrame, k: int, min_clients: int) -> DataF
     """One step: ``listing, c, tier, ms, n, allowed, present`` of all wanted
     clients, and rows without client, with ``tier`` and ``chunk``, of listings
     whose frontier ends too early."""
-    rows = front.join(cuts, "c", "left")
+    # a client that matches on place is no client of the area tier
+    own = Window.partitionBy("listing", "c")
+    rows = (front.join(cuts, "c", "left").repartition("listing").withColumn("first", F.min("tier").over(own))
+            .where(F.col("c").isNull() | (F.col("tier") == F.col("first"))))
     bound = F.col("c").isNull()
     of = Window.partitionBy("listing")
     # of each tier the last bound counts; one without head says that all is loaded
@@ -165,19 +165,29 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
     clients = written(clients.select("cid", "c", (F.lit(cap) - F.coalesce("count", F.lit(0))).alias("allowed")), "clients")
     frontiers = _Frontiers(cells, summaries, clients, first_chunk)
     frontiers.load(cells.select("listing", "tier").distinct().withColumn("chunk", F.lit(0)))
-    cuts, steps = spark.createDataFrame([], "c long, cut long"), 0
+    cuts = changed = short = wants = None
+    steps = 0
     while True:
         steps += 1
-        wants = written(_wants(frontiers.rows(), cuts, k, min_clients), "wants")
-        now = written(_cuts(wants, cap), "cuts")
+        rows = frontiers.rows()
+        if wants is None:
+            wants = written(_wants(rows, spark.createDataFrame([], "c long, cut long"), k, min_clients), "wants")
+        else:
+            # only listings with a client that came or went, or with a new chunk, want anything else than before
+            moved = (F.col("listing") <= F.coalesce("old", F.lit(_NEVER))) != (F.col("listing") <= F.coalesce("cut", F.lit(_NEVER)))
+            touched = written(rows.join(changed, "c").where(moved).select("listing").unionByName(short.select("listing")).distinct(), "touched")
+            anew = _wants(rows.join(touched, "listing", "left_semi"), cuts, k, min_clients)
+            wants = written(wants.join(touched, "listing", "left_anti").unionByName(anew), "wants")
+        before = cuts if cuts is not None else spark.createDataFrame([], "c long, cut long")
+        both = written(_cuts(wants, cap).join(before.withColumnRenamed("cut", "old"), "c", "full"), "cuts")
+        cuts = both.where("cut is not null").select("c", "cut")
+        changed = both.where(~F.col("cut").eqNullSafe(F.col("old")))
         short = wants.where("c is null").select("listing", "tier", "chunk")
-        changed = not (now.join(cuts.withColumnRenamed("cut", "_old"), "c", "full").where(~F.col("cut").eqNullSafe(F.col("_old"))).isEmpty())
-        starved = not short.isEmpty()
-        if starved:
+        moving, starved = changed.agg(F.count("*")).unionAll(short.agg(F.count("*"))).collect()
+        if starved[0]:
             frontiers.load(short)
-        if not changed and not starved:
+        elif not moving[0]:
             break
-        cuts = now
     picked = wants.where("present").join(clients.select("c", "cid"), "c").select("listing", "cid", "tier")
     pairs = matching.merged(picked, cells, summaries)
     w = Window.partitionBy("listing").orderBy(F.col("ms").desc_nulls_last(), F.col("cid"))

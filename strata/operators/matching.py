@@ -216,33 +216,38 @@ _PAYLOAD_FIELDS = ("area_code", "price_start", "price_end", "house_type") + \
 
 #: the key of the price index: both tiers' locations, room and type
 INDEX_KEY = ["tier", "loc", "room_s", "rs"]
+#: a node of the index: ``key`` numbers the keys that listings have
+NODE = ["key", "node"]
 
 
 def pair_index(houses: DataFrame, intents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The price index of both tiers: nodes of the listings (``listing``, key,
-    ``node``) and, for each node, a summary of each client's intent rows there:
-    ``ms``, ``n_rows`` and the latest row. An intent row is in exactly one node
-    of a listing that it matches, so summaries of a pair are merged over the
-    listing's nodes (``merged``). Both are written."""
+    """The price index of both tiers: nodes of the listings (``listing``,
+    ``tier``, ``key``, ``node``) and, for each node, a summary of each client's
+    intent rows there: ``ms``, ``n_rows`` and the latest row. An intent row is
+    in exactly one node of a listing that it matches, so summaries of a pair
+    are merged over the listing's nodes (``merged``). Both are written."""
     def both_tiers(df: DataFrame) -> DataFrame:
         keys = F.array(*[F.struct(F.lit(t).alias("tier"), F.col(c).alias("loc")) for t, c in ((1, "place"), (2, "area"))])
         return df.withColumn("_k", F.explode(keys)).select("*", "_k.tier", "_k.loc").drop("_k", "place", "area")
 
     h = both_tiers(identified(houses).select("listing", "place", "area", "price", F.col("room").cast("string").alias("room_s"),
                                              F.col("rs_type").alias("rs")))
+    keys = written(numbered(h.select(*INDEX_KEY).distinct().where("loc is not null"), [F.col(c) for c in INDEX_KEY], "listing-keys", "key"), "listing-keys")
     i = both_tiers(_intent_rooms(intents.select("cid", "rid", "see_time", "update_time", "place", "area", "price_start", "price_end",
-                                                "house_type", "rs")).drop("house_type"))
-    cells, bands = price_nodes(h, i, INDEX_KEY)
+                                                "house_type", "rs")).drop("house_type")).join(keys, INDEX_KEY)
+    # a client's rows of one band are summarised before they are spread over nodes
     latest = F.struct("update_time", F.bitwise_not("rid").alias("not_rid"), "see_time")
-    summaries = bands.groupBy(*INDEX_KEY, "node", "cid").agg(
-        F.max("see_time").alias("ms"), F.count(F.lit(1)).alias("n_rows"), F.max(latest).alias("latest"))
+    bands = written(i.groupBy("key", "tier", "price_start", "price_end", "cid").agg(
+        F.max("see_time").alias("ms"), F.count(F.lit(1)).alias("n_rows"), F.max(latest).alias("latest")), "bands")
+    cells, covered = price_nodes(h.join(keys, INDEX_KEY).select("listing", "tier", "key", "price"), bands, ["key"])
+    summaries = covered.groupBy(*NODE, "tier", "cid").agg(
+        F.max("ms").alias("ms"), F.sum("n_rows").alias("n_rows"), F.max("latest").alias("latest"))
     return written(cells.drop("price"), "listing-nodes"), written(summaries, "node-clients")
 
 
 def merged(pairs: DataFrame, cells: DataFrame, summaries: DataFrame) -> DataFrame:
     """Summaries of the given pairs ``(listing, cid, tier)``."""
-    on = [*INDEX_KEY, "node", "cid"]
-    return (pairs.select("listing", "cid", "tier").join(cells, ["listing", "tier"]).join(summaries, on)
+    return (pairs.select("listing", "cid", "tier").join(cells, ["listing", "tier"]).join(summaries.drop("tier"), [*NODE, "cid"])
             .groupBy("listing", "cid", "tier").agg(F.max("ms").alias("ms"), F.sum("n_rows").alias("n_rows"), F.max("latest").alias("latest")))
 
 
@@ -262,7 +267,7 @@ def match_pairs(houses: DataFrame, intents: DataFrame, k: int = 3,
     by_time = [F.col("ms").desc_nulls_last(), F.col("cid")]
 
     def tops(tier: int, m: int) -> DataFrame:
-        return (cells.where(F.col("tier") == tier).join(node_tops(summaries.where(F.col("tier") == tier), m), [*INDEX_KEY, "node"])
+        return (cells.where(F.col("tier") == tier).join(node_tops(summaries.where(F.col("tier") == tier), m), NODE)
                 .groupBy("listing", "cid").agg(F.max("ms").alias("ms")).withColumn("tier", F.lit(tier)))
 
     place = written(tops(1, max(k, min_clients)), "place-tops")
@@ -277,8 +282,8 @@ def match_pairs(houses: DataFrame, intents: DataFrame, k: int = 3,
 
 def node_tops(summaries: DataFrame, m: int) -> DataFrame:
     """The ``m`` top clients of each node, by latest viewing, then ``cid``."""
-    w = Window.partitionBy(*INDEX_KEY, "node").orderBy(F.col("ms").desc_nulls_last(), F.col("cid"))
-    return (summaries.select(*INDEX_KEY, "node", "cid", "ms").withColumn("_r", F.row_number().over(w))
+    w = Window.partitionBy(*NODE).orderBy(F.col("ms").desc_nulls_last(), F.col("cid"))
+    return (summaries.select(*NODE, "cid", "ms").withColumn("_r", F.row_number().over(w))
             .where(F.col("_r") <= m).drop("_r"))
 
 
