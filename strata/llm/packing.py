@@ -149,25 +149,19 @@ def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", te
     def scan(batch: pa.RecordBatch):
         if not own:
             own.append(Splitter(body.value))
-        head = common.value
         for a in range(0, batch.num_rows, RUN):
             part = batch.slice(a, RUN)
-            counts = [own[0].counts(t or "") for t in part.column(1).to_pylist()]
-            new = list({x for freq, _ in counts for x in freq if x not in head and x not in known})
-            once = {}  # long ones are not kept
-            for b in range(0, len(new), 10_000):
-                for x, pieces in zip(new[b:b + 10_000], own[0].pieces(new[b:b + 10_000])):
-                    (known if len(x) <= HEAD_CHARS else once)[x] = pieces
-
-            def pieces_of(x):
-                n = head.get(x)
-                if n is None:
-                    n = known.get(x)
-                return once[x] if n is None else n
-
-            yield {"doc_id": part.column(0), "n_tokens": [n + sum(c * pieces_of(x) for x, c in freq.items()) for freq, n in counts]}
-            if len(known) > most:
+            if not known or len(known) > len(common.value) + most:
                 known.clear()
+                known.update(common.value)
+            texts = [own[0].parts(t or "") for t in part.column(1).to_pylist()]
+            new = list(set().union(*(parts for parts, _ in texts)).difference(known))
+            for b in range(0, len(new), 10_000):
+                known.update(zip(new[b:b + 10_000], map(len, own[0].encoded(new[b:b + 10_000]))))
+            yield {"doc_id": part.column(0), "n_tokens": [n + sum(map(known.__getitem__, parts)) for parts, n in texts]}
+            for x in new:  # long ones are not kept
+                if len(x) > HEAD_CHARS:
+                    del known[x]
 
     return map_arrow(docs.select(doc_id, text), f"doc_id {kind}, n_tokens bigint", scan)
 

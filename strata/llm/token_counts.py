@@ -85,6 +85,17 @@ class Splitter:
             out.update(self.pretokens(part))
         return out, len(parts) - 1
 
+    def parts(self, text: str) -> tuple[list[str], int]:
+        """Pre-tokens in order and the number of special strings."""
+        if self.special is None or self.special.search(text) is None:
+            return self.pretokens(text), 0
+        parts = self.special.split(text)
+        return [x for part in parts for x in self.pretokens(part)], len(parts) - 1
+
+    def encoded(self, pretokens: list[str]) -> list:
+        """Encodings, which know their length, without places in the text."""
+        return self.tokenizer.encode_batch_fast(pretokens, add_special_tokens=False)
+
     def pieces(self, pretokens: list[str]) -> list[int]:
         return [len(e.ids) for e in self.tokenizer.encode_batch(pretokens, add_special_tokens=False)]
 
