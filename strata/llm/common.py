@@ -58,14 +58,17 @@ def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], Iterato
     target = to_arrow_schema(StructType.fromDDL(schema), prefers_large_types=False)
 
     def run(batches):
-        for batch in batches:
-            for out in fn(batch):
-                if isinstance(out, dict):
-                    arrays = [(v if v.type == f.type else v.cast(f.type)) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, type=f.type)
-                              for f, v in ((f, out[f.name]) for f in target)]
-                    arrays = [a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays]
-                    out = pa.RecordBatch.from_arrays(arrays, schema=target)
-                if out.num_rows:
-                    yield out
+        try:
+            for batch in batches:
+                for out in fn(batch):
+                    if isinstance(out, dict):
+                        arrays = [(v if v.type == f.type else v.cast(f.type)) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, type=f.type)
+                                  for f, v in ((f, out[f.name]) for f in target)]
+                        arrays = [a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays]
+                        out = pa.RecordBatch.from_arrays(arrays, schema=target)
+                    if out.num_rows:
+                        yield out
+        finally:  # workers are used again: buffers of this task go back to the system
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

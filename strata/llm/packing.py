@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from strata.llm.common import discard, map_arrow, read, saved
-from strata.llm.token_counts import HEAD, HEAD_CHARS, Splitter, checked
+from strata.llm.token_counts import HEAD_CHARS, Splitter, checked
 from strata.llm.words import SPACE_WORDS, word_tables
 
 BUCKETS, BUDGET, GROUP = 16, 32_768, 10_000
-#: texts whose pre-tokens are broadcast; texts whose new pre-tokens are encoded in one call
-SAMPLE, RUN = 2_000, 256
+#: texts whose most frequent pre-tokens are broadcast, and how many; texts whose new pre-tokens are encoded in one call
+SAMPLE, COMMON, RUN = 2_000, 1 << 15, 256
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -124,17 +124,17 @@ def word_lengths(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
 
 def _common(docs: DataFrame, text: str, body) -> dict[str, int]:
     """Pre-tokens of ``SAMPLE`` texts with their numbers of pieces, at most
-    ``HEAD`` of them. Only a start for the tasks' own tables: the counts are
+    ``COMMON`` of them. Only a start for the tasks' own tables: the counts are
     the same whatever it holds."""
     from strata.llm.token_counts import vocabulary
 
     words = vocabulary(docs.select(text).limit(SAMPLE), text, body)
-    rows = words.where(F.length("token") <= HEAD_CHARS).orderBy(F.col("freq").desc(), "token").limit(HEAD).select("token", "pieces").toArrow()
+    rows = words.where(F.length("token") <= HEAD_CHARS).orderBy(F.col("freq").desc(), "token").limit(COMMON).select("token", "pieces").toArrow()
     discard(words)
     return dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
 
 
-def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", most: int = HEAD) -> DataFrame:
+def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", most: int = 1 << 16) -> DataFrame:
     """doc_id, n_tokens of each row of ``docs`` by the tokenizer's file, as
     ``token_counts`` has them but in one pass without a shuffle: a task encodes
     a pre-token once, as long as it knows at most ``most`` of its own, and the
