@@ -20,17 +20,21 @@ ties are broken by a hash of the id; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from strata.llm.common import discard, map_arrow, read, saved
+from strata.llm.common import map_arrow, read, saved
 from strata.llm.token_counts import HEAD_CHARS, Splitter, checked
 from strata.llm.words import SPACE_WORDS, word_tables
 
 BUCKETS, BUDGET, GROUP = 16, 32_768, 10_000
+#: further pre-tokens that a task keeps
+HEAD = 1 << 16
 #: texts whose most frequent pre-tokens are broadcast, and how many; texts whose new pre-tokens are encoded in one call
-SAMPLE, COMMON, RUN = 2_000, 1 << 15, 256
+SAMPLE, SAMPLE_CHARS, COMMON, RUN = 2_000, 4_096, 1 << 15, 256
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -122,26 +126,25 @@ def word_lengths(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     return map_arrow(docs.select(doc_id, text), f"doc_id {kind}, n_words bigint", scan)
 
 
-def _common(docs: DataFrame, text: str, body) -> dict[str, int]:
-    """Pre-tokens of ``SAMPLE`` texts with their numbers of pieces, at most
-    ``COMMON`` of them. Only a start for the tasks' own tables: the counts are
-    the same whatever it holds."""
-    from strata.llm.token_counts import vocabulary
-
-    words = vocabulary(docs.select(text).limit(SAMPLE), text, body)
-    rows = words.where(F.length("token") <= HEAD_CHARS).orderBy(F.col("freq").desc(), "token").limit(COMMON).select("token", "pieces").toArrow()
-    discard(words)
-    return dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
+def _common(docs: DataFrame, text: str, body: str) -> dict[str, int]:
+    """The ``COMMON`` most frequent pre-tokens of the beginnings of ``SAMPLE``
+    texts, with their numbers of pieces. Only a start for the tasks' own
+    tables: the counts are the same whatever it holds."""
+    own, freq = Splitter(body), Counter()
+    for row in docs.select(F.substring(text, 1, SAMPLE_CHARS)).limit(SAMPLE).collect():
+        freq.update(own.pretokens(row[0] or ""))
+    top = [x for x, _ in freq.most_common(COMMON) if len(x) <= HEAD_CHARS]
+    return dict(zip(top, map(len, own.encoded(top))))
 
 
-def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", most: int = 1 << 16) -> DataFrame:
+def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", most: int = HEAD) -> DataFrame:
     """doc_id, n_tokens of each row of ``docs`` by the tokenizer's file, as
     ``token_counts`` has them but in one pass without a shuffle: a task encodes
     a pre-token once, as long as it knows at most ``most`` of its own, and the
     new ones of many texts in one call. Common ones are broadcast."""
     sc = docs.sparkSession.sparkContext
     body = sc.broadcast(checked(tokenizer))
-    common = sc.broadcast(_common(docs, text, body))
+    common = sc.broadcast(_common(docs, text, body.value))
     kind = docs.schema[doc_id].dataType.simpleString()
     own: list[Splitter] = []
     known: dict[str, int] = {}
