@@ -42,8 +42,7 @@ def _random_case(seed, n_houses=8, n_intents=30, n_clients=6):
     return houses, intents
 
 
-@pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("first_chunk", [1, 8])   # frontiers refilled / loaded at once
+@pytest.mark.parametrize("seed, first_chunk", [(0, 1), (1, 8), (3, 1)])   # frontiers refilled / loaded at once
 def test_random_cases_equal_sequential_model(spark, seed, first_chunk):
     houses, intents = _random_case(seed)
     counts = {"c1": 3, "c2": 4} if seed % 2 else None
@@ -65,10 +64,9 @@ def test_cap_boundary_and_rows_counted_before_dedup(spark):
     assert gc == ec and gc["two"] == 2 and gc["c3"] == 4
 
 
-@pytest.mark.parametrize("first_chunk", [2, 8])
-def test_binding_sf0001_equals_model(spark, first_chunk):
+def test_binding_sf0001_equals_model(spark):
     h, i = Q._houses(spark, SF_SMALL), Q._intents(spark, SF_SMALL)
-    picks, counts, _ = assign_capped(h, i, first_chunk=first_chunk)
+    picks, counts, _ = assign_capped(h, i, first_chunk=2)
     got = sorted((r.share_id, r.fh_id, r.cid, r.rid, r.n_rows) for r in picks.collect())
     exp, ec = sequential([r.asDict() for r in h.collect()], [r.asDict() for r in i.collect()])
     assert got == sorted(exp)
@@ -84,7 +82,7 @@ def test_one_giant_component_and_deep_frontiers(spark):
     assert got == exp and gc == ec and len(got) > 100
 
 
-@pytest.mark.parametrize("k, min_clients", [(2, 4), (4, 2), (1, 1)])
+@pytest.mark.parametrize("k, min_clients", [(2, 4), (4, 2)])
 def test_other_numbers_of_clients(spark, k, min_clients):
     houses, intents = _random_case(31, n_houses=10, n_intents=50, n_clients=9)
     got, exp, gc, ec = _run(spark, houses, intents, k=k, min_clients=min_clients, cap=2, first_chunk=1)
@@ -104,8 +102,7 @@ def test_equal_listings_are_listings_of_their_own(spark):
     assert got == exp == [(1, 1, "c", 0, 4)] and gc == ec == {"c": 4}
 
 
-@pytest.mark.parametrize("first_chunk", [1, 8])
-def test_hot_client_joins_everything(spark, first_chunk):
+def test_hot_client_joins_everything(spark):
     rnd = random.Random(21)
     houses, intents = _random_case(99, n_houses=14, n_intents=40, n_clients=8)
     # one client with many wide intents matching nearly every listing
@@ -113,7 +110,7 @@ def test_hot_client_joins_everything(spark, first_chunk):
         intents.append((r, "hot", f"2024-01-{rnd.randint(1, 9):02d}", "2024-02-01",
                         f"01-{rnd.choice(['A', 'B'])}-{rnd.choice(['P1', 'P2', 'P3'])}",
                         0.0, 20.0, "1,2,3", rnd.choice([1, 2, 3, 4])))
-    got, exp, gc, ec = _run(spark, houses, intents, {"c3": 2}, cap=3, first_chunk=first_chunk)
+    got, exp, gc, ec = _run(spark, houses, intents, {"c3": 2}, cap=3, first_chunk=1)
     assert got == exp
     assert gc == ec
 
