@@ -70,52 +70,53 @@ def _doubled_char(sep_regex: str) -> str | None:
     return None
 
 
-def split_bounded(col, sep_regex: str, n: int) -> Column:
-    """The first ``n`` fields (plus the unsplit remainder) with one bounded split."""
-    return F.split(_c(col), sep_regex, n + 1)
+def exact_fields(col, sep_regex: str, n: int) -> Column:
+    """An array that holds the line's first ``n`` fields (and the rest, as one
+    more) if ``String.split(regex)`` would give exactly ``n`` fields, and
+    nothing otherwise. Exploded, it filters and splits lines in one split.
+
+    The split stops after ``n`` separators: field ``n`` must not be empty, and
+    what follows must be separators only (of ``||``, an even run of ``|``).
+    No regex alternation, which the JVM engine would evaluate recursively. The
+    lambda binds the fields, so the line is split once.
+    """
+    return F.filter(F.array(F.split(_c(col), sep_regex, n + 1)), lambda parts: _exact(parts, sep_regex, n))
+
+
+def _exact(parts: Column, sep_regex: str, n: int) -> Column:
+    rest = F.get(parts, n)
+    single, doubled = _single_char(sep_regex), _doubled_char(sep_regex)
+    if single is not None:
+        empty = F.translate(rest, single, "") == ""
+    elif doubled is not None:
+        empty = (F.translate(rest, doubled, "") == "") & (F.length(rest) % 2 == 0)
+    else:
+        empty = F.concat_ws("", F.split(rest, sep_regex, -1)) == ""
+    last = F.get(parts, n - 1)
+    if n == 1:  # '' has one field
+        return (F.size(parts) == 1) | ((last != "") & empty)
+    return (F.size(parts) >= n) & (last != "") & ((F.size(parts) == n) | empty)
 
 
 def has_exact_fields(col, sep_regex: str, n: int) -> Column:
     """True when ``String.split(regex)`` would give exactly ``n`` fields.
 
-    Written without lambdas so it stays inside whole-stage codegen. For a
-    one-character separator it is one anchored regex whose loops are all
-    character classes (iterative in the JVM regex engine, so safe on very
-    long lines): fields 1..n-1 any, field n non-empty, then only separators.
-    For a doubled separator such as ``||`` the line is split at most n times
-    and the remainder must be separators only (an even run of the character):
-    no regex alternation, which the JVM engine would evaluate recursively.
-    Otherwise the n-th split field must be non-empty and every field after it
-    empty.
+    For a one-character separator it is one anchored regex whose loops are all
+    character classes (iterative in the JVM regex engine, so safe on very long
+    lines): fields 1..n-1 any, field n non-empty, then only separators. For
+    others the line is split once (``exact_fields``).
     """
     c = _c(col)
     ch = _single_char(sep_regex)
-    if ch is not None:
-        x = "\\" + ch if ch in "]\\^-" else ch
-        pattern = r"\A(?:[^" + x + r"]*" + re.escape(ch) + "){" + str(n - 1) + r"}[^" + x + r"]+" \
-            + re.escape(ch) + r"*\z"
-        cond = c.rlike(pattern)
-        if n == 1:
-            cond = cond | (c == "")
-        return c.isNotNull() & cond
-    dc = _doubled_char(sep_regex)
-    if dc is not None:
-        # split stops after n separators; the remainder must be separators only
-        parts = F.split(c, sep_regex, n + 1)
-        rem = F.get(parts, n)
-        only_seps = (F.translate(rem, dc, "") == "") & (F.length(rem) % 2 == 0)
-        cond = (F.size(parts) >= n) & (F.get(parts, n - 1) != "") & \
-            ((F.size(parts) == n) | only_seps)
-        if n == 1:
-            cond = cond | (c == "")
-        return c.isNotNull() & F.coalesce(cond, F.lit(False))
-    parts = F.split(c, sep_regex, -1)
-    size = F.size(parts)
-    rest = F.slice(parts, n + 1, F.greatest(size - F.lit(n), F.lit(0)))
-    cond = (size >= n) & (F.get(parts, n - 1) != "") & (F.concat_ws("", rest) == "")
+    if ch is None:
+        return F.coalesce(F.size(exact_fields(c, sep_regex, n)) == 1, F.lit(False))
+    x = "\\" + ch if ch in "]\\^-" else ch
+    pattern = r"\A(?:[^" + x + r"]*" + re.escape(ch) + "){" + str(n - 1) + r"}[^" + x + r"]+" \
+        + re.escape(ch) + r"*\z"
+    cond = c.rlike(pattern)
     if n == 1:
         cond = cond | (c == "")
-    return c.isNotNull() & F.coalesce(cond, F.lit(False))
+    return c.isNotNull() & cond
 
 
 def strip_nul_prefix(col) -> Column:

@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.clock import run_date
-from strata.functions.kv import kv_get
-from strata.functions.text import has_exact_fields, jvm_split_size, split_bounded, strip_nul_prefix
+from strata.functions.kv import with_values
+from strata.functions.text import exact_fields, has_exact_fields, jvm_split_size, strip_nul_prefix
 
 SEP = r"\|\|"
 
@@ -41,24 +41,111 @@ def _page_id(payload: Column) -> Column:
 
 # Field layouts of the two log kinds.
 PAGE_SPEC = LogSpec(
-    raw=("it ip logsource uuid aid ssid ver ost model bi_nt bi_np bi_lng bi_lat channel "
-         "mac imei idfa imsi sid srcid payload").split(),
+    raw=(
+        "it",
+        "ip",
+        "logsource",
+        "uuid",
+        "aid",
+        "ssid",
+        "ver",
+        "ost",
+        "model",
+        "bi_nt",
+        "bi_np",
+        "bi_lng",
+        "bi_lat",
+        "channel",
+        "mac",
+        "imei",
+        "idfa",
+        "imsi",
+        "sid",
+        "srcid",
+        "payload",
+    ),
     keys={"st": "st", "bd": "bd", "osv": "osv", "uid": "uid", "et": "et", "scs": "scs",
           "osl": "osl", "dpi": "dpi", "bat": "bat"},
-    columns=tuple(("it ip logsource uuid aid ssid ver ost model bi_nt bi_np bi_lng bi_lat channel "
-                   "mac imei idfa imsi pid st bd osv uid et scs osl dpi bat sid srcid").split()),
+    columns=(
+        "it",
+        "ip",
+        "logsource",
+        "uuid",
+        "aid",
+        "ssid",
+        "ver",
+        "ost",
+        "model",
+        "bi_nt",
+        "bi_np",
+        "bi_lng",
+        "bi_lat",
+        "channel",
+        "mac",
+        "imei",
+        "idfa",
+        "imsi",
+        "pid",
+        "st",
+        "bd",
+        "osv",
+        "uid",
+        "et",
+        "scs",
+        "osl",
+        "dpi",
+        "bat",
+        "sid",
+        "srcid",
+    ),
     extra={"pid": _page_id},
 )
 
 EVENT_SPEC = LogSpec(
-    raw=("request_time ip http_logsource http_uuid http_aid http_version http_phoneos "
-         "http_phonemodel http_network http_carries http_longitude http_latitude sid srcid "
-         "payload").split(),
+    raw=(
+        "request_time",
+        "ip",
+        "http_logsource",
+        "http_uuid",
+        "http_aid",
+        "http_version",
+        "http_phoneos",
+        "http_phonemodel",
+        "http_network",
+        "http_carries",
+        "http_longitude",
+        "http_latitude",
+        "sid",
+        "srcid",
+        "payload",
+    ),
     keys={"bd": "bd", "osv": "osv", "uid": "uid", "eid": "eId", "obj": "obj", "scs": "scs",
           "osl": "osl", "dpi": "dpi", "bat": "bat"},
-    columns=tuple(("request_time ip http_logsource http_uuid http_aid http_version http_phoneos "
-                   "http_phonemodel http_network http_carries http_longitude http_latitude bd osv "
-                   "uid eid obj scs osl dpi bat sid srcid").split()),
+    columns=(
+        "request_time",
+        "ip",
+        "http_logsource",
+        "http_uuid",
+        "http_aid",
+        "http_version",
+        "http_phoneos",
+        "http_phonemodel",
+        "http_network",
+        "http_carries",
+        "http_longitude",
+        "http_latitude",
+        "bd",
+        "osv",
+        "uid",
+        "eid",
+        "obj",
+        "scs",
+        "osl",
+        "dpi",
+        "bat",
+        "sid",
+        "srcid",
+    ),
     extra={},
 )
 
@@ -67,26 +154,27 @@ def valid_lines(lines: DataFrame, spec: LogSpec, col: str = "value") -> Column:
     return has_exact_fields(col, SEP, len(spec.raw))
 
 
-def parse_log(lines: DataFrame, spec: LogSpec, run_ts, col: str = "value") -> DataFrame:
-    """Parse the lines of ``col`` that have exactly ``len(spec.raw)`` fields."""
+def parse_log(lines: DataFrame, spec: LogSpec, run_ts, col: str = "value", keep: tuple = ()) -> DataFrame:
+    """Parse the lines of ``col`` that have exactly ``len(spec.raw)`` fields.
+
+    A line is split once: the test keeps or drops its fields (``exact_fields``),
+    which are then taken by position. The payload's tokens and keys are built
+    once, whatever the number of keys. Columns of ``lines`` in ``keep`` come last.
+    """
     n = len(spec.raw)
-    parts = split_bounded(col, SEP, n)
-    raw = {name: F.get(parts, i) for i, name in enumerate(spec.raw)}
+    fields = lines.select(*keep, F.explode(exact_fields(col, SEP, n)).alias("_fields"))
+    raw = {name: F.get("_fields", i) for i, name in enumerate(spec.raw)}
     raw[spec.raw[0]] = strip_nul_prefix(raw[spec.raw[0]])
-    payload = F.col("_payload")
-    out = {}
+    payload = spec.raw[-1]
+    staged = with_values(fields.select(*keep, *[c.alias("_f_" + name) for name, c in raw.items()]), "_f_" + payload,
+                         {"_k_" + name: key for name, key in spec.keys.items()})
+    out = []
     for name in spec.columns:
         if name in spec.extra:
-            out[name] = spec.extra[name](payload)
-        elif name in spec.keys:
-            out[name] = kv_get(payload, spec.keys[name])
+            out.append(spec.extra[name](F.col("_f_" + payload)).alias(name))
         else:
-            out[name] = F.col("_f_" + name)
-    staged = lines.where(has_exact_fields(col, SEP, n)).select(
-        *[raw[name].alias("_f_" + name) for name in spec.raw[:-1]],
-        raw[spec.raw[-1]].alias("_payload"),
-    )
-    return staged.select(*[out[c].alias(c) for c in spec.columns], run_date(run_ts).alias("l_date"))
+            out.append(F.col(("_k_" if name in spec.keys else "_f_") + name).alias(name))
+    return staged.select(*out, run_date(run_ts).alias("l_date"), *keep)
 
 
 def parse_page_log(lines: DataFrame, run_ts, col: str = "value") -> DataFrame:

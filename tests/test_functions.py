@@ -175,3 +175,20 @@ def test_bucket_path_keeps_null_times_and_combines(spark):
     df = spark.createDataFrame(rows, "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
     out = df.select(bucket_path("t").alias("a"), bucket_path("t", lag=0).alias("b")).collect()
     assert [tuple(r) for r in out] == [("2024-01-31/23-55", "2024-02-01/00-00"), (None, None), ("1969-12-31/23-50", "1969-12-31/23-55")]
+
+
+def test_line_is_split_once_and_no_regex_per_key(spark):
+    """The plan of a parser splits the line once and the payload once."""
+    import datetime as dt
+    from strata.operators.logs import parse_event_log
+    df = spark.createDataFrame([("a||b",)], "value string")
+    plan = parse_event_log(df, dt.datetime(2024, 1, 1))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(value") == 1 and plan.count(", &, -1)") == 1 and "regexp" not in plan
+
+
+def test_kv_map_agrees_with_kv_get(spark):
+    payloads = ["a=1&b=2&a=3", "&&a", "", None, " a =x%y&\tb=\x01z", "=v&b==c", "a=&a", "b=1&" * 5000 + "a=2"]
+    df = spark.createDataFrame([(p,) for p in payloads], "p string")
+    for r in df.select("p", kv_map("p").alias("m"), *[kv_get("p", k).alias("k_" + k) for k in ("a", "b", "zz")]).collect():
+        for k in ("a", "b", "zz"):
+            assert r["k_" + k] == (None if r.m is None else r.m.get(k)), (r.p, k)
