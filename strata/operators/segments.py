@@ -4,10 +4,10 @@ For each rule (a SQL predicate over a user-fact table): ``group_number`` =
 distinct users with a row matching it, ``group_active_count`` = those users
 that also have a row in the active date window.
 
-Fused form: one scan and one aggregation for a batch of rules. Rows are
-grouped by user with one ``max(rule_i)`` flag per rule plus an ``active``
-flag (partial aggregation map-side, so a user with many rows costs one row
-per map task), then each rule's two counts are ``count_if`` over users.
+Fused form: one scan and one aggregation for a batch of rules. A row's rules
+are bits of a few longs, 63 each; a user's words are their ``bit_or`` (partial
+aggregation map-side, so a user with many rows costs one short row per map
+task). Users' set bits are then unpacked once and counted by rule.
 The per-rule reference forms are kept as ``rule_users`` / ``rule_active_users``.
 """
 
@@ -17,7 +17,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-RULES_PER_PASS = 100
+#: rules of one scan, a bound of the plan's size
+RULES_PER_PASS = 1008
+#: rules of one word
+_BITS = 63
 
 
 def active_rules(rules: DataFrame, exclude_names) -> DataFrame:
@@ -63,6 +66,14 @@ def _flag(sql: str):
     return F.max(F.coalesce(F.expr(f"({sql})"), F.lit(False)).cast("int"))
 
 
+def _word(rules: list[str]):
+    """The rules that hold for a row, as bits; a rule that is null does not."""
+    terms = [F.when(F.expr(f"({sql})"), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, sql in enumerate(rules)]
+    while len(terms) > 1:  # a balanced tree, not a chain of 63
+        terms = [terms[i].bitwiseOR(terms[i + 1]) if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def validate_rules(facts: DataFrame, rule_list) -> list[tuple[int, str, str]]:
     """(id, rule, status) of each rule; the status is ``ok`` or says why the
     rule cannot be counted.
@@ -114,23 +125,18 @@ def segment_counts(facts: DataFrame, rules, user_col: str = "uuid", date_col: st
     for b in range(0, len(rule_list), rules_per_pass):
         batch = rule_list[b:b + rules_per_pass]
         with _lenient(spark):
-            per_user = (facts.where(F.col(user_col).isNotNull())
-                        .groupBy(user_col)
-                        .agg(*[_flag(sql).alias(f"r{i}") for i, (_, sql) in enumerate(batch)],
-                             F.max(F.coalesce(active, F.lit(False)).cast("int")).alias("_act")))
-        sums = per_user.agg(*[
-            F.struct(F.sum(F.col(f"r{i}")).alias("n"),
-                     F.sum(F.col(f"r{i}") * F.col("_act")).alias("a")).alias(f"s{i}")
-            for i in range(len(batch))])
-        # one row per rule: unpivot the single summary row
-        stack = F.explode(F.array(*[
-            F.struct(F.lit(rid).cast("int").alias("id"), F.col(f"s{i}.n").alias("n"), F.col(f"s{i}.a").alias("a"))
-            for i, (rid, _) in enumerate(batch)]))
-        outs.append(sums.select(stack.alias("x")).select(
-            "x.id",
-            F.coalesce("x.n", F.lit(0)).cast("long").alias("group_number"),
-            F.coalesce("x.a", F.lit(0)).cast("long").alias("group_active_count"),
-            F.lit("ok").alias("status")))
+            words = [F.bit_or(_word([sql for _, sql in batch[w:w + _BITS]])).alias(f"w{w}") for w in range(0, len(batch), _BITS)]
+            per_user = (facts.where(F.col(user_col).isNotNull()).groupBy(user_col)
+                        .agg(*words, F.max(F.coalesce(active, F.lit(False)).cast("int")).alias("_act")))
+        # a user's set bits, each the place of a rule in the batch
+        bits = (per_user.select("_act", F.posexplode(F.array(*[c for c in per_user.columns if c.startswith("w")])).alias("word", "bits"))
+                .where("bits <> 0").select("_act", "word", F.explode(F.expr(f"filter(sequence(0, {_BITS - 1}), b -> getbit(bits, b) = 1)")).alias("bit")))
+        counts = bits.groupBy((F.col("word") * _BITS + F.col("bit")).alias("place")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("_act").alias("a"))
+        places = spark.createDataFrame([(int(rid), i) for i, (rid, _) in enumerate(batch)], "id int, place int")
+        outs.append(places.join(counts, "place", "left").select(
+            "id", F.coalesce("n", F.lit(0)).cast("long").alias("group_number"),
+            F.coalesce("a", F.lit(0)).cast("long").alias("group_active_count"), F.lit("ok").alias("status")))
     bad = [(int(rid), None, None, status) for rid, _, status in checked if status != "ok"]
     if bad or not outs:
         outs.append(spark.createDataFrame(bad, COUNT_SCHEMA))

@@ -293,3 +293,21 @@ ORACLES.update({
 })
 
 ORACLES["c4_best_client_job"] = ORACLES["c4_best_client"]
+
+ORACLES.update({
+    "a2_id_chunks": """select event_type, chunk, count(*) as n, string_agg(cast(event_id as varchar), ',' order by event_id) as ids
+        from (select event_type, event_id, (row_number() over (partition by event_type order by event_id) - 1) // 1000 as chunk
+              from events where event_id is not null) group by event_type, chunk""",
+    "c2_ingest_ledger": EVENT_EXPECTED,
+    "s6_json_inferred": """select event_id, event_type, value, case when event_type = 'view' then user_id end as viewer,
+        case when event_type = 'view' then event_id end as viewed from events""",
+    # each rule as parameters of one of four conditions
+    "r1_thousand_rules": f"""with f as ({FACTS}),
+        r as (select cast(range as int) as id, range % 4 as kind, range * 7 % 500 as t, range % 97 + 2 as m from range(1000)),
+        u as (select distinct r.id, f.uuid from r join f on
+          (r.kind = 0 and f.value > r.t) or (r.kind = 1 and f.event_type = 'purchase' and f.value > r.t)
+          or (r.kind = 2 and f.user_id % r.m = 0) or (r.kind = 3 and f.event_type in ('view', 'click') and f.user_id % r.m = 1)),
+        a as (select distinct uuid from f where l_date >= '2024-01-28' and l_date <= '2024-01-28')
+        select r.id, count(u.uuid) as group_number, count(a.uuid) as group_active_count
+        from r left join u using (id) left join a on a.uuid = u.uuid group by r.id""",
+})

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.functions.clock import bucket_path
-from strata.functions.kv import kv_get
+from strata.functions.kv import with_values
 from strata.operators import counters, logs, matching, misc, segments
 from strata.session import read_table, scratch_path
 from strata.sources import bindings
@@ -67,7 +67,7 @@ def p2_rejects(spark: SparkSession, sf: str) -> DataFrame:
 def p6_url_params(spark: SparkSession, sf: str) -> DataFrame:
     p = read_table(spark, sf, "pages")
     q = F.regexp_extract("url", r"\?([^#]*)", 1)
-    return p.select("page_id", kv_get(q, "page").alias("page"), kv_get(q, "ref").alias("ref"))
+    return with_values(p.select("page_id", q.alias("q")), "q", {"page": "page", "ref": "ref"}).drop("q")
 
 
 def s2_bucket_path(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,6 +210,19 @@ def r1_stored_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
     return segments.segment_counts(f, r2_active_rules(spark, sf), start=ACTIVE_START, end=ACTIVE_END)
 
 
+def thousand_rules() -> list[tuple[int, str]]:
+    """1,000 rules by thresholds and moduli."""
+    kinds = ["value > {t}", "event_type = 'purchase' and value > {t}", "user_id % {m} = 0",
+             "event_type in ('view', 'click') and user_id % {m} = 1"]
+    return [(i, kinds[i % 4].format(t=i * 7 % 500, m=i % 97 + 2)) for i in range(1000)]
+
+
+def r1_thousand_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 with 1,000 rules in one scan."""
+    counts = segments.segment_counts(_facts(spark, sf), thousand_rules(), start=ACTIVE_START, end=ACTIVE_END)
+    return counts.select("id", "group_number", "group_active_count")
+
+
 def r1_bad_rules(spark: SparkSession, sf: str) -> DataFrame:
     """R1 beside rules that are no conditions, do not resolve, or do not convert."""
     rules = SEGMENT_RULES[:2] + [(11, "value"), (12, "count(*) > 1"), (13, "event_type > 5"), (14, "no_such_column = 1"), (15, "value >")]
@@ -240,6 +253,12 @@ def a2_collect_all_ids(spark: SparkSession, sf: str) -> DataFrame:
     return ids.select("user_id", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
 
 
+def a2_id_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 in chunks: few keys, each with a large share of all rows."""
+    chunks = misc.collect_id_chunks(read_table(spark, sf, "events"), "event_type", "event_id", size=1000)
+    return chunks.select("event_type", "chunk", "n", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+
+
 def a10_first_row(spark: SparkSession, sf: str) -> DataFrame:
     """A10: the first row, by an order that makes it stable."""
     e = read_table(spark, sf, "events")
@@ -335,6 +354,19 @@ def c1_ingest_page_log(spark: SparkSession, sf: str) -> DataFrame:
     return _read_back(spark, target, parsed)
 
 
+def c2_ingest_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """C2 by a ledger of buckets: three buckets, of which the first is ingested
+    by two runs and the others by a late one; each line is there once."""
+    from strata.plans.ingest import EVENT_FILE, ingest_pending, read_committed
+    prefix, target, ledger = (scratch_path(spark, n) for n in ("logs", "event_log", "ledger"))
+    lines = bindings.event_lines(spark, sf)
+    for i, minute in enumerate(("00-05", "00-10", "00-40")):
+        lines.where(F.pmod(F.crc32("value"), F.lit(3)) == i).write.text(f"{prefix}/2024-02-01/{minute}")
+    for run_ts in (dt.datetime(2024, 2, 1, 0, 11), dt.datetime(2024, 2, 1, 0, 12), dt.datetime(2024, 2, 1, 1, 30)):
+        ingest_pending(spark, prefix, EVENT_FILE, logs.EVENT_SPEC, target, ledger, run_ts, file_pattern="part-*")
+    return read_committed(spark, target, ledger, logs.EVENT_SPEC).drop("bucket")
+
+
 def l1_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """L1: the event parser on a file stream (availableNow), read back from the sink."""
     from strata.streaming.ingest import stream_log
@@ -394,6 +426,19 @@ def k6_json_export(spark: SparkSession, sf: str) -> DataFrame:
     return read_json(spark, path, schema=df.schema).select(*df.columns)
 
 
+def s6_json_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """S6 without a given schema: JSON of events, inferred, stored, read twice."""
+    from strata.sinks.writers import export
+    from strata.sources.logs import read_json_inferred
+    path, stored = scratch_path(spark, "json"), scratch_path(spark, "json_schema")
+    e = read_table(spark, sf, "events")
+    view = F.when(F.col("event_type") == "view", F.struct("user_id", F.array("event_id", "user_id").alias("ids")))
+    export(e.select("event_id", "event_type", "value", view.alias("view")), path, fmt="json")
+    read_json_inferred(spark, path, stored)
+    j = read_json_inferred(spark, path, stored)
+    return j.select("event_id", "event_type", "value", F.col("view.user_id").alias("viewer"), F.try_element_at("view.ids", F.lit(1)).alias("viewed"))
+
+
 def _tsv_lines(spark, sf) -> DataFrame:
     """``events`` as tab-separated lines; every 4th ends in empty fields."""
     e = read_table(spark, sf, "events")
@@ -472,10 +517,9 @@ def c3_run_match_catalog(spark: SparkSession, sf: str) -> DataFrame:
 def p6_kv_map(spark: SparkSession, sf: str) -> DataFrame:
     """P6 as a whole map: event payloads to ``map<string,string>``, then look-ups."""
     from strata.functions.kv import kv_map
-    from strata.functions.text import has_exact_fields, split_fields
-    lines = bindings.event_lines(spark, sf)
-    m = kv_map(F.get(split_fields("value", logs.SEP), 14))
-    return (lines.where(has_exact_fields("value", logs.SEP, 15)).select(m.alias("m"))
+    from strata.functions.text import exact_fields
+    fields = bindings.event_lines(spark, sf).select(F.explode(exact_fields("value", logs.SEP, 15)).alias("fields"))
+    return (fields.select(kv_map(F.get("fields", 14)).alias("m"))
             .select(*[F.try_element_at("m", F.lit(k)).alias(c)
                       for c, k in (("uid", "uid"), ("eid", "eId"), ("obj", "obj"), ("bd", "bd"))]))
 
