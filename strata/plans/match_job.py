@@ -14,7 +14,7 @@ from strata.operators import matching
 from strata.operators.assignment import assign_capped
 from strata.operators.counters import load_counts
 from strata.session import target_exists
-from strata.sinks.writers import replace_table
+from strata.sinks.writers import commit_tables, read_committed_table, replace_table
 
 # Result layout of the match table.
 RESULT_COLUMNS = ("city_code", "share_id", "fh_id", "share_worker_id", "insert_worker_id", "cid",
@@ -50,6 +50,16 @@ def run_match_job(spark: SparkSession, houses: DataFrame, intents: DataFrame, st
     return turns
 
 
+def run_match_commit(spark: SparkSession, houses: DataFrame, intents: DataFrame, root: str, run_date: str, **kw) -> str:
+    """Run C3 with result and counters as one commit under ``root`` (tables
+    ``result`` and ``state``): a run that fails between the two changes
+    neither, and its repetition starts from the last complete run's counters.
+    Returns the run's id."""
+    state = read_committed_table(spark, root, "state")
+    result, new_state, _ = run_match(houses, intents, state, run_date, **kw)
+    return commit_tables(spark, root, {"result": result.select(*RESULT_COLUMNS), "state": new_state})
+
+
 def run_best_client_job(houses: DataFrame, intents: DataFrame, result_target: str,
                         files: int | None = None) -> DataFrame:
     """C4: the older rule's single best client per listing, written as a table."""

@@ -5,7 +5,11 @@ A target is a catalog table name, or a path when it contains ``/``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from strata.session import hadoop_path
 
 
 def _is_path(target: str) -> bool:
@@ -39,6 +43,43 @@ def replace_table(df: DataFrame, target: str, files: int | None = None) -> None:
         out.write.mode("overwrite").saveAsTable(target)
 
 
+def commit_tables(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> str:
+    """K2 for tables that belong together: all are written into a folder of
+    their own under ``root``, then one empty file, numbered, makes them the
+    current ones at once. Returns the run's id.
+
+    A run that dies before that file leaves the last complete run in place;
+    ``read_committed_table`` never shows its part. Earlier runs stay until they
+    are deleted, so tables may be computed from the ones they replace. One
+    writer at a time: a second one with the same number fails.
+    """
+    run = uuid.uuid4().hex[:12]
+    for name, df in tables.items():
+        df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/runs/{run}/{name}")
+    done = _commits(spark, root)
+    fs, path = hadoop_path(spark, f"{root.rstrip('/')}/commits/{len(done):010d}-{run}")
+    taken, clash = hadoop_path(spark, f"{root.rstrip('/')}/commits/{len(done):010d}-*")
+    if taken.globStatus(clash):
+        raise RuntimeError(f"another run was committed to {root} meanwhile")
+    if not fs.createNewFile(path):
+        raise RuntimeError(f"could not commit run {run} to {root}")
+    return run
+
+
+def _commits(spark: SparkSession, root: str) -> list[str]:
+    """The names of the commit files in order, one per complete run."""
+    fs, pattern = hadoop_path(spark, f"{root.rstrip('/')}/commits/*-*")
+    return sorted(str(f.getPath()).rsplit("/", 1)[1] for f in fs.globStatus(pattern) or [])
+
+
+def read_committed_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A table of the last complete run under ``root``; None before the first."""
+    done = _commits(spark, root)
+    if not done:
+        return None
+    return spark.read.parquet(f"{root.rstrip('/')}/runs/{done[-1].split('-', 1)[1]}/{name}")
+
+
 def snapshot_table(df: DataFrame, target: str, files: int | None = None) -> None:
     """Write a new table; fail if it exists. ``files`` sets the file count."""
     out = df.repartition(files) if files else df

@@ -56,3 +56,40 @@ def test_stream_reads_bucket_folders(spark):
     q = stream_log(spark, src, sink, ckpt, EVENT_SPEC, run_ts=Q.RUN_TS, trigger={"availableNow": True})
     q.awaitTermination()
     assert spark.read.parquet(sink).count() > 0
+
+
+def _bucket_lines(n):
+    return [("||".join([str(n)] + ["x"] * 13 + [f"uid={n}"]),)]
+
+
+def test_ledger_catches_up_and_repeats_a_run_that_died(spark, monkeypatch):
+    import pytest
+    from strata.plans import ingest
+    prefix, target, ledger = (scratch_path(spark, n) for n in ("t_led_logs", "t_led", "t_led_done"))
+    for n, folder in enumerate(("2024-01-31/23-50", "2024-01-31/23-55", "2024-02-01/00-05")):
+        spark.createDataFrame(_bucket_lines(n), "value string").coalesce(1).write.text(f"{prefix}/{folder}")
+
+    def run(ts):
+        return ingest.ingest_pending(spark, prefix, "event-log", logs.EVENT_SPEC, target, ledger, ts, file_pattern="part-*")
+
+    def rows():
+        got = ingest.read_committed(spark, target, ledger, logs.EVENT_SPEC).collect()
+        return sorted((r.uid, r.l_date, r.bucket) for r in got)
+
+    assert run(dt.datetime(2024, 1, 31, 23, 52)) == [] and rows() == []      # its bucket is still open
+    first, second = ("0", "2024-01-31", "2024-01-31_23-50"), ("1", "2024-02-01", "2024-01-31_23-55")
+    assert run(dt.datetime(2024, 1, 31, 23, 55)) == ["2024-01-31/23-50"] and rows() == [first]
+    assert run(dt.datetime(2024, 1, 31, 23, 58)) == [] and rows() == [first]
+
+    def died(*a, **kw):
+        raise OSError("before the ledger's line")
+
+    entries = spark.createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **kw: died() if data and isinstance(data[0], tuple)
+                        and len(data[0]) == 2 else entries(data, *a, **kw))
+    with pytest.raises(OSError):
+        run(dt.datetime(2024, 2, 1, 0, 20))
+    monkeypatch.undo()
+    assert rows() == [first]                                                 # written, not committed
+    assert run(dt.datetime(2024, 2, 2, 9, 0)) == ["2024-01-31/23-55", "2024-02-01/00-05"]
+    assert rows() == [first, second, ("2", "2024-02-01", "2024-02-01_00-05")]  # days by bucket, not by run

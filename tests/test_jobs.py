@@ -103,3 +103,38 @@ def test_match_without_row_ids(spark):
     run_match_job(spark, spark.createDataFrame(houses, H_SCHEMA), spark.createDataFrame(numbered, i_df.schema), state, result, "2024-03-01")
     assert sorted((r.fh_id, r.cid) for r in spark.read.parquet(result).collect()) == exp
     assert {r.cid: r["count"] for r in spark.read.parquet(state).collect()} == counts
+
+
+def test_result_and_counters_are_one_commit(spark, monkeypatch):
+    import pytest
+    from pyspark.sql import DataFrameWriter
+    from strata.plans.match_job import run_match_commit
+    from strata.sinks.writers import read_committed_table
+    houses, intents = _random_case(5, n_houses=8, n_intents=30, n_clients=5)
+    h_df, i_df = spark.createDataFrame(houses, H_SCHEMA), spark.createDataFrame(intents, I_SCHEMA)
+    root = scratch_path(spark, "t_commits")
+
+    def tables():
+        result, state = (read_committed_table(spark, root, t) for t in ("result", "state"))
+        return sorted((r.fh_id, r.cid) for r in result.collect()), {r.cid: r["count"] for r in state.collect()}
+
+    assert read_committed_table(spark, root, "state") is None
+    run_match_commit(spark, h_df, i_df, root, "2024-03-01")
+    exp1, c1 = _model_rows(spark, houses, intents, None)
+    assert tables() == (exp1, c1)
+
+    parquet = DataFrameWriter.parquet
+
+    def failing(self, path, *a, **kw):
+        if path.endswith("/state"):
+            raise OSError("lost between the two writes")
+        return parquet(self, path, *a, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+    with pytest.raises(OSError):
+        run_match_commit(spark, h_df, i_df, root, "2024-03-01")
+    monkeypatch.undo()
+    assert tables() == (exp1, c1)                                # neither table of the failed run shows
+
+    run_match_commit(spark, h_df, i_df, root, "2024-03-01")
+    assert tables() == _model_rows(spark, houses, intents, c1)   # the counters of the last complete run

@@ -45,3 +45,28 @@ def test_export_single_file_and_modes(spark):
         export(spark.range(1), path, fmt="csv")
     export(spark.range(5), path, fmt="csv", mode="overwrite", files=None)
     assert spark.read.csv(path).count() == 5
+
+
+def test_id_chunks_of_a_hot_key_and_a_null_key(spark):
+    from strata.operators.misc import collect_id_chunks
+    rows = [("hot", i) for i in range(250)] + [(None, 7), (None, 7), ("b", 3), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(7)
+    got = {(r.k, r.chunk): (r.n, r.ids) for r in collect_id_chunks(df, "k", "v", 100).collect()}
+    assert got == {("hot", 0): (100, list(range(100))), ("hot", 1): (100, list(range(100, 200))),
+                   ("hot", 2): (50, list(range(200, 250))), (None, 0): (2, [7, 7]), ("b", 0): (1, [3])}
+    assert collect_id_chunks(df.limit(0), "k", "v").collect() == []
+
+
+def test_json_schema_is_inferred_once_and_stored(spark):
+    from strata.session import scratch_path
+    from strata.sources.logs import json_schema, read_json_inferred
+    path, stored = scratch_path(spark, "t_json"), scratch_path(spark, "t_json_schema")
+    lines = ['{"a": 1, "b": 1.5, "OBJECT<x": {"y": [1, 2.5]}, "n": null, "m": 1}', '{"a": 2, "b": 3e10, "m": "s"}', "no json", "5", ""]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    df = read_json_inferred(spark, path, stored)
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    assert types == {"a": "bigint", "b": "double", "OBJECT<x": "struct<y:array<double>>", "n": "string", "m": "string"}
+    assert sorted((r.a, r.b, r.m) for r in df.where("a is not null").collect()) == [(1, 1.5, "1"), (2, 3e10, "s")]
+    spark.createDataFrame([('{"a": "text", "z": 1}',)], "value string").write.mode("append").text(path)
+    assert read_json_inferred(spark, path, stored).schema == df.schema      # the stored one
+    assert len(json_schema(spark.createDataFrame([], "value string"))) == 0
