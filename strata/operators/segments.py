@@ -83,21 +83,28 @@ def validate_rules(facts: DataFrame, rule_list) -> list[tuple[int, str, str]]:
     stand inside an aggregate: ``count(*) > 1`` and ``value`` are no rules. One
     bad stored rule must not fail the whole batch.
     """
-    from pyspark.errors import PySparkException
-    out = []
     with _lenient(facts.sparkSession):
-        for rid, sql in rule_list:
-            try:
-                kind = facts.select(F.expr(f"({sql})").alias("_r")).schema["_r"].dataType.simpleString()
-                if kind != "boolean":
-                    out.append((rid, sql, f"not a condition: {kind}"))
-                    continue
-                facts.agg(_flag(sql).alias("_r")).schema
-                out.append((rid, sql, "ok"))
-            except (PySparkException, ValueError) as e:
-                reason = e.getCondition() if isinstance(e, PySparkException) else None
-                out.append((rid, sql, f"invalid: {reason or type(e).__name__}"))
-    return out
+        return _validated(facts, list(rule_list))
+
+
+def _validated(facts: DataFrame, rules: list[tuple[int, str]]) -> list[tuple[int, str, str]]:
+    """All rules are analysed at once; where that fails, each half by itself."""
+    from pyspark.errors import PySparkException
+    if not rules:
+        return []
+    try:
+        schema = facts.select(*[F.expr(f"({sql})").alias(f"r{i}") for i, (_, sql) in enumerate(rules)]).schema
+        kinds = [f.dataType.simpleString() for f in schema]
+        flags = [_flag(sql).alias(f"r{i}") for i, (_, sql) in enumerate(rules) if kinds[i] == "boolean"]
+        if flags:
+            facts.agg(*flags).schema
+    except (PySparkException, ValueError) as e:
+        if len(rules) > 1:
+            half = len(rules) // 2
+            return _validated(facts, rules[:half]) + _validated(facts, rules[half:])
+        reason = e.getCondition() if isinstance(e, PySparkException) else None
+        return [(*rules[0], f"invalid: {reason or type(e).__name__}")]
+    return [(rid, sql, "ok" if k == "boolean" else f"not a condition: {k}") for (rid, sql), k in zip(rules, kinds)]
 
 
 COUNT_SCHEMA = "id int, group_number bigint, group_active_count bigint, status string"
