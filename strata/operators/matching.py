@@ -251,40 +251,97 @@ def merged(pairs: DataFrame, cells: DataFrame, summaries: DataFrame) -> DataFram
             .groupBy("listing", "cid", "tier").agg(F.max("ms").alias("ms"), F.sum("n_rows").alias("n_rows"), F.max("latest").alias("latest")))
 
 
+#: what an intent row asks for, beside its location
+WISH = ["rs", "house_type", "price_start", "price_end"]
+#: what a listing offers; equal listings have equal candidates
+CELL = ["place", "area", "room", "rs_type", "price"]
+
+
+def listing_cells(houses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Numbered classes of listings that are alike in all that matching reads
+    (``cell``, ``CELL``), and the listings with their ``cell``. Both are written."""
+    cells = written(houses.select(*CELL).distinct().withColumn("cell", F.monotonically_increasing_id()), "cells")
+    c = cells.select("cell", *[F.col(x).alias(f"_{x}") for x in CELL])
+    same = [houses[x].eqNullSafe(c[f"_{x}"]) for x in CELL]
+    known = [x for x in ("listing", *LISTING) if x in houses.columns]
+    return cells, written(houses.join(c, same).select(*known, "cell"), "listing-cells")
+
+
+def client_bands(intents: DataFrame) -> DataFrame:
+    """Intent rows summarised per client, location and wish: ``ms``, ``n_rows``
+    and the latest row. Written."""
+    latest = F.struct("update_time", F.bitwise_not("rid").alias("not_rid"), "see_time")
+    return written(intents.groupBy("area", "place", *WISH, "cid").agg(
+        F.max("see_time").alias("ms"), F.count(F.lit(1)).alias("n_rows"), F.max(latest).alias("latest")), "client-bands")
+
+
+def tier_tops(cells: DataFrame, bands: DataFrame, tier: int, m: int) -> DataFrame:
+    """The ``m`` top clients of each cell on one tier: ``cell``, ``cid``, ``ms``.
+
+    Rows of one location and wish match the same listings, so only their ``m``
+    top clients are spread over rooms and nodes of the price index, and each
+    node keeps its ``m`` top clients. Written."""
+    on, key = {1: "place", 2: "area"}[tier], ["loc", "room_s", "rs"]
+    at = cells.select("cell", F.col(on).alias("loc"), F.col("room").cast("string").alias("room_s"), F.col("rs_type").alias("rs"), "price")
+    keys = written(at.select(*key).distinct().where("loc is not null").withColumn("key", F.monotonically_increasing_id()), "cell-keys")
+    clients = bands.groupBy(F.col(on).alias("loc"), *WISH, "cid").agg(F.max("ms").alias("ms"))
+    offers = _intent_rooms(_tops(clients, ["loc", *WISH], m)).join(keys, key)
+    nodes, covered = price_nodes(at.join(keys, key).select("cell", "key", "price"),
+                                 written(offers.select("key", "price_start", "price_end", "cid", "ms"), "offers"), ["key"])
+    lists = written(node_tops(covered.groupBy(*NODE, "cid").agg(F.max("ms").alias("ms")), m), "node-tops")
+    found = nodes.select("cell", *NODE).join(lists, NODE).groupBy("cell", "cid").agg(F.max("ms").alias("ms"))
+    return written(_tops(found, ["cell"], m), "cell-tops")
+
+
+def cell_rows(pairs: DataFrame, cells: DataFrame, bands: DataFrame) -> DataFrame:
+    """Summaries of ``pairs`` (``cell``, ``cid``, ``tier``) over all rows of the
+    client that match the cell on that tier. Joined by client and location."""
+    loc = F.when(F.col("tier") == 1, F.col("place")).otherwise(F.col("area")).alias("loc")
+    p = pairs.join(cells, "cell").select("cell", "cid", "tier", loc, F.col("room").cast("string").alias("_room"), F.col("rs_type").alias("rs"), "price")
+    keys = F.array(*[F.struct(F.lit(t).alias("tier"), F.col(c).alias("loc")) for t, c in ((1, "place"), (2, "area"))])
+    b = bands.withColumn("_k", F.explode(keys)).select("cid", *WISH, "ms", "n_rows", "latest", "_k.tier", "_k.loc")
+    fits = F.col("price").between(F.col("price_start"), F.col("price_end")) & F.array_contains(F.split("house_type", ",", -1), F.col("_room"))
+    return (p.join(b, ["cid", "tier", "loc", "rs"]).where(fits).groupBy("cell", "cid", "tier")
+            .agg(F.max("ms").alias("ms"), F.sum("n_rows").alias("n_rows"), F.max("latest").alias("latest")))
+
+
 def match_pairs(houses: DataFrame, intents: DataFrame, k: int = 3,
                 min_clients: int = 3) -> DataFrame:
     """J1+J2+T1+W2 at once, as per-pair summaries of the selected clients.
 
-    Each node of the price index keeps its top clients by (latest viewing,
-    then ``cid``): a listing's top client is also among the top of the node
+    Listings that are alike are matched once, as a cell. Each set of intents
+    with one wish and each node of the price index keep their top clients by
+    (latest viewing, then ``cid``): a cell's top client is also among the top
     where it has its latest viewing, so lists of ``k`` clients are enough on
     place, and ``k + min_clients - 1`` on area, where up to ``min_clients - 1``
-    place clients are left out. Lists of ``min_clients`` tell whether a listing
-    is full on place. The selected pairs are then summarised.
+    place clients are left out. Lists of ``min_clients`` tell whether a cell
+    is full on place; only the others are looked up on area. The candidates
+    are then summarised and ranked.
     """
-    houses = identified(houses)
-    cells, summaries = pair_index(houses, intents)
-    by_time = [F.col("ms").desc_nulls_last(), F.col("cid")]
-
-    def tops(tier: int, m: int) -> DataFrame:
-        return (cells.where(F.col("tier") == tier).join(node_tops(summaries.where(F.col("tier") == tier), m), NODE)
-                .groupBy("listing", "cid").agg(F.max("ms").alias("ms")).withColumn("tier", F.lit(tier)))
-
-    place = written(tops(1, max(k, min_clients)), "place-tops")
-    full = place.groupBy("listing").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_clients).select("listing")
-    area = (tops(2, k + min_clients - 1).join(full, "listing", "left_anti")
-            .join(place.select("listing", "cid"), ["listing", "cid"], "left_anti"))
-    w = Window.partitionBy("listing").orderBy(*by_time)
-    top = written(place.unionByName(area).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "tops")
-    pairs = merged(top, cells, summaries).join(top.select("listing", "cid", "rank"), ["listing", "cid"])
-    return with_listing(pairs, houses)
+    cells, at = listing_cells(identified(houses))
+    bands = client_bands(intents)
+    place = tier_tops(cells, bands, 1, max(k, min_clients))
+    full = place.groupBy("cell").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_clients).select("cell")
+    area = (tier_tops(written(cells.join(full, "cell", "left_anti"), "open-cells"), bands, 2, k + min_clients - 1)
+            .join(place.select("cell", "cid"), ["cell", "cid"], "left_anti"))
+    both = place.withColumn("tier", F.lit(1)).unionByName(area.withColumn("tier", F.lit(2)))
+    rows = written(cell_rows(both, cells, bands).select(
+        "cell", "cid", "ms", "n_rows", "tier", F.bitwise_not(F.col("latest.not_rid")).alias("rid"),
+        F.col("latest.see_time").alias("see_time"), F.col("latest.update_time").alias("update_time")), "cell-clients")
+    return _tops(rows, ["cell"], k, "rank").join(at, "cell").select(
+        "listing", *PAIR_KEYS, "ms", "n_rows", "tier", "rid", "see_time", "update_time", "rank")
+
+
+def _tops(df: DataFrame, of: list[str], m: int, rank: str | None = None) -> DataFrame:
+    """The ``m`` first rows of each group by latest viewing, then ``cid``."""
+    w = Window.partitionBy(*of).orderBy(F.col("ms").desc_nulls_last(), F.col("cid"))
+    top = df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= m)
+    return top.withColumnRenamed("_r", rank) if rank else top.drop("_r")
 
 
 def node_tops(summaries: DataFrame, m: int) -> DataFrame:
     """The ``m`` top clients of each node, by latest viewing, then ``cid``."""
-    w = Window.partitionBy(*NODE).orderBy(F.col("ms").desc_nulls_last(), F.col("cid"))
-    return (summaries.select(*NODE, "cid", "ms").withColumn("_r", F.row_number().over(w))
-            .where(F.col("_r") <= m).drop("_r"))
+    return _tops(summaries.select(*NODE, "cid", "ms"), NODE, m)
 
 
 def with_listing(pairs: DataFrame, houses: DataFrame) -> DataFrame:

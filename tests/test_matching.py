@@ -127,3 +127,17 @@ def test_zero_codes_option_and_null_listing_fields(spark):
     assert (h.fh_id, h.share_id, h.room, h.price, h.rs_type) == (0, 0, 0, 0.0, 0)
     i = matching.normalize_intents(df)
     assert matching.place_candidates(matching.normalize_houses(houses), i).count() == 0
+
+
+def test_clients_with_one_wish_are_cut_before_they_are_spread(spark, monkeypatch):
+    """Tables written while matching grow with the distinct wishes, not with clients times nodes."""
+    rows, write = {}, matching.written
+    monkeypatch.setattr(matching, "written", lambda df, name: rows.setdefault(name, []).append(write(df, name)) or rows[name][-1])
+    houses = [(n, n, "A", "P", 2, 1.0 + n % 7, 1) for n in range(14)]
+    intents = [_intent(n, f"c{n}", "P", see=f"2024-01-{n % 28 + 1:02d}") for n in range(300)]
+    pairs = matching.match_pairs(*_frames(spark, houses, intents))
+    got = {(r.fh_id, r.cid) for r in pairs.collect()}
+    assert got == {(n, c) for n in range(14) for c in ("c111", "c139", "c167")}
+    sizes = {name: max(df.count() for df in dfs) for name, dfs in rows.items()}
+    assert sizes["cells"] == 7 and sizes.pop("client-bands") == 300
+    assert max(sizes.values()) <= 30
