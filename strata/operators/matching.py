@@ -143,8 +143,9 @@ def _intent_rooms(intents: DataFrame) -> DataFrame:
 
 
 def _candidates(houses: DataFrame, intents: DataFrame, on: str, tier: int) -> DataFrame:
+    gate = ["_place"] if "_place" in houses.columns else []
     h = houses.select(
-        "fh_id", "share_id", "city_code", "share_worker_id", "price", "rs_type",
+        "fh_id", "share_id", "city_code", "share_worker_id", "price", "rs_type", *gate,
         F.col(on).alias("_loc"), F.col("room").cast("string").alias("_room"))
     i = _intent_rooms(intents).withColumnRenamed(on, "_iloc")
     cond = [
@@ -154,7 +155,9 @@ def _candidates(houses: DataFrame, intents: DataFrame, on: str, tier: int) -> Da
         h["price"] >= i["price_start"],
         h["price"] <= i["price_end"],
     ]
-    out = h.join(i, cond, "inner").drop("_loc", "_room", "room_s")
+    if gate:
+        cond.append(~F.array_contains(h["_place"], i["cid"]))
+    out = h.join(i, cond, "inner").drop("_loc", "_room", "room_s", *gate)
     return out.withColumnRenamed("_iloc", on).withColumn("tier", F.lit(tier))
 
 
@@ -168,20 +171,25 @@ def area_candidates(houses: DataFrame, intents: DataFrame) -> DataFrame:
     return _candidates(houses, intents, "area", 2)
 
 
-def _full_listings(tier1: DataFrame, min_clients: int) -> DataFrame:
-    """Listings with at least ``min_clients`` distinct tier-1 clients."""
-    return (tier1.select(*PAIR_KEYS).distinct()
-            .groupBy(*LISTING).agg(F.count(F.lit(1)).alias("n1"))
-            .where(F.col("n1") >= min_clients).select(*LISTING))
+def _place_clients(houses: DataFrame, intents: DataFrame, min_clients: int) -> DataFrame:
+    """``_place`` of each listing: its distinct place clients, or
+    ``min_clients`` of them at least if it has more. They come from the price
+    index, so no candidate rows are paired up or moved for them."""
+    cells, at = listing_cells(houses)
+    tops = tier_tops(cells, client_bands(intents), 1, min_clients)
+    return at.join(tops, "cell").groupBy(*LISTING).agg(F.collect_set("cid").alias("_place"))
 
 
 def match_candidates(houses: DataFrame, intents: DataFrame, min_clients: int = 3) -> DataFrame:
-    """J1 + J2: tier-1 rows, plus tier-2 rows for listings that need them."""
+    """J1 + J2: tier-1 rows, plus tier-2 rows for listings that need them.
+
+    A listing that needs them has fewer than ``min_clients`` place clients, so
+    it carries them along, and only the inputs are ever shuffled."""
     t1 = place_candidates(houses, intents)
-    open_houses = houses.join(_full_listings(t1, min_clients), LISTING, "left_anti")
-    t2 = (area_candidates(open_houses, intents)
-          .join(t1.select(*PAIR_KEYS).distinct(), PAIR_KEYS, "left_anti"))
-    return t1.unionByName(t2)
+    none = F.array().cast("array<string>")
+    open_houses = (houses.join(_place_clients(houses, intents, min_clients), LISTING, "left")
+                   .withColumn("_place", F.coalesce("_place", none)).where(F.size("_place") < min_clients))
+    return t1.unionByName(area_candidates(open_houses, intents))
 
 
 def top_clients_per_house(cands: DataFrame, k: int = 3) -> DataFrame:

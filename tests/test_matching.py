@@ -141,3 +141,16 @@ def test_clients_with_one_wish_are_cut_before_they_are_spread(spark, monkeypatch
     sizes = {name: max(df.count() for df in dfs) for name, dfs in rows.items()}
     assert sizes["cells"] == 7 and sizes.pop("client-bands") == 300
     assert max(sizes.values()) <= 30
+
+
+def test_match_candidates_shuffle_no_pairs(spark):
+    """The gate of the area tier comes from the price index: no candidate row is grouped or joined again."""
+    houses = [(1, 1, "A", "P", 2, 5.0, 1), (1, 1, "A", "R", 2, 5.0, 1), (2, 2, "A", "R", 2, 5.0, 1)]
+    intents = [_intent(n, f"c{n}", "P") for n in (1, 2)] + [_intent(n, f"c{n}", "R") for n in (2, 3)]
+    h, i = _frames(spark, houses, intents)
+    c = matching.match_candidates(h, i)
+    assert sorted((r.fh_id, r.cid, r.tier) for r in c.collect()) == [
+        (1, "c1", 1), (1, "c2", 1), (1, "c2", 1), (1, "c3", 1),  # three place clients over both rows
+        (2, "c1", 2), (2, "c2", 1), (2, "c3", 1)]
+    plan = c._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan
