@@ -18,6 +18,9 @@ The exact result is the fixpoint of one set-based step over all listings:
   sum of its wanted rows, in listing order, exceeds the cap: a minimum per
   client, for which its first ``cap + 1`` wants are enough.
 
+With a large cap the uncapped matching is tried first: if no client exceeds
+its cap there, it is the result.
+
 What a listing wants depends on earlier listings only, so each step makes at
 least one more listing final, the only fixpoint is the sequential result, and
 it is reached. In practice all listings settle in some tens of steps: as many
@@ -160,6 +163,12 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
     counts = written(counts.select("cid", F.col("count").cast("long").alias("count")), "counts")
     houses = matching.identified(houses)
     pool = intents.join(capped_clients(counts, cap), "cid", "left_anti")
+    if cap >= _LARGE_CAP:
+        # no client leaves the pool if none exceeds its cap where all take their top clients from the whole pool
+        free = written(matching.match_pairs(houses, pool, k, min_clients), "uncapped")
+        taken = free.groupBy("cid").agg(F.sum("n_rows").alias("_sum")).join(counts, "cid", "left")
+        if taken.where(F.col("_sum") + F.coalesce("count", F.lit(0)) > cap).isEmpty():
+            return free, written(merge_counts(counts, free.select("cid", F.col("n_rows").alias("n"))), "new-counts"), 1
     cells, summaries = matching.pair_index(houses, pool)
     clients = numbered(summaries.select("cid").distinct(), [F.col("cid")], "clients", "c").join(counts, "cid", "left")
     clients = written(clients.select("cid", "c", (F.lit(cap) - F.coalesce("count", F.lit(0))).alias("allowed")), "clients")

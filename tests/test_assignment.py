@@ -137,3 +137,16 @@ def test_intents_without_a_client_are_rejected(spark):
 def test_no_listing_or_intent(spark):
     got, exp, gc, _ = _run(spark, [], [_intent(1, "a", "P")])
     assert got == exp == [] and gc == {}
+
+
+def test_an_unreachable_cap_builds_no_frontiers(spark, monkeypatch):
+    """Where no client reaches a large cap the uncapped matching is the result;
+    a client that starts one row below it still leaves the pool."""
+    from strata.operators import assignment
+    loads, load = [], assignment._Frontiers.load
+    monkeypatch.setattr(assignment._Frontiers, "load", lambda self, wanted: loads.append(1) or load(self, wanted))
+    houses, intents = _random_case(3)
+    got, exp, gc, ec = _run(spark, houses, intents, cap=1 << 40)
+    assert got == exp and gc == ec and not loads
+    got, exp, gc, ec = _run(spark, houses, intents, cap=5000, counts={"c1": 4999, "c2": 5000, "c3": 5001})
+    assert got == exp and gc == ec and loads
