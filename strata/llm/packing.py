@@ -20,21 +20,18 @@ ties are broken by a hash of the id; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from strata.llm.bpe import Merges, pretokens
 from strata.llm.common import map_arrow, read, saved
-from strata.llm.token_counts import HEAD_CHARS, Splitter, checked
-from strata.llm.words import SPACE_WORDS, word_tables
+from strata.llm.token_counts import Splitter, checked
+from strata.llm.words import SPACE_WORDS, text_runs, word_tables
 
 BUCKETS, BUDGET, GROUP = 16, 32_768, 10_000
-#: further pre-tokens that a task keeps
-HEAD = 1 << 16
-#: texts whose most frequent pre-tokens are broadcast, and how many; texts whose new pre-tokens are encoded in one call
-SAMPLE, SAMPLE_CHARS, COMMON, RUN = 2_000, 4_096, 1 << 15, 256
+#: distinct pre-tokens that are encoded at once, and bytes of the texts that they are of
+HEAD, RUN = 1 << 16, 8 << 20
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -126,45 +123,25 @@ def word_lengths(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     return map_arrow(docs.select(doc_id, text), f"doc_id {kind}, n_words bigint", scan)
 
 
-def _common(docs: DataFrame, text: str, body: str) -> dict[str, int]:
-    """The ``COMMON`` most frequent pre-tokens of the beginnings of ``SAMPLE``
-    texts, with their numbers of pieces. Only a start for the tasks' own
-    tables: the counts are the same whatever it holds."""
-    own, freq = Splitter(body), Counter()
-    for row in docs.select(F.substring(text, 1, SAMPLE_CHARS)).limit(SAMPLE).collect():
-        freq.update(own.pretokens(row[0] or ""))
-    top = [x for x, _ in freq.most_common(COMMON) if len(x) <= HEAD_CHARS]
-    return dict(zip(top, map(len, own.encoded(top))))
-
-
 def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", most: int = HEAD) -> DataFrame:
     """doc_id, n_tokens of each row of ``docs`` by the tokenizer's file, as
-    ``token_counts`` has them but in one pass without a shuffle: a task encodes
-    a pre-token once, as long as it knows at most ``most`` of its own, and the
-    new ones of many texts in one call. Common ones are broadcast."""
+    ``token_counts`` has them but in one pass without a shuffle: the distinct
+    pre-tokens of each run of texts are encoded, ``most`` of them at once."""
     sc = docs.sparkSession.sparkContext
     body = sc.broadcast(checked(tokenizer))
-    common = sc.broadcast(_common(docs, text, body.value))
+    merges = sc.broadcast(Merges(body.value))
     kind = docs.schema[doc_id].dataType.simpleString()
     own: list[Splitter] = []
-    known: dict[str, int] = {}
 
     def scan(batch: pa.RecordBatch):
         if not own:
             own.append(Splitter(body.value))
-        for a in range(0, batch.num_rows, RUN):
-            part = batch.slice(a, RUN)
-            if not known or len(known) > len(common.value) + most:
-                known.clear()
-                known.update(common.value)
-            texts = [own[0].parts(t or "") for t in part.column(1).to_pylist()]
-            new = list(set().union(*(parts for parts, _ in texts)).difference(known))
-            for b in range(0, len(new), 10_000):
-                known.update(zip(new[b:b + 10_000], map(len, own[0].encoded(new[b:b + 10_000]))))
-            yield {"doc_id": part.column(0), "n_tokens": [n + sum(map(known.__getitem__, parts)) for parts, n in texts]}
-            for x in new:  # long ones are not kept
-                if len(x) > HEAD_CHARS:
-                    del known[x]
+        for a, b, data, offsets in text_runs(batch.column(1), RUN):
+            tokens, bounds, special = pretokens(data, offsets, own[0])
+            distinct = tokens.dictionary_encode()
+            pieces = merges.value.pieces(distinct.dictionary, own[0], most)
+            total = np.concatenate(([0], np.cumsum(pieces[distinct.indices.to_numpy()])))
+            yield {"doc_id": batch.column(0).slice(a, b - a), "n_tokens": total[bounds[1:]] - total[bounds[:-1]] + special}
 
     return map_arrow(docs.select(doc_id, text), f"doc_id {kind}, n_tokens bigint", scan)
 

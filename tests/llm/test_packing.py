@@ -71,3 +71,32 @@ def test_batches_hold_the_budget_in_tokens(spark):
         batches.setdefault((x["bucket"], x["batch"]), []).append(x["bucket_len"])
     assert all(sum(b) <= P.BUDGET or len(b) == 1 for b in batches.values())
     assert sum(map(len, batches.values())) == len(docs)
+
+
+def test_pretokens_and_pieces_equal_the_library(monkeypatch):
+    """The splitter on bytes and the merges of many pre-tokens at once; the
+    library gets long pre-tokens only, not those that one text alone has."""
+    from strata.llm.bpe import LONG, Merges, pretokens
+    from strata.llm.token_counts import Splitter, checked
+    from strata.llm.words import text_runs
+    import pyarrow as pa
+
+    own, asked = Splitter(checked(TOKENIZER)), []
+    merges, library = Merges(checked(TOKENIZER)), Tokenizer.from_file(TOKENIZER)
+    monkeypatch.setattr(own, "encoded", lambda x, f=own.encoded: asked.extend(x) or f(x))
+    r = random.Random(5)
+    kinds = ["ab Z9 \n\t'", "'strevmld S", " \x85\xa0\t\r\n x'", "éÈßüɏ²½ªµ× a1'", "…—‘’“” a' ", "漢字🙂ʼ a", "\x00\x1c\x7f\xad_- a1", "abcdefghijklmnopqrstuvwxyzäöüéèñç '"]
+    texts = ["".join(r.choice(r.choice(kinds[:k + 1]) if n % 3 else kinds[k]) for _ in range(r.randint(0, 120))) for n in range(400) for k in range(len(kinds))]
+    texts += [None, "", " ", "'", "'s", "x's", " 's", "x'", "x'l", "x'll", "a'r", "  ", "a  ", "\xa0", "a\xa0\xa0b", "a \xa0b", "a\xa0 b", "x" * 500, " " * 300 + "y",
+              "<|endoftext|>", "a <|endoftext|><|endoftext|> b", "<|endoftext|" * 3, "QmFzZTY0" * 30, "é" * 31 + "ab", "é" * 32 + "a"]
+    want = [len(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    for limit, most in ((1 << 20, 1 << 16), (300, 7)):
+        got = []
+        for _, _, data, offsets in text_runs(pa.array(texts), limit):
+            tokens, bounds, special = pretokens(data, offsets, own)
+            total = [0]
+            for x in merges.pieces(tokens, own, most).tolist():
+                total.append(total[-1] + x)
+            got += [total[b] - total[a] + n for a, b, n in zip(bounds[:-1], bounds[1:], special.tolist())]
+        assert got == want
+    assert asked and all(len(x.encode()) > LONG for x in asked)
