@@ -9,9 +9,11 @@ changes. The last returns each kept document's place in a batch.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import read, saved
+from strata.llm.common import read, saved, short_batches
 from strata.llm.decontaminate import decontaminate
 from strata.llm.near_duplicates import near_duplicates
 from strata.llm.packing import pack, token_lengths
@@ -65,7 +67,16 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(token_lengths(docs, str(public_tokenizers.path("byte_bpe_50k.json"))), F.col("n_tokens"))
 
 
-STAGES = [("toxicity", toxicity), ("jaccard", jaccard), ("passages", passages), ("benchmark", benchmark), ("packing", packing)]
+def _staged(stage):
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        short_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(f.__name__, _staged(f)) for f in (toxicity, jaccard, passages, benchmark, packing)]
 
 #: the classifier of the first stage is beyond SQL
 ORACLE_SQL = None

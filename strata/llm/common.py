@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.session import hadoop_path, scratch_path
 
+#: bytes of an Arrow batch
+BATCH = 4 << 20
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the given folder, by Spark's own reader."""
@@ -37,6 +40,15 @@ def discard(*tables: DataFrame) -> None:
     tables[0].sparkSession._jvm.System.gc()
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Arrow batches of whole texts end at ``BATCH`` bytes, unless the session
+    has a bound of its own: rows alone (10,000) let executor, socket and worker
+    hold tens of MB of each task several times over."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH))
+
+
 def others(docs: DataFrame, *taken: str):
     """A struct of all further columns, to pass through unread; None if there
     are none."""
@@ -49,26 +61,40 @@ def field(df: DataFrame, name: str, alias: str | None = None) -> str:
     return f"`{alias or name}` {df.schema[name].dataType.simpleString()}"
 
 
-def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], Iterator[dict | pa.RecordBatch]]) -> DataFrame:
+Step = Callable[[pa.RecordBatch], Iterator[dict | pa.RecordBatch]]
+
+
+def map_arrow(df: DataFrame, schema: str, fn: Step) -> DataFrame:
     """``fn`` over Arrow batches. It yields dicts of column values or Arrow
     arrays in the order of ``schema``."""
+    return map_steps(df, [(schema, fn)])
+
+
+def map_steps(df: DataFrame, steps: list[tuple[str, Step]]) -> DataFrame:
+    """Functions of ``map_arrow``, each over what the one before yields. One
+    worker runs them all; a ``map_arrow`` of another one has a worker for each."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    target = to_arrow_schema(StructType.fromDDL(schema), prefers_large_types=False)
+    targets = [(to_arrow_schema(StructType.fromDDL(schema), prefers_large_types=False), fn) for schema, fn in steps]
+
+    def stepped(batches, target, fn):
+        for batch in batches:
+            for out in fn(batch):
+                if isinstance(out, dict):
+                    arrays = [(v if v.type == f.type else v.cast(f.type)) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, type=f.type)
+                              for f, v in ((f, out[f.name]) for f in target)]
+                    arrays = [a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays]
+                    out = pa.RecordBatch.from_arrays(arrays, schema=target)
+                if out.num_rows:
+                    yield out
 
     def run(batches):
         try:
-            for batch in batches:
-                for out in fn(batch):
-                    if isinstance(out, dict):
-                        arrays = [(v if v.type == f.type else v.cast(f.type)) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, type=f.type)
-                                  for f, v in ((f, out[f.name]) for f in target)]
-                        arrays = [a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays]
-                        out = pa.RecordBatch.from_arrays(arrays, schema=target)
-                    if out.num_rows:
-                        yield out
+            for target, fn in targets:
+                batches = stepped(batches, target, fn)
+            yield from batches
         finally:  # workers are used again: buffers of this task go back to the system
             pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, steps[-1][0])

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import field, map_arrow, others, read
+from strata.llm.common import Step, field, map_steps, others, read
 from strata.llm.words import ALNUM_WORDS, WordTable, covered, runs, word_tables
 
 WINDOW = 10
@@ -98,12 +98,18 @@ def find_hits(table: WordTable, lookups: dict[int, _Lookup]) -> tuple[np.ndarray
     return np.array(starts, dtype=np.int64)[order], np.array(lengths, dtype=np.int64)[order], [items[i] for i in order]
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-                   item_id: str = "item_id", item_text: str = "text", n: int = WINDOW,
-                   block_windows: int = BLOCK_WINDOWS, with_text: bool = True, with_rest: bool = False) -> DataFrame:
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, with_text: bool = True, **options) -> DataFrame:
     """One row per row of ``docs``: its id, text (if asked), word count,
     covered word ranges ``first``/``end``, the ids of the items found, and if
     asked its other columns as the struct ``rest``."""
+    out = map_steps(*_hit_steps(docs, benchmark, with_text=with_text, **options))
+    return out if with_text else out.drop("text")
+
+
+def _hit_steps(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+               item_id: str = "item_id", item_text: str = "text", n: int = WINDOW, block_windows: int = BLOCK_WINDOWS,
+               with_text: bool = True, with_rest: bool = False) -> tuple[DataFrame, list[tuple[str, Step]]]:
+    """What ``benchmark_hits`` reads of ``docs``, and a step for each block of windows."""
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"id {kind}, text string, n_words bigint, first array<int>, `end` array<int>, items array<string>"
@@ -113,9 +119,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_
         schema += f", {field(out, 'rest')}"
     blocks = window_blocks(benchmark, item_id, item_text, n, block_windows)
     sent = [spark.sparkContext.broadcast(b) for b in blocks] or [spark.sparkContext.broadcast({})]
-    for i, block in enumerate(sent):
-        out = map_arrow(out, schema, _scan(block, keep=with_text or i + 1 < len(sent)))
-    return out if with_text else out.drop("text")
+    return out, [(schema, _scan(block, keep=with_text or i + 1 < len(sent))) for i, block in enumerate(sent)]
 
 
 def _scan(block, keep: bool):
@@ -159,17 +163,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "remove_s
     cuts each covered run of words out of the text, from its first word's
     first to its last word's last character; ``drop_documents`` drops a
     document with any hit. Texts without a hit stay as they are."""
-    hits = benchmark_hits(docs, benchmark, doc_id=doc_id, text=text, **options)
+    own, steps = _hit_steps(docs, benchmark, doc_id=doc_id, text=text, **options)
     if action == "drop_documents":
+        hits = map_steps(own, steps)
         return hits.where(F.size("first") == 0).select(F.col("id").alias(doc_id), F.col("text").alias(text),
                                                        F.lit(0).cast("long").alias("n_hit"), *[c for c in hits.columns if c == "rest"])
     if action != "remove_spans":
         raise ValueError(f"unknown action: {action}")
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"`{doc_id}` {kind}, `{text}` string, n_hit bigint"
-    if "rest" in hits.columns:
-        schema += f", {field(hits, 'rest')}"
-    return map_arrow(hits, schema, _cut(doc_id, text))
+    if "rest" in own.columns:
+        schema += f", {field(own, 'rest')}"
+    return map_steps(own, [*steps, (schema, _cut(doc_id, text))])  # hits and cuts in one worker
 
 
 def _cut(doc_id: str, text: str):

@@ -31,7 +31,7 @@ from strata.llm.words import SPACE_WORDS, text_runs, word_tables
 
 BUCKETS, BUDGET, GROUP = 16, 32_768, 10_000
 #: distinct pre-tokens that are encoded at once, and bytes of the texts that they are of
-HEAD, RUN = 1 << 16, 8 << 20
+HEAD, RUN = 1 << 16, 4 << 20
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:

@@ -45,7 +45,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+class _Powers(dict):
+    """Tables that functions use. They are pickled with the functions, but
+    empty: 16 MB for each of them otherwise, once the driver has used any."""
+
+    def __reduce__(self):
+        return _Powers, ()
+
+
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = _Powers()
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:

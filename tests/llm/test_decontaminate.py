@@ -55,3 +55,11 @@ def test_empty_tables(spark):
     _, _, d, b = tables(spark)
     assert D.benchmark_hits(d.limit(0), b).count() == 0
     assert all(not r["items"] for r in D.benchmark_hits(d, b.limit(0)).collect())
+
+
+def test_hits_and_cuts_need_one_worker_a_task(spark):
+    """However many blocks: each Python step of a plan has a worker of its own."""
+    _, _, d, b = tables(spark)
+    for limit in (D.BLOCK_WINDOWS, 5):
+        plan = D.decontaminate(d, b, n=5, block_windows=limit)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1

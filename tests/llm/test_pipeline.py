@@ -71,3 +71,24 @@ def test_no_text_is_lost_with_a_repeated_id(spark):
     assert got.columns == docs.columns
     kept = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in got.collect()), key=str)
     assert kept == sorted([(False, 1, base["a"]), (False, 2, base["b"]), (True, 0, base["a"]), (False, 4, ""), (False, 5, None)], key=str)
+
+
+def test_stages_read_short_arrow_batches(spark):
+    """A task holds a few MB of texts at a time, not 10,000 of them."""
+    import pyarrow as pa
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    docs = spark.range(2_000, numPartitions=1).selectExpr("id AS doc_id", "repeat('some words ', 1000) AS text")
+    assert spark.conf.get(key, None) in (None, str(4 << 20))
+    C.STAGES[-1][1](spark, docs.limit(3), SF_SMALL)
+    assert spark.conf.get(key) == str(4 << 20)
+    assert max(r["n"] for r in docs.mapInArrow(sizes, "n long").collect()) < 5 << 20
+    spark.conf.set(key, "1m")  # the session's own bound holds
+    C.STAGES[-1][1](spark, docs.limit(3), SF_SMALL)
+    assert spark.conf.get(key) == "1m"
+    spark.conf.unset(key)

@@ -55,3 +55,17 @@ def test_covered_and_runs():
     mask = covered(np.array([1, 2, 6]), 3, 8)
     assert mask.tolist() == [False, True, True, True, True, False, True, True]
     assert [x.tolist() for x in runs(mask)] == [[1, 6], [5, 8]]
+
+
+def test_tables_of_the_driver_are_not_sent_with_functions():
+    import pyarrow as pa
+    from pyspark import cloudpickle
+    from strata.llm.words import SPACE_WORDS, _powers, word_tables
+
+    texts = pa.array(["some words", None, "more of them"])
+    want = [t.hashes.tolist() for _, _, t in word_tables(texts, SPACE_WORDS)]
+    assert _powers[0][0].nbytes >= 8 << 20  # the driver has them now
+    sent = cloudpickle.dumps(lambda x: [t.hashes.tolist() for _, _, t in word_tables(x, SPACE_WORDS)])
+    assert len(sent) < 1 << 20
+    assert cloudpickle.loads(sent)(texts) == want
+    assert _powers
