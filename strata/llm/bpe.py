@@ -2,7 +2,7 @@
 buffers.
 
 Texts of Latin letters and general punctuation are split on their UTF-8 bytes:
-the expression of ``token_counts`` is spelled as edges between runs of letters,
+the expression of ``splitter`` is spelled as edges between runs of letters,
 numbers, blanks and other characters. All other texts, and those with special
 strings, are split by the tokenizer. Pieces are counted for many pre-tokens at
 once: in each round every pre-token joins its leftmost pair of lowest rank, as
@@ -17,7 +17,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from strata.llm.token_counts import _BLANK, _LETTER, _NUMBER, Splitter
+from strata.llm.splitter import _BLANK, _LETTER, _NUMBER, Splitter
 
 #: longer pre-tokens, in bytes, are encoded by the library
 LONG = 64
@@ -93,8 +93,10 @@ def pretokens(data: np.ndarray, offsets: np.ndarray, own: Splitter) -> tuple[pa.
     out, odd = _edges(data, offsets)
     body = data.tobytes()
     if own.special is not None:
-        for m in re.finditer(own.special.pattern.encode(), body):
-            odd[np.searchsorted(offsets, m.start(), side="right") - 1] = True
+        special, at = re.compile(own.special.pattern.encode()), 0
+        while m := special.search(body, at):
+            d = np.searchsorted(offsets, m.start(), side="right") - 1
+            odd[d], at = True, int(offsets[d + 1])
     start = np.flatnonzero(out)
     bounds = np.searchsorted(start, offsets)
     plain = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(np.append(start, len(data)).astype(np.int64)), pa.py_buffer(body))

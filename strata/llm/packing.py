@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from strata.llm.bpe import Merges, pretokens
 from strata.llm.common import map_arrow, read, saved
-from strata.llm.token_counts import Splitter, checked
+from strata.llm.splitter import Splitter, checked
 from strata.llm.words import SPACE_WORDS, text_runs, word_tables
 
 BUCKETS, BUDGET, GROUP = 16, 32_768, 10_000

@@ -5,14 +5,17 @@ itself, so a text's count is the sum of its pre-tokens' counts. Pieces are
 counted once for each distinct pre-token of the corpus; documents are joined
 to those counts by their own pre-token frequencies. No ids are kept.
 
-The join is split by frequency. The ``HEAD`` most frequent pre-tokens of at
-most ``HEAD_CHARS`` characters (a proven bound) are broadcast and summed where
-the document is read. The rest are joined through a shuffle on the pre-token,
-where no key can be hot, as hot ones are in the head.
-
-Texts of Latin letters and general punctuation are split by an equal
-expression in ``re``; all others by the tokenizer's own splitter. Special
-strings inside texts count as one token each, as the library does by default.
+The join is split by frequency. The most frequent pre-tokens of at most
+``HEAD_CHARS`` characters (a proven bound), at most ``HEAD`` of them, are
+broadcast and summed where the document is read. The rest are joined through a
+shuffle on the pre-token, where no key can be hot, as hot ones are in the head:
+it is cut between steps of the frequency, an eighth of a power of two each, so
+no table is sorted for it and a pre-token below it has at most a ``HEAD``-th of
+all places, up to one step.
+
+Texts are split and pieces merged by ``bpe``, on Arrow and numpy buffers of
+bounded runs; workers hold the head as an Arrow array. Special strings inside
+texts count as one token each, as the library does by default.
 
 Defined cases: null and empty texts have no bytes and no tokens; repeated rows
 give repeated rows; an empty table gives an empty table; other columns are not
@@ -22,145 +25,91 @@ truncation, padding or prefix space, are taken; others raise ``ValueError``.
 
 from __future__ import annotations
 
-import json
-import os
-import re
-from collections import Counter
-
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import map_arrow, read, saved
+from strata.llm.bpe import Merges, pretokens
+from strata.llm.common import map_arrow, read, saved, short_batches
+from strata.llm.splitter import Splitter, checked
+from strata.llm.words import text_runs
 
 HEAD = 1 << 17
 HEAD_CHARS = 64
 LIMIT = 1024
+#: bytes of the texts that are split at once, and distinct pre-tokens merged at once
+RUN, MOST = 4 << 20, 1 << 15
+
 
-# The byte-level splitter's classes, for characters below U+0250 and general
-# punctuation: fixed values.
-_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
-_NUMBER = "0-9²³¹¼-¾"
-_BLANK = "\\t-\\r \x85\xa0"
-_SPLIT = re.compile(
-    f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_BLANK}{_LETTER}{_NUMBER}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
-_OTHER = re.compile("[^\x00-ɏ‐-‧‰-⁞]")
-
-
-def checked(path: str) -> str:
-    """The tokenizer file's text, if its pre-tokens are encoded one by one."""
-    with open(path, encoding="utf-8") as f:
-        body = f.read()
-    spec = json.loads(body)
-    pre = spec.get("pre_tokenizer") or {}
-    plain = all(not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in spec["added_tokens"])
-    if (spec.get("normalizer") or spec.get("truncation") or spec.get("padding") or pre.get("type") != "ByteLevel"
-            or pre.get("add_prefix_space") or not pre.get("use_regex", True) or not plain):
-        raise ValueError(f"not a plain byte-level tokenizer: {path}")
-    return body
-
-
-class Splitter:
-    """Splits texts into pre-tokens and special strings."""
-
-    def __init__(self, body: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(body)
-        special = sorted((t["content"] for t in json.loads(body)["added_tokens"]), key=len, reverse=True)
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-
-    def pretokens(self, text: str) -> list[str]:
-        if _OTHER.search(text) is None:
-            return _SPLIT.findall(text)
-        return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
-
-    def counts(self, text: str) -> tuple[Counter, int]:
-        """Pre-token frequencies and the number of special strings."""
-        if self.special is None or self.special.search(text) is None:
-            return Counter(self.pretokens(text)), 0
-        parts = self.special.split(text)
-        out: Counter = Counter()
-        for part in parts:
-            out.update(self.pretokens(part))
-        return out, len(parts) - 1
-
-    def parts(self, text: str) -> tuple[list[str], int]:
-        """Pre-tokens in order and the number of special strings."""
-        if self.special is None or self.special.search(text) is None:
-            return self.pretokens(text), 0
-        parts = self.special.split(text)
-        return [x for part in parts for x in self.pretokens(part)], len(parts) - 1
-
-    def encoded(self, pretokens: list[str]) -> list:
-        """Encodings, which know their length, without places in the text."""
-        return self.tokenizer.encode_batch_fast(pretokens, add_special_tokens=False)
-
-    def pieces(self, pretokens: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch(pretokens, add_special_tokens=False)]
-
-
-def _texts(batch: pa.RecordBatch, at: int, step: int = 128):
-    col = batch.column(at)
-    for a in range(0, len(col), step):
-        yield a, [t or "" for t in col.slice(a, step).to_pylist()]
-
-
-def vocabulary(docs: DataFrame, text: str, body) -> DataFrame:
+def vocabulary(docs: DataFrame, text: str, body, merges) -> DataFrame:
     """token, freq, pieces of each distinct pre-token."""
+    own: list[Splitter] = []
+
+    def splitter() -> Splitter:
+        if not own:
+            own.append(Splitter(body.value))
+        return own[0]
 
     def scan(batch: pa.RecordBatch):
-        own = Splitter(body.value)
-        total: Counter = Counter()
-        for _, texts in _texts(batch, 0):
-            for t in texts:
-                total.update(own.counts(t)[0])
-            if len(total) > 100_000:
-                yield {"token": list(total), "freq": list(total.values())}
-                total = Counter()
-        yield {"token": list(total), "freq": list(total.values())}
+        for _, _, data, offsets in text_runs(batch.column(0), RUN):
+            found = pretokens(data, offsets, splitter())[0].value_counts()
+            yield {"token": found.field("values"), "freq": found.field("counts")}
 
     def count(batch: pa.RecordBatch):
-        own = Splitter(body.value)
-        for a in range(0, batch.num_rows, 2_000):
-            part = batch.slice(a, 2_000)
-            yield {"token": part.column(0), "freq": part.column(1), "pieces": own.pieces(part.column(0).to_pylist())}
+        tokens = batch.column(0).cast(pa.large_string())
+        yield {"token": tokens, "freq": batch.column(1), "pieces": merges.value.pieces(tokens, splitter(), MOST)}
 
     distinct = map_arrow(docs.select(text), "token string, freq bigint", scan).groupBy("token").agg(F.sum("freq").alias("freq"))
     return saved(map_arrow(distinct, "token string, freq bigint, pieces bigint", count), "pretokens")
 
 
+def _head(vocab: DataFrame, most: int) -> pa.Table:
+    """token, pieces of the most frequent pre-tokens: whole steps of the
+    frequency, as many as hold at most ``most`` of them."""
+    step = F.floor(F.log2("freq") * 8)
+    short = vocab.where(F.length("token") <= HEAD_CHARS)
+    least, n = None, 0
+    for at, rows in sorted(map(tuple, short.groupBy(step).count().collect()), reverse=True):
+        n += rows
+        if n > most:
+            break
+        least = at
+    return short.where(step >= F.lit(least)).select("token", "pieces").toArrow()
+
+
 def token_counts(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
     """id, n_bytes, n_tokens of each row of ``docs``."""
+    short_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     body = sc.broadcast(checked(tokenizer))
-    vocab = vocabulary(docs, text, body)
-    top = (vocab.where(F.length("token") <= HEAD_CHARS).orderBy(F.desc("freq"), "token").limit(head)
-           .select("token", "pieces").toArrow())
-    known = sc.broadcast(dict(zip(top.column("token").to_pylist(), top.column("pieces").to_pylist())))
+    vocab = vocabulary(docs, text, body, sc.broadcast(Merges(body.value)))
+    top = _head(vocab, head)
+    known = sc.broadcast((top.column("token").combine_chunks().cast(pa.large_string()), top.column("pieces").to_numpy()))
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"row bigint, id {kind}, n_bytes bigint, known bigint, tokens array<string>, counts array<bigint>"
+    own: list[Splitter] = []
 
     def scan(batch: pa.RecordBatch):
-        own, pieces = Splitter(body.value), known.value
-        for a, texts in _texts(batch, 2):
-            sums, tokens, counts = [], [], []
-            for t in texts:
-                freq, n = own.counts(t)
-                rest, times = [], []
-                for token, c in freq.items():
-                    p = pieces.get(token)
-                    if p is None:
-                        rest.append(token)
-                        times.append(c)
-                    else:
-                        n += p * c
-                sums.append(n)
-                tokens.append(rest)
-                counts.append(times)
-            part = batch.slice(a, len(texts))
-            yield {"row": part.column(0), "id": part.column(1), "n_bytes": [len(t.encode()) for t in texts],
-                   "known": sums, "tokens": tokens, "counts": counts}
+        if not own:
+            own.append(Splitter(body.value))
+        frequent, pieces = known.value
+        for a, b, data, offsets in text_runs(batch.column(2), RUN):
+            tokens, bounds, special = pretokens(data, offsets, own[0])
+            distinct = tokens.dictionary_encode()
+            code, n = distinct.indices.to_numpy(), len(distinct.dictionary)
+            at = pc.index_in(distinct.dictionary, value_set=frequent).fill_null(-1).to_numpy()
+            value = np.append(pieces, 0)[at]
+            total = np.concatenate(([0], np.cumsum(value[code])))
+            rest = np.flatnonzero(at[code] < 0)
+            of = np.searchsorted(bounds, rest, side="right") - 1
+            pairs, times = np.unique(of * n + code[rest], return_counts=True)
+            ends = np.searchsorted(pairs, np.arange(b - a + 1) * n).astype(np.int32)
+            part = batch.slice(a, b - a)
+            yield {"row": part.column(0), "id": part.column(1), "n_bytes": np.diff(offsets),
+                   "known": total[bounds[1:]] - total[bounds[:-1]] + special,
+                   "tokens": pa.ListArray.from_arrays(ends, distinct.dictionary.take(pa.array(pairs % max(n, 1))).cast(pa.string())),
+                   "counts": pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))}
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
     rows = saved(map_arrow(rows, schema, scan), "document_tokens")

@@ -1,3 +1,4 @@
+import json
 import random
 
 import public_tokenizers
@@ -5,6 +6,7 @@ import pytest
 
 from conftest import SF_SMALL
 from strata.llm import token_counts as T
+from strata.llm.common import BATCH
 
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -38,3 +40,74 @@ def test_empty_table_and_other_tokenizers(spark):
     assert T.token_counts(docs, PATH).count() == 0
     with pytest.raises(ValueError):
         T.token_counts(docs, str(public_tokenizers.path("word_bpe_49k.json")))
+
+
+@pytest.fixture
+def unbound(spark):
+    """The session without a bound of Arrow batches."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key, None)
+    spark.conf.unset(key)
+    yield key
+    spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
+def test_workers_get_short_batches_and_an_arrow_head(spark, unbound, monkeypatch, tmp_path):
+    """What a worker holds does not grow with rows (10,000 a batch) or with
+    objects of the head."""
+    seen, sent = str(tmp_path / "bytes"), []
+    map_arrow = T.map_arrow
+
+    def watched(df, schema, fn):
+        def step(batch):
+            with open(seen, "a") as f:
+                f.write(f"{batch.nbytes}\n")
+            yield from fn(batch)
+
+        return map_arrow(df, schema, step)
+
+    monkeypatch.setattr(T, "map_arrow", watched)
+    cls = type(spark.sparkContext)
+    monkeypatch.setattr(cls, "broadcast", lambda self, x, f=cls.broadcast: sent.append(x) or f(self, x))
+    text = "some words of 1 text, " * 1000
+    docs = spark.createDataFrame([(i, text + str(i)) for i in range(600)], "doc_id long, text string").coalesce(1)
+    want = library([text + str(i) for i in range(600)])
+    assert [r["n_tokens"] for r in sorted(T.token_counts(docs, PATH).collect())] == want
+    with open(seen) as f:
+        sizes = list(map(int, f))
+    assert sum(sizes) > 24 << 20 and max(sizes) < 2 * BATCH
+    assert sent and not any(isinstance(x, dict) for x in sent)
+
+
+def test_a_session_keeps_its_own_bound_of_batches(spark, unbound):
+    spark.conf.set(unbound, "1000000")
+    T.token_counts(spark.createDataFrame([(1, "a")], "doc_id long, text string"), PATH)
+    assert spark.conf.get(unbound) == "1000000"
+
+
+def test_head_is_the_most_frequent_without_a_sort(spark):
+    r = random.Random(3)
+    freq = {f"t{i}": int(r.paretovariate(0.5)) for i in range(3000)} | {"x" * 65: 10**9}
+    vocab = spark.createDataFrame([(t, n, len(t)) for t, n in freq.items()], "token string, freq long, pieces long")
+    short = {t: n for t, n in freq.items() if len(t) <= T.HEAD_CHARS}
+    for most in (0, 1, 100, 1000, 5000):
+        top = T._head(vocab, most).to_pydict()
+        head = set(top["token"])
+        assert top["pieces"] == [len(t) for t in top["token"]] and len(head) == len(top["token"]) <= most
+        rest = [n for t, n in short.items() if t not in head]
+        assert not head or not rest or min(short[t] for t in head) > max(rest)
+        ranked = sorted(short.values(), reverse=True)
+        assert all(n <= 2 ** 0.126 * ranked[most] for n in rest)  # only the step that does not fit is left out
+
+
+def test_special_strings_across_neighbouring_texts(spark, tmp_path):
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"] += [spec["added_tokens"][0] | {"id": 50257 + i, "content": x} for i, x in enumerate(("#@", "@!"))]
+    path = tmp_path / "special.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    from tokenizers import Tokenizer
+    texts = ["x#", "@!y", "#@", "@", "!@!", "a #@! b", "", "@!"]
+    want = [len(e.ids) for e in Tokenizer.from_file(str(path)).encode_batch(texts, add_special_tokens=False)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert [r["n_tokens"] for r in sorted(T.token_counts(docs, str(path)).collect())] == want
