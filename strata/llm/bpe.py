@@ -21,6 +21,9 @@ from strata.llm.splitter import _BLANK, _LETTER, _NUMBER, Splitter
 
 #: longer pre-tokens, in bytes, are encoded by the library
 LONG = 64
+#: bytes of the pre-tokens that are counted at once (a longer one comes alone):
+#: encodings and tables of merges take up to 80 times as much
+AT_ONCE = 512 << 10
 _OTHER, _L, _N, _B, _BAD = range(5)
 
 
@@ -111,6 +114,16 @@ def pretokens(data: np.ndarray, offsets: np.ndarray, own: Splitter) -> tuple[pa.
     return pa.concat_arrays(parts), np.concatenate(([0], np.cumsum(size))), extra
 
 
+def _parts(size: np.ndarray, most: int):
+    """Ranges of at most ``most`` strings of at most ``AT_ONCE`` bytes together."""
+    end, a = np.cumsum(size), 0
+    while a < len(size):
+        fit = int(np.searchsorted(end, end[a] - size[a] + AT_ONCE, side="right"))
+        b = min(a + most, max(a + 1, fit))
+        yield a, b
+        a = b
+
+
 class Merges:
     """A tokenizer's merges by pair of piece numbers. ``usable`` is false if
     the model has more than merges; then the library counts all."""
@@ -206,21 +219,21 @@ class Merges:
         return count
 
     def pieces(self, tokens: pa.LargeStringArray, own: Splitter, most: int) -> np.ndarray:
-        """Numbers of pieces of pre-tokens, ``most`` at once."""
+        """Numbers of pieces of pre-tokens, at most ``most`` at once."""
         _, off, data = tokens.buffers()
         off = np.frombuffer(off, dtype=np.int64)[tokens.offset:tokens.offset + len(tokens) + 1]
         data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, dtype=np.uint8)
         size = np.diff(off)
         out = np.zeros(len(size), dtype=np.int64)
         long = np.flatnonzero(size > LONG) if self.usable else np.arange(len(size))
-        for a in range(0, len(long), most):
-            some = long[a:a + most]
+        for a, b in _parts(size[long], most):
+            some = long[a:b]
             out[some] = [len(e) for e in own.encoded(tokens.take(pa.array(some)).to_pylist())]
         if self.usable:
             fits = size <= LONG
-            for a in range(0, len(size), most):
-                some = fits[a:a + most]
+            for a, b in _parts(size, most):
+                some = fits[a:b]
                 if some.any():
-                    part = data[off[a]:off[min(a + most, len(size))]][np.repeat(some, size[a:a + most])]
-                    out[a:a + most][some] = self._merged(part, size[a:a + most][some])
+                    part = data[off[a]:off[b]][np.repeat(some, size[a:b])]
+                    out[a:b][some] = self._merged(part, size[a:b][some])
         return out

@@ -111,3 +111,17 @@ def test_special_strings_across_neighbouring_texts(spark, tmp_path):
     want = [len(e.ids) for e in Tokenizer.from_file(str(path)).encode_batch(texts, add_special_tokens=False)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     assert [r["n_tokens"] for r in sorted(T.token_counts(docs, str(path)).collect())] == want
+
+
+def test_pieces_are_counted_on_bounded_bytes(monkeypatch):
+    """Long pre-tokens too: encodings take many times their bytes."""
+    import pyarrow as pa
+    from strata.llm.bpe import AT_ONCE, Merges
+
+    r = random.Random(4)
+    tokens = ["".join(r.choices("abcdeXYZ", k=k)) for k in (100, 50, 3) for _ in range(AT_ONCE // 64)] + ["a" * (AT_ONCE + 1), "b"]
+    own, merges, sizes = T.Splitter(T.checked(PATH)), Merges(T.checked(PATH)), []
+    monkeypatch.setattr(own, "encoded", lambda x, f=own.encoded: sizes.append(sum(map(len, x)) if len(x) > 1 else 0) or f(x))
+    monkeypatch.setattr(merges, "_merged", lambda x, n, f=merges._merged: sizes.append(len(x)) or f(x, n))
+    assert merges.pieces(pa.array(tokens, pa.large_string()), own, 1 << 20).tolist() == library(tokens)
+    assert len(sizes) > 4 and max(sizes) <= AT_ONCE
