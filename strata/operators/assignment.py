@@ -8,33 +8,29 @@ leaves the pool for all later listings.
 
 "Top-k everywhere, then cut at the cap" is wrong (a capped client must be
 replaced by the next one, and losing place clients can open the area tier).
-The exact result is the fixpoint of one set-based step over all listings:
-
-* A client's **cut** is the listing with which it leaves the pool. Given all
-  cuts, a listing knows which of its clients are still there, and *wants* the
-  clients that it would take were they in the pool: those with fewer than
-  ``k`` present clients ahead of them.
-* Given all wants, a client's cut is the first listing at which the running
-  sum of its wanted rows, in listing order, exceeds the cap: a minimum per
-  client, for which its first ``cap + 1`` wants are enough.
+The exact result is reached in rounds:
+
+* Listings are dealt to **groups**: areas together up to ``GROUP_ROWS`` listings
+  and offers, a larger area by type and room. A group has all offers on its
+  listings' keys, and takes its listings in turn, in order (``turns``). There is
+  no pair table, and a turn is a few look-ups in a tree over prices.
+* A client with offers in several groups may be taken in any of them. After a
+  round each group is told what the others' listings have taken of its clients;
+  a group that hears anything else than before is taken again, with the others'
+  takes counted at the listings where they happen.
+
+What a listing takes depends on earlier listings only, so of the listings that
+differ from the sequential result the first is right after the next round: the
+rounds end, and where no group hears anything new is the sequential result.
+Without clients in several groups one round is enough; otherwise there are as
+many as the longest chain of listings, in different groups, that push clients on
+to each other.
 
 With a large cap the uncapped matching is tried first: if no client exceeds
 its cap there, it is the result.
 
-What a listing wants depends on earlier listings only, so each step makes at
-least one more listing final, the only fixpoint is the sequential result, and
-it is reached. In practice all listings settle in some tens of steps: as many
-as the longest chain of listings that push clients on to each other, not as
-many as there are listings. One giant component is handled like many.
-
-No pair table is built. Each listing has a ranked **frontier**: its clients
-from the dyadic price index (``matching.pair_index``), loaded in chunks of
-growing size per node. The best client that is not loaded yet bounds what is
-known; a listing whose frontier holds too few present clients before that
-bound loads the next chunk of its nodes.
-
-Every step's rows are written to the shared folder, so a lost executor
-repeats one step at most.
+Every round's rows are written to the shared folder, so a lost executor
+repeats one round at most.
 """
 
 from __future__ import annotations
@@ -43,119 +39,92 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.operators import matching
 from strata.operators.counters import capped_clients, merge_counts
-from strata.operators.matching import NODE
-from strata.operators.running import numbered, running_totals, written
-from strata.session import scratch_path
+from strata.operators.matching import INDEX_KEY
+from strata.operators.running import written
+from strata.operators.turns import take_turns
 
-#: clients of a node in the first chunk; chunk j > 0 has 3 * 4^(j-1) times as many
+#: has no effect any more: clients are looked up one by one
 FIRST_CHUNK = 16
-#: a cut after every listing
-_NEVER = 1 << 62
+#: listings and offers of an area from which on it is dealt by type and room
+GROUP_ROWS = 500_000
+#: smaller areas share a group, of about so many listings and offers
+SHARED_ROWS = 20_000
 #: caps from which on clients that cannot reach theirs are set aside first
 _LARGE_CAP = 1000
 
-_FRONT = "listing long, c long, tier int, ms string, n long, allowed long, chunk int"
+_TAKES = "group string, listing long, tier int, cid string, n long"
+
 
 class _Frontiers:
-    """The loaded part of each listing's ranked clients."""
-
-    def __init__(self, cells: DataFrame, summaries: DataFrame, clients: DataFrame, first_chunk: int):
-        self.cells, self.spark = cells, cells.sparkSession
-        known = summaries.join(clients.select("cid", "c", "allowed"), "cid").select(*NODE, "tier", "c", "allowed", "ms", "n_rows")
-        at = F.expr(f"(rank - 1) div {first_chunk}")
-        chunk = F.when(at == 0, F.lit(0)).otherwise(F.expr(f"(length(bin((rank - 1) div {first_chunk})) + 1) div 2")).cast("int")
-        self.nodes = written(running_totals(known, NODE, [F.col("ms").desc_nulls_last(), F.col("c")], F.lit(1), "node-ranks", "rank")
-                             .withColumn("chunk", chunk), "node-lists")
-        self.heads = written(self.nodes.groupBy(*NODE, "chunk").agg(F.min_by(F.struct("ms", (-F.col("c")).alias("back")), "rank").alias("head")), "node-heads")
-        self.path = scratch_path(self.spark, "frontiers")
-        self.loads = 0
-
-    def load(self, wanted: DataFrame) -> None:
-        """Loads one chunk for each ``(listing, tier, chunk)``: rows of clients
-        that the listing does not have yet on this tier, and a row without
-        client for the best one that is still not loaded (``chunk`` is then
-        the next one; without ``n`` if there is none)."""
-        pair, nothing = ["listing", "tier", "c"], F.lit(None).cast("long")
-        at = written(wanted.join(self.cells, ["listing", "tier"]), "loads")
-        found = at.join(self.nodes.select(*NODE, "chunk", "c"), [*NODE, "chunk"]).select(*pair).distinct()
-        if self.loads:
-            found = found.join(self.rows().where("c is not null").select(*pair), pair, "left_anti")
-        # a pair's summary over all nodes that it shares
-        pairs = (found.join(at.drop("chunk"), ["listing", "tier"]).join(self.nodes.drop("rank", "chunk", "tier"), [*NODE, "c"])
-                 .groupBy(*pair).agg(F.max("ms").alias("ms"), F.sum("n_rows").alias("n"), F.first("allowed").alias("allowed"))
-                 .select("listing", "c", "tier", "ms", "n", "allowed", F.lit(None).cast("int").alias("chunk")))
-        beyond = at.withColumn("chunk", F.col("chunk") + 1).join(self.heads, [*NODE, "chunk"], "left")
-        bounds = beyond.groupBy("listing", "tier", "chunk").agg(F.max("head").alias("head")).select(
-            "listing", nothing.alias("c"), "tier", "head.ms", F.col("head.back").alias("n"), nothing.alias("allowed"), "chunk")
-        pairs.unionByName(bounds).write.parquet(f"{self.path}/load={self.loads}")
-        self.loads += 1
-
-    def rows(self) -> DataFrame:
-        return self.spark.read.schema(_FRONT + ", load int").parquet(self.path).drop("load")
-
-
-def _wants(front: DataFrame, cuts: DataFrame, k: int, min_clients: int) -> DataFrame:
-    """One step: ``listing, c, tier, ms, n, allowed, present`` of all wanted
-    clients, and rows without client, with ``tier`` and ``chunk``, of listings
-    whose frontier ends too early."""
-    # a client that matches on place is no client of the area tier
-    own = Window.partitionBy("listing", "c")
-    rows = (front.join(cuts, "c", "left").repartition("listing").withColumn("first", F.min("tier").over(own))
-            .where(F.col("c").isNull() | (F.col("tier") == F.col("first"))))
-    bound = F.col("c").isNull()
-    of = Window.partitionBy("listing")
-    # of each tier the last bound counts; one without head says that all is loaded
-    last = F.when(F.col("tier") == 1, F.max(F.when(F.col("tier") == 1, F.col("chunk"))).over(of)).otherwise(
-        F.max(F.when(F.col("tier") == 2, F.col("chunk"))).over(of))
-    rows = rows.withColumn("last", last).where(~bound | ((F.col("chunk") == F.col("last")) & F.col("n").isNotNull()))
-    rows = rows.withColumn("present", ~bound & (F.col("cut").isNull() | (F.col("listing") <= F.col("cut"))))
-    place, present = ~bound & (F.col("tier") == 1), F.col("present")
-    order = of.orderBy(F.col("ms").desc_nulls_last(), F.coalesce("c", -F.col("n")), bound)
-    upto, before = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
-
-    def count(what, window):
-        return F.coalesce(F.sum(what.cast("int")).over(window), F.lit(0))
-
-    rows = (rows.withColumn("open1", count(bound & (F.col("tier") == 1), upto)).withColumn("open2", count(bound & (F.col("tier") == 2), upto))
-            .withColumn("ahead1", count(place & present, before)).withColumn("ahead", count(present, before)))
-    known1 = F.col("open1") == 0
-    known = known1 & (F.col("open2") == 0)
-    rows = (rows.withColumn("present1", count(place & present & known1, of)).withColumn("known", count(present & known, of))
-            .withColumn("more1", count(bound & (F.col("tier") == 1), of) > 0))
-    # with the client itself in the pool
-    full = F.col("present1") + (place & ~present).cast("int") >= min_clients
-    wanted = F.when(full | F.col("more1"), place & known1 & (F.col("ahead1") < k)).otherwise(known & (F.col("ahead") < k))
-    short = F.when(F.col("present1") >= min_clients, F.lit(False)).when(F.col("more1"), F.col("tier") == 1).otherwise(F.col("known") < k)
-    # a full listing takes k place clients, which may be more than make it full
-    short = short | ((F.col("present1") >= min_clients) & (F.col("present1") < k) & F.col("more1") & (F.col("tier") == 1))
-    return rows.where((~bound & wanted) | (bound & short)).select("listing", "c", "tier", "ms", "n", "allowed", "present", "chunk")
-
-
-def _cuts(wants: DataFrame, cap: int) -> DataFrame:
-    """``(c, cut)`` of the clients that leave the pool. Each want has a row at
-    least, so the first ``cap + 1`` of a client decide."""
-    w = Window.partitionBy("c").orderBy("listing")
-    rows = wants.where("c is not null").select("c", "listing", "n", "allowed")
-    if cap >= _LARGE_CAP:
-        able = rows.groupBy("c").agg(F.sum("n").alias("_sum"), F.first("allowed").alias("_allowed")).where("_sum > _allowed").select("c")
-        rows = rows.join(able, "c", "left_semi")
-    else:
-        rows = rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap + 1)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    return (rows.withColumn("_sum", F.sum("n").over(upto)).where("_sum > allowed").groupBy("c").agg(F.min("listing").alias("cut")))
+    """Groups of listings with the offers on their keys, and what they take."""
+
+    def __init__(self, houses: DataFrame, bands: DataFrame, counts: DataFrame, k: int, cap: int, min_clients: int, group_rows: int):
+        self.k, self.min_clients = k, min_clients
+        h = houses.select("listing", "place", "area", "price", F.col("room").cast("string").alias("room_s"), F.col("rs_type").alias("rs"),
+                          F.coalesce("area", "place", F.lit("")).alias("unit"))
+        sizes = written(h.select("unit").unionAll(bands.select("area")).groupBy("unit").agg(F.count(F.lit(1)).alias("rows")), "areas")
+        shared = sizes.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] // SHARED_ROWS + 1
+        # numbers are shared groups; others begin with #
+        group = F.when(F.col("rows") > group_rows, F.concat_ws("#", F.lit(""), "rs", "room_s", "unit")).otherwise(
+            F.pmod(F.xxhash64("unit"), F.lit(shared)).cast("string"))
+        h = self._both_tiers(h.join(sizes, "unit").withColumn("group", group).drop("unit", "rows")).where("loc is not null")
+        keys = written(h.groupBy("group", *INDEX_KEY).agg(F.min("price").alias("low"), F.max("price").alias("high"))
+                       .withColumn("key", F.monotonically_increasing_id()), "group-keys")
+        self.listings = written(h.join(keys, ["group", *INDEX_KEY]).select("group", "listing", "tier", "key", "price"), "group-listings")
+        left = counts.groupBy("cid").agg((F.lit(cap) - F.coalesce(F.sum("count"), F.lit(0))).alias("allowed"))
+        b = bands.join(left, "cid", "left").withColumn("allowed", F.coalesce("allowed", F.lit(cap))).select(
+            "area", "place", "rs", "house_type", "price_start", "price_end", "cid", "ms", "n_rows", "allowed")
+        reaches = (F.col("high") >= F.col("price_start")) & (F.col("low") <= F.col("price_end"))
+        self.offers = written(self._both_tiers(matching._intent_rooms(b).drop("house_type")).join(keys, INDEX_KEY).where(reaches).select(
+            "group", "key", "price_start", "price_end", "cid", "ms", F.col("n_rows").alias("n"), "allowed"), "group-offers")
+        #: groups of the clients that have offers in several
+        several = self.offers.select("group", "cid").distinct()
+        self.several = written(several.join(several.groupBy("cid").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("cid"), "cid"), "group-clients")
+        self.told = self.several.sparkSession.createDataFrame([], "group string, listing long, cid string, n long")
+
+    @staticmethod
+    def _both_tiers(df: DataFrame) -> DataFrame:
+        keys = F.array(*[F.struct(F.lit(t).alias("tier"), F.col(c).alias("loc")) for t, c in ((1, "place"), (2, "area"))])
+        return df.withColumn("_k", F.explode(keys)).select("*", "_k.tier", "_k.loc").drop("_k", "place", "area")
+
+    def load(self, wanted: DataFrame) -> DataFrame:
+        """What the listings of the ``wanted`` groups take (``_TAKES``), by what
+        they are told of the others. Written."""
+        k, min_clients = self.k, self.min_clients
+
+        def taken(group, listings, rows):
+            import pyarrow as pa
+            import pyarrow.compute as pc
+
+            from_others = pc.is_valid(rows["listing"])
+            out = take_turns(listings, rows.filter(pc.invert(from_others)), rows.filter(from_others), k, min_clients)
+            types = (("listing", pa.int64()), ("tier", pa.int32()), ("cid", pa.string()), ("n", pa.int64()))
+            columns = [(c := pa.array(out[name]) if isinstance(out[name], list) else out[name]).cast(kind) for name, kind in types]
+            return pa.Table.from_arrays([pa.array([group[0].as_py()] * len(columns[0]), pa.string()), *columns], ["group", *[n for n, _ in types]])
+
+        listings, offers, told = (x.join(wanted, "group", "left_semi") for x in (self.listings, self.offers, self.told))
+        rows = offers.withColumn("listing", F.lit(None).cast("long")).unionByName(told, allowMissingColumns=True)
+        return written(listings.groupBy("group").cogroup(rows.groupBy("group")).applyInArrow(taken, _TAKES), "takes")
+
+    def heard(self, takes: DataFrame) -> DataFrame:
+        """What each group is told: takes of its clients by other groups' listings."""
+        own = self.several.withColumnRenamed("group", "_group")
+        return written(takes.join(own, "cid").where(F.col("group") != F.col("_group")).select(
+            F.col("_group").alias("group"), "listing", "cid", "n"), "told")
 
 
 def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | None = None,
                   k: int = 3, cap: int = 3, min_clients: int = 3,
-                  first_chunk: int = FIRST_CHUNK) -> tuple[DataFrame, DataFrame, int]:
+                  first_chunk: int = FIRST_CHUNK, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame, int]:
     """Run the capped assignment.
 
     ``counts(cid, count)`` are the counters valid today (M1). Returns
     ``(picks, new_counts, steps)``: ``picks`` has one row per selected
     (listing, client) pair with ``n_rows`` and the pair's latest intent row
     (``rid``, ``see_time``), ``new_counts`` is ``(cid, count)``; ``steps``
-    counts the steps to the fixpoint. ``first_chunk`` sets how many clients of
-    a node are loaded at first; the result does not depend on it.
+    counts the rounds. Areas of more than ``group_rows`` listings and offers
+    are dealt by type and room. ``first_chunk`` has no effect any more; neither
+    changes the result.
     """
     spark = houses.sparkSession
     if counts is None:
@@ -169,36 +138,20 @@ def assign_capped(houses: DataFrame, intents: DataFrame, counts: DataFrame | Non
         taken = free.groupBy("cid").agg(F.sum("n_rows").alias("_sum")).join(counts, "cid", "left")
         if taken.where(F.col("_sum") + F.coalesce("count", F.lit(0)) > cap).isEmpty():
             return free, written(merge_counts(counts, free.select("cid", F.col("n_rows").alias("n"))), "new-counts"), 1
-    cells, summaries = matching.pair_index(houses, pool)
-    clients = numbered(summaries.select("cid").distinct(), [F.col("cid")], "clients", "c").join(counts, "cid", "left")
-    clients = written(clients.select("cid", "c", (F.lit(cap) - F.coalesce("count", F.lit(0))).alias("allowed")), "clients")
-    frontiers = _Frontiers(cells, summaries, clients, first_chunk)
-    frontiers.load(cells.select("listing", "tier").distinct().withColumn("chunk", F.lit(0)))
-    cuts = changed = short = wants = None
-    steps = 0
-    while True:
-        steps += 1
-        rows = frontiers.rows()
-        if wants is None:
-            wants = written(_wants(rows, spark.createDataFrame([], "c long, cut long"), k, min_clients), "wants")
-        else:
-            # only listings with a client that came or went, or with a new chunk, want anything else than before
-            moved = (F.col("listing") <= F.coalesce("old", F.lit(_NEVER))) != (F.col("listing") <= F.coalesce("cut", F.lit(_NEVER)))
-            touched = written(rows.join(changed, "c").where(moved).select("listing").unionByName(short.select("listing")).distinct(), "touched")
-            anew = _wants(rows.join(touched, "listing", "left_semi"), cuts, k, min_clients)
-            wants = written(wants.join(touched, "listing", "left_anti").unionByName(anew), "wants")
-        before = cuts if cuts is not None else spark.createDataFrame([], "c long, cut long")
-        both = written(_cuts(wants, cap).join(before.withColumnRenamed("cut", "old"), "c", "full"), "cuts")
-        cuts = both.where("cut is not null").select("c", "cut")
-        changed = both.where(~F.col("cut").eqNullSafe(F.col("old")))
-        short = wants.where("c is null").select("listing", "tier", "chunk")
-        moving, starved = changed.agg(F.count("*")).unionAll(short.agg(F.count("*"))).collect()
-        if starved[0]:
-            frontiers.load(short)
-        elif not moving[0]:
+    bands = matching.client_bands(pool)
+    groups = _Frontiers(houses, bands, counts, k, cap, min_clients, group_rows)
+    takes = groups.load(groups.listings.select("group").distinct())
+    steps = 1
+    while not groups.several.isEmpty():
+        told, before = groups.heard(takes), groups.told
+        other = written(told.exceptAll(before).unionAll(before.exceptAll(told)).select("group").distinct(), "touched")
+        if other.isEmpty():
             break
-    picked = wants.where("present").join(clients.select("c", "cid"), "c").select("listing", "cid", "tier")
-    pairs = matching.merged(picked, cells, summaries)
+        groups.told = told
+        takes = written(takes.join(other, "group", "left_anti").unionByName(groups.load(other)), "all-takes")
+        steps += 1
+    cells = houses.select(F.col("listing").alias("cell"), *matching.CELL)
+    pairs = matching.cell_rows(takes.select(F.col("listing").alias("cell"), "cid", "tier"), cells, bands).withColumnRenamed("cell", "listing")
     w = Window.partitionBy("listing").orderBy(F.col("ms").desc_nulls_last(), F.col("cid"))
     picks = written(matching.with_listing(pairs.withColumn("rank", F.row_number().over(w)), houses), "picks")
     new_counts = written(merge_counts(counts, picks.select("cid", F.col("n_rows").alias("n"))), "new-counts")
