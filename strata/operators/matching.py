@@ -14,8 +14,9 @@ the price tree the intents are summarised per client, and each node keeps its
 top clients only. A listing looks up its O(log) nodes and merges their lists,
 so the rows that are ranked grow with the listings, not with the pairs. Without
 a cap, listings that are alike are matched once, and intents with one wish are
-cut to their top clients before they enter the index. The functions that return every candidate row (J1, J2) join on
-``(location, room, rs_type)`` with the price band as a residual.
+cut to their top clients before they enter the index. With a small cap the
+listings are taken in turn (``assignment``). The functions that return every
+candidate row (J1, J2, J3) walk along blocks of listings (``blocks``).
 
 Join strategy is Spark's: a side is broadcast only when its measured (AQE
 runtime) size is under the broadcast threshold, otherwise a shuffled join with
@@ -229,7 +230,7 @@ def pair_index(houses: DataFrame, intents: DataFrame) -> tuple[DataFrame, DataFr
     ``tier``, ``key``, ``node``) and, for each node, a summary of each client's
     intent rows there: ``ms``, ``n_rows`` and the latest row. An intent row is
     in exactly one node of a listing that it matches, so summaries of a pair
-    are merged over the listing's nodes (``merged``). Both are written."""
+    can be merged over the listing's nodes. Both are written."""
     def both_tiers(df: DataFrame) -> DataFrame:
         keys = F.array(*[F.struct(F.lit(t).alias("tier"), F.col(c).alias("loc")) for t, c in ((1, "place"), (2, "area"))])
         return df.withColumn("_k", F.explode(keys)).select("*", "_k.tier", "_k.loc").drop("_k", "place", "area")
@@ -249,12 +250,6 @@ def pair_index(houses: DataFrame, intents: DataFrame) -> tuple[DataFrame, DataFr
     return written(cells.drop("price"), "listing-nodes"), written(summaries, "node-clients")
 
 
-def merged(pairs: DataFrame, cells: DataFrame, summaries: DataFrame) -> DataFrame:
-    """Summaries of the given pairs ``(listing, cid, tier)``."""
-    return (pairs.select("listing", "cid", "tier").join(cells, ["listing", "tier"]).join(summaries.drop("tier"), [*NODE, "cid"])
-            .groupBy("listing", "cid", "tier").agg(F.max("ms").alias("ms"), F.sum("n_rows").alias("n_rows"), F.max("latest").alias("latest")))
-
-
 #: what an intent row asks for, beside its location
 WISH = ["rs", "house_type", "price_start", "price_end"]
 #: what a listing offers; equal listings have equal candidates

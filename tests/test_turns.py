@@ -5,10 +5,13 @@ import random
 import pyarrow as pa
 import pytest
 
+from conftest import SF_SMALL
 from seq_model import sequential
 from strata.operators import matching
 from strata.operators.assignment import assign_capped
 from strata.operators.turns import take_turns
+from strata.plans.match_job import run_match_job
+from strata.sources import bindings
 
 H_SCHEMA = "fh_id long, share_id long, area string, place string, room int, price double, rs_type int"
 I_SCHEMA = ("rid long, cid string, see_time string, update_time string, area_code string, "
@@ -98,3 +101,22 @@ def test_a_long_chain_needs_one_round(spark):
         [(r, f"c{r:03d}", f"2024-01-{r % 28 + 1:02d}", "2024-02-01", "01-A-P", 0.0, 9.0, "2", 1) for r in range(90)], I_SCHEMA))
     picks, _, steps = assign_capped(h, i, cap=0)
     assert steps == 1 and picks.count() == 90
+
+
+def _expected(spark, houses, intents, state):
+    h = [r.asDict() for r in matching.normalize_houses(houses).collect()]
+    exp, counts = sequential(h, [r.asDict() for r in matching.normalize_intents(intents).collect()], state)
+    return sorted((s, f, c) for s, f, c, _, _ in exp), counts
+
+
+def test_match_job_needs_one_round(spark, tmp_path):
+    """C3 on paths: result and counters of the sequential model, the counters
+    of the day before it being those of the stored state."""
+    houses, intents = bindings.houses(spark, SF_SMALL), bindings.intents(spark, SF_SMALL)
+    state = {"C1": 3, "C2": 4}
+    at, result = str(tmp_path / "state"), str(tmp_path / "result")
+    spark.createDataFrame([(c, n, "2024-02-01") for c, n in state.items()], "cid string, count long, p_date string").write.parquet(at)
+    assert run_match_job(spark, houses, intents, at, result, "2024-02-01") == 1
+    exp, counts = _expected(spark, houses, intents, state)
+    assert sorted((r.share_id, r.fh_id, r.cid) for r in spark.read.parquet(result).collect()) == exp and exp
+    assert {r.cid: r["count"] for r in spark.read.parquet(at).collect()} == counts
